@@ -69,7 +69,15 @@ def work_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
-    return "/".join([work_root(spark), *[p.strip("/") for p in parts]])
+    sub = spark.conf.get("tidemark.work.subdir", "") or ""
+    base = [work_root(spark)] + ([sub.strip("/")] if sub else [])
+    return "/".join([*base, *[p.strip("/") for p in parts]])
+
+
+def use_subdir(spark: SparkSession, name: str) -> None:
+    """Keep this session's derived tables in a sub-folder of the work root
+    (a bench run measures a cold build instead of reusing earlier output)."""
+    spark.conf.set("tidemark.work.subdir", name)
 
 
 # Version of the derived-data layout (landed files, bronze). Bump it whenever
