@@ -4,7 +4,8 @@ Open Spark has no ``is_member`` and no ``SET MASK`` / ``SET ROW FILTER``.
 Group membership is an input: a SQL session variable ``tidemark_groups``
 (ARRAY<STRING>) that views read when they are queried, so a view's output
 follows whoever runs it. Masks and row filters are SQL functions applied by
-``secured_view``.
+``secured_view``. SQL views re-read the variable on every query; a
+DataFrame built with ``redact``/``restrict_rows`` resolves it when built.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,18 +61,23 @@ class VersionedTable:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_dir)
 
-    def latest_version(self) -> int:
-        r = self.commits().agg(F.max("version")).first()[0]
-        return -1 if r is None else int(r)
+    def _log(self) -> list:
+        """The commit log rows (one per version: small, read in one job)."""
+        if not path_exists(self.spark, self._commits_dir):
+            return []
+        return self.commits().select("version", "writer", "batch_id").collect()
+
+    def latest_version(self, log: list | None = None) -> int:
+        log = self._log() if log is None else log
+        return max((r.version for r in log), default=-1)
 
     def exists(self) -> bool:
         return self.latest_version() >= 0
 
-    def _committed(self, writer: str, batch_id: int | None) -> bool:
-        if batch_id is None:
-            return False
-        return self.commits().filter((F.col("writer") == writer) &
-                                     (F.col("batch_id") == batch_id)).limit(1).count() > 0
+    @staticmethod
+    def _committed(log: list, writer: str, batch_id: int | None) -> bool:
+        return batch_id is not None and any(
+            r.writer == writer and r.batch_id == batch_id for r in log)
 
     # -- reads ----------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
@@ -111,19 +116,22 @@ class VersionedTable:
     def commit(self, table: DataFrame, changes: DataFrame | None, *, writer: str,
                batch_id: int | None = None, operation: str = "WRITE") -> int | None:
         """Write a new version. Returns it, or None when this batch was already committed."""
-        if self._committed(writer, batch_id):
+        log = self._log()
+        if self._committed(log, writer, batch_id):
             return None
-        v = self.latest_version() + 1
+        v = self.latest_version(log) + 1
         cols = [f.name for f in self.schema.fields]
         table.select(*cols).write.mode("overwrite").parquet(self._snap(v))
         cdir = f"{self._changes_dir}/_commit_version={v}"
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        n = None
         if changes is not None and not path_exists(self.spark, f"{cdir}/_SUCCESS"):
+            obs = Observation(f"changes_v{v}")
             (changes.select(*cols, "_change_type")
              .withColumn("_commit_timestamp", F.lit(now).cast("timestamp"))
+             .observe(obs, F.count(F.lit(1)).alias("n"))
              .write.mode("overwrite").parquet(cdir))
-        n = (self.spark.read.parquet(cdir).count()
-             if changes is not None and path_exists(self.spark, cdir) else 0)
+            n = obs.get.get("n")
         row = self.spark.createDataFrame(
             [(v, writer, batch_id, operation, now, n)], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self._commits_dir)
@@ -132,8 +140,9 @@ class VersionedTable:
     def merge(self, fn, *, writer: str, batch_id: int | None = None,
               operation: str = "MERGE") -> int | None:
         """Apply ``fn(current) -> MergeResult`` and commit the result."""
-        if self._committed(writer, batch_id):
+        log = self._log()
+        if self._committed(log, writer, batch_id):
             return None
-        res: MergeResult = fn(self.read())
+        res: MergeResult = fn(self.read(self.latest_version(log)))
         return self.commit(res.table, res.changes, writer=writer, batch_id=batch_id,
                            operation=operation)
