@@ -262,3 +262,138 @@ def binary_file_scan(spark, sf_dir):
     files = binary_files(spark, path, "*.txt")
     return files.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
                         F.col("length"))
+
+
+# --------------------------------------------------------------------------
+# More of the inventory: staged SCD2 source, CDC deletes, P4 constraints,
+# distinct keys, inferred JSON, rate-limited ingest, schema merge, IN-subquery
+
+CUTOFF = "2024-01-15"
+
+
+@query("union_staged", with_(BOOKS_P) + f""",
+before AS (SELECT * FROM books_p WHERE updated < TIMESTAMP '{CUTOFF}'),
+cur AS (SELECT book_id, price FROM before
+        QUALIFY row_number() OVER (PARTITION BY book_id ORDER BY updated DESC) = 1),
+upd AS (SELECT * FROM books_p WHERE updated >= TIMESTAMP '{CUTOFF}')
+SELECT book_id AS merge_key, book_id, price, updated FROM upd
+UNION ALL
+SELECT NULL AS merge_key, u.book_id, u.price, u.updated
+FROM upd u JOIN cur c ON u.book_id = c.book_id WHERE u.price <> c.price""")
+def union_staged(spark, sf_dir):
+    """The SCD2 staged source: updates keyed by id UNION ALL updates with a NULL
+    key where the current row's price differs (SET-1, JOI-6)."""
+    raw = bs.books_raw(spark, sf_dir).drop("is_quarantined")
+    empty = spark.createDataFrame([], "book_id BIGINT, title STRING, author STRING, price DOUBLE, "
+                                      "current BOOLEAN, effective_date TIMESTAMP, end_date TIMESTAMP")
+    from ..operators import cdc
+    hist = cdc.scd2_merge(empty, raw.filter(F.col("updated") < F.lit(CUTOFF).cast("timestamp")),
+                          "book_id", "updated").table
+    upd = raw.filter(F.col("updated") >= F.lit(CUTOFF).cast("timestamp"))
+    cur = hist.filter("current IS TRUE").select("book_id", F.col("price").alias("cur_price"))
+    a = upd.select(F.col("book_id").alias("merge_key"), "book_id", "price", "updated")
+    b = (upd.join(cur, "book_id").filter(F.col("price") != F.col("cur_price"))
+         .select(F.lit(None).cast("bigint").alias("merge_key"), "book_id", "price", "updated"))
+    return a.unionByName(b)
+
+
+@query("cdc_upsert_with_deletes", with_(CUST_P) + """
+SELECT customer_id, balance, row_time FROM cust_p
+QUALIFY rank() OVER (PARTITION BY customer_id ORDER BY row_time DESC) = 1
+        AND row_status <> 'delete'""")
+def cdc_upsert_with_deletes(spark, sf_dir):
+    """Upsert with ``WHEN MATCHED AND row_status = 'delete' THEN DELETE``: a
+    customer whose newest change is a delete is absent (CDC-4)."""
+    from ..operators import cdc
+    from ..sources.bookstore import parse_topic
+    c = parse_topic(bs.bronze(spark, sf_dir), "customers")
+    empty = spark.createDataFrame([], "customer_id BIGINT, balance DOUBLE, row_time TIMESTAMP")
+    return cdc.upsert(empty, c, ["customer_id"], "row_time",
+                      delete_when=F.col("row_status") == "delete").table
+
+
+@query("books_sales_quality", with_(ORDERS_P, BOOKS_P, BOOKS_RAW, BOOKS_SCD2) + """,
+s AS (SELECT o.order_id, o.order_timestamp, o.total, l.l_extendedprice AS subtotal,
+             CAST(l.l_quantity AS BIGINT) AS qty, b.price
+      FROM orders_p o JOIN lineitem l ON o.order_id = l.l_orderkey
+      JOIN books_silver b ON l.l_partkey = b.book_id AND b.__END_AT IS NULL
+      WHERE o.quantity > 0)
+SELECT 'valid_subtotal' AS rule, count_if(coalesce(subtotal = qty * price, false)) AS passed_records,
+       count_if(NOT coalesce(subtotal = qty * price, false)) AS failed_records, 'books_sales' AS dataset FROM s
+UNION ALL
+SELECT 'valid_total', count_if(coalesce(total BETWEEN 0 AND 100000, false)),
+       count_if(NOT coalesce(total BETWEEN 0 AND 100000, false)), 'books_sales' FROM s
+UNION ALL
+SELECT 'valid_date', count_if(coalesce(order_timestamp <= current_date AND year(order_timestamp) >= 2020, false)),
+       count_if(NOT coalesce(order_timestamp <= current_date AND year(order_timestamp) >= 2020, false)),
+       'books_sales' FROM s""")
+def books_sales_quality(spark, sf_dir):
+    """The books_sales constraints (subtotal vs quantity x price across the
+    join, total range, date) as passed / failed counts (FLT-10, QUA-5/6/7)."""
+    from ..operators import quality
+    rules = {"valid_subtotal": "book.subtotal = book.quantity * price",
+             "valid_total": "total BETWEEN 0 AND 100000",
+             "valid_date": "order_timestamp <= current_date() AND year(order_timestamp) >= 2020"}
+    return quality.expectation_metrics(bs.books_sales(spark, sf_dir), rules, "books_sales")
+
+
+@query("count_distinct_keys", with_(CUST_P, CUST_SILVER) + """
+SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_keys FROM cust_silver""")
+def count_distinct_keys(spark, sf_dir):
+    """Rows vs distinct keys of customers_silver: the uniqueness assertion (AGG-7)."""
+    return st.customers_silver(spark, sf_dir).read().agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("customer_id").alias("n_keys"))
+
+
+@query("json_inferred_lookup", "SELECT n_nationkey AS code, n_name AS country FROM nation")
+def json_inferred_lookup(spark, sf_dir):
+    """Batch JSON scan with an inferred schema (the country lookup, SRC-1)."""
+    from ..sources.bookstore import country_lookup
+    from ..sources.ingest import read_json_batch
+    path = work_path(spark, "landing", dataset_tag(sf_dir), "country_lookup")
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        country_lookup(spark, sf_dir).write.mode("overwrite").json(path)
+    return read_json_batch(spark, path).select("code", "country")
+
+
+@query("bronze_ingest_limited", with_(ORDERS_P, CUST_P, BOOKS_P) + """
+SELECT topic, count(*) AS n FROM (
+  SELECT 'orders' AS topic FROM orders_p UNION ALL SELECT 'customers' FROM cust_p
+  UNION ALL SELECT 'books' FROM books_p) GROUP BY topic""")
+def bronze_ingest_limited(spark, sf_dir):
+    """The same ingest with a micro-batch size limit (``maxFilesPerTrigger``):
+    several batches, same content (SRC-8)."""
+    from ..sources.ingest import ingest_bronze, land_raw
+    out = work_path(spark, "tables", dataset_tag(sf_dir), "main", "bronze_limited")
+    if not path_exists(spark, f"{out}.done"):
+        ingest_bronze(spark, land_raw(spark, sf_dir), out, f"{out}-checkpoint", max_files=4)
+        spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{out}.done")
+    return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("merge_schema_read", """
+SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS value FROM events""")
+def merge_schema_read(spark, sf_dir):
+    """Appends with a widened schema read back with ``mergeSchema`` (SNK-3)."""
+    path = work_path(spark, "tables", dataset_tag(sf_dir), "main", "events_evolving")
+    e = load(spark, sf_dir, "events")
+    if not path_exists(spark, f"{path}/part=2/_SUCCESS"):
+        (e.filter("event_type <> 'purchase'").select("event_id", "event_type")
+         .write.mode("overwrite").parquet(f"{path}/part=1"))
+        (e.filter("event_type = 'purchase'").select("event_id", "event_type", "value")
+         .write.mode("overwrite").parquet(f"{path}/part=2"))
+    return (spark.read.option("mergeSchema", "true").parquet(path)
+            .select("event_id", "event_type", "value"))
+
+
+@query("in_subquery_semi", with_(CUST_P, CUST_SILVER) + """,
+reqs AS (SELECT customer_id FROM cust_p WHERE row_status = 'delete')
+SELECT customer_id, country FROM cust_silver WHERE customer_id IN (SELECT customer_id FROM reqs)""")
+def in_subquery_semi(spark, sf_dir):
+    """``WHERE k IN (SELECT k FROM requests WHERE status = 'requested')``:
+    planned by Catalyst as a left-semi join (FLT-7, JOI-7)."""
+    st.customers_silver(spark, sf_dir).read().createOrReplaceTempView("customers_silver_q")
+    st.delete_requests(spark, sf_dir).read(1).createOrReplaceTempView("delete_requests_q")
+    return spark.sql("""SELECT customer_id, country FROM customers_silver_q
+                        WHERE customer_id IN (SELECT customer_id FROM delete_requests_q
+                                              WHERE status = 'requested')""")
