@@ -102,3 +102,32 @@ def test_dynamic_view_follows_caller(spark):
     gov.set_groups(spark, [])
     assert {r.email for r in gov.redact(df, ["email"], "admins_demo").collect()} == {"REDACTED"}
     assert gov.restrict_rows(df, "admins_demo", "country = 'France'").count() == 1
+
+
+def test_append_only_and_constraints(spark, fresh):
+    from tidemark.streaming.table import AppendOnlyViolation
+    t = VersionedTable(spark, f"{fresh}/ao", "id BIGINT, quantity INT", append_only=True,
+                       constraints={"valid_quantity": "quantity > 0"})
+    t.create_if_absent()
+    t.insert(spark.createDataFrame([(1, 3)], "id BIGINT, quantity INT"))
+    with pytest.raises(quality.ConstraintViolation):
+        t.insert(spark.createDataFrame([(2, 1), (3, 0)], "id BIGINT, quantity INT"))
+    assert t.read().count() == 1  # all-or-nothing
+    with pytest.raises(AppendOnlyViolation):
+        t.merge(lambda cur: cdc.delete_by_keys(cur, cur, ["id"]), writer="d")
+
+
+def test_rank_on_stream_is_rejected(spark, fresh):
+    from pyspark.sql import Window
+    spark.createDataFrame([], "id BIGINT, ts TIMESTAMP").write.json(f"{fresh}/src")
+    s = spark.readStream.schema("id BIGINT, ts TIMESTAMP").json(f"{fresh}/src")
+    ranked = s.withColumn("r", F.rank().over(Window.partitionBy("id").orderBy("ts")))
+    with pytest.raises(Exception, match="NON_TIME_WINDOW|not supported"):
+        ranked.writeStream.format("noop").start()
+
+
+def test_decorator_udf_needs_columns(spark):
+    from tidemark.functions import udfs
+    with pytest.raises(PySparkException):
+        udfs.apply_discount_decorator_udf()(100, 20)
+    assert udfs.apply_discount(100, 20) == 80.0

@@ -28,12 +28,23 @@ COMMIT_SCHEMA = ("version BIGINT, writer STRING, batch_id BIGINT, operation STRI
                  "committed_at TIMESTAMP, num_changes BIGINT")
 
 
+class AppendOnlyViolation(Exception):
+    pass
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType):
+    """``append_only`` (SNK-9) rejects commits whose changes are not all inserts;
+    ``constraints`` (QUA-1) are checked over the rows a commit adds or changes
+    before anything is written, so a bad batch leaves no trace."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, *,
+                 append_only: bool = False, constraints: dict[str, str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = (spark.createDataFrame([], schema).schema
                        if isinstance(schema, str) else schema)
+        self.append_only = append_only
+        self.constraints = dict(constraints or {})
 
     # -- layout ---------------------------------------------------------
     def _snap(self, v: int) -> str:
@@ -119,6 +130,8 @@ class VersionedTable:
         log = self._log()
         if self._committed(log, writer, batch_id):
             return None
+        if changes is not None and (self.append_only or self.constraints):
+            self._check(changes)
         v = self.latest_version(log) + 1
         cols = [f.name for f in self.schema.fields]
         table.select(*cols).write.mode("overwrite").parquet(self._snap(v))
@@ -137,6 +150,25 @@ class VersionedTable:
         row.coalesce(1).write.mode("append").parquet(self._commits_dir)
         return v
 
+    def _check(self, changes: DataFrame) -> None:
+        from ..operators import quality
+        rules = {f"constraint_{k}": f"_change_type NOT IN ('insert', 'update_postimage') OR ({e})"
+                 for k, e in self.constraints.items()}
+        if self.append_only:
+            rules["append_only"] = "_change_type = 'insert'"
+        bad = {k: n for k, n in quality.violations(changes, rules).items() if n}
+        if bad.pop("append_only", 0):
+            raise AppendOnlyViolation(f"{self.path} is append-only")
+        if bad:
+            raise quality.ConstraintViolation(f"CHECK constraint violated: {bad}")
+
+    def insert(self, rows: DataFrame, *, writer: str = "insert", batch_id: int | None = None) -> int | None:
+        """``INSERT INTO t VALUES …``: all rows or none (SNK-7)."""
+        return self.merge(lambda cur: MergeResult(
+            cur.unionByName(rows.select(*cur.columns)),
+            rows.select(*cur.columns).withColumn("_change_type", F.lit("insert"))),
+            writer=writer, batch_id=batch_id, operation="WRITE")
+
     def merge(self, fn, *, writer: str, batch_id: int | None = None,
               operation: str = "MERGE") -> int | None:
         """Apply ``fn(current) -> MergeResult`` and commit the result."""
