@@ -4,8 +4,10 @@ Open Spark has no MERGE or DELETE on Parquet tables, so each statement of
 the reference is a function ``(target, source) -> MergeResult(table,
 changes)``: ``table`` is the new table content and ``changes`` the change
 feed rows (table columns + ``_change_type``) that the same commit produces.
-Every operator is one join on the merge keys (a single shuffle on the keys);
-nothing is collected.
+Every operator is one join on the merge keys; when the batch's key set is
+provably small, the target is first split by broadcast semi/anti joins so
+only rows sharing a key with the batch take part and the target is never
+shuffled. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import BROADCAST_MAX_BYTES, broadcast_if_small, estimated_bytes
 from .keyed import latest_per_key, ordered_neighbors
 
 INSERT, PRE, POST, DELETE = "insert", "update_preimage", "update_postimage", "delete"
@@ -57,6 +60,25 @@ def _on(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _batch_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The batch's distinct keys, broadcast, when provably small; else None."""
+    ks = source.select(*keys).dropDuplicates()
+    try:
+        return F.broadcast(ks) if estimated_bytes(ks) <= BROADCAST_MAX_BYTES else None
+    except Exception:
+        return None
+
+
+def split_target(target: DataFrame, source: DataFrame, keys: Sequence[str]):
+    """(rows the batch can touch, rows it cannot) by broadcast semi / anti joins
+    on the batch keys, so the large target is scanned but never shuffled.
+    Returns (target, None) when the batch key set is too large to broadcast."""
+    ks = _batch_keys(source, keys)
+    if ks is None:
+        return target, None
+    return target.join(ks, list(keys), "left_semi"), target.join(ks, list(keys), "left_anti")
+
+
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> MergeResult:
     """``MERGE … WHEN NOT MATCHED THEN INSERT *`` (CDC-1).
 
@@ -64,8 +86,9 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Me
     existing table is not rewritten. NULL keys never match, so such rows are
     inserted every time, and duplicates inside the source all insert.
     """
+    existing, _ = split_target(target.select(*keys), source, keys)
     new = source.select(*target.columns).join(
-        target.select(*keys), list(keys), "left_anti").select(*target.columns)
+        existing, list(keys), "left_anti").select(*target.columns)
     return MergeResult(target.unionByName(new),
                        new.withColumn("_change_type", F.lit(INSERT)))
 
@@ -82,13 +105,17 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], sequence:
     ``*`` means the target's columns: extra source columns are ignored. The
     guard is strict, so equal sequence values keep the target row. A source
     row flagged for delete that matches nothing is not inserted.
+
+    Only target rows whose key occurs in the batch take part in the join
+    (``split_target``); the others are carried over unchanged.
     """
     cols = target.columns
     src = latest_per_key(updates, keys, sequence) if rank_updates else updates
     dcol = _expr(delete_when) if delete_when is not None else F.lit(False)
     s = src.select(*[F.col(c).alias("s__" + c) for c in cols],
                    F.coalesce(dcol, F.lit(False)).alias("_del"), F.lit(True).alias("_s"))
-    t = _prefixed(target, "t__", "_t")
+    touched, untouched = split_target(target, src, keys)
+    t = _prefixed(touched, "t__", "_t")
     j = t.join(s, _on(keys), "full_outer")
     has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
     newer = F.coalesce(F.col("t__" + sequence) < F.col("s__" + sequence), F.lit(False))
@@ -99,6 +126,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], sequence:
     table = (j.select(F.when(ins | upd, _side("s__", cols))
                       .when(keep, _side("t__", cols)).alias("r"))
              .filter(F.col("r").isNotNull()).select("r.*"))
+    if untouched is not None:
+        table = untouched.unionByName(table)
     changes = _emit(j, [(ins, _side("s__", cols, INSERT)),
                         (upd, _side("t__", cols, PRE)),
                         (upd, _side("s__", cols, POST)),
@@ -121,7 +150,7 @@ def delete_by_keys(target: DataFrame, requests: DataFrame, keys: Sequence[str])
     Kept rows = anti join, deleted rows = semi join. Rows with a NULL key are
     kept, as ``IN`` never matches NULL.
     """
-    ks = requests.select(*keys).dropDuplicates()
+    ks = broadcast_if_small(requests.select(*keys).dropDuplicates())
     kept = target.join(ks, list(keys), "left_anti").select(*target.columns)
     gone = target.join(ks, list(keys), "left_semi").select(*target.columns)
     return MergeResult(kept, gone.withColumn("_change_type", F.lit(DELETE)))
@@ -135,7 +164,7 @@ def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str],
     for one key update the row once.
     """
     cols = target.columns
-    ks = source.select(*keys).dropDuplicates().withColumn("_m", F.lit(True))
+    ks = broadcast_if_small(source.select(*keys).dropDuplicates().withColumn("_m", F.lit(True)))
     j = target.join(ks, list(keys), "left")
     m = F.col("_m").isNotNull()
     new_vals = {c: (F.when(m, _expr(v) if isinstance(v, str) else v).otherwise(F.col(c)))
