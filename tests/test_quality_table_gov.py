@@ -131,3 +131,23 @@ def test_decorator_udf_needs_columns(spark):
     with pytest.raises(PySparkException):
         udfs.apply_discount_decorator_udf()(100, 20)
     assert udfs.apply_discount(100, 20) == 80.0
+
+
+def test_bucketed_copy_on_write(spark, fresh):
+    import datetime as dt
+    sch = "id BIGINT, v STRING, ts TIMESTAMP"
+    t0 = dt.datetime(2024, 1, 1)
+    t = VersionedTable(spark, f"{fresh}/b", sch, keys=["id"], buckets=8)
+    t.create_if_absent()
+    first = spark.createDataFrame([(i, "a", t0) for i in range(40)], sch)
+    t.insert(first, batch_id=0)
+    upd = spark.createDataFrame([(3, "b", t0 + dt.timedelta(1)), (99, "n", t0)], sch)
+    v = t.merge(lambda cur: cdc.upsert(cur, upd, ["id"], "ts"), writer="u", batch_id=0, source=upd)
+    row = t.commits().filter(f"version = {v}").first()
+    assert 1 <= len(row.touched) <= 2  # only the buckets of ids 3 and 99 were rewritten
+    now = {r.id: r.v for r in t.read().collect()}
+    assert len(now) == 41 and now[3] == "b" and now[99] == "n" and now[4] == "a"
+    before = {r.id: r.v for r in t.read(v - 1).collect()}
+    assert len(before) == 40 and before[3] == "a"
+    assert sorted(r._change_type for r in t.changes(start=v).collect()) == [
+        "insert", "update_postimage", "update_preimage"]

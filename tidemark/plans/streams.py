@@ -57,7 +57,8 @@ def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     guarded by ``row_time`` (CDC-2, WIN-3, JOI-1, SNK-4, STR-5/6)."""
     prepare(spark)
     root = _root(spark, sf_dir, variant)
-    table = VersionedTable(spark, f"{root}/customers_silver", CUSTOMERS_SILVER_SCHEMA)
+    table = VersionedTable(spark, f"{root}/customers_silver", CUSTOMERS_SILVER_SCHEMA,
+                           keys=["customer_id"])
     if path_exists(spark, f"{root}/customers_silver.done"):
         return table
     table.create_if_absent()
@@ -69,7 +70,7 @@ def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") ->
         mb = mb.persist()  # the commit reads the batch twice (snapshot, changes)
         upd = mb.filter(F.col("row_status").isin("insert", "update")).select(*cols)
         table.merge(lambda cur: cdc.upsert(cur, upd, ["customer_id"], "row_time"),
-                    writer="customers_silver_upsert", batch_id=batch_id)
+                    writer="customers_silver_upsert", batch_id=batch_id, source=upd)
         mb.unpersist()
 
     steps = customer_steps(spark, sf_dir)
@@ -101,7 +102,8 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     with half the join state)."""
     root = _root(spark, sf_dir, variant)
     cs = customers_silver(spark, sf_dir, variant)
-    table = VersionedTable(spark, f"{root}/customers_orders", CUSTOMERS_ORDERS_SCHEMA)
+    table = VersionedTable(spark, f"{root}/customers_orders", CUSTOMERS_ORDERS_SCHEMA,
+                           keys=["order_id", "customer_id"])
     if path_exists(spark, f"{root}/customers_orders.done"):
         return table
     table.create_if_absent()
@@ -115,7 +117,7 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
                   .select(*cols))
         table.merge(lambda cur: cdc.upsert(cur, ranked, ["order_id", "customer_id"],
                                            "processed_timestamp", rank_updates=False),
-                    writer="customers_orders_upsert", batch_id=batch_id)
+                    writer="customers_orders_upsert", batch_id=batch_id, source=ranked)
         mb.unpersist()
 
     feed = (cs.change_stream(start=1)
@@ -165,7 +167,8 @@ def delete_requests(spark: SparkSession, sf_dir: str, variant: str = "gov") -> V
     """Delete requests from the customers topic: one row per delete event, a
     30-day deadline and status ``requested`` (stream append)."""
     root = _root(spark, sf_dir, variant)
-    table = VersionedTable(spark, f"{root}/delete_requests", DELETE_REQUESTS_SCHEMA)
+    table = VersionedTable(spark, f"{root}/delete_requests", DELETE_REQUESTS_SCHEMA,
+                           keys=["customer_id"])
     if path_exists(spark, f"{root}/delete_requests.done"):
         return table
     table.create_if_absent()
@@ -178,7 +181,8 @@ def delete_requests(spark: SparkSession, sf_dir: str, variant: str = "gov") -> V
     def append(mb: DataFrame, batch_id: int) -> None:
         table.merge(lambda cur: cdc.MergeResult(cur.unionByName(mb),
                                                 mb.withColumn("_change_type", F.lit("insert"))),
-                    writer="delete_requests_append", batch_id=batch_id, operation="STREAMING UPDATE")
+                    writer="delete_requests_append", batch_id=batch_id, operation="STREAMING UPDATE",
+                    source=mb)
 
     drain(reqs.writeStream.outputMode("append").foreachBatch(append),
           f"{root}/_checkpoints/delete_requests")
@@ -198,17 +202,17 @@ def propagate_deletes(spark: SparkSession, sf_dir: str, variant: str = "gov"):
         return cs, co, dr
     requested = dr.read().filter("status = 'requested'")
     v = cs.merge(lambda cur: cdc.delete_by_keys(cur, requested, ["customer_id"]),
-                 writer="delete_customers", batch_id=0, operation="DELETE")
+                 writer="delete_customers", batch_id=0, operation="DELETE", source=requested)
     start = v if v is not None else cs.latest_version()
 
     def process_deletes(mb: DataFrame, batch_id: int) -> None:
         mb = mb.persist()
         deletes = mb.filter("_change_type = 'delete'").select("customer_id")
         co.merge(lambda cur: cdc.delete_by_keys(cur, deletes, ["customer_id"]),
-                 writer="process_deletes", batch_id=batch_id, operation="DELETE")
+                 writer="process_deletes", batch_id=batch_id, operation="DELETE", source=deletes)
         dr.merge(lambda cur: cdc.update_matched(cur, deletes, ["customer_id"],
                                                 {"status": F.lit("deleted")}),
-                 writer="process_deletes", batch_id=batch_id)
+                 writer="process_deletes", batch_id=batch_id, source=deletes)
         mb.unpersist()
 
     drain(cs.change_stream(start=start).writeStream.foreachBatch(process_deletes),

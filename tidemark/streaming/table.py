@@ -3,29 +3,38 @@
 Open Spark has no MERGE/DELETE on Parquet and no change data feed, so a
 mutable table is a folder:
 
-    <path>/v=<n>/                              full snapshot of version n
+    <path>/v=<n>/tm_bucket=<b>/                rows of bucket b written by version n
     <path>/_changes/_commit_version=<n>/       change rows of version n
     <path>/_commits/                           one small row per commit
 
-A commit writes the snapshot, then the change rows, then the commit row;
-readers only use versions listed in ``_commits``. A (writer, batch id) pair
-that is already committed is skipped, so a replayed micro-batch changes
-nothing. Writers of one table run one after another.
+Rows are hash-bucketed by the table keys (``buckets`` buckets). A commit
+rewrites only the buckets its batch touches (copy-on-write per bucket) and
+records them in its commit row; version n of bucket b is read from the latest
+version <= n that wrote b. A table without keys is one bucket rewritten per
+commit.
+
+A commit writes the data, then the change rows, then the commit row; readers
+only use versions listed in ``_commits``. A (writer, batch id) pair that is
+already committed is skipped, so a replayed micro-batch changes nothing.
+Writers of one table run one after another.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import MergeResult
-from ..session import path_exists
+from ..session import list_dirs, path_exists
 
 COMMIT_SCHEMA = ("version BIGINT, writer STRING, batch_id BIGINT, operation STRING, "
-                 "committed_at TIMESTAMP, num_changes BIGINT")
+                 "committed_at TIMESTAMP, num_changes BIGINT, "
+                 "touched ARRAY<INT>, present ARRAY<INT>")
+BUCKET = "tm_bucket"
 
 
 class AppendOnlyViolation(Exception):
@@ -38,11 +47,14 @@ class VersionedTable:
     before anything is written, so a bad batch leaves no trace."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, *,
-                 append_only: bool = False, constraints: dict[str, str] | None = None):
+                 keys: Sequence[str] = (), buckets: int = 64, append_only: bool = False,
+                 constraints: dict[str, str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = (spark.createDataFrame([], schema).schema
                        if isinstance(schema, str) else schema)
+        self.keys = list(keys)
+        self.buckets = int(buckets) if self.keys else 1
         self.append_only = append_only
         self.constraints = dict(constraints or {})
 
@@ -65,6 +77,12 @@ class VersionedTable:
             T.StructField("_commit_timestamp", T.TimestampType()),
             T.StructField("_commit_version", T.LongType())])
 
+    def bucket_of(self, df: DataFrame | None = None) -> Column:
+        """Bucket id of a row: ``pmod(xxhash64(keys), buckets)``."""
+        if not self.keys:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
     # -- metadata -------------------------------------------------------
     def commits(self) -> DataFrame:
         """Commit log (``DESCRIBE HISTORY``-like rows, CDC-12)."""
@@ -76,7 +94,7 @@ class VersionedTable:
         """The commit log rows (one per version: small, read in one job)."""
         if not path_exists(self.spark, self._commits_dir):
             return []
-        return self.commits().select("version", "writer", "batch_id").collect()
+        return self.commits().select("version", "writer", "batch_id", "touched", "present").collect()
 
     def latest_version(self, log: list | None = None) -> int:
         log = self._log() if log is None else log
@@ -90,14 +108,31 @@ class VersionedTable:
         return batch_id is not None and any(
             r.writer == writer and r.batch_id == batch_id for r in log)
 
+    def _bucket_paths(self, log: list, version: int, only: Sequence[int] | None = None) -> list[str]:
+        """Folders holding each bucket as of ``version``."""
+        owner: dict[int, tuple[int, bool]] = {}
+        for r in sorted(log, key=lambda r: r.version):
+            if r.version > version:
+                break
+            touched = range(self.buckets) if r.touched is None else r.touched
+            present = set(r.present or [])
+            for b in touched:
+                owner[b] = (r.version, b in present)
+        want = range(self.buckets) if only is None else only
+        return [f"{self._snap(owner[b][0])}/{BUCKET}={b}" for b in want
+                if b in owner and owner[b][1]]
+
     # -- reads ----------------------------------------------------------
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, *, log: list | None = None,
+             buckets: Sequence[int] | None = None) -> DataFrame:
         """Snapshot of ``version`` (default latest); time travel is reading an
-        older version (SRC-11)."""
-        v = self.latest_version() if version is None else version
-        if v < 0:
+        older version (SRC-11). ``buckets`` limits the read to those buckets."""
+        log = self._log() if log is None else log
+        v = self.latest_version(log) if version is None else version
+        paths = self._bucket_paths(log, v, buckets) if v >= 0 else []
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._snap(v))
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def changes(self, start: int = 0, end: int | None = None) -> DataFrame:
         """Batch change feed from ``start`` (inclusive) to ``end`` (SRC-6)."""
@@ -124,17 +159,41 @@ class VersionedTable:
                         self.spark.createDataFrame([], ch_schema),
                         writer="create", batch_id=0, operation="CREATE TABLE")
 
+    def _check(self, changes: DataFrame) -> None:
+        from ..operators import quality
+        rules = {f"constraint_{k}": f"_change_type NOT IN ('insert', 'update_postimage') OR ({e})"
+                 for k, e in self.constraints.items()}
+        if self.append_only:
+            rules["append_only"] = "_change_type = 'insert'"
+        bad = {k: n for k, n in quality.violations(changes, rules).items() if n}
+        if bad.pop("append_only", 0):
+            raise AppendOnlyViolation(f"{self.path} is append-only")
+        if bad:
+            raise quality.ConstraintViolation(f"CHECK constraint violated: {bad}")
+
     def commit(self, table: DataFrame, changes: DataFrame | None, *, writer: str,
-               batch_id: int | None = None, operation: str = "WRITE") -> int | None:
-        """Write a new version. Returns it, or None when this batch was already committed."""
-        log = self._log()
+               batch_id: int | None = None, operation: str = "WRITE",
+               touched: Sequence[int] | None = None, log: list | None = None) -> int | None:
+        """Write a new version: ``table`` holds every row of the ``touched``
+        buckets (all buckets when None). Returns the version, or None when this
+        batch was already committed."""
+        log = self._log() if log is None else log
         if self._committed(log, writer, batch_id):
             return None
         if changes is not None and (self.append_only or self.constraints):
             self._check(changes)
         v = self.latest_version(log) + 1
         cols = [f.name for f in self.schema.fields]
-        table.select(*cols).write.mode("overwrite").parquet(self._snap(v))
+        if touched is not None and not touched:
+            present: list[int] = []
+        else:
+            out = table.select(*cols).withColumn(BUCKET, self.bucket_of())
+            if self.buckets > 1:
+                # few files per bucket; AQE splits a skewed (hot) bucket
+                out = out.hint("rebalance", BUCKET)
+            out.write.mode("overwrite").partitionBy(BUCKET).parquet(self._snap(v))
+            present = [int(d.split("=", 1)[1]) for d in list_dirs(self.spark, self._snap(v))
+                       if d.startswith(f"{BUCKET}=")]
         cdir = f"{self._changes_dir}/_commit_version={v}"
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         n = None
@@ -146,35 +205,36 @@ class VersionedTable:
              .write.mode("overwrite").parquet(cdir))
             n = obs.get.get("n")
         row = self.spark.createDataFrame(
-            [(v, writer, batch_id, operation, now, n)], COMMIT_SCHEMA)
+            [(v, writer, batch_id, operation, now, n,
+              None if touched is None else [int(b) for b in touched], present)], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self._commits_dir)
         return v
 
-    def _check(self, changes: DataFrame) -> None:
-        from ..operators import quality
-        rules = {f"constraint_{k}": f"_change_type NOT IN ('insert', 'update_postimage') OR ({e})"
-                 for k, e in self.constraints.items()}
-        if self.append_only:
-            rules["append_only"] = "_change_type = 'insert'"
-        bad = {k: n for k, n in quality.violations(changes, rules).items() if n}
-        if bad.pop("append_only", 0):
-            raise AppendOnlyViolation(f"{self.path} is append-only")
-        if bad:
-            raise quality.ConstraintViolation(f"CHECK constraint violated: {bad}")
+    def merge(self, fn, *, writer: str, batch_id: int | None = None,
+              operation: str = "MERGE", source: DataFrame | None = None) -> int | None:
+        """Apply ``fn(current) -> MergeResult`` and commit the result.
+
+        With ``source`` (the batch) on a keyed table, only the buckets holding
+        the batch's keys are read, merged and rewritten: ``fn`` sees those
+        buckets only, which is exact for key-wise operations (upsert, delete
+        by key, matched update, insert-only). A batch that lacks some key
+        columns (e.g. a delete by part of the key) reads every bucket.
+        """
+        log = self._log()
+        if self._committed(log, writer, batch_id):
+            return None
+        touched = None
+        if source is not None and self.keys and set(self.keys) <= set(source.columns):
+            touched = sorted(r[0] for r in source.select(self.bucket_of().alias("b"))
+                             .distinct().collect())  # at most `buckets` values
+        cur = self.read(self.latest_version(log), log=log, buckets=touched)
+        res: MergeResult = fn(cur)
+        return self.commit(res.table, res.changes, writer=writer, batch_id=batch_id,
+                           operation=operation, touched=touched, log=log)
 
     def insert(self, rows: DataFrame, *, writer: str = "insert", batch_id: int | None = None) -> int | None:
         """``INSERT INTO t VALUES …``: all rows or none (SNK-7)."""
         return self.merge(lambda cur: MergeResult(
             cur.unionByName(rows.select(*cur.columns)),
             rows.select(*cur.columns).withColumn("_change_type", F.lit("insert"))),
-            writer=writer, batch_id=batch_id, operation="WRITE")
-
-    def merge(self, fn, *, writer: str, batch_id: int | None = None,
-              operation: str = "MERGE") -> int | None:
-        """Apply ``fn(current) -> MergeResult`` and commit the result."""
-        log = self._log()
-        if self._committed(log, writer, batch_id):
-            return None
-        res: MergeResult = fn(self.read(self.latest_version(log)))
-        return self.commit(res.table, res.changes, writer=writer, batch_id=batch_id,
-                           operation=operation)
+            writer=writer, batch_id=batch_id, operation="WRITE", source=rows)
