@@ -27,6 +27,9 @@ INSERT, PRE, POST, DELETE = "insert", "update_preimage", "update_postimage", "de
 class MergeResult(NamedTuple):
     table: DataFrame
     changes: DataFrame
+    # The join both outputs derive from; a commit persists it across its two
+    # writes so the join runs once.
+    shared: DataFrame | None = None
 
 
 def _expr(e) -> Column | None:
@@ -132,7 +135,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], sequence:
                         (upd, _side("t__", cols, PRE)),
                         (upd, _side("s__", cols, POST)),
                         (is_del, _side("t__", cols, DELETE))])
-    return MergeResult(table, changes)
+    return MergeResult(table, changes, j)
 
 
 def ambiguous_matches(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -174,7 +177,7 @@ def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str],
     table = j.select(after.alias("r")).select("r.*")
     changes = _emit(j, [(m, F.struct(*[before[c].alias(c) for c in cols], F.lit(PRE).alias("_change_type"))),
                         (m, F.struct(*[after[c].alias(c) for c in cols], F.lit(POST).alias("_change_type")))])
-    return MergeResult(table, changes)
+    return MergeResult(table, changes, j)
 
 
 def scd2_merge(table: DataFrame, updates: DataFrame, key: str, sequence: str, *,

@@ -7,7 +7,8 @@ mutable table is a folder:
     <path>/_changes/_commit_version=<n>/       change rows of version n
     <path>/_commits/                           one small row per commit
 
-Rows are hash-bucketed by the table keys (``buckets`` buckets). A commit
+Rows are hash-bucketed by the table keys (``buckets`` buckets; size it so a
+bucket holds on the order of a gigabyte, the default suits small tables). A commit
 rewrites only the buckets its batch touches (copy-on-write per bucket) and
 records them in its commit row; version n of bucket b is read from the latest
 version <= n that wrote b. A table without keys is one bucket rewritten per
@@ -47,7 +48,7 @@ class VersionedTable:
     before anything is written, so a bad batch leaves no trace."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, *,
-                 keys: Sequence[str] = (), buckets: int = 64, append_only: bool = False,
+                 keys: Sequence[str] = (), buckets: int = 16, append_only: bool = False,
                  constraints: dict[str, str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -229,8 +230,14 @@ class VersionedTable:
                              .distinct().collect())  # at most `buckets` values
         cur = self.read(self.latest_version(log), log=log, buckets=touched)
         res: MergeResult = fn(cur)
-        return self.commit(res.table, res.changes, writer=writer, batch_id=batch_id,
-                           operation=operation, touched=touched, log=log)
+        if res.shared is not None:
+            res.shared.persist()
+        try:
+            return self.commit(res.table, res.changes, writer=writer, batch_id=batch_id,
+                               operation=operation, touched=touched, log=log)
+        finally:
+            if res.shared is not None:
+                res.shared.unpersist()
 
     def insert(self, rows: DataFrame, *, writer: str = "insert", batch_id: int | None = None) -> int | None:
         """``INSERT INTO t VALUES …``: all rows or none (SNK-7)."""
