@@ -23,7 +23,7 @@ from ..session import dataset_tag, path_exists, prepare, touch, work_path
 from ..sources.bookstore import (CUSTOMERS_SCHEMA, JSON_OPTIONS, country_lookup,
                                  customers_payload, parse_topic)
 from ..sources.ingest import bronze_stream, ensure_bronze
-from ..streaming.runner import drain
+from ..streaming.runner import drain, stream_static_join
 from ..streaming.table import VersionedTable
 from . import bookstore as bs
 
@@ -145,17 +145,9 @@ def books_sales(spark: SparkSession, sf_dir: str) -> str:
     if path_exists(spark, f"{root}/books_sales.done"):
         return out
     books_path = current_books_table(spark, sf_dir)
-
-    def join_batch(mb: DataFrame, batch_id: int) -> None:
-        target = f"{out}/batch={batch_id}"
-        if path_exists(spark, f"{target}/_SUCCESS"):
-            return  # replayed batch
-        books = spark.read.parquet(books_path)
-        (explode_join(mb, books, "books", "book", "book_id", "book_id")
-         .write.mode("overwrite").parquet(target))
-
-    drain(orders_stream(spark, sf_dir).writeStream.foreachBatch(join_batch),
-          f"{root}/_checkpoints/books_sales")
+    stream_static_join(orders_stream(spark, sf_dir), lambda: spark.read.parquet(books_path),
+                       lambda mb, books: explode_join(mb, books, "books", "book", "book_id", "book_id"),
+                       out, f"{root}/_checkpoints/books_sales")
     touch(spark, f"{root}/books_sales.done")
     return out
 
