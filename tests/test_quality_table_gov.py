@@ -151,3 +151,17 @@ def test_bucketed_copy_on_write(spark, fresh):
     assert len(before) == 40 and before[3] == "a"
     assert sorted(r._change_type for r in t.changes(start=v).collect()) == [
         "insert", "update_postimage", "update_preimage"]
+
+
+def test_shallow_clone_diverges(spark, fresh):
+    src = VersionedTable(spark, f"{fresh}/src", "id BIGINT, v STRING", keys=["id"], buckets=4)
+    src.create_if_absent()
+    src.insert(spark.createDataFrame([(1, "a"), (2, "b")], "id BIGINT, v STRING"), batch_id=0)
+    cl = VersionedTable(spark, f"{fresh}/clone", "id BIGINT, v STRING", keys=["id"], buckets=4)
+    cl.clone_from(src)
+    gone = spark.createDataFrame([(1,)], "id BIGINT")
+    v = cl.merge(lambda cur: cdc.delete_by_keys(cur, gone, ["id"]), writer="d", batch_id=0, source=gone)
+    assert [r.id for r in cl.read().collect()] == [2]
+    assert sorted(r.id for r in src.read().collect()) == [1, 2]
+    assert cl.changes(start=1).count() == 3  # 2 cloned inserts + 1 delete
+    assert [r._change_type for r in cl.changes(start=v).collect()] == ["delete"]

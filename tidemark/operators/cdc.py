@@ -198,7 +198,9 @@ def scd2_merge(table: DataFrame, updates: DataFrame, key: str, sequence: str, *,
     attrs = [c for c in table.columns if c not in (current, start, end)]
     is_cur = F.coalesce(F.col(current), F.lit(False))
     hist = table.filter(~is_cur)
-    cur = table.filter(is_cur)
+    cur, cur_untouched = split_target(table.filter(is_cur), updates, [key])
+    if cur_untouched is not None:
+        hist = hist.unionByName(cur_untouched)  # carried over unchanged
     not_null = None
     for c in track:
         nn = F.col(c).isNotNull()
@@ -245,11 +247,14 @@ def apply_changes_scd1(target: DataFrame | None, updates: DataFrame, keys: Seque
     dflag = _expr(delete_when) if delete_when is not None else F.lit(False)
     new = updates.withColumn("__sequence", F.col(sequence)).withColumn(
         "__delete", F.coalesce(dflag, F.lit(False)))
+    untouched = None
     if target is not None:
-        new = target.withColumn("__delete", F.lit(False)).unionByName(new, allowMissingColumns=True)
+        touched, untouched = split_target(target, updates, keys)
+        new = touched.withColumn("__delete", F.lit(False)).unionByName(new, allowMissingColumns=True)
     latest = latest_per_key(new, keys, "__sequence").filter(~F.col("__delete"))
     keep = [c for c in latest.columns if c not in set(except_columns) | {"__delete"}]
-    return latest.select(*keep)
+    out = latest.select(*keep)
+    return out if untouched is None else untouched.select(*keep).unionByName(out)
 
 
 def apply_changes_scd2(history: DataFrame | None, updates: DataFrame, keys: Sequence[str],
@@ -271,7 +276,7 @@ def apply_changes_scd2(history: DataFrame | None, updates: DataFrame, keys: Sequ
                          F.coalesce(dflag, F.lit(False)).alias("_del"))
     untouched = None
     if history is not None:
-        touched = new.select(*keys).dropDuplicates()
+        touched = broadcast_if_small(new.select(*keys).dropDuplicates())
         old = (history.join(touched, list(keys), "left_semi")
                .select(*out, F.col("__START_AT").alias("_seq"), F.lit(False).alias("_del")))
         untouched = history.join(touched, list(keys), "left_anti")

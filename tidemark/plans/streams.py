@@ -61,6 +61,10 @@ def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") ->
                            keys=["customer_id"])
     if path_exists(spark, f"{root}/customers_silver.done"):
         return table
+    if variant != "main":  # other variants start as a shallow clone of main
+        table.clone_from(customers_silver(spark, sf_dir, "main"))
+        touch(spark, f"{root}/customers_silver.done")
+        return table
     table.create_if_absent()
     landing = f"{root}/landing/customers"
     lookup = country_lookup(spark, sf_dir)
@@ -106,6 +110,10 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
                            keys=["order_id", "customer_id"])
     if path_exists(spark, f"{root}/customers_orders.done"):
         return table
+    if variant != "main":
+        table.clone_from(customers_orders(spark, sf_dir, "main"))
+        touch(spark, f"{root}/customers_orders.done")
+        return table
     table.create_if_absent()
     cols = [c.split()[0] for c in CUSTOMERS_ORDERS_SCHEMA.split(", ")]
 

@@ -34,7 +34,7 @@ from ..session import list_dirs, path_exists
 
 COMMIT_SCHEMA = ("version BIGINT, writer STRING, batch_id BIGINT, operation STRING, "
                  "committed_at TIMESTAMP, num_changes BIGINT, "
-                 "touched ARRAY<INT>, present ARRAY<INT>")
+                 "touched ARRAY<INT>, present ARRAY<INT>, root STRING")
 BUCKET = "tm_bucket"
 
 
@@ -95,7 +95,8 @@ class VersionedTable:
         """The commit log rows (one per version: small, read in one job)."""
         if not path_exists(self.spark, self._commits_dir):
             return []
-        return self.commits().select("version", "writer", "batch_id", "touched", "present").collect()
+        return self.commits().select("version", "writer", "batch_id", "touched", "present",
+                                     "root").collect()
 
     def latest_version(self, log: list | None = None) -> int:
         log = self._log() if log is None else log
@@ -111,17 +112,16 @@ class VersionedTable:
 
     def _bucket_paths(self, log: list, version: int, only: Sequence[int] | None = None) -> list[str]:
         """Folders holding each bucket as of ``version``."""
-        owner: dict[int, tuple[int, bool]] = {}
+        owner: dict[int, tuple[str, bool]] = {}
         for r in sorted(log, key=lambda r: r.version):
             if r.version > version:
                 break
             touched = range(self.buckets) if r.touched is None else r.touched
             present = set(r.present or [])
             for b in touched:
-                owner[b] = (r.version, b in present)
+                owner[b] = (f"{r.root or self.path}/v={r.version}", b in present)
         want = range(self.buckets) if only is None else only
-        return [f"{self._snap(owner[b][0])}/{BUCKET}={b}" for b in want
-                if b in owner and owner[b][1]]
+        return [f"{owner[b][0]}/{BUCKET}={b}" for b in want if b in owner and owner[b][1]]
 
     # -- reads ----------------------------------------------------------
     def read(self, version: int | None = None, *, log: list | None = None,
@@ -136,12 +136,24 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def changes(self, start: int = 0, end: int | None = None) -> DataFrame:
-        """Batch change feed from ``start`` (inclusive) to ``end`` (SRC-6)."""
-        last = self.latest_version() if end is None else end
-        if not path_exists(self.spark, self._changes_dir):
+        """Batch change feed from ``start`` (inclusive) to ``end`` (SRC-6).
+        Versions inherited from a clone source are read from its folder."""
+        log = self._log()
+        last = self.latest_version(log) if end is None else end
+        parts = []
+        roots = {r.root for r in log if r.root}
+        for root in sorted(roots) + [None]:
+            vs = [r.version for r in log if r.root == root and start <= r.version <= last]
+            d = f"{root or self.path}/_changes"
+            if vs and path_exists(self.spark, d):
+                parts.append(self.spark.read.schema(self.change_schema).parquet(d)
+                             .filter(F.col("_commit_version").isin(vs)))
+        if not parts:
             return self.spark.createDataFrame([], self.change_schema)
-        df = self.spark.read.schema(self.change_schema).parquet(self._changes_dir)
-        return df.filter((F.col("_commit_version") >= start) & (F.col("_commit_version") <= last))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
 
     def change_stream(self, start: int = 0, max_files: int | None = None) -> DataFrame:
         """Streaming change feed from ``start`` (inclusive) (SRC-5)."""
@@ -151,6 +163,15 @@ class VersionedTable:
         return r.parquet(self._changes_dir).filter(F.col("_commit_version") >= start)
 
     # -- writes ---------------------------------------------------------
+    def clone_from(self, src: "VersionedTable") -> None:
+        """Shallow clone: copy ``src``'s commit log (pointing at its data and
+        change folders); later commits here write to this table only. The
+        change stream of a clone starts after the cloned versions."""
+        if self.exists():
+            return
+        (src.commits().withColumn("root", F.coalesce(F.col("root"), F.lit(src.path)))
+         .coalesce(1).write.mode("append").parquet(self._commits_dir))
+
     def create_if_absent(self) -> None:
         """``CREATE TABLE IF NOT EXISTS`` with the declared schema (SNK-8)."""
         if not self.exists():
@@ -207,7 +228,8 @@ class VersionedTable:
             n = obs.get.get("n")
         row = self.spark.createDataFrame(
             [(v, writer, batch_id, operation, now, n,
-              None if touched is None else [int(b) for b in touched], present)], COMMIT_SCHEMA)
+              None if touched is None else [int(b) for b in touched], present, None)],
+            COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self._commits_dir)
         return v
 
