@@ -35,7 +35,8 @@ def build_session(master: str = "local[8]", app: str = "tidemark",
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
-         .config("spark.ui.showConsoleProgress", "false"))
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
