@@ -17,7 +17,8 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file sizes for scans; metadata only)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
