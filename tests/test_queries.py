@@ -32,3 +32,11 @@ def test_entry(spark):
 def test_query_matches_oracle(spark, name):
     line, ok = compare(spark, SF, name, ent.queries()[name], ent.oracle_sql()[name], duck(SF))
     assert ok, line
+
+
+def test_pipeline_builds_every_table(spark):
+    from tidemark.plans import pipeline
+    tables = pipeline.run(spark, SF)
+    assert set(tables) >= {"bronze", "customers_silver", "orders_silver", "books_silver",
+                           "current_books", "customers_orders", "books_sales", "countries_stats"}
+    assert spark.read.parquet(tables["countries_stats"]).count() > 0
