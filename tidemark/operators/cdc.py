@@ -291,3 +291,9 @@ def apply_changes_scd2(history: DataFrame | None, updates: DataFrame, keys: Sequ
            .select(*out, F.col("_seq").alias("__START_AT"),
                    F.when(F.col("_has_next"), F.col("next__seq")).alias("__END_AT")))
     return res if untouched is None else untouched.unionByName(res)
+
+
+def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Change rows between two states of the same rows (see ``changes.snapshot_diff``)."""
+    from .changes import snapshot_diff
+    return snapshot_diff(old, new, keys)

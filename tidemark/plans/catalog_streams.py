@@ -305,3 +305,51 @@ def erase_history(spark, sf_dir):
     erased = cs.changes().filter("_change_type = 'delete'").select("customer_id")
     return ch.erase_keys(cs.changes(start=1), erased, ["customer_id"]).select(
         "customer_id", "_change_type", "_commit_version")
+
+
+SCD2_PRICE_SQL = with_(BOOKS_P) + """,
+x AS (SELECT *, row_number() OVER w AS rn, lag(price) OVER w AS p
+      FROM books_p WINDOW w AS (PARTITION BY book_id ORDER BY updated)),
+v AS (SELECT * FROM x WHERE rn = 1 OR price <> p)
+SELECT book_id, title, author, price,
+       lead(updated) OVER w2 IS NULL AS current, updated AS effective_date,
+       lead(updated) OVER w2 AS end_date
+FROM v WINDOW w2 AS (PARTITION BY book_id ORDER BY updated)"""
+
+
+@query("scd2_stream", SCD2_PRICE_SQL)
+def scd2_stream(spark, sf_dir):
+    """Type 2 history kept by a stream of landed updates (staged merge per
+    micro-batch): equal to the one-batch result since updates arrive in order."""
+    return st.books_scd2_stream(spark, sf_dir).read()
+
+
+@query("auto_cdc_scd2_stream", with_(BOOKS_P, BOOKS_RAW, BOOKS_SCD2) + "SELECT * FROM books_silver")
+def auto_cdc_scd2_stream(spark, sf_dir):
+    """AUTO CDC SCD2 kept by a stream of landed updates, one version per batch."""
+    return st.books_auto_cdc_stream(spark, sf_dir).read()
+
+
+@query("erase_report", with_(CUST_P, CUST_STEPS, DELETE_REQ, CUST_SILVER) + """
+SELECT _commit_version, _change_type, count(*) AS removed FROM feed
+WHERE customer_id IN (SELECT r.customer_id FROM reqs r JOIN cust_silver s USING (customer_id))
+GROUP BY ALL""")
+def erase_report(spark, sf_dir):
+    """Change rows that erasure removes from the history, per version and type
+    (the cloned versions only; the delete version itself is all erased keys)."""
+    cs, _, _ = st.propagate_deletes(spark, sf_dir)
+    erased = cs.changes().filter("_change_type = 'delete'").select("customer_id").distinct()
+    feed = cs.changes(start=1).filter("_change_type <> 'delete'")
+    return (feed.join(erased, "customer_id", "left_semi")
+            .groupBy("_commit_version", "_change_type").agg(F.count(F.lit(1)).alias("removed")))
+
+
+@query("delete_propagation_changes", with_(ORDERS_P, CUST_P, CUST_SILVER, DELETE_REQ) + """
+SELECT o.order_id, o.customer_id, 'delete' AS _change_type
+FROM orders_p o JOIN cust_silver s ON o.customer_id = s.customer_id
+WHERE o.quantity > 0 AND o.customer_id IN (SELECT customer_id FROM reqs)""")
+def delete_propagation_changes(spark, sf_dir):
+    """Delete rows the propagation committed to customers_orders' change feed."""
+    _, co, _ = st.propagate_deletes(spark, sf_dir)
+    return (co.changes(start=1).filter("_change_type = 'delete'")
+            .select("order_id", "customer_id", "_change_type"))
