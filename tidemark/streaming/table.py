@@ -91,45 +91,35 @@ class VersionedTable:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_dir)
 
-    def _log(self) -> list:
-        """The commit log rows (one per version: small, read in one job)."""
-        if not path_exists(self.spark, self._commits_dir):
-            return []
-        return self.commits().select("version", "writer", "batch_id", "touched", "present",
-                                     "root").collect()
+    def _log(self) -> "_LogView":
+        """Bounded summaries of the commit log, each a distributed aggregate
+        (the log grows by one row per micro-batch and is never collected)."""
+        return _LogView(self)
 
-    def latest_version(self, log: list | None = None) -> int:
-        log = self._log() if log is None else log
-        return max((r.version for r in log), default=-1)
+    def latest_version(self, log: "_LogView | None" = None) -> int:
+        return (self._log() if log is None else log).latest()
 
     def exists(self) -> bool:
         return self.latest_version() >= 0
 
     @staticmethod
-    def _committed(log: list, writer: str, batch_id: int | None) -> bool:
-        return batch_id is not None and any(
-            r.writer == writer and r.batch_id == batch_id for r in log)
+    def _committed(log: "_LogView", writer: str, batch_id: int | None) -> bool:
+        return batch_id is not None and log.committed(writer, batch_id)
 
-    def _bucket_paths(self, log: list, version: int, only: Sequence[int] | None = None) -> list[str]:
+    def _bucket_paths(self, log: "_LogView", version: int,
+                      only: Sequence[int] | None = None) -> list[str]:
         """Folders holding each bucket as of ``version``."""
-        owner: dict[int, tuple[str, bool]] = {}
-        for r in sorted(log, key=lambda r: r.version):
-            if r.version > version:
-                break
-            touched = range(self.buckets) if r.touched is None else r.touched
-            present = set(r.present or [])
-            for b in touched:
-                owner[b] = (f"{r.root or self.path}/v={r.version}", b in present)
+        owner = log.owners(version)
         want = range(self.buckets) if only is None else only
         return [f"{owner[b][0]}/{BUCKET}={b}" for b in want if b in owner and owner[b][1]]
 
     # -- reads ----------------------------------------------------------
-    def read(self, version: int | None = None, *, log: list | None = None,
+    def read(self, version: int | None = None, *, log: "_LogView | None" = None,
              buckets: Sequence[int] | None = None) -> DataFrame:
         """Snapshot of ``version`` (default latest); time travel is reading an
         older version (SRC-11). ``buckets`` limits the read to those buckets."""
         log = self._log() if log is None else log
-        v = self.latest_version(log) if version is None else version
+        v = log.latest() if version is None else version
         paths = self._bucket_paths(log, v, buckets) if v >= 0 else []
         if not paths:
             return self.spark.createDataFrame([], self.schema)
@@ -139,15 +129,19 @@ class VersionedTable:
         """Batch change feed from ``start`` (inclusive) to ``end`` (SRC-6).
         Versions inherited from a clone source are read from its folder."""
         log = self._log()
-        last = self.latest_version(log) if end is None else end
+        last = log.latest() if end is None else end
         parts = []
-        roots = {r.root for r in log if r.root}
-        for root in sorted(roots) + [None]:
-            vs = [r.version for r in log if r.root == root and start <= r.version <= last]
-            d = f"{root or self.path}/_changes"
-            if vs and path_exists(self.spark, d):
+        inherited_upto = -1
+        for root, lo, hi in log.roots():
+            d = f"{root}/_changes"
+            inherited_upto = max(inherited_upto, hi)
+            if path_exists(self.spark, d) and max(lo, start) <= min(hi, last):
                 parts.append(self.spark.read.schema(self.change_schema).parquet(d)
-                             .filter(F.col("_commit_version").isin(vs)))
+                             .filter(F.col("_commit_version").between(max(lo, start), min(hi, last))))
+        own_lo = max(start, inherited_upto + 1)
+        if path_exists(self.spark, self._changes_dir) and own_lo <= last:
+            parts.append(self.spark.read.schema(self.change_schema).parquet(self._changes_dir)
+                         .filter(F.col("_commit_version").between(own_lo, last)))
         if not parts:
             return self.spark.createDataFrame([], self.change_schema)
         out = parts[0]
@@ -195,7 +189,7 @@ class VersionedTable:
 
     def commit(self, table: DataFrame, changes: DataFrame | None, *, writer: str,
                batch_id: int | None = None, operation: str = "WRITE",
-               touched: Sequence[int] | None = None, log: list | None = None) -> int | None:
+               touched: Sequence[int] | None = None, log: "_LogView | None" = None) -> int | None:
         """Write a new version: ``table`` holds every row of the ``touched``
         buckets (all buckets when None). Returns the version, or None when this
         batch was already committed."""
@@ -267,3 +261,52 @@ class VersionedTable:
             cur.unionByName(rows.select(*cur.columns)),
             rows.select(*cur.columns).withColumn("_change_type", F.lit("insert"))),
             writer=writer, batch_id=batch_id, operation="WRITE", source=rows)
+
+
+class _LogView:
+    """Answers about one table's commit log, each from a Spark aggregate whose
+    result is bounded (one value, one row per bucket, one row per clone
+    source); results are memoized for the duration of one operation."""
+
+    def __init__(self, table: VersionedTable):
+        self.t = table
+        self._exists = path_exists(table.spark, table._commits_dir)
+        self._latest: int | None = None
+
+    def _df(self) -> DataFrame:
+        return self.t.commits()
+
+    def latest(self) -> int:
+        if self._latest is None:
+            r = self._df().agg(F.max("version")).first()[0] if self._exists else None
+            self._latest = -1 if r is None else int(r)
+        return self._latest
+
+    def committed(self, writer: str, batch_id: int) -> bool:
+        if not self._exists:
+            return False
+        hit = self._df().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+        return hit.limit(1).count() > 0
+
+    def owners(self, version: int) -> dict[int, tuple[str, bool]]:
+        """bucket -> (folder of the version that last wrote it, non-empty)."""
+        if not self._exists or version < 0:
+            return {}
+        nb = self.t.buckets
+        all_b = F.sequence(F.lit(0), F.lit(nb - 1))
+        x = (self._df().filter(F.col("version") <= version)
+             .select("version", "root", "present",
+                     F.explode(F.coalesce(F.col("touched"), all_b)).alias("b")))
+        present = F.array_contains(F.coalesce(F.col("present"), F.array().cast("array<int>")), F.col("b"))
+        o = (x.groupBy("b").agg(F.max_by(F.struct(F.col("version"), F.col("root"), present.alias("p")),
+                                         F.col("version")).alias("o"))
+             .collect())  # at most `buckets` rows
+        return {r.b: (f"{r.o.root or self.t.path}/v={r.o.version}", bool(r.o.p)) for r in o}
+
+    def roots(self) -> list[tuple[str, int, int]]:
+        """(clone source folder, first version, last version) of inherited versions."""
+        if not self._exists:
+            return []
+        rows = (self._df().filter(F.col("root").isNotNull()).groupBy("root")
+                .agg(F.min("version").alias("lo"), F.max("version").alias("hi")).collect())
+        return [(r.root, int(r.lo), int(r.hi)) for r in rows]
