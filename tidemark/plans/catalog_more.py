@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import udfs
 from ..operators import governance as gov
 from ..operators import maintenance as mnt
-from ..session import dataset_tag, path_exists, work_path
+from ..session import dataset_tag, path_exists, table_root, work_path
 from ..sources import robust
 from ..sources.tables import TABLES, load
 from . import bookstore as bs
@@ -162,7 +162,7 @@ SELECT topic, year_month, count(*) AS n FROM (
 GROUP BY ALL""")
 def compaction(spark, sf_dir):
     """Bronze rewritten into one file set per partition; content unchanged."""
-    out = work_path(spark, "tables", dataset_tag(sf_dir), "main", "bronze_compacted")
+    out = f"{table_root(spark, sf_dir)}/bronze_compacted"
     if not path_exists(spark, f"{out}/_SUCCESS"):
         mnt.compact(bs.bronze(spark, sf_dir), out, ["topic", "year_month"])
     return (spark.read.parquet(out).groupBy("topic", "year_month")
@@ -241,7 +241,7 @@ def schema_add_columns(spark, sf_dir):
     """``addNewColumns``: the first run fails on ``extra`` and extends the
     stored schema; the rerun parses it."""
     store = robust.SchemaStore(
-        spark, work_path(spark, "tables", dataset_tag(sf_dir), "main", "json-lines-schema"), LINE_SCHEMA)
+        spark, f"{table_root(spark, sf_dir)}/json-lines-schema", LINE_SCHEMA)
     lines = raw_lines(spark, sf_dir)
     try:
         parsed = robust.evolve(lines, store, "addNewColumns")
@@ -364,7 +364,7 @@ def bronze_ingest_limited(spark, sf_dir):
     """The same ingest with a micro-batch size limit (``maxFilesPerTrigger``):
     several batches, same content (SRC-8)."""
     from ..sources.ingest import ingest_bronze, land_raw
-    out = work_path(spark, "tables", dataset_tag(sf_dir), "main", "bronze_limited")
+    out = f"{table_root(spark, sf_dir)}/bronze_limited"
     if not path_exists(spark, f"{out}.done"):
         ingest_bronze(spark, land_raw(spark, sf_dir), out, f"{out}-checkpoint", max_files=4)
         spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{out}.done")
@@ -375,7 +375,7 @@ def bronze_ingest_limited(spark, sf_dir):
 SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS value FROM events""")
 def merge_schema_read(spark, sf_dir):
     """Appends with a widened schema read back with ``mergeSchema`` (SNK-3)."""
-    path = work_path(spark, "tables", dataset_tag(sf_dir), "main", "events_evolving")
+    path = f"{table_root(spark, sf_dir)}/events_evolving"
     e = load(spark, sf_dir, "events")
     if not path_exists(spark, f"{path}/part=2/_SUCCESS"):
         (e.filter("event_type <> 'purchase'").select("event_id", "event_type")

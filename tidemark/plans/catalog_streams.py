@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.time import ltz
 from ..operators import changes as ch
 from ..operators import cdc
-from ..operators.keyed import latest_per_key
-from ..session import path_exists, work_path
+from ..session import path_exists, table_root
 from ..sources.tables import table_path
 from ..streaming.runner import drain
-from . import bookstore as bs
 from . import streams as st
 from .catalog import query
 from .oracle_fragments import (BOOKS_P, BOOKS_RAW, BOOKS_SCD2, CUST_P, CUST_SILVER, LINES_P,
@@ -163,8 +161,7 @@ def _table_stream(spark, sf_dir, name):
 
 def _run_to_parquet(spark, sf_dir, name, df, mode="append"):
     """Drain a streaming query into a Parquet folder once and return a batch read."""
-    from ..session import dataset_tag
-    out = work_path(spark, "tables", dataset_tag(sf_dir), "main", name)
+    out = f"{table_root(spark, sf_dir)}/{name}"
     if not path_exists(spark, f"{out}.done"):
         drain(df.writeStream.outputMode(mode), f"{out}-checkpoint", to_path=out)
         spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{out}.done")
@@ -187,10 +184,9 @@ WHERE l_shipdate >= TIMESTAMP '1998-01-01'""")
 def insert_only_merge(spark, sf_dir):
     """Insert-only MERGE of a deduplicated stream into a table holding the
     pre-1998 rows: only new keys are appended (the change rows returned)."""
-    from ..session import dataset_tag
     from ..sources.tables import load
     keys = ["l_orderkey", "l_linenumber", "l_shipdate"]
-    out = work_path(spark, "tables", dataset_tag(sf_dir), "main", "insert_only")
+    out = f"{table_root(spark, sf_dir)}/insert_only"
     if not path_exists(spark, f"{out}/appended.done"):
         seed = ltz(load(spark, sf_dir, "lineitem").select(*keys)).filter(
             "l_shipdate < TIMESTAMP'1998-01-01'").dropDuplicates()
@@ -251,7 +247,6 @@ def authors_window_offset(spark, sf_dir):
 SELECT customer_id, balance, row_time FROM cust_p WHERE row_status = 'update' AND balance > 250""")
 def streaming_sql_view(spark, sf_dir):
     """Streaming temp view queried with SQL, back to a stream writer."""
-    from ..session import dataset_tag
     from ..sources.bookstore import parse_topic
     from ..sources.ingest import bronze_stream, ensure_bronze
     s = parse_topic(bronze_stream(spark, ensure_bronze(spark, sf_dir)), "customers")

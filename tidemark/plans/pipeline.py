@@ -12,14 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import dataset_tag, path_exists, prepare, work_path
+from ..session import path_exists, prepare, start_generation, table_root
 from ..sources.ingest import ensure_bronze
 from . import bookstore as bs
 from . import streams as st
 
 
 def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    path = work_path(spark, "tables", dataset_tag(sf_dir), "main", "gold", name)
+    path = f"{table_root(spark, sf_dir)}/gold/{name}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return path
@@ -42,3 +42,13 @@ def run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     out["countries_stats"] = _materialize(spark, sf_dir, "countries_stats",
                                           lambda: bs.countries_stats(spark, sf_dir))
     return out
+
+
+def full_refresh(spark: SparkSession, sf_dir: str) -> int:
+    """Recompute every refreshable table from bronze on the next ``run`` (STR-10).
+
+    Bronze is reset-protected: its files and stream checkpoint are outside the
+    generation folders, so a refresh neither re-ingests nor loses it. Earlier
+    generations are left in place.
+    """
+    return start_generation(spark, sf_dir)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import cdc
 from ..operators.joins import explode_join, lookup_join
 from ..operators.keyed import latest_per_key
-from ..session import dataset_tag, path_exists, prepare, touch, work_path
+from ..session import path_exists, prepare, table_root, touch
 from ..sources.bookstore import (CUSTOMERS_SCHEMA, JSON_OPTIONS, country_lookup,
                                  customers_payload, parse_topic)
 from ..sources.ingest import bronze_stream, ensure_bronze
@@ -40,7 +40,7 @@ DELETE_REQUESTS_SCHEMA = ("customer_id BIGINT, request_timestamp TIMESTAMP, dead
 
 
 def _root(spark: SparkSession, sf_dir: str, variant: str) -> str:
-    return work_path(spark, "tables", dataset_tag(sf_dir), variant)
+    return table_root(spark, sf_dir, variant)
 
 
 def customer_steps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,27 @@ def dataset_tag(sf_dir: str) -> str:
     return f"{base}-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}-{LAYOUT}"
 
 
+def generation(spark: SparkSession, sf_dir: str) -> int:
+    """Current generation of the pipeline's refreshable tables (STR-10)."""
+    marker = work_path(spark, "tables", dataset_tag(sf_dir), "_generations")
+    gens = [int(d[1:]) for d in list_dirs(spark, marker) if d.startswith("g")]
+    return max(gens, default=0)
+
+
+def table_root(spark: SparkSession, sf_dir: str, variant: str = "main") -> str:
+    """Folder of the refreshable tables of one pipeline variant. Reset-protected
+    tables (bronze) live outside it and survive a full refresh."""
+    return work_path(spark, "tables", dataset_tag(sf_dir), f"g{generation(spark, sf_dir)}", variant)
+
+
+def start_generation(spark: SparkSession, sf_dir: str) -> int:
+    """Begin a new generation: later builds of refreshable tables start from
+    scratch in new folders (earlier ones are left in place, nothing is deleted)."""
+    g = generation(spark, sf_dir) + 1
+    touch(spark, work_path(spark, "tables", dataset_tag(sf_dir), "_generations", f"g{g}", "_SET"))
+    return g
+
+
 def fresh_path(spark: SparkSession, *parts: str) -> str:
     """A new, unused folder below the work root (one per run)."""
     base = work_path(spark, *parts)
