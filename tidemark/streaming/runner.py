@@ -48,6 +48,6 @@ def stream_static_join(stream: DataFrame, read_static: Callable[[], DataFrame],
 
 
 def drain_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None],
-                        checkpoint: str, *, max_files: int | None = None):
+                        checkpoint: str):
     """``writeStream.foreachBatch(fn)`` run to completion (SNK-4, STR-5)."""
     return drain(stream.writeStream.foreachBatch(fn), checkpoint)

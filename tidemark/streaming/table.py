@@ -78,7 +78,7 @@ class VersionedTable:
             T.StructField("_commit_timestamp", T.TimestampType()),
             T.StructField("_commit_version", T.LongType())])
 
-    def bucket_of(self, df: DataFrame | None = None) -> Column:
+    def bucket_of(self) -> Column:
         """Bucket id of a row: ``pmod(xxhash64(keys), buckets)``."""
         if not self.keys:
             return F.lit(0)
