@@ -272,21 +272,37 @@ class _LogView:
         self.t = table
         self._exists = path_exists(table.spark, table._commits_dir)
         self._latest: int | None = None
+        self._hits: dict[tuple[str, int | None], bool] = {}
 
     def _df(self) -> DataFrame:
         return self.t.commits()
 
+    def _summarize(self, writer: str | None = None, batch_id: int | None = None) -> None:
+        """Latest version and, optionally, whether (writer, batch id) is
+        committed, in one aggregate."""
+        if not self._exists:
+            self._latest = -1
+            if writer is not None:
+                self._hits[(writer, batch_id)] = False
+            return
+        aggs = [F.max("version").alias("v")]
+        if writer is not None:
+            hit = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+            aggs.append(F.max(F.when(hit, F.lit(1))).alias("hit"))
+        row = self._df().agg(*aggs).first()
+        self._latest = -1 if row["v"] is None else int(row["v"])
+        if writer is not None:
+            self._hits[(writer, batch_id)] = row["hit"] is not None
+
     def latest(self) -> int:
         if self._latest is None:
-            r = self._df().agg(F.max("version")).first()[0] if self._exists else None
-            self._latest = -1 if r is None else int(r)
+            self._summarize()
         return self._latest
 
     def committed(self, writer: str, batch_id: int) -> bool:
-        if not self._exists:
-            return False
-        hit = self._df().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
-        return hit.limit(1).count() > 0
+        if (writer, batch_id) not in self._hits:
+            self._summarize(writer, batch_id)
+        return self._hits[(writer, batch_id)]
 
     def owners(self, version: int) -> dict[int, tuple[str, bool]]:
         """bucket -> (folder of the version that last wrote it, non-empty)."""
