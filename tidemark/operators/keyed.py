@@ -55,18 +55,35 @@ def ordered_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence,
                   .withColumn(f"next_{c}", F.lead(c).over(w)))
     work_root(spark)  # make sure a checkpoint folder is configured
     seg = seg.checkpoint(eager=True)
-    vals = F.struct(*[F.col(c) for c in cols])
-    # One row per (segment, key): its first and last values.
-    bounds = (seg.filter((F.col("_rn") == 1) | F.col("_last"))
-              .groupBy("_seg", *keys)
-              .agg(F.min_by(vals, F.col("_rn")).alias("_first"),
-                   F.max_by(vals, F.col("_rn")).alias("_lastv")))
-    wk = Window.partitionBy(*keys).orderBy("_seg")
-    fix = (bounds.withColumn("_pl", F.lag("_lastv").over(wk))
-                 .withColumn("_nf", F.lead("_first").over(wk))
-                 .withColumn("_pe", F.lag(one).over(wk).isNotNull())
-                 .withColumn("_ne", F.lead(one).over(wk).isNotNull())
-                 .select("_seg", *keys, "_pl", "_nf", "_pe", "_ne"))
+    # Only the first and the last key of a range partition can continue in
+    # the neighbouring partition, so the fix-up table has at most two rows per
+    # partition: a proven bound, broadcast without shuffling the rows.
+    pos = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+                   *[o.alias(f"o{j}") for j, o in enumerate(order_cols)])
+    row = F.struct(pos.alias("pos"), F.struct(*[F.col(c) for c in cols]).alias("v"))
+    ends = seg.groupBy("_seg").agg(F.min_by(row, pos).alias("f"), F.max_by(row, pos).alias("l"))
+    ws = Window.orderBy("_seg")  # one row per partition
+    ends = ends.withColumn("pl", F.lag("l").over(ws)).withColumn("nf", F.lead("f").over(ws))
+
+    def same(a: str, b: str) -> Column:
+        c = F.lit(True)
+        for i in range(len(keys)):
+            c = c & F.col(f"{a}.pos.k{i}").eqNullSafe(F.col(f"{b}.pos.k{i}"))
+        return c
+
+    def key_of(side: str) -> list[Column]:
+        return [F.col(f"{side}.pos.k{i}").alias(k) for i, k in enumerate(keys)]
+
+    vtype = seg.select(F.struct(*[F.col(c) for c in cols]).alias("v")).schema["v"].dataType
+    none = F.lit(None).cast(vtype)
+    firsts = (ends.filter(F.col("pl").isNotNull() & same("pl", "f"))
+              .select("_seg", *key_of("f"), F.col("pl.v").alias("_pl"), none.alias("_nf")))
+    lasts = (ends.filter(F.col("nf").isNotNull() & same("l", "nf"))
+             .select("_seg", *key_of("l"), none.alias("_pl"), F.col("nf.v").alias("_nf")))
+    fix = (firsts.unionByName(lasts).groupBy("_seg", *keys)
+           .agg(F.first("_pl", ignorenulls=True).alias("_pl"), F.first("_nf", ignorenulls=True).alias("_nf"),
+                F.max(F.col("_pl").isNotNull()).alias("_pe"), F.max(F.col("_nf").isNotNull()).alias("_ne")))
+    fix = F.broadcast(fix)
     out = seg.join(fix, ["_seg", *keys], "left")
     first, last = F.col("_rn") == 1, F.col("_last")
     for c in cols:
