@@ -25,6 +25,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (dedup keys, window aggregates, the stream-stream join
+    # buffers) off the JVM heap in RocksDB, with changelog checkpointing. A
+    # checkpoint keeps the provider it was created with.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -83,7 +89,7 @@ def use_subdir(spark: SparkSession, name: str) -> None:
 
 # Version of the derived-data layout (landed files, bronze). Bump it whenever
 # their format changes so files written by older code are never reused.
-LAYOUT = "l12"
+LAYOUT = "l13"
 
 
 def dataset_tag(sf_dir: str) -> str:
