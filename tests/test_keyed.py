@@ -25,3 +25,19 @@ def test_neighbors_match_window(spark, pairs):
 def test_latest_per_key_keeps_ties(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (1, 3), (2, 1)], "k INT, o INT")
     assert sorted(tuple(r) for r in latest_per_key(df, ["k"], "o").collect()) == [(1, 5), (1, 5), (2, 1)]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.integers(0, 30), st.integers(0, 3), max_size=20),
+       st.dictionaries(st.integers(0, 30), st.integers(0, 3), max_size=20))
+def test_snapshot_diff_replays_to_new(spark, old, new):
+    from tidemark.operators.changes import snapshot_diff
+    o = spark.createDataFrame(list(old.items()), "k INT, v INT")
+    n = spark.createDataFrame(list(new.items()), "k INT, v INT")
+    state = dict(old)
+    for r in snapshot_diff(o, n, ["k"]).collect():
+        if r._change_type in ("insert", "update_postimage"):
+            state[r.k] = r.v
+        elif r._change_type == "delete":
+            state.pop(r.k)
+    assert state == new
