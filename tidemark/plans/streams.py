@@ -106,8 +106,10 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     with half the join state)."""
     root = _root(spark, sf_dir, variant)
     cs = customers_silver(spark, sf_dir, variant)
+    # bucketed by customer (part of the merge key): upserts stay bucket-local and a
+    # customer's delete rewrites only that customer's bucket
     table = VersionedTable(spark, f"{root}/customers_orders", CUSTOMERS_ORDERS_SCHEMA,
-                           keys=["order_id", "customer_id"])
+                           keys=["customer_id"])
     if path_exists(spark, f"{root}/customers_orders.done"):
         return table
     if variant != "main":

@@ -7,7 +7,7 @@ mutable table is a folder:
     <path>/_changes/_commit_version=<n>/       change rows of version n
     <path>/_commits/                           one small row per commit
 
-Rows are hash-bucketed by the table keys (``buckets`` buckets; size it so a
+Rows are hash-bucketed by ``keys`` (all or part of the merge key; ``buckets`` buckets, sized so a
 bucket holds on the order of a gigabyte, the default suits small tables). A commit
 rewrites only the buckets its batch touches (copy-on-write per bucket) and
 records them in its commit row; version n of bucket b is read from the latest
