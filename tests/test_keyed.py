@@ -41,3 +41,14 @@ def test_snapshot_diff_replays_to_new(spark, old, new):
         elif r._change_type == "delete":
             state.pop(r.k)
     assert state == new
+
+
+def test_grouped_mean_hot_key_and_nulls(spark):
+    from tidemark.functions.udfs import grouped_mean
+    rows = [(0, float(i) if i % 7 else None) for i in range(9000)] + \
+           [(k, float(k)) for k in range(1, 50)] + [(99, None)]
+    df = spark.createDataFrame(rows, "k INT, v DOUBLE").repartition(6)
+    got = {r.k: r.m for r in grouped_mean(df, "k", "v", "m").collect()}
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.avg("v").alias("m")).collect()}
+    assert got.keys() == want.keys() and got[99] is None
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want if want[k] is not None)
