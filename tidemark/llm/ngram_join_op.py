@@ -28,14 +28,16 @@ is a component's id (a component of nulls only has a null id).
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (BLOBS, as_bytes, blob_rows, groups, hashes, hot_slots, intern, mixed, pack, rolling, slices,
+from .common import (BLOBS, WORD, as_bytes, blob_rows, groups, hashes, hot_slots, intern, mixed, pack, rolling, slices,
                      slot_rows, stored, unpack)
 from .components import components, stars
 
@@ -78,12 +80,26 @@ def size_classes(percent: int, largest: int) -> np.ndarray:
     return np.array(low, np.int64)
 
 
+def fragment_shape(percent: int) -> tuple[int, float]:
+    """(shingles that a usable fragment needs, fragments per shingle of the largest set of a class): the most
+    selective ones with which a set has a tenth more usable fragments than shingles that may differ."""
+    share = (100 - percent) / percent
+    for least in (3, 2, 1):
+        for step in range(105, 1000):
+            per = share * step / 100
+            mean = 1 / per
+            enough = 1 - math.exp(-mean) * sum(mean ** i / math.factorial(i) for i in range(least))
+            if per <= 1 and per * enough >= 1.1 * share:
+                return least, per
+    return 1, 1.0
+
+
 def fragment_keys(h: np.ndarray, ends: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, key): rows whose sets differ in at most the allowed number of shingles share a key.
 
     The smaller of two linked sets has a class; the larger is in that class or reaches down
     into it from the next. With F fragments and at most d < F differing shingles, one of the
-    fragments is untouched. Only usable fragments (three shingles or more, not all hot) give
+    fragments is untouched. Only usable fragments (of ``fragment_shape``, not all hot) give
     keys; if a set has no more than d of these, all its fragments give keys too, and
     if it has no more than d of any, each shingle does. Of a pair without a common usable
     fragment all usable ones are touched on both sides, so both sets fall back."""
@@ -91,6 +107,7 @@ def fragment_keys(h: np.ndarray, ends: np.ndarray, hot: np.ndarray, percent: int
     if not len(h):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     low = size_classes(percent, int(n.max()))
+    least, per = fragment_shape(percent)
     own = np.searchsorted(low, n, side="right") - 1
     # the least partner of a set of n shingles
     down = np.searchsorted(low, -(-percent * n // 100), side="right") - 1
@@ -102,8 +119,7 @@ def fragment_keys(h: np.ndarray, ends: np.ndarray, hot: np.ndarray, percent: int
         c = level[use]
         upper = low[np.minimum(c + 1, len(low) - 1)] - 1
         allowed = np.minimum(n[use], upper) * (100 - percent) // percent
-        # fragments: enough for the largest set of the class, with a fifth to spare
-        count = np.maximum(upper * (100 - percent) // percent + 2, low[c] // 5 + 1)
+        count = np.maximum(upper * (100 - percent) // percent + 2, np.ceil(per * upper).astype(np.int64))
         length = n[use]
         at = np.repeat(ends[use] - length - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
         x, r = h[at], np.repeat(np.arange(len(use)), length)
@@ -112,7 +128,7 @@ def fragment_keys(h: np.ndarray, ends: np.ndarray, hot: np.ndarray, percent: int
         fr, fi = r[begin], frag[begin]
         rare = ~hot[(x & np.uint64(len(hot) - 1)).astype(np.int64)] if len(hot) else np.ones(len(x), bool)
         held = np.diff(np.concatenate((begin, [len(x)])))
-        usable = (held >= 3) & (np.add.reduceat(rare.astype(np.int64), begin) > 0)
+        usable = (held >= least) & (np.add.reduceat(rare.astype(np.int64), begin) > 0)
         with np.errstate(over="ignore"):
             content = np.add.reduceat(mixed(x ^ np.uint64(0x5851F42D4C957F2D)), begin)
             salt = mixed(((c[fr].astype(np.uint64) << np.uint64(40)) + fi.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
@@ -277,7 +293,9 @@ def _verify(k: int, percent: int):
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """One row per input row: doc_id, mark (hash of its text), n_shingles, class (fingerprint of its set),
-    component_id. Documents link when 100 * |intersection| >= percent * |union|."""
+    component_id. Documents link when 100 * |intersection| >= percent * |union|; percent from 70 to 99."""
+    if not 70 <= percent <= 99:
+        raise ValueError("percent must lie between 70 and 99: size classes are half as large again")
     spark = docs.sparkSession
     n_groups = groups(spark)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
@@ -313,5 +331,24 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
                     F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stand for their component: those with its smallest doc_id, the first by text
+    hash if several have it. Columns stay. Rows without text are all kept, of repeated rows
+    one is; a row with a null doc_id goes if a component with an id holds its text."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    found = jaccard_components(plain.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), k, percent)
+    heads = (found.filter("n_shingles > 0").withColumn("null_home", F.when(F.col("component_id").isNull(), F.col("class")))
+             .groupBy("component_id", "null_home").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")).alias("h"))
+             .select(F.col("h.doc_id").alias("_d"), F.col("h.mark").alias("_m")))
+    heads = heads.withColumn("_full", F.lit(True))
+    out = plain.withColumn("_mark", F.xxhash64(text)).join(heads, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")), "left")
+    some_words = F.coalesce(F.col(text), F.lit("")).rlike(WORD)
+    kept = out.filter(F.col("_full").isNotNull() & some_words)
+    once = kept.withColumn("_n", F.row_number().over(Window.partitionBy(doc_id, "_mark").orderBy(*[F.col(c).cast("string") for c in names]))).filter("_n = 1")
+    return once.select(*names).unionByName(plain.filter(~some_words)).toDF(*docs.columns)
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import bpe_op, html_op, ngram_join_op, quality_op, substring_op, token_count_op
+from . import (bpe_op, classifier_op, embedding_op, html_op, mixing_op, ngram_join_op, pii_op, quality_op, substring_op,
+               token_count_op)
 from .common import table
 from .oracles import ORACLE  # noqa: F401
 
@@ -41,6 +42,24 @@ def ngram_jaccard(spark, sf_dir):
     return ngram_join_op.digest(ngram_join_op.jaccard_components(table(spark, sf_dir, "documents"), 3, 90))
 
 
+@query("op3_mix_sources")
+def mix_sources(spark, sf_dir):
+    """Words that a mix by source weights takes of every document."""
+    return mixing_op.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_classifier")
+def quality_classifier(spark, sf_dir):
+    """Probability that a document is of good quality."""
+    return classifier_op.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_embedding_dedup")
+def embedding_dedup(spark, sf_dir):
+    """Links and components of vectors with a cosine of 0.95 or more."""
+    return embedding_op.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 @query("op6_quality_rules")
 def quality_rules(spark, sf_dir):
     """Base counts and the verdict of the compression bands."""
@@ -53,6 +72,12 @@ def html_text(spark, sf_dir):
     return html_op.digest(html_op.extract(table(spark, sf_dir, "pages")))
 
 
+@query("op8_pii")
+def pii(spark, sf_dir):
+    """Personal data of every document."""
+    return pii_op.digest(pii_op.find(table(spark, sf_dir, "documents")))
+
+
 @query("op9_bpe")
 def bpe(spark, sf_dir):
     """Byte-level BPE ids of every document, and what they decode to."""
