@@ -206,8 +206,7 @@ def _encoder(path: str, decoded: bool):
             ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
             cols = [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))]
             if decoded:
-                flat = ids.tolist()
-                cols.append(pa.array([decode_ids(v, flat[lo:hi]) for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string()))
+                cols.append(pa.array([decode_ids(v, ids[lo:hi].tolist()) for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "ids", "decoded"][:len(cols)])
     return run
 

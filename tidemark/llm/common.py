@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -60,16 +61,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
             yield b.slice(lo, hi - lo)
 
 
-def intern(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    """Dense ids of ``words``; ``known`` grows by the new ones."""
-    get = known.setdefault
-    return np.fromiter((get(w, len(known)) for w in words), dtype=np.int64, count=len(words))
-
-
-def hashes(known: dict[bytes, int], seed: int = 0) -> np.ndarray:
-    """64-bit hash of each interned word, by id."""
-    f = xxhash.xxh3_64_intdigest
-    return np.fromiter((f(w, seed) for w in known), dtype=np.uint64, count=len(known))
+def intern(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of ``words`` (equal for equal words: the place of the first one) and their 64-bit hashes."""
+    known: dict[bytes, int] = {}
+    ids = np.fromiter(map(known.setdefault, words, itertools.count()), np.int64, len(words))
+    by_id = np.zeros(len(words), np.uint64)
+    by_id[np.fromiter(known.values(), np.int64, len(known))] = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+    return ids, by_id[ids]
 
 
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
@@ -108,7 +106,7 @@ def equal_windows(ids: np.ndarray, h: np.ndarray, starts: np.ndarray, k: int) ->
     if len(starts) < 2:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     w = h[starts]
-    order = np.argsort(w, kind="stable")
+    order = np.argsort(w)
     same = w[order][1:] == w[order][:-1]
     member = np.zeros(len(order), bool)
     member[1:] |= same

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (BLOBS, WORD, as_bytes, blob_rows, groups, hashes, hot_slots, intern, mixed, pack, rolling, slices,
+from .common import (BLOBS, WORD, as_bytes, blob_rows, groups, hot_slots, intern, mixed, pack, rolling, slices,
                      slot_rows, stored, unpack)
 from .components import components, stars
 
@@ -57,9 +57,7 @@ def shingle_hashes(texts: list[bytes | None], k: int) -> tuple[np.ndarray, np.nd
         w = t.translate(LOWER).split() if t else []
         words += w
         n[i] = len(w)
-    known: dict[bytes, int] = {}
-    ids = intern(words, known)
-    h = hashes(known)[ids]
+    h = intern(words)[1]
     gram = mixed(rolling(h, k)) if len(h) >= k else h[:0]
     ends = np.cumsum(n)
     out = []

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, equal_windows, hashes, intern, mixed, rolling, slices
+from .common import as_bytes, equal_windows, intern, mixed, rolling, slices
 
 CHUNK = 8 << 20
 LEVEL = 3
@@ -65,12 +65,11 @@ def repeat_words(docs: list[list[bytes]]) -> np.ndarray:
     owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     if len(words) < WINDOW:
         return np.zeros(len(docs), np.int64)
-    known: dict[bytes, int] = {}
-    ids = intern(words, known)
+    ids, word = intern(words)
     n = len(words) - WINDOW + 1
     starts = np.flatnonzero(owner[:n] == owner[WINDOW - 1:])
     # the owner is hashed with the words and compared with them: windows of two documents never meet
-    h = rolling(hashes(known)[ids], WINDOW) ^ mixed((owner[:n] + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    h = rolling(word, WINDOW) ^ mixed((owner[:n] + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     at, _ = equal_windows(ids * len(docs) + owner, h, starts, WINDOW)
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, starts[at], 1)

@@ -30,10 +30,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (BLOBS, NO_ID, as_bytes, blob_rows, equal_windows, groups, hashes, hot_slots, intern, mixed,
+from .common import (BLOBS, NO_ID, as_bytes, blob_rows, equal_windows, groups, hot_slots, intern, mixed,
                      nullable, pack, rolling, slices, slot_rows, unpack)
 
-GRAM = 4
+GRAM = 3
 CHUNK = 12 << 20
 HOT_BIT = np.uint64(1 << 63)
 
@@ -43,7 +43,7 @@ def _slots(n_groups: int) -> int:
 
 
 def _chunk(batch: pa.RecordBatch):
-    """Words of a slice of documents, in doc_id order: ids, texts, owner row, first word of each row."""
+    """Words of a slice of documents, in doc_id order; the first word of each row; the words' hashes."""
     doc = nullable(batch.column(0).to_pylist())
     mark = np.array(batch.column(1).to_pylist(), np.int64)
     texts = as_bytes(batch.column(2))
@@ -54,9 +54,7 @@ def _chunk(batch: pa.RecordBatch):
     for i, k in enumerate(order):
         words += (texts[k] or b"").split()
         first[i + 1] = len(words)
-    known: dict[bytes, int] = {}
-    ids = intern(words, known)
-    return doc, mark, words, first, ids, hashes(known)
+    return doc, mark, words, first, intern(words)[1]
 
 
 def _runs(first: np.ndarray, h: np.ndarray, window: int, hot: np.ndarray | None, n_slots: int):
@@ -110,10 +108,12 @@ def _count(n_groups: int, window: int):
 
     def run(batches):
         for b in slices(batches, "text", CHUNK):
-            doc, mark, words, first, ids, h = _chunk(b)
-            lo, hi, owner, bucket = _runs(first, h[ids], window, None, n_slots)
-            _, _, later = _distinct(words, lo, hi, owner, doc, first, window)
-            yield blob_rows(slot_rows((bucket[~later] & np.uint64(n_slots - 1)).astype(np.int64), n_slots, n_groups))
+            _, _, _, first, h = _chunk(b)
+            lo, hi, owner, bucket = _runs(first, h, window, None, n_slots)
+            if len(lo):  # equal strings of a slice count once, as only one travels
+                _, fresh = np.unique(mixed(rolling(h, window)[lo]) + (hi - lo).astype(np.uint64), return_index=True)
+                bucket = bucket[fresh]
+            yield blob_rows(slot_rows((bucket & np.uint64(n_slots - 1)).astype(np.int64), n_slots, n_groups))
     return run
 
 
@@ -127,8 +127,8 @@ def _deal(n_groups: int, window: int, hot: np.ndarray):
 
     def run(batches):
         for b in slices(batches, "text", CHUNK):
-            doc, mark, words, first, ids, h = _chunk(b)
-            lo, hi, owner, bucket = _runs(first, h[ids], window, hot, n_slots)
+            doc, mark, words, first, h = _chunk(b)
+            lo, hi, owner, bucket = _runs(first, h, window, hot, n_slots)
             strings, start, later = _distinct(words, lo, hi, owner, doc, first, window)
             # strings to be sorted go by bucket; marks that are known already only pass through
             g = (mixed(bucket) % np.uint64(n_groups)).astype(np.int64)
@@ -159,23 +159,24 @@ def _merge(doc, mark, start, n):
 
 def _sort_group(window: int):
     def run(t: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        doc, mark, start, n, ids, done = [], [], [], [], [], []
+        doc, mark, start, n, words, done = [], [], [], [], [], []
         for blob in t.column("blob").to_pylist():
             d, m, s, c, text = unpack(blob, np.int64, np.int64, np.int32, np.int32)
             if text:
                 doc.append(d), mark.append(m), start.append(s), n.append(c)
-                ids.append(intern(text.split(), known))
+                words += text.split()
             else:
                 done.append((d, m, s, c))
-        if ids:
-            d, m, s, c, ids = (np.concatenate(x) for x in (doc, mark, start, n, ids))
+        if words:
+            d, m, s, c = (np.concatenate(x) for x in (doc, mark, start, n))
+            ids, h = intern(words)
+            del words
             c = c.astype(np.int64)
             # c windows of one packed string take c + window - 1 words
             word0 = np.concatenate(([0], np.cumsum(c + window - 1)))[:-1]
             row = np.repeat(np.arange(len(c)), c)
             off = np.arange(len(row)) - np.repeat(np.cumsum(c) - c, c)
-            at, label = equal_windows(ids, rolling(hashes(known)[ids], window), word0[row] + off, window)
+            at, label = equal_windows(ids, rolling(h, window), word0[row] + off, window)
             if len(at):
                 r, pos = row[at], s[row[at]] + off[at]
                 order = np.lexsort((pos, d[r], label))
