@@ -41,11 +41,11 @@ from .common import (BLOBS, WORD, as_bytes, blob_rows, groups, hot_slots, intern
                      slot_rows, stored, unpack)
 from .components import components, stars
 
-CHUNK = 12 << 20
-BLOCK = 2048
+CHUNK = 6 << 20
+BLOCK = 1024
 N_SLOTS = 1 << 20
 #: Shared shingles whose overlaps are counted at a time.
-FRAGMENT = 4096
+FRAGMENT = 2048
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -214,9 +214,9 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     have is cut into fragments; partial overlaps are summed."""
     flat_a, flat_b = np.concatenate(a), np.concatenate(b)
     common = np.intersect1d(flat_a, flat_b)
-    total = np.zeros((len(a), len(b)), np.float32)
+    out = np.zeros((len(a), len(b)), np.int32)
     if not len(common):
-        return total.astype(np.int64)
+        return out
     sides = []
     for sets, flat in ((a, flat_a), (b, flat_b)):
         row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -224,7 +224,6 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
         hit = common[at] == flat
         order = np.argsort(at[hit], kind="stable")
         sides.append((row[hit][order], at[hit][order]))
-    out = total.astype(np.int64)
     for lo in range(0, len(common), FRAGMENT):
         parts = []
         for (row, at), sets in zip(sides, (a, b), strict=True):
@@ -232,7 +231,7 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
             m = np.zeros((len(sets), min(FRAGMENT, len(common) - lo)), np.float32)
             m[row[i:j], at[i:j] - lo] = 1
             parts.append(m)
-        out += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+        out += np.rint(parts[0] @ parts[1].T).astype(np.int32)
     return out
 
 
@@ -240,7 +239,7 @@ def _links(sets_a, sets_b, same: bool, percent: int) -> list[tuple[int, int]]:
     """A spanning forest (index of a, index of b, b counted after a) of the links."""
     n_a, n_b = np.array([len(s) for s in sets_a]), np.array([len(s) for s in sets_b])
     both = overlaps(sets_a, sets_b)
-    linked = 100 * both >= percent * (n_a[:, None] + n_b[None, :] - both)
+    linked = np.stack([100 * row.astype(np.int64) >= percent * (n + n_b - row) for row, n in zip(both, n_a, strict=True)])
     if same:
         np.fill_diagonal(linked, False)
         size, grid = len(sets_a), linked
