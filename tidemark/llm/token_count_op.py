@@ -80,6 +80,15 @@ def count_pieces(path: str, tokens: list[str]) -> np.ndarray:
     return out
 
 
+def planes(a: np.ndarray) -> np.ndarray:
+    """Small numbers as bytes, all lowest bytes first: the others are mostly 0 and compress away."""
+    return np.ascontiguousarray(a.astype(np.int32).view(np.uint8).reshape(-1, 4).T).ravel()
+
+
+def from_planes(b: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(b.reshape(4, -1).T).ravel().view(np.int32).astype(np.int64)
+
+
 def _blocks(n_groups: int):
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -100,8 +109,16 @@ def _blocks(n_groups: int):
             number[order] = np.arange(len(words), dtype=np.int32)
             size = np.array(pa.compute.binary_length(b.column("text")).fill_null(0), np.int64)
             doc = b.column("doc_id")
+            # each document's numbers in order, as steps from one to the next
+            of, n_tok = np.concatenate([*tok, np.empty(0, np.int32)]), np.array(owner, np.int64)
+            step, times = number[of].astype(np.int64), np.concatenate([*n, np.empty(0, np.int32)])
+            by = np.lexsort((step, np.repeat(np.arange(len(owner)), n_tok)))
+            step, times = step[by], times[by]
+            first = (np.cumsum(n_tok) - n_tok)[n_tok > 0]
+            step[1:] -= step[:-1].copy()
+            step[first[1:]] = number[of][by][first[1:]]
             freq = pack(doc.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), doc.is_null().to_numpy(zero_copy_only=False).astype(np.int8), size,
-                        np.array(owner, np.int64), number[np.concatenate(tok)] if words else np.empty(0, np.int32), np.concatenate(n) if n else np.empty(0, np.int32))
+                        n_tok, planes(step), planes(times))
             block = (part << 24) + k
             rows = [(block, -1, freq)]
             cuts = np.flatnonzero(np.diff(g[order])) + 1
@@ -130,7 +147,10 @@ def _count_group(path: str):
 
 def _sum_block(t: pa.Table) -> pa.Table:
     rows = sorted(zip(t.column("g").to_pylist(), t.column("blob").to_pylist(), strict=True))
-    doc, null, size, n_tok, number, n, _ = unpack(rows[0][1], np.int64, np.int8, np.int64, np.int64, np.int32, np.int32)
+    doc, null, size, n_tok, step, times, _ = unpack(rows[0][1], np.int64, np.int8, np.int64, np.int64, np.uint8, np.uint8)
+    number, n = np.cumsum(from_planes(step)), from_planes(times)
+    first = np.cumsum(n_tok) - n_tok
+    number -= np.repeat(np.concatenate(([0], number))[first], n_tok)
     pieces = np.concatenate([unpack(b, np.int32)[0] for _, b in rows[1:]] or [np.empty(0, np.int32)]).astype(np.int64)
     run = np.concatenate(([0], np.cumsum(pieces[number] * n)))
     ends = np.cumsum(n_tok)
