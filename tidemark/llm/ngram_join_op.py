@@ -290,7 +290,7 @@ def _verify(k: int, percent: int):
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """One row per input row: doc_id, mark (hash of its text), n_shingles, class (fingerprint of its set),
-    component_id. Documents link when 100 * |intersection| >= percent * |union|; percent from 70 to 99."""
+    home (the component's smallest class), component_id. Documents link when 100 * |intersection| >= percent * |union|; percent from 70 to 99."""
     if not 70 <= percent <= 99:
         raise ValueError("percent must lie between 70 and 99: size classes are half as large again")
     spark = docs.sparkSession
@@ -322,9 +322,9 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     least = sets.groupBy("class").agg(F.min("doc_id").alias("least"))
     home = home.drop("least").join(least, "class")
     ids = home.groupBy("home").agg(F.min("least").alias("component_id"))
-    label = home.join(ids, "home").select("class", "component_id")
+    label = home.join(ids, "home").select("class", "home", "component_id")
     return (sets.join(label, "class", "left")
-            .select("doc_id", "mark", "n_shingles", "class",
+            .select("doc_id", "mark", "n_shingles", "class", "home",
                     F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
@@ -336,8 +336,7 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     plain = docs.toDF(*names)
     doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
     found = jaccard_components(plain.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), k, percent)
-    heads = (found.filter("n_shingles > 0").withColumn("null_home", F.when(F.col("component_id").isNull(), F.col("class")))
-             .groupBy("component_id", "null_home").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")).alias("h"))
+    heads = (found.filter("n_shingles > 0").groupBy("home").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")).alias("h"))
              .select(F.col("h.doc_id").alias("_d"), F.col("h.mark").alias("_m")))
     heads = heads.withColumn("_full", F.lit(True))
     out = plain.withColumn("_mark", F.xxhash64(text)).join(heads, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")), "left")
