@@ -157,12 +157,10 @@ def nullable(ids: list[int | None]) -> np.ndarray:
 NO_ID = np.iinfo(np.int64).max
 
 
-def slot_rows(slot: np.ndarray, n_slots: int, n_groups: int) -> list[tuple[int, bytes]]:
-    """Occurrences per slot, pre-aggregated, as (range of slots, packed counts)."""
-    wide = -(-n_slots // n_groups)
-    count = np.bincount(slot, minlength=n_slots).astype(np.int32)
-    filled = np.unique(slot // wide).tolist()
-    return [(r, pack(count[r * wide:(r + 1) * wide])) for r in filled]
+def slot_rows(count: np.ndarray, n_groups: int) -> list[tuple[int, bytes]]:
+    """Occurrences per slot, pre-aggregated by a task, as (range of slots, packed counts)."""
+    wide = -(-len(count) // n_groups)
+    return [(r, pack(count[r * wide:(r + 1) * wide].astype(np.int32))) for r in np.unique(np.flatnonzero(count) // wide).tolist()]
 
 
 def hot_slots(counts: DataFrame, n_slots: int, n_groups: int, least: int, share: int) -> np.ndarray:

@@ -6,8 +6,8 @@ shingles, which touch few fragments, so some fragment is equal in both: equal
 fragments give the candidates, exactly. For those, partial overlaps are counted fragment by
 fragment and summed per pair.
 
-1. One pass makes each document's set, its 128-bit fingerprint (equal sets form a class
-   and are compared once) and the keys of its fragments, packed and dealt by hash.
+1. Each document's set has a 128-bit fingerprint (equal sets form a class and are compared
+   once) and a key for each fragment, packed and dealt by hash.
 2. Each hash group sorts its keys and links the members of a key to the first of them. The
    components of these edges are clusters; every link lies within one.
 3. Classes of a cluster, cut into blocks of at most about ``BLOCK``, meet in pairs of
@@ -41,7 +41,7 @@ from .common import (BLOBS, WORD, as_bytes, blob_rows, groups, hot_slots, intern
                      slot_rows, stored, unpack)
 from .components import components, stars
 
-CHUNK = 6 << 20
+CHUNK = 3 << 20
 BLOCK = 1024
 N_SLOTS = 1 << 20
 #: Shared shingles whose overlaps are counted at a time.
@@ -143,24 +143,38 @@ def fragment_keys(h: np.ndarray, ends: np.ndarray, hot: np.ndarray, percent: int
 
 def _sketch(k: int, n_groups: int):
     def run(batches):
+        total = np.zeros(N_SLOTS, np.int64)
         for b in slices(batches, "text", CHUNK):
             h, _ = shingle_hashes(as_bytes(b.column("text")), k)
-            yield blob_rows(slot_rows((h & np.uint64(N_SLOTS - 1)).astype(np.int64), N_SLOTS, n_groups))
+            total += np.bincount((h & np.uint64(N_SLOTS - 1)).astype(np.int64), minlength=N_SLOTS)
+        yield blob_rows(slot_rows(total, n_groups))
     return run
 
 
-SETS = "doc_id long, mark long, n_shingles long, class binary, g int, blob binary"
+SETS = "doc_id long, mark long, n_shingles long, class binary"
 
 
-def _sets(k: int, percent: int, n_groups: int, hot_list: np.ndarray):
+def _fingerprints(h: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw, n = h.tobytes(), np.diff(ends, prepend=0)
+    return [xxhash.xxh3_128_digest(raw[8 * (e - m):8 * e]) for e, m in zip(ends.tolist(), n.tolist(), strict=True)]
+
+
+def _sets(k: int):
+    def run(batches):
+        for b in slices(batches, "text", CHUNK):
+            h, ends = shingle_hashes(as_bytes(b.column("text")), k)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(np.diff(ends, prepend=0), pa.int64()),
+                                              pa.array(_fingerprints(h, ends), pa.binary())], ["doc_id", "mark", "n_shingles", "class"])
+    return run
+
+
+def _keys(k: int, percent: int, n_groups: int, hot_list: np.ndarray):
     def run(batches):
         hot = np.zeros(N_SLOTS, bool)
         hot[hot_list] = True
         for b in slices(batches, "text", CHUNK):
             h, ends = shingle_hashes(as_bytes(b.column("text")), k)
-            n = np.diff(ends, prepend=0)
-            raw = h.tobytes()
-            names = [xxhash.xxh3_128_digest(raw[8 * (e - m):8 * e]) for e, m in zip(ends.tolist(), n.tolist(), strict=True)]
+            names = _fingerprints(h, ends)
             seen: dict[bytes, int] = {}
             fresh = np.fromiter((seen.setdefault(x, i) == i for i, x in enumerate(names)), bool, len(names))
             row, key = fragment_keys(h, ends, hot, percent)
@@ -169,18 +183,12 @@ def _sets(k: int, percent: int, n_groups: int, hot_list: np.ndarray):
             order = np.argsort(g, kind="stable")
             row, key, g = row[order], key[order], g[order]
             blobs = []
-            ids = np.frombuffer(b"".join(names), np.uint64).reshape(-1, 2) if names else np.empty((0, 2), np.uint64)
+            ids = np.frombuffer(b"".join(names), np.uint64).reshape(-1, 2)
             for part in np.split(np.arange(len(g)), np.flatnonzero(np.diff(g)) + 1):
                 if len(part):  # ids of the part's classes once, then for each key which
                     own, which = np.unique(row[part], return_inverse=True)
                     blobs.append((int(g[part[0]]), pack(ids[own].ravel(), which.astype(np.int32), key[part])))
-            docs = len(names)
-            none = [None] * len(blobs)
-            yield pa.RecordBatch.from_arrays([
-                pa.concat_arrays([b.column(0), pa.array(none, pa.int64())]), pa.concat_arrays([b.column(1), pa.array(none, pa.int64())]),
-                pa.array([*n.tolist(), *none], pa.int64()), pa.array([*names, *none], pa.binary()),
-                pa.array([-1] * docs + [x[0] for x in blobs], pa.int32()), pa.array([None] * docs + [x[1] for x in blobs], pa.binary())],
-                ["doc_id", "mark", "n_shingles", "class", "g", "blob"])
+            yield blob_rows(blobs)
     return run
 
 
@@ -297,9 +305,9 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     n_groups = groups(spark)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
     hot = hot_slots(src.mapInArrow(_sketch(k, n_groups), BLOBS), N_SLOTS, n_groups, 256, 1 << 18)
-    made = stored(src.mapInArrow(_sets(k, percent, n_groups, hot), SETS), "shingle-sets")
-    sets = made.filter("g < 0").select("doc_id", "mark", "n_shingles", "class")
-    edges = made.filter("g >= 0").select("g", "blob").groupBy("g").applyInArrow(_key_edges, "a binary, b binary")
+    sets = stored(src.mapInArrow(_sets(k), SETS), "shingle-sets")
+    # keys are made in a pass of their own: to store them with the sets would take their size on disk twice
+    edges = src.select("text").mapInArrow(_keys(k, percent, n_groups, hot), BLOBS).groupBy("g").applyInArrow(_key_edges, "a binary, b binary")
     clusters = components(edges).withColumnsRenamed({"node": "class", "component": "cluster"})
 
     # one document stands for each class; only those of a cluster bring their text
@@ -338,12 +346,15 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = jaccard_components(plain.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), k, percent)
     heads = (found.filter("n_shingles > 0").groupBy("home").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "mark")).alias("h"))
              .select(F.col("h.doc_id").alias("_d"), F.col("h.mark").alias("_m")))
-    heads = heads.withColumn("_full", F.lit(True))
-    out = plain.withColumn("_mark", F.xxhash64(text)).join(heads, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")), "left")
+    rows = found.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("_rows"))
+    heads = heads.join(rows, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m"))).select("_d", "_m", "_rows")
     some_words = F.coalesce(F.col(text), F.lit("")).rlike(WORD)
-    kept = out.filter(F.col("_full").isNotNull() & some_words)
-    once = kept.withColumn("_n", F.row_number().over(Window.partitionBy(doc_id, "_mark").orderBy(*[F.col(c).cast("string") for c in names]))).filter("_n = 1")
-    return once.select(*names).unionByName(plain.filter(~some_words)).toDF(*docs.columns)
+    kept = (plain.filter(some_words).withColumn("_mark", F.xxhash64(text))
+                  .join(heads, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m"))).drop("_d", "_m"))
+    # only rows that repeat a head need to be told apart
+    twin = F.row_number().over(Window.partitionBy(doc_id, "_mark").orderBy(*[F.col(c).cast("string") for c in names]))
+    once = kept.filter("_rows > 1").withColumn("_n", twin).filter("_n = 1")
+    return (kept.filter("_rows = 1").select(*names).unionByName(once.select(*names)).unionByName(plain.filter(~some_words))).toDF(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:

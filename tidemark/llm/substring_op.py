@@ -107,13 +107,15 @@ def _count(n_groups: int, window: int):
     n_slots = _slots(n_groups)
 
     def run(batches):
+        total = np.zeros(n_slots, np.int64)
         for b in slices(batches, "text", CHUNK):
             _, _, _, first, h = _chunk(b)
             lo, hi, owner, bucket = _runs(first, h, window, None, n_slots)
             if len(lo):  # equal strings of a slice count once, as only one travels
                 _, fresh = np.unique(mixed(rolling(h, window)[lo]) + (hi - lo).astype(np.uint64), return_index=True)
                 bucket = bucket[fresh]
-            yield blob_rows(slot_rows((bucket & np.uint64(n_slots - 1)).astype(np.int64), n_slots, n_groups))
+            total += np.bincount((bucket & np.uint64(n_slots - 1)).astype(np.int64), minlength=n_slots)
+        yield blob_rows(slot_rows(total, n_groups))
     return run
 
 
