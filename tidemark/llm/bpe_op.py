@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 
 #: Fixed value: the pattern by which byte-level BPE splits a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOBS, as_bytes, blob_rows, pack, slices, stored, unpack
+from .common import BLOBS, as_bytes, blob_rows, pack, slices, stored, tidy, unpack
 
 BUCKETS, WIDTH, NONZERO, REACH = 8192, 32, 4, 2
 STRIPES = 64
@@ -100,7 +100,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         return pa.table({"g": pa.array([t.column("g")[0].as_py()], pa.int32()), "blob": pa.array([pack(s)], pa.binary())})
 
     out = np.zeros((STRIPES, BUCKETS * WIDTH // STRIPES))
-    for r in docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_contexts, BLOBS).groupBy("g").applyInArrow(total, BLOBS).collect():
+    for r in docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_contexts, BLOBS).groupBy("g").applyInArrow(tidy(total), BLOBS).collect():
         out[r.g] = unpack(r.blob, np.int64)[0]
     out = out.reshape(BUCKETS, WIDTH)
     return (out / np.maximum(1e-9, np.linalg.norm(out, axis=1, keepdims=True))).astype(np.float32)

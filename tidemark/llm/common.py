@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import itertools
 import uuid
 from collections.abc import Iterable, Iterator
@@ -47,6 +49,28 @@ def as_bytes(col: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return col.cast(wide).to_pylist()
 
 
+@functools.lru_cache(maxsize=1)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
+def tidy(f):
+    """A function of a group that gives memory back when it is done."""
+    def run(t: pa.Table) -> pa.Table:
+        try:
+            return f(t)
+        finally:
+            give_back()
+    return run
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``max_bytes`` (one row at least),
     which bounds a task's memory whatever the row count of a batch."""
@@ -59,6 +83,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
             yield b.slice(lo, hi - lo)
+            give_back()
 
 
 def intern(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +198,7 @@ def hot_slots(counts: DataFrame, n_slots: int, n_groups: int, least: int, share:
         slot = t.column("g")[0].as_py() * wide + np.arange(len(n))
         return pa.table({"slot": slot, "n": n})
 
-    per_slot = stored(counts.groupBy("g").applyInArrow(total, "slot long, n long").filter("n > 0"), "slots")
+    per_slot = stored(counts.groupBy("g").applyInArrow(tidy(total), "slot long, n long").filter("n > 0"), "slots")
     whole = per_slot.agg({"n": "sum"}).first()[0] or 0
     rows = per_slot.filter((per_slot["n"] >= least) & (per_slot["n"] > whole // share)).select("slot").collect()
     return np.array([r[0] for r in rows], np.int64)

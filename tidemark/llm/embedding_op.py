@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOBS, blob_rows, groups, mixed, pack, stored, unpack
+from .common import BLOBS, blob_rows, groups, mixed, pack, stored, tidy, unpack
 from .components import components, stars
 
 BLOCK = 2048
@@ -231,9 +231,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
                      .agg(F.min("vec_id").alias("lead"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")), "classes")
     n_classes = classes.count()
     met = (classes.select("class", "vec").mapInArrow(_keys(n_groups, n_classes), BLOBS)
-           .groupBy("g").applyInArrow(_meetings, "key long, i long, j long, block long, class binary"))
+           .groupBy("g").applyInArrow(tidy(_meetings), "key long, i long, j long, block long, class binary"))
     met = met.join(classes.select("class", "copies", "vec"), "class").withColumn("g", F.pmod(F.xxhash64("key", "i", "j"), F.lit(n_groups)))
-    found = stored(met.groupBy("g").applyInArrow(_verify(least, n_classes), "class binary, n long, root binary"), "links")
+    found = stored(met.groupBy("g").applyInArrow(tidy(_verify(least, n_classes)), "class binary, n long, root binary"), "links")
     links = found.groupBy("class").agg(F.sum("n").alias("n"))
     home = components(found.select(F.col("class").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "class", "component": "home"})
     home = classes.select("class", "lead", "copies").join(home, "class", "left").withColumn("home", F.coalesce("home", "class"))

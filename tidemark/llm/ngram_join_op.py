@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (BLOBS, WORD, as_bytes, blob_rows, groups, hot_slots, intern, mixed, pack, rolling, slices,
-                     slot_rows, stored, unpack)
+                     slot_rows, stored, tidy, unpack)
 from .components import components, stars
 
 CHUNK = 3 << 20
@@ -307,7 +307,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     hot = hot_slots(src.mapInArrow(_sketch(k, n_groups), BLOBS), N_SLOTS, n_groups, 256, 1 << 18)
     sets = stored(src.mapInArrow(_sets(k), SETS), "shingle-sets")
     # keys are made in a pass of their own: to store them with the sets would take their size on disk twice
-    edges = src.select("text").mapInArrow(_keys(k, percent, n_groups, hot), BLOBS).groupBy("g").applyInArrow(_key_edges, "a binary, b binary")
+    edges = src.select("text").mapInArrow(_keys(k, percent, n_groups, hot), BLOBS).groupBy("g").applyInArrow(tidy(_key_edges), "a binary, b binary")
     clusters = components(edges).withColumnsRenamed({"node": "class", "component": "cluster"})
 
     # one document stands for each class; only those of a cluster bring their text
@@ -321,7 +321,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("class", "cluster", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
            .withColumn("g", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(4 * n_groups)).cast("int")))
-    found = components(met.groupBy("g").applyInArrow(_verify(k, percent), "a binary, b binary"))
+    found = components(met.groupBy("g").applyInArrow(tidy(_verify(k, percent)), "a binary, b binary"))
 
     # of each class: where it belongs, and the smallest doc_id there
     home = (lead.select("class", F.col("d.doc_id").alias("least"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, equal_windows, intern, mixed, rolling, slices
 
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 LEVEL = 3
 
 #: (length class from so many bytes on, least ratio, greatest ratio). Short texts hardly

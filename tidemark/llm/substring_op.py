@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (BLOBS, NO_ID, as_bytes, blob_rows, equal_windows, groups, hot_slots, intern, mixed,
-                     nullable, pack, rolling, slices, slot_rows, unpack)
+                     nullable, pack, rolling, slices, slot_rows, tidy, unpack)
 
 GRAM = 3
 CHUNK = 12 << 20
@@ -202,7 +202,7 @@ def repeated_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
     hot = _hot_slots(src, window, n_groups)
     dealt = src.mapInArrow(_deal(n_groups, window, hot), BLOBS)
-    return dealt.groupBy("g").applyInArrow(_sort_group(window), "doc_id long, mark long, lo long, hi long")
+    return dealt.groupBy("g").applyInArrow(tidy(_sort_group(window)), "doc_id long, mark long, lo long, hi long")
 
 
 def _cut(window: int):

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, pack, slices, stored, unpack
+from .common import groups, pack, slices, stored, tidy, unpack
 
 CHUNK = 16 << 20
 SPACE = "▁"
@@ -163,9 +163,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     spark = docs.sparkSession
     packed = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                     .mapInArrow(_blocks(groups(spark)), "block long, g int, blob binary"), "pre-tokens")
-    counts = packed.filter("g >= 0").groupBy("g").applyInArrow(_count_group(path), "block long, g int, blob binary")
+    counts = packed.filter("g >= 0").groupBy("g").applyInArrow(tidy(_count_group(path)), "block long, g int, blob binary")
     both = packed.filter("g < 0").unionByName(counts)
-    return both.groupBy("block").applyInArrow(_sum_block, "doc_id long, n_bytes long, n_tokens long")
+    return both.groupBy("block").applyInArrow(tidy(_sum_block), "doc_id long, n_bytes long, n_tokens long")
 
 
 def digest(counts: DataFrame, limit: int = 4096) -> DataFrame:
