@@ -52,3 +52,23 @@ def test_grouped_mean_hot_key_and_nulls(spark):
     want = {r.k: r.m for r in df.groupBy("k").agg(F.avg("v").alias("m")).collect()}
     assert got.keys() == want.keys() and got[99] is None
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want if want[k] is not None)
+
+
+def test_rules_with_or_are_kept_together():
+    from tidemark.operators.quality import quarantine_expr
+    assert quarantine_expr({"a": "x > 1 OR y > 1", "b": "z > 1"}) == "NOT ((x > 1 OR y > 1) AND (z > 1))"
+
+
+def test_tied_sources_raise(spark):
+    import pytest
+    from tidemark.operators.cdc import upsert
+    t = spark.createDataFrame([(1, 1, "a")], "k int, ts int, v string")
+    s = spark.createDataFrame([(1, 2, "b"), (1, 2, "c"), (2, 1, "d")], "k int, ts int, v string")
+    with pytest.raises(Exception, match="several source rows"):
+        upsert(t, s, ["k"], "ts").table.collect()
+
+
+def test_file_stats_tell_folders_apart(spark, fresh):
+    from tidemark.operators.maintenance import file_stats
+    spark.createDataFrame([(i, i % 3) for i in range(9)], "a int, p int").coalesce(1).write.partitionBy("p").parquet(fresh)
+    assert sorted(r.num_records for r in file_stats(spark.read.parquet(fresh), ["a"]).collect()) == [3, 3, 3]

@@ -130,7 +130,7 @@ def test_decorator_udf_needs_columns(spark):
     from tidemark.functions import udfs
     with pytest.raises(PySparkException):
         udfs.apply_discount_decorator_udf()(100, 20)
-    assert udfs.apply_discount(100, 20) == 80.0
+    assert udfs.PRICING(100, 20) == 80.0 and udfs.PRICING(None, 20) is None
 
 
 def test_bucketed_copy_on_write(spark, fresh):

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import BROADCAST_MAX_BYTES, broadcast_if_small, estimated_bytes
@@ -115,12 +115,16 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], sequence:
     cols = target.columns
     src = latest_per_key(updates, keys, sequence) if rank_updates else updates
     dcol = _expr(delete_when) if delete_when is not None else F.lit(False)
-    s = src.select(*[F.col(c).alias("s__" + c) for c in cols],
+    # newest rows that tie: a MERGE must not update one target row from several
+    src = src.withColumn("_ties", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    s = src.select(*[F.col(c).alias("s__" + c) for c in cols], "_ties",
                    F.coalesce(dcol, F.lit(False)).alias("_del"), F.lit(True).alias("_s"))
     touched, untouched = split_target(target, src, keys)
     t = _prefixed(touched, "t__", "_t")
     j = t.join(s, _on(keys), "full_outer")
     has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    several = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    has_t = F.when(has_t & has_s & (F.col("_ties") > 1), several).otherwise(has_t)
     newer = F.coalesce(F.col("t__" + sequence) < F.col("s__" + sequence), F.lit(False))
     is_del = has_t & has_s & F.col("_del")
     ins = has_s & ~has_t & ~F.col("_del")

@@ -84,7 +84,10 @@ def ordered_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence,
            .agg(F.first("_pl", ignorenulls=True).alias("_pl"), F.first("_nf", ignorenulls=True).alias("_nf"),
                 F.max(F.col("_pl").isNotNull()).alias("_pe"), F.max(F.col("_nf").isNotNull()).alias("_ne")))
     fix = F.broadcast(fix)
-    out = seg.join(fix, ["_seg", *keys], "left")
+    # null-safe: rows of a NULL key spread over ranges like those of any other
+    fix = fix.withColumnsRenamed({c: f"_k_{c}" for c in ["_seg", *keys]})
+    match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in ["_seg", *keys]]
+    out = seg.join(fix, match, "left").drop(*[f"_k_{c}" for c in ["_seg", *keys]])
     first, last = F.col("_rn") == 1, F.col("_last")
     for c in cols:
         out = (out.withColumn(f"prev_{c}", F.when(first, F.col("_pl")[c]).otherwise(F.col(f"prev_{c}")))

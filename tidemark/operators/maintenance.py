@@ -29,7 +29,9 @@ def file_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
                  F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")]
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
+    # by path: one write gives the files of several folders the same name
+    return (df.groupBy(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file_name"))
+            .agg(*aggs).drop("_path"))
 
 
 def partition_layout(df: DataFrame, partition_cols: list[str]) -> DataFrame:
@@ -42,9 +44,10 @@ def partition_layout(df: DataFrame, partition_cols: list[str]) -> DataFrame:
 def compact(df: DataFrame, path: str, partition_cols: list[str],
             target_rows_per_file: int | None = None) -> str:
     """Rewrite a table into fewer, larger files per partition (MNT-3,
-    ``OPTIMIZE``): one shuffle on the partition columns, so each partition
-    directory receives whole files; ``maxRecordsPerFile`` caps file size."""
-    w = df.repartition(*partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
+    ``OPTIMIZE``): rebalanced on the partition columns, so each partition
+    directory receives few files and a hot one is split over several tasks;
+    ``maxRecordsPerFile`` caps file size."""
+    w = df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
     if target_rows_per_file:
         w = w.option("maxRecordsPerFile", int(target_rows_per_file))
     w.parquet(path)

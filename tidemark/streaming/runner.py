@@ -19,7 +19,9 @@ def drain(writer: DataStreamWriter, checkpoint: str, *, to_path: str | None = No
     """Start ``writer`` with availableNow, wait for it, raise its error if any."""
     w = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     q = w.start(to_path, format=fmt) if to_path else w.start()
-    q.awaitTermination(timeout_s)
+    if q.awaitTermination(timeout_s) is False:
+        q.stop()
+        raise TimeoutError(f"stream not finished after {timeout_s} s; a rerun goes on from its checkpoint")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
