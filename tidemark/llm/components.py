@@ -59,7 +59,8 @@ def components(edges: DataFrame) -> DataFrame:
     work_root(spark)  # sets a checkpoint folder where the cluster names none
     kind = dict(edges.dtypes)["a"]
     edges = edges.filter("a is not null and b is not null and a != b")
-    edges = edges.mapInArrow(_contract, f"a {kind}, b {kind}").distinct().checkpoint()
+    # distinct first: tasks that found the same edge would each return a star of it
+    edges = edges.distinct().mapInArrow(_contract, f"a {kind}, b {kind}").distinct().checkpoint()
     before = _mark(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
