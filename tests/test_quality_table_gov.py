@@ -165,3 +165,46 @@ def test_shallow_clone_diverges(spark, fresh):
     assert sorted(r.id for r in src.read().collect()) == [1, 2]
     assert cl.changes(start=1).count() == 3  # 2 cloned inserts + 1 delete
     assert [r._change_type for r in cl.changes(start=v).collect()] == ["delete"]
+
+
+def test_bucket_count_is_fixed(spark, fresh):
+    from tidemark.streaming.table import LayoutMismatch
+    t = VersionedTable(spark, f"{fresh}/l", "id BIGINT", keys=["id"], buckets=8)
+    t.create_if_absent()
+    t.insert(spark.range(50), batch_id=0)
+    with pytest.raises(LayoutMismatch):
+        VersionedTable(spark, f"{fresh}/l", "id BIGINT", keys=["id"], buckets=4).read()
+    assert VersionedTable(spark, f"{fresh}/l", "id BIGINT", keys=["id"], buckets=8).read().count() == 50
+
+
+def test_writer_lost_before_its_commit_leaves_no_changes(spark, fresh, monkeypatch):
+    from tidemark.session import path_exists
+    from tidemark.streaming import table as tab
+    t = VersionedTable(spark, f"{fresh}/c", "id BIGINT", keys=["id"], buckets=4)
+    t.create_if_absent()
+    with monkeypatch.context() as m:  # the writer dies when its change rows are written
+        def dies(*a):
+            raise KeyboardInterrupt
+        m.setattr(tab, "touch", dies)
+        with pytest.raises(KeyboardInterrupt):
+            t.insert(spark.createDataFrame([(7,)], "id BIGINT"), writer="lost", batch_id=0)
+    t.insert(spark.createDataFrame([(8,)], "id BIGINT"), writer="other", batch_id=0)
+    assert [r.id for r in t.read().collect()] == [8]
+    assert [(r.id, r._commit_version) for r in t.changes(start=1).collect()] == [(8, 1)]
+    with monkeypatch.context() as m:  # dies after its commit, before its changes are in the feed
+        def dies_again(*a):
+            raise KeyboardInterrupt
+        m.setattr(tab, "rename", dies_again)
+        with pytest.raises(KeyboardInterrupt):
+            t.insert(spark.createDataFrame([(9,)], "id BIGINT"), writer="lost", batch_id=1)
+    assert sorted(r.id for r in t.changes(start=1).collect()) == [8, 9]
+    assert path_exists(spark, f"{t.path}/_changes/_commit_version=2")
+
+
+def test_replaced_input_gets_new_tables(spark, fresh):
+    from tidemark.session import dataset_tag
+    spark.range(5).write.parquet(f"{fresh}/in/orders.parquet")
+    before = dataset_tag(spark, f"{fresh}/in")
+    assert before == dataset_tag(spark, f"{fresh}/in")
+    spark.range(9).write.mode("overwrite").parquet(f"{fresh}/in/orders.parquet")
+    assert dataset_tag(spark, f"{fresh}/in") != before

@@ -238,65 +238,83 @@ def _with_type(s: Column, cols: Sequence[str], change: str) -> Column:
     return F.struct(*[s[c].alias(c) for c in cols], F.lit(change).alias("_change_type"))
 
 
-def apply_changes_scd1(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
+def _touched(stored: DataFrame, updates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(stored rows of keys that ``updates`` holds, the others); a NULL key is a key like any other."""
+    ks = broadcast_if_small(updates.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).dropDuplicates())
+    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return stored.join(ks, match, "left_semi"), stored.join(ks, match, "left_anti")
+
+
+def apply_changes_scd1(stored: DataFrame | None, updates: DataFrame, keys: Sequence[str],
                        sequence: str, *, except_columns: Sequence[str] = (),
                        delete_when=None) -> DataFrame:
-    """AUTO CDC into an SCD type 1 table (CDC-7).
+    """AUTO CDC into an SCD type 1 table (CDC-7): the stored form, read with ``scd1_rows``.
 
-    Keeps the newest row per key by ``sequence`` over the stored rows and the
-    new ones; a newest row flagged as delete removes the key. The sequence
-    column is kept in the stored table (as ``__sequence``) so older late rows
-    lose against it; ``except_columns`` are dropped from the visible result.
+    Keeps the newest row per key by ``sequence`` over the stored rows and the new ones.
+    Hidden columns: ``__SEQ`` and ``__DELETED``. A deleted key stays as a row marked so,
+    and older rows that arrive later lose against it. With equal sequences a stored row
+    wins; newest rows of one batch that tie are all kept. ``except_columns`` are not stored.
     """
     dflag = _expr(delete_when) if delete_when is not None else F.lit(False)
-    new = updates.withColumn("__sequence", F.col(sequence)).withColumn(
-        "__delete", F.coalesce(dflag, F.lit(False)))
-    untouched = None
-    if target is not None:
-        touched, untouched = split_target(target, updates, keys)
-        new = touched.withColumn("__delete", F.lit(False)).unionByName(new, allowMissingColumns=True)
-    latest = latest_per_key(new, keys, "__sequence").filter(~F.col("__delete"))
-    keep = [c for c in latest.columns if c not in set(except_columns) | {"__delete"}]
-    out = latest.select(*keep)
-    return out if untouched is None else untouched.select(*keep).unionByName(out)
+    out = [c for c in updates.columns if c not in set(except_columns)]
+    new = updates.select(*out, F.col(sequence).alias("__SEQ"), F.coalesce(dflag, F.lit(False)).alias("__DELETED"))
+    if stored is None:
+        return latest_per_key(new, keys, "__SEQ")
+    touched, untouched = _touched(stored, new, keys)
+    both = touched.withColumn("_s", F.lit(1)).unionByName(new.withColumn("_s", F.lit(0)))
+    latest = latest_per_key(both, keys, F.struct("__SEQ", "_s")).drop("_s")
+    return untouched.unionByName(latest)
+
 
+def scd1_rows(stored: DataFrame) -> DataFrame:
+    """What a reader sees of an SCD type 1 table."""
+    return stored.filter(~F.col("__DELETED")).drop("__SEQ", "__DELETED")
 
-def apply_changes_scd2(history: DataFrame | None, updates: DataFrame, keys: Sequence[str],
+
+def apply_changes_scd2(stored: DataFrame | None, updates: DataFrame, keys: Sequence[str],
                        sequence: str, *, except_columns: Sequence[str] = (),
                        delete_when=None, track: Sequence[str] | None = None) -> DataFrame:
-    """AUTO CDC into an SCD type 2 table (CDC-8): ``__START_AT``/``__END_AT``.
-
-    For every key touched by ``updates``, its stored versions and new rows
-    are ordered by sequence; a row opens a version only when the tracked
-    columns (default: all output columns) differ from the version before it;
-    a delete closes the open version. Unlike the staged merge this does not
-    depend on arrival order. Untouched keys are not re-read.
+    """AUTO CDC into an SCD type 2 table (CDC-8): the stored form, read with ``scd2_rows``.
+
+    The stored form has a row for each distinct change (a point): those that open a version have
+    ``__START_AT``/``__END_AT``; deletes and changes that left the tracked columns (default: all
+    output columns) as they were have no ``__START_AT``. Hidden columns: ``__SEQ``,
+    ``__DELETED``. All points of the keys that ``updates`` touches are ordered anew by sequence
+    (equal ones by a hash of the row), so the result depends neither on the order of arrival nor
+    on how changes are cut into batches, and rows delivered again add nothing.
     """
     dflag = _expr(delete_when) if delete_when is not None else F.lit(False)
-    drop = set(except_columns)
-    out = [c for c in updates.columns if c not in drop]
+    out = [c for c in updates.columns if c not in set(except_columns)]
     track = list(track or [c for c in out if c not in keys])
-    new = updates.select(*out, F.col(sequence).alias("_seq"),
-                         F.coalesce(dflag, F.lit(False)).alias("_del"))
+    new = updates.select(*out, F.col(sequence).alias("__SEQ"), F.coalesce(dflag, F.lit(False)).alias("__DELETED"))
     untouched = None
-    if history is not None:
-        touched = broadcast_if_small(new.select(*keys).dropDuplicates())
-        old = (history.join(touched, list(keys), "left_semi")
-               .select(*out, F.col("__START_AT").alias("_seq"), F.lit(False).alias("_del")))
-        untouched = history.join(touched, list(keys), "left_anti")
-        new = old.unionByName(new)
-    new = new.withColumn("_h", F.struct(*[F.col(c) for c in track]))
-    n1 = ordered_neighbors(new, keys, ["_seq"], ["_h", "_del"])
-    opens = ~F.col("_del") & (~F.col("_has_prev") | F.col("prev__del")
-                              | ~F.col("prev__h").eqNullSafe(F.col("_h")))
-    v = n1.filter(opens | F.col("_del")).select(*out, "_seq", "_del")
-    n2 = ordered_neighbors(v, keys, ["_seq"], ["_seq"])
-    res = (n2.filter(~F.col("_del"))
-           .select(*out, F.col("_seq").alias("__START_AT"),
-                   F.when(F.col("_has_next"), F.col("next__seq")).alias("__END_AT")))
+    if stored is not None:
+        old, untouched = _touched(stored, new, keys)
+        new = old.select(*new.columns).unionByName(new)
+    points = (new.withColumn("_h", F.struct(*[F.col(c) for c in track]))
+              .withColumn("_x", F.xxhash64(*out, "__DELETED")))
+    n1 = ordered_neighbors(points, keys, ["__SEQ", "_x"], ["_h", "_x", "__SEQ", "__DELETED"])
+    again = F.col("_has_prev") & F.col("prev___SEQ").eqNullSafe(F.col("__SEQ")) & (F.col("prev__x") == F.col("_x"))
+    n1 = n1.filter(~again)
+    opens = ~F.col("__DELETED") & (~F.col("_has_prev") | F.col("prev___DELETED")
+                                   | ~F.col("prev__h").eqNullSafe(F.col("_h")))
+    bounds = n1.filter(opens | F.col("__DELETED")).select(*out, "__SEQ", "__DELETED", "_x")
+    n2 = ordered_neighbors(bounds, keys, ["__SEQ", "_x"], ["__SEQ"])
+    version = ~F.col("__DELETED")
+    marked = n2.select(*out, F.when(version, F.col("__SEQ")).alias("__START_AT"),
+                       F.when(version & F.col("_has_next"), F.col("next___SEQ")).alias("__END_AT"), "__SEQ", "__DELETED")
+    none = F.lit(None).cast(marked.schema["__START_AT"].dataType)
+    same = n1.filter(~opens & ~F.col("__DELETED")).select(
+        *out, none.alias("__START_AT"), none.alias("__END_AT"), "__SEQ", "__DELETED")
+    res = marked.unionByName(same)
     return res if untouched is None else untouched.unionByName(res)
 
 
+def scd2_rows(stored: DataFrame) -> DataFrame:
+    """What a reader sees of an SCD type 2 table: its versions."""
+    return stored.filter(F.col("__START_AT").isNotNull()).drop("__SEQ", "__DELETED")
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows between two states of the same rows (see ``changes.snapshot_diff``)."""
     from .changes import snapshot_diff

@@ -190,7 +190,7 @@ def raw_lines(spark, sf_dir):
     """JSON lines landed once from ``events``: error events are truncated
     (malformed), view events carry a string ``k`` (type mismatch), click
     events lack ``k`` (missing field), purchase events add ``extra``."""
-    path = work_path(spark, "landing", dataset_tag(sf_dir), "json-lines")
+    path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "json-lines")
     if not path_exists(spark, f"{path}/_SUCCESS"):
         e = load(spark, sf_dir, "events")
         k = F.get_json_object("props", "$.k")
@@ -255,7 +255,7 @@ def schema_add_columns(spark, sf_dir):
 def binary_file_scan(spark, sf_dir):
     """Binary-file scan with a name glob over files landed from ``pages``."""
     from ..sources.ingest import binary_files
-    path = work_path(spark, "landing", dataset_tag(sf_dir), "pages")
+    path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "pages")
     if not path_exists(spark, f"{path}/_SUCCESS"):
         (load(spark, sf_dir, "pages").select("page_id", "html").repartition("page_id")
          .write.mode("overwrite").partitionBy("page_id").text(path))
@@ -350,7 +350,7 @@ def json_inferred_lookup(spark, sf_dir):
     """Batch JSON scan with an inferred schema (the country lookup, SRC-1)."""
     from ..sources.bookstore import country_lookup
     from ..sources.ingest import read_json_batch
-    path = work_path(spark, "landing", dataset_tag(sf_dir), "country_lookup")
+    path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "country_lookup")
     if not path_exists(spark, f"{path}/_SUCCESS"):
         country_lookup(spark, sf_dir).write.mode("overwrite").json(path)
     return read_json_batch(spark, path).select("code", "country")
@@ -393,7 +393,7 @@ def in_subquery_semi(spark, sf_dir):
     """``WHERE k IN (SELECT k FROM requests WHERE status = 'requested')``:
     planned by Catalyst as a left-semi join (FLT-7, JOI-7)."""
     st.customers_silver(spark, sf_dir).read().createOrReplaceTempView("customers_silver_q")
-    st.delete_requests(spark, sf_dir).read(1).createOrReplaceTempView("delete_requests_q")
+    st.delete_requests(spark, sf_dir).read().createOrReplaceTempView("delete_requests_q")
     return spark.sql("""SELECT customer_id, country FROM customers_silver_q
                         WHERE customer_id IN (SELECT customer_id FROM delete_requests_q
                                               WHERE status = 'requested')""")

@@ -19,7 +19,8 @@ CUST_P = """cust_p AS (
   SELECT e.user_id AS customer_id, 'c' || CAST(e.user_id AS VARCHAR) || '@mail.test' AS email,
          c.c_name AS name, c.c_mktsegment AS segment, e.value AS balance,
          c.c_nationkey AS country_code,
-         CASE e.event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete'
+         CASE WHEN e.event_type = 'signup' THEN 'insert'
+              WHEN e.event_type = 'error' AND c.c_mktsegment = 'BUILDING' THEN 'delete'
               ELSE 'update' END AS row_status,
          e.ts AS row_time
   FROM events e JOIN customer c ON e.user_id = c.c_custkey)"""

@@ -30,9 +30,11 @@ from . import bookstore as bs
 STEP_DAYS = 5
 CUSTOMERS_SILVER_SCHEMA = ("customer_id BIGINT, email STRING, name STRING, segment STRING, "
                            "balance DOUBLE, country STRING, row_time TIMESTAMP")
-ORDER_COLS = ["order_id", "order_timestamp", "customer_id", "quantity", "total"]
+ORDER_COLS = ["order_id", "order_timestamp", "customer_id", "quantity", "total", "books"]
 CUSTOMERS_ORDERS_SCHEMA = ("order_id BIGINT, order_timestamp TIMESTAMP, customer_id BIGINT, "
-                           "quantity BIGINT, total DOUBLE, email STRING, name STRING, "
+                           "quantity BIGINT, total DOUBLE, "
+                           "books ARRAY<STRUCT<book_id: BIGINT, quantity: BIGINT, subtotal: DOUBLE>>, "
+                           "email STRING, name STRING, "
                            "segment STRING, balance DOUBLE, country STRING, row_time TIMESTAMP, "
                            "processed_timestamp TIMESTAMP")
 DELETE_REQUESTS_SCHEMA = ("customer_id BIGINT, request_timestamp TIMESTAMP, deadline DATE, "
@@ -117,7 +119,7 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
         touch(spark, f"{root}/customers_orders.done")
         return table
     table.create_if_absent()
-    cols = [c.split()[0] for c in CUSTOMERS_ORDERS_SCHEMA.split(", ")]
+    cols = table.schema.names
 
     def batch_upsert(mb: DataFrame, batch_id: int) -> None:
         mb = mb.persist()
@@ -229,7 +231,8 @@ def propagate_deletes(spark: SparkSession, sf_dir: str, variant: str = "gov"):
 BOOKS_SILVER_SCHEMA = ("book_id BIGINT, title STRING, author STRING, price DOUBLE, "
                        "current BOOLEAN, effective_date TIMESTAMP, end_date TIMESTAMP")
 BOOKS_AUTO_SCHEMA = ("book_id BIGINT, title STRING, author STRING, price DOUBLE, "
-                     "is_quarantined BOOLEAN, __START_AT TIMESTAMP, __END_AT TIMESTAMP")
+                     "is_quarantined BOOLEAN, __START_AT TIMESTAMP, __END_AT TIMESTAMP, "
+                     "__SEQ TIMESTAMP, __DELETED BOOLEAN")
 
 
 def _stepped_stream(spark: SparkSession, payload: DataFrame, ts_col: str, schema: str,
@@ -290,7 +293,7 @@ def books_auto_cdc_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
         def fn(cur):
             new = cdc.apply_changes_scd2(cur, mb, ["book_id"], "updated",
                                          except_columns=["updated"]).select(*cols)
-            return cdc.MergeResult(new, cdc.snapshot_changes(cur, new, ["book_id", "__START_AT"]))
+            return cdc.MergeResult(new, cdc.snapshot_changes(cur, new, ["book_id", "__SEQ"]))
 
         table.merge(fn, writer="books_auto_cdc", batch_id=batch_id, source=mb)
         mb.unpersist()

@@ -91,18 +91,25 @@ def use_subdir(spark: SparkSession, name: str) -> None:
 
 # Version of the derived-data layout (landed files, bronze). Bump it whenever
 # their format changes so files written by older code are never reused.
-LAYOUT = "l14"
+LAYOUT = "l15"
 
 
-def dataset_tag(sf_dir: str) -> str:
-    """Stable short name for an input folder, used to key derived tables."""
+def dataset_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Short name for an input folder as it is now, used to key derived tables: replaced
+    tables get another name, so results never come from tables built from earlier data.
+    One summary per table (length, files, time of change), whatever its number of files."""
     base = os.path.basename(sf_dir.rstrip("/")) or "data"
-    return f"{base}-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}-{LAYOUT}"
+    fs, p = _fs(spark, sf_dir)
+    seen = [sf_dir]
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        total = fs.getContentSummary(s.getPath())
+        seen.append(f"{s.getPath().getName()} {total.getLength()} {total.getFileCount()} {s.getModificationTime()}")
+    return f"{base}-{hashlib.sha1(chr(10).join([seen[0], *sorted(seen[1:])]).encode()).hexdigest()[:12]}-{LAYOUT}"
 
 
 def generation(spark: SparkSession, sf_dir: str) -> int:
     """Current generation of the pipeline's refreshable tables (STR-10)."""
-    marker = work_path(spark, "tables", dataset_tag(sf_dir), "_generations")
+    marker = work_path(spark, "tables", dataset_tag(spark, sf_dir), "_generations")
     gens = [int(d[1:]) for d in list_dirs(spark, marker) if d.startswith("g")]
     return max(gens, default=0)
 
@@ -110,14 +117,14 @@ def generation(spark: SparkSession, sf_dir: str) -> int:
 def table_root(spark: SparkSession, sf_dir: str, variant: str = "main") -> str:
     """Folder of the refreshable tables of one pipeline variant. Reset-protected
     tables (bronze) live outside it and survive a full refresh."""
-    return work_path(spark, "tables", dataset_tag(sf_dir), f"g{generation(spark, sf_dir)}", variant)
+    return work_path(spark, "tables", dataset_tag(spark, sf_dir), f"g{generation(spark, sf_dir)}", variant)
 
 
 def start_generation(spark: SparkSession, sf_dir: str) -> int:
     """Begin a new generation: later builds of refreshable tables start from
     scratch in new folders (earlier ones are left in place, nothing is deleted)."""
     g = generation(spark, sf_dir) + 1
-    touch(spark, work_path(spark, "tables", dataset_tag(sf_dir), "_generations", f"g{g}", "_SET"))
+    touch(spark, work_path(spark, "tables", dataset_tag(spark, sf_dir), "_generations", f"g{g}", "_SET"))
     return g
 
 
@@ -149,6 +156,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def rename(spark: SparkSession, src: str, dest: str) -> None:
+    """Move the folder ``src`` to ``dest``, which must not exist; parents are made."""
+    fs, p = _fs(spark, src)
+    _, q = _fs(spark, dest)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q) and fs.exists(p):  # gone: another session has moved it
+        raise OSError(f"cannot move {src} to {dest}")
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()

@@ -8,8 +8,9 @@ them with Spark:
 * ``orders``    one document per order (``orders``) with its lines
                 (``lineitem``) nested as ``books``.
 * ``customers`` a CDC log: one row per ``events`` row of a user, joined to
-                ``customer``; ``signup`` -> insert, ``error`` -> delete,
-                anything else -> update, ``ts`` is ``row_time``.
+                ``customer``; ``signup`` -> insert, ``error`` of a customer of
+                ``DELETING_SEGMENT`` -> delete, anything else -> update,
+                ``ts`` is ``row_time``.
 * ``books``     a price-update log: one row per ``events`` row, the user id
                 names the book (``part``), ``floor(value / 100)`` is the
                 price so that repeats of the same price occur.
@@ -79,9 +80,14 @@ def orders_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("books")))
 
 
-def row_status(event_type):
+# Customers of one market segment ask for deletion, so that deletes meet part of the customers.
+DELETING_SEGMENT = "BUILDING"
+
+
+def row_status(event_type, segment):
     return (F.when(event_type == "signup", "insert")
-            .when(event_type == "error", "delete").otherwise("update"))
+            .when((event_type == "error") & (segment == DELETING_SEGMENT), "delete")
+            .otherwise("update"))
 
 
 def customers_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +101,7 @@ def customers_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_mktsegment").alias("segment"),
                     F.col("value").alias("balance"),
                     F.col("c_nationkey").alias("country_code"),
-                    row_status(F.col("event_type")).alias("row_status"),
+                    row_status(F.col("event_type"), F.col("c_mktsegment")).alias("row_status"),
                     F.col("ts").cast("timestamp").alias("row_time")))
 
 

@@ -20,7 +20,7 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
 
     Files are grouped by topic and event time, like consecutive topic dumps.
     """
-    path = work_path(spark, "landing", dataset_tag(sf_dir), "kafka-raw")
+    path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "kafka-raw")
     if not path_exists(spark, f"{path}/_SUCCESS"):
         (raw_envelopes(spark, sf_dir)
          .repartitionByRange("topic", "timestamp")
@@ -65,7 +65,7 @@ def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
     Re-running is safe: the stream checkpoint only admits files not yet
     ingested, and readers see only files the sink log committed.
     """
-    tag = dataset_tag(sf_dir)
+    tag = dataset_tag(spark, sf_dir)
     bronze = work_path(spark, "tables", tag, "bronze")
     landing = land_raw(spark, sf_dir)
     done = f"{bronze}-ingested"

@@ -6,6 +6,8 @@ mutable table is a folder:
     <path>/v=<n>/tm_bucket=<b>/                rows of bucket b written by version n
     <path>/_changes/_commit_version=<n>/       change rows of version n
     <path>/_commits/                           one small row per commit
+    <path>/_staged/<n>-<writer>-<batch>/       change rows of a commit under way
+    <path>/_layout/buckets=<n>/                the bucket count, fixed by the first commit
 
 Rows are hash-bucketed by ``keys`` (all or part of the merge key; ``buckets`` buckets, sized so a
 bucket holds on the order of a gigabyte, the default suits small tables). A commit
@@ -14,8 +16,10 @@ records them in its commit row; version n of bucket b is read from the latest
 version <= n that wrote b. A table without keys is one bucket rewritten per
 commit.
 
-A commit writes the data, then the change rows, then the commit row; readers
-only use versions listed in ``_commits``. A (writer, batch id) pair that is
+A commit writes the data, stages its change rows, writes the commit row and then moves
+the change rows to ``_changes``; the next operation finishes a move that a lost driver left.
+So ``_changes``, which streams read, never holds rows of a commit that did not
+happen, or of another writer. Opening a table with another bucket count raises. A (writer, batch id) pair that is
 already committed is skipped, so a replayed micro-batch changes nothing.
 Writers of one table run one after another.
 """
@@ -23,6 +27,7 @@ Writers of one table run one after another.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,11 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import MergeResult
-from ..session import list_dirs, path_exists
+from ..session import list_dirs, path_exists, rename, touch
 
 COMMIT_SCHEMA = ("version BIGINT, writer STRING, batch_id BIGINT, operation STRING, "
                  "committed_at TIMESTAMP, num_changes BIGINT, "
-                 "touched ARRAY<INT>, present ARRAY<INT>, root STRING")
+                 "touched ARRAY<INT>, present ARRAY<INT>, root STRING, staged STRING")
 BUCKET = "tm_bucket"
 
 
@@ -42,6 +47,10 @@ class AppendOnlyViolation(Exception):
     pass
 
 
+class LayoutMismatch(Exception):
+    """A table is opened with another bucket count than it was written with."""
+
+
 class VersionedTable:
     """``append_only`` (SNK-9) rejects commits whose changes are not all inserts;
     ``constraints`` (QUA-1) are checked over the rows a commit adds or changes
@@ -94,7 +103,26 @@ class VersionedTable:
     def _log(self) -> "_LogView":
         """Bounded summaries of the commit log, each a distributed aggregate
         (the log grows by one row per micro-batch and is never collected)."""
-        return _LogView(self)
+        self._check_layout()
+        log = _LogView(self)
+        self._publish(log)
+        return log
+
+    def _check_layout(self) -> None:
+        for d in list_dirs(self.spark, f"{self.path}/_layout"):
+            if d != f"buckets={self.buckets}":
+                raise LayoutMismatch(f"{self.path} has {d}, opened with buckets={self.buckets}")
+
+    def _publish(self, log: "_LogView") -> None:
+        """Move the staged change rows of committed versions to the feed. Rows staged
+        by a commit that did not happen stay where they are, unread."""
+        left = list_dirs(self.spark, f"{self.path}/_staged")
+        if not left:
+            return
+        # few: a folder leaves here as soon as its commit is done
+        done = self.commits().filter(F.col("staged").isin(left)).select("version", "staged").collect()
+        for r in done:
+            rename(self.spark, f"{self.path}/_staged/{r.staged}", f"{self._changes_dir}/_commit_version={r.version}")
 
     def latest_version(self, log: "_LogView | None" = None) -> int:
         return (self._log() if log is None else log).latest()
@@ -150,7 +178,12 @@ class VersionedTable:
         return out
 
     def change_stream(self, start: int = 0, max_files: int | None = None) -> DataFrame:
-        """Streaming change feed from ``start`` (inclusive) (SRC-5)."""
+        """Streaming change feed from ``start`` (inclusive) (SRC-5). A clone's inherited
+        versions are in its source's stream, so asking a clone for them raises."""
+        log = self._log()
+        inherited = max((hi for _, _, hi in log.roots()), default=-1)
+        if start <= inherited:
+            raise ValueError(f"versions up to {inherited} are inherited: stream them from the source table")
         r = self.spark.readStream.schema(self.change_schema)
         if max_files:
             r = r.option("maxFilesPerTrigger", int(max_files))
@@ -163,7 +196,11 @@ class VersionedTable:
         change stream of a clone starts after the cloned versions."""
         if self.exists():
             return
-        (src.commits().withColumn("root", F.coalesce(F.col("root"), F.lit(src.path)))
+        src._log()  # its change rows are all published
+        if src.buckets != self.buckets:
+            raise LayoutMismatch(f"{src.path} has buckets={src.buckets}, cloned with buckets={self.buckets}")
+        touch(self.spark, f"{self.path}/_layout/buckets={self.buckets}/_SET")
+        (src.commits().drop("staged").withColumn("root", F.coalesce(F.col("root"), F.lit(src.path)))
          .coalesce(1).write.mode("append").parquet(self._commits_dir))
 
     def create_if_absent(self) -> None:
@@ -210,21 +247,24 @@ class VersionedTable:
             out.write.mode("overwrite").partitionBy(BUCKET).parquet(self._snap(v))
             present = [int(d.split("=", 1)[1]) for d in list_dirs(self.spark, self._snap(v))
                        if d.startswith(f"{BUCKET}=")]
-        cdir = f"{self._changes_dir}/_commit_version={v}"
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        n = None
-        if changes is not None and not path_exists(self.spark, f"{cdir}/_SUCCESS"):
+        n = staged = None
+        if changes is not None:
+            staged = f"{v}-{writer}-{uuid.uuid4().hex if batch_id is None else batch_id}"
             obs = Observation(f"changes_v{v}")
             (changes.select(*cols, "_change_type")
              .withColumn("_commit_timestamp", F.lit(now).cast("timestamp"))
              .observe(obs, F.count(F.lit(1)).alias("n"))
-             .write.mode("overwrite").parquet(cdir))
+             .write.mode("overwrite").parquet(f"{self.path}/_staged/{staged}"))
             n = obs.get.get("n")
         row = self.spark.createDataFrame(
             [(v, writer, batch_id, operation, now, n,
-              None if touched is None else [int(b) for b in touched], present, None)],
+              None if touched is None else [int(b) for b in touched], present, None, staged)],
             COMMIT_SCHEMA)
+        touch(self.spark, f"{self.path}/_layout/buckets={self.buckets}/_SET")
         row.coalesce(1).write.mode("append").parquet(self._commits_dir)
+        if staged is not None:
+            rename(self.spark, f"{self.path}/_staged/{staged}", f"{self._changes_dir}/_commit_version={v}")
         return v
 
     def merge(self, fn, *, writer: str, batch_id: int | None = None,
