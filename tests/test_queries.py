@@ -41,7 +41,7 @@ def test_pipeline_builds_every_table(spark):
     from tidemark.plans import pipeline
     tables = pipeline.run(spark, SF)
     assert set(tables) >= {"bronze", "customers_silver", "orders_silver", "books_silver",
-                           "current_books", "customers_orders", "books_sales", "countries_stats"}
+                           "current_books", "customers_orders", "books_sales", "countries_stats", "authors_stats"}
     assert spark.read.parquet(tables["countries_stats"]).count() > 0
 
 

@@ -353,6 +353,42 @@ def delete_propagation_changes(spark, sf_dir):
             .select("order_id", "customer_id", "_change_type"))
 
 
+# --------------------------------------------------------------------------
+# Gold statistics over books_sales
+
+SALES = """sales AS (
+  SELECT o.order_id, o.order_timestamp AS t, o.quantity, b.author
+  FROM orders_p o JOIN lines_p l ON o.order_id = l.order_id
+  JOIN books_silver b ON l.book_id = b.book_id AND b.__END_AT IS NULL
+  WHERE o.quantity > 0)"""
+SALES_CTES = (ORDERS_P, LINES_P, BOOKS_P, BOOKS_RAW, BOOKS_SCD2, SALES)
+SALES_WINDOWS = """
+SELECT author, time_bucket(INTERVAL 5 MINUTE, CAST(t AS TIMESTAMP){off}) AS window_start,
+       time_bucket(INTERVAL 5 MINUTE, CAST(t AS TIMESTAMP){off}) + INTERVAL 5 MINUTE AS window_end,
+       count(order_id) AS orders_count, round(avg(quantity), 6) AS avg_quantity
+FROM sales GROUP BY ALL"""
+
+
+def _window_columns(stats):
+    return stats.select("author", F.col("time.start").alias("window_start"), F.col("time.end").alias("window_end"),
+                        "orders_count", F.round("avg_quantity", 6).alias("avg_quantity"))
+
+
+@query("authors_stats", with_(*SALES_CTES) + "SELECT * FROM (" + SALES_WINDOWS.format(off="") + """)
+WHERE window_end <= (SELECT max(CAST(t AS TIMESTAMP)) FROM sales) - INTERVAL 10 MINUTE""")
+def authors_stats(spark, sf_dir):
+    """The gold table kept by a stream over books_sales: closed windows per author."""
+    return _window_columns(spark.read.parquet(st.authors_stats(spark, sf_dir)))
+
+
+@query("authors_stats_offset", with_(*SALES_CTES) + SALES_WINDOWS.format(off=", INTERVAL 2 MINUTE")
+       + " ORDER BY window_start, author")
+def authors_stats_offset(spark, sf_dir):
+    """All windows of books_sales, which start two minutes later, in order of time and author."""
+    sales = spark.read.parquet(st.books_sales(spark, sf_dir))
+    return _window_columns(st.author_windows(sales, "2 minutes")).orderBy("window_start", "author")
+
+
 # --------------------------------------------------------------------------
 # Land, run, land more, run again; AUTO CDC over batches
 

@@ -39,6 +39,7 @@ def run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     out["current_books"] = st.current_books_table(spark, sf_dir)
     out["customers_orders"] = st.customers_orders(spark, sf_dir).path
     out["books_sales"] = st.books_sales(spark, sf_dir)
+    out["authors_stats"] = st.authors_stats(spark, sf_dir)
     out["countries_stats"] = _materialize(spark, sf_dir, "countries_stats",
                                           lambda: bs.countries_stats(spark, sf_dir))
     return out
