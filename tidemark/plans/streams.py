@@ -23,7 +23,7 @@ from ..session import path_exists, prepare, table_root, touch
 from ..sources.bookstore import (CUSTOMERS_SCHEMA, JSON_OPTIONS, country_lookup,
                                  customers_payload, parse_topic)
 from ..sources.ingest import bronze_stream, ensure_bronze
-from ..streaming.runner import drain, stream_static_join
+from ..streaming.runner import drain, kept, stream_static_join
 from ..streaming.table import VersionedTable
 from . import bookstore as bs
 
@@ -73,11 +73,10 @@ def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     cols = [c.split()[0] for c in CUSTOMERS_SILVER_SCHEMA.split(", ")]
 
     def batch_upsert(mb: DataFrame, batch_id: int) -> None:
-        mb = mb.persist()  # the commit reads the batch twice (snapshot, changes)
-        upd = mb.filter(F.col("row_status").isin("insert", "update")).select(*cols)
-        table.merge(lambda cur: cdc.upsert(cur, upd, ["customer_id"], "row_time"),
-                    writer="customers_silver_upsert", batch_id=batch_id, source=upd)
-        mb.unpersist()
+        with kept(mb) as mb:  # the commit reads the batch twice (snapshot, changes)
+            upd = mb.filter(F.col("row_status").isin("insert", "update")).select(*cols)
+            table.merge(lambda cur: cdc.upsert(cur, upd, ["customer_id"], "row_time"),
+                        writer="customers_silver_upsert", batch_id=batch_id, source=upd)
 
     steps = customer_steps(spark, sf_dir)
     n_steps = steps.agg(F.max("_step")).first()[0]
@@ -122,15 +121,14 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     cols = table.schema.names
 
     def batch_upsert(mb: DataFrame, batch_id: int) -> None:
-        mb = mb.persist()
-        ranked = (latest_per_key(mb, ["order_id", "customer_id"], "_commit_timestamp")
-                  .drop("_change_type", "_commit_version")
-                  .withColumnRenamed("_commit_timestamp", "processed_timestamp")
-                  .select(*cols))
-        table.merge(lambda cur: cdc.upsert(cur, ranked, ["order_id", "customer_id"],
-                                           "processed_timestamp", rank_updates=False),
-                    writer="customers_orders_upsert", batch_id=batch_id, source=ranked)
-        mb.unpersist()
+        with kept(mb) as mb:
+            ranked = (latest_per_key(mb, ["order_id", "customer_id"], "_commit_timestamp")
+                      .drop("_change_type", "_commit_version")
+                      .withColumnRenamed("_commit_timestamp", "processed_timestamp")
+                      .select(*cols))
+            table.merge(lambda cur: cdc.upsert(cur, ranked, ["order_id", "customer_id"],
+                                               "processed_timestamp", rank_updates=False),
+                        writer="customers_orders_upsert", batch_id=batch_id, source=ranked)
 
     feed = (cs.change_stream(start=1)
             .filter(F.col("_change_type").isin("insert", "update_postimage")))
@@ -229,14 +227,13 @@ def propagate_deletes(spark: SparkSession, sf_dir: str, variant: str = "gov"):
     start = v if v is not None else cs.latest_version()
 
     def process_deletes(mb: DataFrame, batch_id: int) -> None:
-        mb = mb.persist()
-        deletes = mb.filter("_change_type = 'delete'").select("customer_id")
-        co.merge(lambda cur: cdc.delete_by_keys(cur, deletes, ["customer_id"]),
-                 writer="process_deletes", batch_id=batch_id, operation="DELETE", source=deletes)
-        dr.merge(lambda cur: cdc.update_matched(cur, deletes, ["customer_id"],
-                                                {"status": F.lit("deleted")}),
-                 writer="process_deletes", batch_id=batch_id, source=deletes)
-        mb.unpersist()
+        with kept(mb) as mb:
+            deletes = mb.filter("_change_type = 'delete'").select("customer_id")
+            co.merge(lambda cur: cdc.delete_by_keys(cur, deletes, ["customer_id"]),
+                     writer="process_deletes", batch_id=batch_id, operation="DELETE", source=deletes)
+            dr.merge(lambda cur: cdc.update_matched(cur, deletes, ["customer_id"],
+                                                    {"status": F.lit("deleted")}),
+                     writer="process_deletes", batch_id=batch_id, source=deletes)
 
     drain(cs.change_stream(start=start).writeStream.foreachBatch(process_deletes),
           f"{root}/_checkpoints/deletes")
@@ -282,10 +279,9 @@ def books_scd2_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
     table.create_if_absent()
 
     def type2_upsert(mb: DataFrame, batch_id: int) -> None:
-        mb = mb.persist()
-        table.merge(lambda cur: cdc.scd2_merge(cur, mb, "book_id", "updated"),
-                    writer="books_scd2", batch_id=batch_id, source=mb)
-        mb.unpersist()
+        with kept(mb) as mb:
+            table.merge(lambda cur: cdc.scd2_merge(cur, mb, "book_id", "updated"),
+                        writer="books_scd2", batch_id=batch_id, source=mb)
 
     _stepped_stream(spark, books_payload(spark, sf_dir), "updated", BOOKS_SCHEMA,
                     f"{root}/landing/books", f"{root}/_checkpoints/books_scd2", type2_upsert)
@@ -307,15 +303,14 @@ def books_auto_cdc_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
     cols = [c.split()[0] for c in BOOKS_AUTO_SCHEMA.split(", ")]
 
     def auto_cdc(mb: DataFrame, batch_id: int) -> None:
-        mb = quality.quarantine_flag(mb, bs.BOOK_RULES).persist()
+        with kept(quality.quarantine_flag(mb, bs.BOOK_RULES)) as mb:
 
-        def fn(cur):
-            new = cdc.apply_changes_scd2(cur, mb, ["book_id"], "updated",
-                                         except_columns=["updated"]).select(*cols)
-            return cdc.MergeResult(new, cdc.snapshot_changes(cur, new, ["book_id", "__SEQ"]))
+            def fn(cur):
+                new = cdc.apply_changes_scd2(cur, mb, ["book_id"], "updated",
+                                             except_columns=["updated"]).select(*cols)
+                return cdc.MergeResult(new, cdc.snapshot_changes(cur, new, ["book_id", "__SEQ"]))
 
-        table.merge(fn, writer="books_auto_cdc", batch_id=batch_id, source=mb)
-        mb.unpersist()
+            table.merge(fn, writer="books_auto_cdc", batch_id=batch_id, source=mb)
 
     _stepped_stream(spark, books_payload(spark, sf_dir), "updated", BOOKS_SCHEMA,
                     f"{root}/landing/books", f"{root}/_checkpoints/books_auto", auto_cdc)

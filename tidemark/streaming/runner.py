@@ -8,7 +8,8 @@ folder so a restarted job resumes where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
@@ -27,6 +28,16 @@ def drain(writer: DataStreamWriter, checkpoint: str, *, to_path: str | None = No
     return q
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` persisted while the block reads it several times, and given back if the block fails too."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def stream_static_join(stream: DataFrame, read_static: Callable[[], DataFrame],
                        join: Callable[[DataFrame, DataFrame], DataFrame], out: str,
                        checkpoint: str):
