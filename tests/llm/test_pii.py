@@ -99,6 +99,51 @@ def test_unseen_identifiers_are_found(spark):
     assert f"card:{b}:{b + 16}" in got[200].split(",")
 
 
+def card(rnd):
+    """Four groups of four digits that pass."""
+    d = "4" + "".join(rnd.choices("0123456789", k=14))
+    return next(f"{x[:4]} {x[4:8]} {x[8:12]} {x[12:]}" for x in (d + c for c in "0123456789") if holds("card", x))
+
+
+def test_touching_identifiers_of_many_groups(spark):
+    """Cards of four groups and phones of four to six, side by side: the base patterns take the run as a whole and drop it."""
+    rnd = random.Random(5)
+    make = [card, lambda r: f"+44 20 {r.randrange(1000, 9999)} {r.randrange(1000, 9999)}",
+            lambda r: "+33 1 " + " ".join(str(r.randrange(10, 99)) for _ in range(4)), lambda r: f"+49 30 {r.randrange(100, 999)} {r.randrange(10, 99)} {r.randrange(10, 99)}"]
+    rows = [(40 * k + i, f"text{i} has {f(rnd)} in it") for k, f in enumerate(make) for i in range(40)]
+    want = {}
+    for k, (f, g) in enumerate([(make[0], make[0]), (make[1], make[0]), (make[2], make[0]), (make[3], make[0])]):
+        a, b = f(rnd), g(rnd)
+        text = f"now {a} {b} here"
+        assert base(text) == []
+        rows.append((1000 + k, text))
+        want[1000 + k] = [f"{'phone' if k else 'card'}:4:{4 + len(a)}", f"card:{5 + len(a)}:{5 + len(a) + len(b)}"]
+    got = {r[0]: r[6].split(",") for r in check(spark, rows)}
+    assert {d: [x for x in want[d] if x not in got[d]] for d in want} == {d: [] for d in want}
+    texts = dict(op.masked(frame(spark, rows)).select("doc_id", "text").collect())
+    assert all(not re.search("[0-9]", texts[d]) for d in want)
+
+
+def test_pieces_are_cut_by_digits(spark):
+    """Against all pieces from one token to another, by brute force; also with blanks and brackets between them."""
+    rnd = random.Random(6)
+    texts = ["x " + "".join(rnd.choices(["1", "23", "4567", "+8", "(90)", " ", " ", " ", " - ", "-", "."], k=30)) + " y" for _ in range(60)]
+    texts += ["1 " * 3000, "1" + " " * 3000 + "2 3", "1 " + "( " * 2000 + "2", "123 " * 2000]
+    df = spark.createDataFrame([(i, 0, t, []) for i, t in enumerate(texts)], f"doc_id long, mark long, text string, base {op._SPANS}")
+    got = {(r.doc_id, r.start, r.hit) for r in op.candidates(df).collect()}
+    want = set()
+    for d, t in enumerate(texts):
+        for m in re.finditer(r"(?<![\w.+(-])[+(]?[0-9][0-9().+ -]*(?<=[0-9])(?!\w)", t):
+            tok = [x.span() for x in re.finditer("[^ ]+", m[0])]
+            for i, (a, _) in enumerate(tok):
+                for j, (_, b) in enumerate(tok[i:i + 40]):
+                    hit = m[0][a:b]
+                    n = len(re.sub("[^0-9]", "", hit))
+                    if re.match(r"[+(]?[0-9]", hit) and re.search("[0-9][^ ]*$", hit) and (n >= 7 if j == 0 else 10 <= n <= 19):
+                        want.add((d, m.start() + a, hit))
+    assert got == want and len({h for _, _, h in want if h.count(" ") > 5}) > 100
+
+
 def test_clean_text_has_no_spans(spark):
     rows = [(i, f"In 2024 the 12 cats of page {i} ate 1,000 fish; see 10.1000/182 and v1.2.3, room 4-12.") for i in range(50)]
     assert all(r[6] == "" for r in run(spark, rows))

@@ -6,8 +6,9 @@ don't know. So:
 
 1. Every seed induces lexical patterns: its shape (digits as 9, runs of letters as a), its shape with
    the word before it, and the two words before it.
-2. Candidates are pieces of number runs (one to three tokens) and spelled-out addresses that no
-   seed touches and that are valid for the kind of a pattern they match.
+2. Candidates are pieces of number runs (a token, or tokens in a row that hold as many digits as a
+   phone or card can) and spelled-out addresses that no seed touches and that are valid for the kind
+   of a pattern they match.
 3. Patterns and distinct instances form a graph. In each round a pattern's score is the mean score of
    its instances, shrunk, and an instance's that of its patterns, combined; seeds stay
    at 1. Only patterns with ``SUPPORT`` distinct seeds count.
@@ -52,7 +53,11 @@ _IP = r"^0*(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(\.0*(25[0-5]|2[0-4][0-9]|1
 #: Candidates: runs of number tokens that touch no letter, and addresses with the at sign spelled out.
 RUNS = r"(?<![\p{L}\p{N}_.+(-])[+(]?[0-9][0-9().+\x20-]*(?<=[0-9])(?![\p{L}\p{N}_])"
 SPELLED = rf"(?<!{_LOCAL}){_LOCAL}++\x20?[\[(](?i:at)[\])]\x20?{_LABEL}++(?:(?:\.|\x20?[\[(](?i:dot)[\])]\x20?){_LABEL}++)++"
-TOKENS = 3
+#: A run is split before each token that holds a digit; what holds none stays with the token before it.
+SPLIT = r"\x20(?=[^\x200-9]*+[0-9])"
+#: Digits of a piece of two or more tokens: the least of a phone, the most of a card. As every token holds
+#: a digit, a piece has ``DIGITS[1]`` tokens at most.
+DIGITS = (10, 19)
 
 _SPAN = "struct<start:int,k:int,end:int,hit:string,left:string>"
 _SPANS = f"array<{_SPAN}>"
@@ -156,14 +161,22 @@ def candidates(df: DataFrame) -> DataFrame:
     df = df.withColumn("text", F.when(some, replaced(F.col("text"), F.col("base"), F.col("_upto"), lambda s, upto: F.repeat(
         F.lit("x"), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], upto))))).otherwise(F.col("text"))).drop("_upto")
     df = matches(matches(df, RUNS, "_runs", "[0-9]"), SPELLED, "_spelled", "[\\[(][aA][tT]")
-    # tokens of each run and where they start, then the pieces that start at each token
-    run = F.transform("_runs", lambda m: F.struct(m["start"].alias("start"), F.right(m["left"], F.lit(80)).alias("left"), F.split(m["hit"], " ").alias("tok")))
+    # tokens of each run, where they start and the digits before them, then the pieces that start at each token
+    run = F.transform("_runs", lambda m: F.struct(m["start"].alias("start"), F.right(m["left"], F.lit(80)).alias("left"), F.split(m["hit"], SPLIT).alias("tok")))
     run = F.transform(run, lambda m: m.withField("at", running(F.transform(m["tok"], lambda t: F.length(t) + 1), lambda a, b: a + b)))
+    run = F.transform(run, lambda m: m.withField("n", F.transform(m["tok"], lambda t: F.length(digits(t)))))
+    run = F.transform(run, lambda m: m.withField("upto", F.zip_with(running(m["n"], lambda a, b: a + b), m["n"], lambda a, b: a + b)))
     df = df.withColumn("_runs", run)
     tokens = F.flatten(F.transform("_runs", lambda m: F.transform(m["tok"], lambda t, i: F.struct(
-        (m["start"] + F.get(m["at"], i)).alias("start"), F.when(i == 0, m["left"]).otherwise(F.lit(" # ")).alias("left"), F.slice(m["tok"], i + 1, F.lit(TOKENS)).alias("next")))))
-    pieces = F.flatten(F.transform(tokens, lambda t: F.transform(F.sequence(F.lit(1), F.size(t["next"])), lambda n: F.struct(
-        t["start"].alias("start"), F.array_join(F.slice(t["next"], F.lit(1), n), " ").alias("hit"), t["left"].alias("left")))))
+        (m["start"] + F.get(m["at"], i)).alias("start"), F.when(i == 0, m["left"]).otherwise(F.lit(" # ")).alias("left"),
+        (F.get(m["upto"], i) - F.get(m["n"], i)).alias("before"),
+        F.slice(m["tok"], i + 1, F.lit(DIGITS[1])).alias("next"), F.slice(m["upto"], i + 1, F.lit(DIGITS[1])).alias("upto")))))
+    # a number starts with a digit, a plus or a bracket; the last token of a piece ends where its digits' own token does
+    tokens = F.filter(tokens, lambda t: F.get(t["next"], F.lit(0)).rlike("^[+(]?[0-9]"))
+    ends = lambda t: F.filter(F.transform(t["upto"], lambda n, i: F.struct(i.alias("i"), (n - t["before"]).alias("n"))),
+                              lambda e: (e["i"] == 0) | e["n"].between(*DIGITS))
+    pieces = F.flatten(F.transform(tokens, lambda t: F.transform(ends(t), lambda e: F.struct(
+        t["start"].alias("start"), F.array_join(F.concat(F.slice(t["next"], F.lit(1), e["i"]), F.array(F.substring_index(F.get(t["next"], e["i"]), " ", 1))), " ").alias("hit"), t["left"].alias("left")))))
     whole = F.transform("_spelled", lambda m: F.struct(m["start"].alias("start"), m["hit"].alias("hit"), F.right(m["left"], F.lit(80)).alias("left")))
     def possible(c: Column) -> Column:
         h = c["hit"]
