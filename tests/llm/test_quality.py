@@ -62,6 +62,39 @@ def test_verdicts():
     assert not any(op.in_bands(packer, t.encode())[0] for t in bad)
 
 
+def test_every_byte_is_in_a_chunk():
+    """From the rule: each byte counts once, as part of its chunk; what is left of the text, as part of its last 2000 bytes."""
+    rnd = random.Random(7)
+    packer = zstandard.ZstdCompressor(level=3)
+    text, noise = prose(rnd, 4000).encode(), base64.b64encode(rnd.randbytes(9000))
+    shapes = [(g, n) for g in (0, 300, 1999, 2000, 4000, 5000, 6000, 9500) for n in (0, 1, 700, 1500, 1850, 1999, 2000, 2001, 3500, 4000)]
+    seen = set()
+    for g, n in shapes:
+        for t in (text[:g] + noise[:n], noise[:n] + text[:g]):
+            bad = set()
+            for i in range(len(t) if len(t) >= 2000 else 0):
+                left = i // 2000 * 2000
+                w = t[left:left + 2000] if left + 2000 <= len(t) else t[-2000:]
+                r = len(w) / len(packer.compress(w)) if i % 100 == 0 or i == left else r
+                if not 1.38 <= r <= 2.75:
+                    bad.add(i)
+            ok, whole, chunks, out = op.in_bands(packer, t)
+            low, high = next((lo, hi) for least, lo, hi in reversed(op.BANDS) if len(t) >= least)
+            assert ok == (low <= whole <= high and 4 * len(bad) <= len(t))
+            assert (chunks, out) == (-(-len(t) // 2000) if len(t) >= 2000 else 0, len({i // 2000 for i in bad}))
+            seen.add((ok, len(t) % 2000 > 0))
+    assert len(seen) == 4
+
+
+def test_noise_at_the_end_counts_wherever_the_cut_falls():
+    rnd = random.Random(8)
+    packer = zstandard.ZstdCompressor(level=3)
+    good, noise = prose(rnd, 2000).encode(), base64.b64encode(rnd.randbytes(3000))
+    for n in (1900, 1999, 2000, 2001):
+        assert op.in_bands(packer, good[:4000] + noise[:n])[0] is False
+        assert op.in_bands(packer, good[:4000 + n])[0] is True
+
+
 def test_given_documents_are_kept(spark):
     """Of the documents labelled good with 20 words or more, the bands keep all."""
     d = "/root/testdata/sf0.01"

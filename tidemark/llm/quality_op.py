@@ -2,8 +2,9 @@
 
 Repetitive text compresses far better than prose and noise far worse, so a document is
 kept if its zstandard ratio (bytes by compressed bytes) lies within the band of its length
-class, and if at most a quarter of its fixed chunks lie outside the band of
-chunks. Base rules on words come first. One pass without a shuffle; no count limits.
+class, and if at most a quarter of its bytes lie in fixed chunks outside the band of
+chunks; a short last chunk is judged by the window of a chunk's size that ends with the
+text. Base rules on words come first. One pass without a shuffle; no count limits.
 
 Edge cases: a null text is the empty one; without words ``base_failed`` is true and the document goes;
 rows are independent, so repeated rows and null doc_ids give a row each.
@@ -44,14 +45,18 @@ def ratio(packer, text: bytes) -> float:
 
 
 def in_bands(packer, text: bytes) -> tuple[bool, float, int, int]:
-    """Verdict, ratio of the whole, number of chunks, chunks outside their band. A last piece shorter
-    than a chunk counts with the chunk before it, so only texts of a chunk or more have any."""
+    """Verdict, ratio of the whole, number of chunks, chunks outside their band. Short pieces compress
+    worse, so a last piece shorter than a chunk is judged by the last ``PART`` bytes of the text; it counts
+    by its own bytes. Texts shorter than a chunk have none."""
     _, low, high = BANDS[bisect.bisect_right([b[0] for b in BANDS], len(text)) - 1]
     whole = ratio(packer, text)
-    n = len(text) // PART
-    parts = [ratio(packer, text[i * PART:(i + 1) * PART]) for i in range(n)]
-    out = sum(not PART_BAND[0] <= r <= PART_BAND[1] for r in parts)
-    return low <= whole <= high and out <= PART_SHARE * n, whole, n, out
+    ends = [*range(PART, len(text) + 1, PART)]
+    sizes = [PART] * len(ends)
+    if ends and len(text) % PART:
+        ends.append(len(text))
+        sizes.append(len(text) % PART)
+    out = [n for end, n in zip(ends, sizes, strict=True) if not PART_BAND[0] <= ratio(packer, text[end - PART:end]) <= PART_BAND[1]]
+    return low <= whole <= high and sum(out) <= PART_SHARE * sum(sizes), whole, len(ends), len(out)
 
 
 def duplicate_lines(text: bytes) -> int:
