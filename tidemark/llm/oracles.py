@@ -39,4 +39,43 @@ b AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(h, '</?(
 c AS (SELECT page_id, url, list_filter(list_transform(string_split(t, chr(1)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM b),
 f AS (SELECT page_id, url, replace(replace(replace(replace(array_to_string(l, chr(10) || chr(10)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM c)
 SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM f""",
+
+    "op11_phrases": r"""
+WITH t AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT doc, lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (SELECT c.lang, c.k, c.g, c.f AS a, s.k AS cut, l.f AS l, r.f AS r, (1000000 * c.f * c.f) // (l.f * r.f) AS score
+         FROM f c JOIN (VALUES (1), (2)) AS s(k) ON s.k < c.k
+         JOIN f l ON l.lang = c.lang AND l.g = c.g[1:s.k] JOIN f r ON r.lang = c.lang AND r.g = c.g[s.k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inner2 AS (SELECT lang, g[1:2] AS g, f FROM f WHERE k = 3 UNION ALL SELECT lang, g[2:3], f FROM f WHERE k = 3),
+top AS (SELECT lang, g, max(f) AS m FROM inner2 GROUP BY ALL),
+kept AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, score FROM best b LEFT JOIN top USING (lang, g) WHERE m IS NULL OR 100 * m < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+
+    "op13_conversation_trie": r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, conv_id - conv_id % 5 AS base, list({'r': role, 't': text} ORDER BY p) AS turns FROM t GROUP BY conv_id),
+crc AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+               lambda c: list_prepend(CAST(ord(c) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1])))),
+               lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295) % 9 AS h FROM own),
+made AS (SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:h], o.turns[h + 1:]) AS s
+         FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.base),
+pre AS (SELECT conv_id, len(s) AS size, d, s[1:d] AS p FROM made, LATERAL (SELECT unnest(range(0, len(s) + 1)) AS d)),
+node AS (SELECT p, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends_sha256 FROM pre GROUP BY p),
+tree AS (SELECT n.*, u.conv_id AS parent_conv_id FROM node n LEFT JOIN node u ON n.depth > 0 AND u.p = n.p[1:n.depth - 1]),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM tree WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT tree.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(p[-1].t) END AS own
+          FROM tree LEFT JOIN kids USING (conv_id, depth)),
+up AS (SELECT a.conv_id, a.depth, sum(f.own) AS saved_tokens, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves
+       FROM full_ f JOIN pre ON pre.conv_id = f.conv_id AND pre.d <= f.depth JOIN node a ON a.p = pre.p GROUP BY ALL)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM full_ JOIN up USING (conv_id, depth)""",
 }

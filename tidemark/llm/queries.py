@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import (bpe_op, classifier_op, embedding_op, html_op, mixing_op, ngram_join_op, pii_op, quality_op, substring_op,
+from . import (bpe_op, classifier_op, conversation_op, embedding_op, html_op, mixing_op, ngram_join_op, pii_op, quality_op, substring_op,
                token_count_op)
 from .common import table
 from .oracles import ORACLE  # noqa: F401
@@ -88,3 +88,9 @@ def bpe(spark, sf_dir):
 def token_counts(spark, sf_dir):
     """Pieces of every document."""
     return token_count_op.digest(token_count_op.token_counts(table(spark, sf_dir, "documents"), PIECE_BPE))
+
+
+@query("op13_conversation_trie")
+def conversation_trie(spark, sf_dir):
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return conversation_op.digest(conversation_op.prefix_trie(conversation_op.rebuilt(table(spark, sf_dir, "conversations"))))
