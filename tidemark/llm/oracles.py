@@ -45,15 +45,15 @@ WITH t AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, tr
 p AS (SELECT doc, lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
 w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
 n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
-g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k),
-f AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
-cuts AS (SELECT c.lang, c.k, c.g, c.f AS a, s.k AS cut, l.f AS l, r.f AS r, (1000000 * c.f * c.f) // (l.f * r.f) AS score
-         FROM f c JOIN (VALUES (1), (2)) AS s(k) ON s.k < c.k
-         JOIN f l ON l.lang = c.lang AND l.g = c.g[1:s.k] JOIN f r ON r.lang = c.lang AND r.g = c.g[s.k + 1:]),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS f, string_split(g, ' ') AS w FROM g GROUP BY lang, k, g HAVING count(*) >= 10),
+parts AS (SELECT f.lang, f.k, f.g, f.f AS a, s.k AS cut, array_to_string(w[1:s.k], ' ') AS lg, array_to_string(w[s.k + 1:], ' ') AS rg FROM f, (VALUES (1), (2)) AS s(k) WHERE s.k < f.k),
+cuts AS (SELECT c.*, l.f AS l, r.f AS r, (1000000 * c.a * c.a) // (l.f * r.f) AS score
+         FROM parts c JOIN f l ON l.lang = c.lang AND l.g = c.lg JOIN f r ON r.lang = c.lang AND r.g = c.rg),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
-inner2 AS (SELECT lang, g[1:2] AS g, f FROM f WHERE k = 3 UNION ALL SELECT lang, g[2:3], f FROM f WHERE k = 3),
+inner2 AS (SELECT lang, array_to_string(w[1:2], ' ') AS g, f FROM f WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), f FROM f WHERE k = 3),
 top AS (SELECT lang, g, max(f) AS m FROM inner2 GROUP BY ALL),
-kept AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, score FROM best b LEFT JOIN top USING (lang, g) WHERE m IS NULL OR 100 * m < 50 * a),
+kept AS (SELECT b.lang, b.g AS phrase, a, l, r, score FROM best b LEFT JOIN top USING (lang, g) WHERE m IS NULL OR 100 * m < 50 * a),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
 SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",

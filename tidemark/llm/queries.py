@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import (bpe_op, classifier_op, conversation_op, embedding_op, html_op, mixing_op, ngram_join_op, pii_op, quality_op, substring_op,
+from . import (bpe_op, classifier_op, conversation_op, embedding_op, html_op, mixing_op, ngram_join_op, phrase_op, pii_op, quality_op, substring_op,
                token_count_op)
 from .common import table
 from .oracles import ORACLE  # noqa: F401
@@ -94,3 +94,9 @@ def token_counts(spark, sf_dir):
 def conversation_trie(spark, sf_dir):
     """Nodes of the prefix trie of the rebuilt conversations."""
     return conversation_op.digest(conversation_op.prefix_trie(conversation_op.rebuilt(table(spark, sf_dir, "conversations"))))
+
+
+@query("op11_phrases")
+def phrases(spark, sf_dir):
+    """The first 2000 collocations of each language."""
+    return phrase_op.top(table(spark, sf_dir, "documents"))
