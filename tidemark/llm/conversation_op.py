@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import pack, stored, unpack
 
 #: Turns a container may hold, and the share of all turns that it may hold in larger tables.
-LEAST = 4096
+LEAST = 1024
 HEADS = 1 << 18
 #: Conversation ids in a pack.
 PACK = 1 << 16
@@ -128,11 +128,12 @@ def _digests(batches):
 
 
 def distinct(seqs: DataFrame) -> DataFrame:
-    """(seq, n, min_id, sha) of the distinct sequences: conversations, smallest id, digest of all ids."""
+    """(head, seq, n, min_id, sha) of the distinct sequences, all below the root: conversations, smallest id, digest of all ids."""
     seqs = stored(seqs, "conversations")
     packs = (seqs.select(F.unhex(F.md5("seq")).alias("key"), "conv_id", "seq").repartitionByRange("key", "conv_id")
              .sortWithinPartitions("key", "conv_id").mapInArrow(_packs, "key binary, first long, blob binary, seq binary"))
-    return stored(packs.repartition("key").sortWithinPartitions("key", "first").mapInArrow(_digests, "seq binary, n long, min_id long, sha string"), "sequences")
+    rows = packs.repartition("key").sortWithinPartitions("key", "first").mapInArrow(_digests, "seq binary, n long, min_id long, sha string")
+    return stored(rows.withColumn("head", F.unhex(F.lit("00" * ID))), "sequences")
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -265,7 +266,7 @@ def prefix_trie(seqs: DataFrame) -> DataFrame:
     spark = seqs.sparkSession
     rows = distinct(seqs)
     turns = rows.agg(F.sum(F.length("seq") / ID + 1).cast("long")).first()[0] or 0
-    start = rows.select(F.unhex(F.lit("00" * ID)).alias("head"), F.lit(0).cast("long").alias("d0"), "seq", "n", "min_id", "sha",
+    start = rows.select("head", F.lit(0).cast("long").alias("d0"), "seq", "n", "min_id", "sha",
                         F.lit(None).cast("long").alias("parent"), F.array().cast("array<binary>").alias("path"))
     settled, heads = burst(start, max(LEAST, turns // HEADS))
     containers = settled[0]
