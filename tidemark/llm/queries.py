@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import (bpe_op, classifier_op, conversation_op, embedding_op, html_op, mixing_op, ngram_join_op, phrase_op, pii_op, quality_op, substring_op,
+from . import (bpe_op, classifier_op, conversation_op, embedding_op, fingerprint_op, html_op, mixing_op, ngram_join_op, phrase_op, pii_op, quality_op, substring_op,
                token_count_op)
 from .common import table
 from .oracles import ORACLE  # noqa: F401
@@ -100,3 +100,9 @@ def conversation_trie(spark, sf_dir):
 def phrases(spark, sf_dir):
     """The first 2000 collocations of each language."""
     return phrase_op.top(table(spark, sf_dir, "documents"))
+
+
+@query("op12_fingerprints")
+def fingerprints(spark, sf_dir):
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprint_op.digest(fingerprint_op.neighbours(table(spark, sf_dir, "documents")))
