@@ -46,7 +46,17 @@ def some(seed, n=60, vocabulary="a b c d e é the The of a.b x,y z! \x1c \x00 
             for i in range(n)]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"BURST": 3, "BUDGET": 40, "CHUNK": 200}, {"WORDS": 5, "CHUNK": 300, "SHARE": 100}])
+def test_lots_hold_every_word_and_what_follows(monkeypatch):
+    text = b"one two three,four five six seven\teight nine ten eleven. twelve"
+    whole = [x for tokens, n in op.steps(text) for x in zip(tokens[:n], tokens[1:n + 1] + [b"."], tokens[2:n + 2] + [b".", b"."], strict=False)]
+    for chunk, step in ((3, 9), (6, 1), (8, 2), (1, 1)):
+        monkeypatch.setattr(op, "CHUNK", chunk)
+        monkeypatch.setattr(op, "STEP", step)
+        lots = [(tokens + [b".", b"."], n) for tokens, n in op.steps(text)]
+        assert [(t[i], t[i + 1], t[i + 2]) for t, n in lots for i in range(n)] == whole
+
+
+@pytest.mark.parametrize("sizes", [{}, {"BURST": 3, "BUDGET": 40, "CHUNK": 200}, {"WORDS": 5, "CHUNK": 300, "SHARE": 100}, {"CHUNK": 20, "STEP": 2, "BUDGET": 30}])
 def test_random(spark, monkeypatch, sizes):
     for k, v in sizes.items():
         monkeypatch.setattr(op, k, v)
@@ -79,9 +89,10 @@ def test_exact_beyond_64_bits(spark):
 def test_trie_counts(monkeypatch):
     monkeypatch.setattr(op, "BURST", 2)
     t = op.Trie()
-    t.add(b"a b c a b d. a b")
-    assert t.burst and t.entries() == 8
+    [(tokens, n)] = op.steps(b"a b c a b d. a b")
+    t.add(tokens, n)
+    assert t.burst and t.entries == 8
     key, n = t.take(0)
     words = list(t.ids)
     found = {(words[k >> 42], words[k >> 21 & op._LOW], words[k & op._LOW]): c for k, c in zip(key.tolist(), n.tolist(), strict=True)}
-    assert found[b"a", b"b", b"."] == 1 and found[b"a", b"b", b"c"] == 1 and sum(found.values()) == 8 and t.entries() == 0
+    assert found[b"a", b"b", b"."] == 1 and found[b"a", b"b", b"c"] == 1 and sum(found.values()) == 8 and t.entries == 0

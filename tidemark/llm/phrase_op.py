@@ -23,6 +23,8 @@ without words has no phrases. Other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,10 +34,10 @@ from pyspark.sql import functions as F
 from .common import MULT, blob_rows, mixed, pack, slices, stored, tidy, unpack
 
 #: Bytes of text that are numbered and counted at once before they are entered.
-CHUNK = 2 << 20
+CHUNK = 4 << 20
 #: Entries of a container before it bursts, of a trie before it spills, words before a trie starts anew.
 BURST = 1 << 12
-BUDGET = 400_000
+BUDGET = 1_000_000
 WORDS = 1 << 20
 #: Bytes of text per prefix partition.
 SHARE = 16 << 20
@@ -43,110 +45,130 @@ SHARE = 16 << 20
 #: What ends a piece.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _TO_WORDS = bytes.maketrans(ENDS + b"\t", b"." * len(ENDS) + b" ")
+_TOKEN = re.compile(rb"[ \t]*([" + re.escape(ENDS) + rb"]|[^ \t" + re.escape(ENDS) + rb"]+)")
+#: Numbers of words have 21 bits: WORDS and STEP together stay below that.
 _LOW = (1 << 21) - 1
+STEP = 1_000_000
 
 
 class Trie:
-    """Counts of (first, second, third) word of one language; 0 is the end of a piece."""
+    """Counts of (first, second, third) word of one language; 0 is the end of a piece. Keys hold the three numbers."""
 
     def __init__(self):
         self.ids: dict[bytes, int] = {b".": 0}
+        self.hashes = np.empty(0, np.uint64)
         self.root: dict[int, dict] = {}
         self.burst: dict[int, dict[int, dict]] = {}
         self.size: dict[int, int] = {}
+        self.entries = 0
 
-    def add(self, data: bytes) -> None:
-        """Count the words of a text, lower-cased already."""
-        tokens = data.translate(_TO_WORDS).replace(b".", b" . ").split()
+    def add(self, tokens: list[bytes], count: int) -> None:
+        """Count the first ``count`` words; those after them only follow."""
         known = self.ids
-        w = np.fromiter((known.setdefault(t, len(known)) for t in tokens), np.int64, len(tokens))
-        w = np.concatenate((w, [0, 0, 0]))
-        first, second, third = w[:-3], w[1:-2], w[2:-1]
+        for t in set(tokens).difference(known):
+            known[t] = len(known)
+        w = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+        w = np.concatenate((w, [0, 0]))
+        first, second, third = w[:count], w[1:count + 1], w[2:count + 2]
         third = np.where(second == 0, 0, third)
         here = first != 0
         key, n = np.unique(first[here] << 42 | second[here] << 21 | third[here], return_counts=True)
         first = key >> 42
-        cuts = np.flatnonzero(first[1:] != first[:-1]) + 1
-        starts = [0, *cuts.tolist()]
-        suffix, n = (key & ((1 << 42) - 1)).tolist(), n.tolist()
-        for f, lo, hi in zip(first[starts].tolist() if len(first) else [], starts, [*cuts.tolist(), len(suffix)], strict=False):
-            self._enter(f, suffix[lo:hi], n[lo:hi])
+        cuts = np.concatenate(([0], np.flatnonzero(first[1:] != first[:-1]) + 1, [len(key)])).tolist()
+        key, n, first = key.tolist(), n.tolist(), first.tolist()
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if lo < hi:
+                self._enter(first[lo], key[lo:hi], n[lo:hi])
 
-    def _enter(self, f: int, suffix: list[int], n: list[int]) -> None:
+    def _enter(self, f: int, keys: list[int], n: list[int]) -> None:
         node = self.burst.get(f)
+        before = self.size.get(f, 0)
         if node is None:
             box = self.root.setdefault(f, {})
-            for s, k in zip(suffix, n, strict=True):
-                box[s] = box.get(s, 0) + k
-            self.size[f] = len(box)
-            if len(box) > BURST:
+            get = box.get
+            for s, k in zip(keys, n, strict=True):
+                box[s] = get(s, 0) + k
+            size = len(box)
+            if size > BURST:
                 node = self.burst[f] = {}
                 for s, k in self.root.pop(f).items():
-                    node.setdefault(s >> 21, {})[s & _LOW] = k
+                    node.setdefault(s >> 21, {})[s] = k
         else:
-            new = 0
-            for s, k in zip(suffix, n, strict=True):
+            size = before
+            for s, k in zip(keys, n, strict=True):
                 box = node.setdefault(s >> 21, {})
-                before = len(box)
-                box[s & _LOW] = box.get(s & _LOW, 0) + k
-                new += len(box) - before
-            self.size[f] += new
-
-    def entries(self) -> int:
-        return sum(self.size.values())
+                if s in box:
+                    box[s] += k
+                else:
+                    box[s] = k
+                    size += 1
+        self.size[f] = size
+        self.entries += size - before
 
     def take(self, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Remove the largest subtrees until ``least`` entries or fewer are left: (packed words, counts), unsorted."""
-        left, keys, counts = self.entries(), [], []
+        """Remove the largest subtrees until ``least`` entries or fewer are left: (keys, counts), unsorted."""
+        keys, counts = [], []
         for f, size in sorted(self.size.items(), key=lambda x: -x[1]):
-            if left <= least:
+            if self.entries <= least:
                 break
-            left -= size
+            self.entries -= size
             del self.size[f]
-            boxes = [(0, self.root.pop(f))] if f in self.root else [(s << 21, b) for s, b in self.burst.pop(f).items()]
-            for high, box in boxes:
-                keys.append(np.fromiter(box.keys(), np.int64, len(box)) | (f << 42 | high))
-                counts.append(np.fromiter(box.values(), np.int64, len(box)))
-        empty = [np.empty(0, np.int64)]
-        return np.concatenate(keys or empty), np.concatenate(counts or empty)
+            for box in [self.root.pop(f)] if f in self.root else self.burst.pop(f).values():
+                keys.extend(box)
+                counts.extend(box.values())
+        return np.array(keys, np.int64), np.array(counts, np.int64)
 
     def runs(self, least: int, parts: int, seed: int) -> list[tuple[int, bytes]]:
-        """Spill: a run for each prefix partition, sorted by the words' bytes."""
+        """Spill: a run for each prefix partition, sorted by the words' numbers."""
         key, n = self.take(least)
         if not len(key):
             return []
+        order = np.argsort(key)
+        key, n = key[order], n[order]
         words = list(self.ids)
-        place = np.empty(len(words), np.int64)  # of each word in byte order; the end of a piece comes first
-        by_bytes = [0, *sorted(range(1, len(words)), key=words.__getitem__)]
-        place[by_bytes] = np.arange(len(words))
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        fresh = words[len(self.hashes):]
+        h = self.hashes = np.concatenate((self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(fresh))))
         w = [key >> 42, key >> 21 & _LOW, key & _LOW]
         with np.errstate(over="ignore"):
             part = (mixed(h[w[0]] * np.uint64(MULT) + h[w[1]] + np.uint64(seed)) % np.uint64(parts)).astype(np.int64)
-            alone = (mixed(h + np.uint64(seed)) % np.uint64(parts)).astype(np.int64)
-        sums = np.zeros(len(words), np.int64)
-        np.add.at(sums, w[0], n)
-        ranks = [place[x] for x in w]
-        order = np.lexsort((*ranks[::-1], part))
-        part, n, ranks = part[order], n[order], [r[order] for r in ranks]
-        counted = np.flatnonzero(sums)
-        counted = counted[np.argsort(alone[counted], kind="stable")]
+        one = np.flatnonzero(np.concatenate(([True], w[0][1:] != w[0][:-1])))
+        ones, sums = w[0][one], np.add.reduceat(n, one)
+        with np.errstate(over="ignore"):
+            alone = (mixed(h[ones] + np.uint64(seed)) % np.uint64(parts)).astype(np.int64)
+        order, order1 = np.argsort(part, kind="stable"), np.argsort(alone, kind="stable")
+        n, w, ones, sums = n[order], [x[order] for x in w], ones[order1], sums[order1]
+        span = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+        span1 = np.searchsorted(alone[order1], np.arange(parts + 1)).tolist()
         rows = []
-        span = np.searchsorted(part, np.arange(parts + 1)).tolist()
-        span1 = np.searchsorted(alone[counted], np.arange(parts + 1)).tolist()
         for p in range(parts):
             lo, hi, lo1, hi1 = span[p], span[p + 1], span1[p], span1[p + 1]
             if lo == hi and lo1 == hi1:
                 continue
-            ones = place[counted[lo1:hi1]]
-            used = np.unique(np.concatenate([*[r[lo:hi] for r in ranks], ones, [0]]))
-            chosen = [words[by_bytes[i]] for i in used.tolist()]
-            rows.append((p, pack(*[np.searchsorted(used, r[lo:hi]).astype(np.int32) for r in ranks], n[lo:hi].astype(np.int64),
-                                 np.searchsorted(used, ones).astype(np.int32), sums[counted[lo1:hi1]],
+            used, at = np.unique(np.concatenate([*[x[lo:hi] for x in w], ones[lo1:hi1], [0]]), return_inverse=True)
+            at, size = at.astype(np.int32), hi - lo
+            chosen = [words[i] for i in used.tolist()]
+            rows.append((p, pack(at[:size], at[size:2 * size], at[2 * size:3 * size], n[lo:hi], at[3 * size:-1], sums[lo1:hi1],
                                  np.fromiter(map(len, chosen), np.int32, len(chosen)), text=b"".join(chosen))))
         return rows
 
 
+def steps(data: bytes):
+    """Words of a text in lots of ``STEP`` words at most, with the two that follow; ``.`` stands for a piece's end."""
+    while data:
+        cut = len(data)
+        if cut > 2 * CHUNK:
+            cut = 1 + max(data.rfind(bytes([c]), 0, 2 * CHUNK) for c in ENDS) or max(data.rfind(b" ", 0, 2 * CHUNK), data.rfind(b"\t", 0, 2 * CHUNK), 0) or cut
+        tokens = data[:cut].translate(_TO_WORDS).replace(b".", b" . ").split()
+        n = len(tokens)
+        at = cut
+        while len(tokens) < n + 2 and (m := _TOKEN.match(data, at)):
+            tokens.append(m[1].translate(_TO_WORDS))
+            at = m.end()
+        for lo in range(0, n, STEP):
+            yield tokens[lo:lo + STEP + 2], min(STEP, n - lo)
+        data = data[cut:]
+
+
 def _count(parts: int):
     def run(batches):
         tries: dict[str, Trie] = {}
@@ -168,19 +190,14 @@ def _count(parts: int):
                     texts.setdefault(lang, []).append(t)
             for lang, t in texts.items():
                 trie = tries.setdefault(lang, Trie())
-                data = b".".join(t).lower()
-                # a long text is entered in steps, cut where a piece ends
-                while data:
-                    cut = len(data) if len(data) <= 2 * CHUNK else 1 + max(data.rfind(bytes([c]), 0, 2 * CHUNK) for c in ENDS)
-                    cut = cut or len(data)  # one endless piece
-                    trie.add(data[:cut])
-                    data = data[cut:]
+                for tokens, n in steps(b".".join(t).lower()):
+                    trie.add(tokens, n)
                     if len(trie.ids) > WORDS:
                         spill(lang, 0)
                         tries[lang] = trie = Trie()
-            while sum(t.entries() for t in tries.values()) > BUDGET:
-                lang = max(tries, key=lambda x: tries[x].entries())
-                spill(lang, min(BUDGET // 2, tries[lang].entries() // 2))
+            while sum(t.entries for t in tries.values()) > BUDGET:
+                lang = max(tries, key=lambda x: tries[x].entries)
+                spill(lang, tries[lang].entries // 4)
             if out:
                 yield rows()
         for lang in list(tries):
@@ -190,8 +207,15 @@ def _count(parts: int):
     return run
 
 
+def sums_of(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    np.add.at(out, at, n)
+    return out
+
+
 def _merge(least: int):
-    """Runs of one prefix partition of one language, merged: (lang, phrase, words, f) of what occurs ``least`` times or more."""
+    """Runs of one prefix partition of one language, merged: (lang, phrase, words, f) of what occurs ``least`` times
+    or more, and a row of no words with the number of words that start with one of its prefixes."""
     def run(t: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {b".": 0}
         first, second, third, n, ones, sums = ([] for _ in range(6))
@@ -204,19 +228,17 @@ def _merge(least: int):
         words, v = list(known), len(known)
         a, b, c, n = (np.concatenate(x) for x in (first, second, third, n))
         two, at = np.unique(a * v + b, return_inverse=True)
-        f2 = np.zeros(len(two), np.int64)
-        np.add.at(f2, at, n)
+        f2 = sums_of(at, n, len(two))
         three, at3 = np.unique(at * v + c, return_inverse=True)
-        f3 = np.zeros(len(three), np.int64)
-        np.add.at(f3, at3, n)
-        f1 = np.zeros(v, np.int64)
-        np.add.at(f1, np.concatenate(ones), np.concatenate(sums))
+        f3 = sums_of(at3, n, len(three))
+        f1 = sums_of(np.concatenate(ones), np.concatenate(sums), v)
         phrase, size, f = [], [], []
 
         def keep(k: int, columns: list[np.ndarray], count: np.ndarray) -> None:
             phrase.extend(b" ".join([words[i] for i in x]).decode() for x in zip(*[c.tolist() for c in columns], strict=True))
             size.extend([k] * len(count)), f.extend(count.tolist())
 
+        phrase.append(None), size.append(0), f.append(int(f1.sum()))
         ok = f1 >= least
         keep(1, [np.flatnonzero(ok)], f1[ok])
         ok = (f2 >= least) & (two % v != 0)
@@ -234,7 +256,8 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, least: int = 10) -> DataFrame:
-    """(lang, phrase, words, f) of the phrases of one to three words that occur ``least`` times or more."""
+    """(lang, phrase, words, f) of the phrases of one to three words that occur ``least`` times or more; rows with 0 for
+    ``words`` add up to the number of words of a language."""
     spark, rows = docs.sparkSession, _source(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
@@ -242,10 +265,9 @@ def phrase_counts(docs: DataFrame, least: int = 10) -> DataFrame:
     return stored(runs.groupBy("lang", "g").applyInArrow(tidy(_merge(least)), "lang string, phrase string, words int, f long"), "phrases")
 
 
-def collocations(docs: DataFrame, least: int = 10, share: int = 50) -> DataFrame:
-    """(lang, phrase, words, a, l, r, score): phrases of two and three words that occur ``least`` times or more. The
+def collocations(counts: DataFrame, share: int = 50) -> DataFrame:
+    """(lang, phrase, words, a, l, r, score) of the phrases of two and three words in ``phrase_counts``. The
     weakest cut counts. Phrases inside one that occurs ``share`` percent as often or more are left out."""
-    counts = phrase_counts(docs, least)
     word = F.split("phrase", " ")
     c = counts.filter("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"), word.alias("w"))
     cuts = c.select("lang", "phrase", "words", "a", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("cut"), "w").select(
@@ -269,14 +291,10 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50) -> DataFrame
     return kept.select("lang", "phrase", "words", "a", "b.l", "b.r", "b.score")
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, n): words of each language."""
-    words = F.size(F.filter(F.split("text", r"[ \t.,;:!?\x0A-\x0D]+"), lambda x: x != "")).cast("long")
-    return _source(docs).select("lang", F.when(F.col("text").isNull(), 0).otherwise(words).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
-
-
 def top(docs: DataFrame, least: int = 10, share: int = 50, best: int = 2000) -> DataFrame:
     """Each language's ``best`` first phrases by score, with the language's number of words."""
+    counts = phrase_counts(docs, least)
     w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(docs, least, share).withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= best)
-    return ranked.join(word_counts(docs), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranked = collocations(counts, share).withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= best)
+    n = counts.filter("words = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    return ranked.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
