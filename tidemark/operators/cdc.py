@@ -252,18 +252,18 @@ def apply_changes_scd1(stored: DataFrame | None, updates: DataFrame, keys: Seque
 
     Keeps the newest row per key by ``sequence`` over the stored rows and the new ones.
     Hidden columns: ``__SEQ`` and ``__DELETED``. A deleted key stays as a row marked so,
-    and older rows that arrive later lose against it. With equal sequences a stored row
-    wins; newest rows of one batch that tie are all kept. ``except_columns`` are not stored.
+    and older rows that arrive later lose against it. Rows of one key are in one total order
+    (sequence, a delete last, then a hash of the row), so ties leave one row and the result depends neither
+    on the order of arrival nor on how changes are cut into batches. ``except_columns`` are not stored.
     """
     dflag = _expr(delete_when) if delete_when is not None else F.lit(False)
     out = [c for c in updates.columns if c not in set(except_columns)]
     new = updates.select(*out, F.col(sequence).alias("__SEQ"), F.coalesce(dflag, F.lit(False)).alias("__DELETED"))
+    total = F.struct("__SEQ", "__DELETED", F.xxhash64(*out))
     if stored is None:
-        return latest_per_key(new, keys, "__SEQ")
+        return latest_per_key(new, keys, total, ties=False)
     touched, untouched = _touched(stored, new, keys)
-    both = touched.withColumn("_s", F.lit(1)).unionByName(new.withColumn("_s", F.lit(0)))
-    latest = latest_per_key(both, keys, F.struct("__SEQ", "_s")).drop("_s")
-    return untouched.unionByName(latest)
+    return untouched.unionByName(latest_per_key(touched.unionByName(new), keys, total, ties=False))
 
 
 def scd1_rows(stored: DataFrame) -> DataFrame:

@@ -186,24 +186,26 @@ LINES_SQL = """lines AS (
 LINE_SCHEMA = "id BIGINT, k INT"
 
 
+def json_line():
+    """A JSON line per event: error events are truncated (malformed), view events carry a string ``k`` (type
+    mismatch), click events lack ``k`` (missing field), purchase events add ``extra``."""
+    k = F.get_json_object("props", "$.k")
+    i = F.col("event_id").cast("string")
+    return (F.when(F.col("event_type") == "error", F.concat(F.lit('{"id": '), i, F.lit(', "k": '), k))
+            .when(F.col("event_type") == "view",
+                  F.concat(F.lit('{"id": '), i, F.lit(', "k": "x'), k, F.lit('"}')))
+            .when(F.col("event_type") == "click", F.concat(F.lit('{"id": '), i, F.lit("}")))
+            .when(F.col("event_type") == "purchase",
+                  F.concat(F.lit('{"id": '), i, F.lit(', "k": '), k, F.lit(', "extra": '),
+                           F.col("value").cast("string"), F.lit("}")))
+            .otherwise(F.concat(F.lit('{"id": '), i, F.lit(', "k": '), k, F.lit("}"))))
+
+
 def raw_lines(spark, sf_dir):
-    """JSON lines landed once from ``events``: error events are truncated
-    (malformed), view events carry a string ``k`` (type mismatch), click
-    events lack ``k`` (missing field), purchase events add ``extra``."""
+    """``json_line`` of ``events``, landed once."""
     path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "json-lines")
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        e = load(spark, sf_dir, "events")
-        k = F.get_json_object("props", "$.k")
-        i = F.col("event_id").cast("string")
-        line = (F.when(F.col("event_type") == "error", F.concat(F.lit('{"id": '), i, F.lit(', "k": '), k))
-                .when(F.col("event_type") == "view",
-                      F.concat(F.lit('{"id": '), i, F.lit(', "k": "x'), k, F.lit('"}')))
-                .when(F.col("event_type") == "click", F.concat(F.lit('{"id": '), i, F.lit("}")))
-                .when(F.col("event_type") == "purchase",
-                      F.concat(F.lit('{"id": '), i, F.lit(', "k": '), k, F.lit(', "extra": '),
-                               F.col("value").cast("string"), F.lit("}")))
-                .otherwise(F.concat(F.lit('{"id": '), i, F.lit(', "k": '), k, F.lit("}"))))
-        e.select(line.alias("value")).write.mode("overwrite").text(path)
+        load(spark, sf_dir, "events").select(json_line().alias("value")).write.mode("overwrite").text(path)
     return spark.read.text(path)
 
 

@@ -168,3 +168,9 @@ def rename(spark: SparkSession, src: str, dest: str) -> None:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table of ours."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
