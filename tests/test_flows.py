@@ -145,3 +145,46 @@ def test_group_names_are_values(spark):
     create_mask_function(spark, "hide_it", "x') OR (1=1) OR array_contains(groups, 'y", "no 'one' \\ sees")
     assert spark.sql("SELECT hide_it('v', array('a')) AS v").first().v == "no 'one' \\ sees"
     set_groups(spark, [])
+
+
+def test_states_between_batches_are_not_trivial(spark):
+    from tidemark.plans import catalog_flows  # noqa: F401  (registers queries)
+    from tidemark.plans.catalog import QUERIES
+    sf = "/root/testdata/sf0.01"
+    early = QUERIES["state_as_of_batch"](spark, sf).count()
+    assert 0 < QUERIES["rows_superseded"](spark, sf).count() < early  # some rows are subtracted
+    assert {r._change_type for r in QUERIES["state_changes"](spark, sf).select("_change_type").distinct().collect()} == {
+        "insert", "delete", "update_preimage", "update_postimage"}
+    assert {r.status for r in QUERIES["requests_partly_done"](spark, sf).select("status").distinct().collect()} == {"requested", "deleted"}
+
+
+def test_statistics_in_the_catalog_change_the_plan(spark):
+    from tidemark.operators import catalog_tables as ct
+    db = flows.listed_tables(spark, SF)
+    profile = {r.table_name: r.row_count for r in ct.profile(spark, db).collect()}
+    assert profile["lineitem"] == spark.table(f"{db}.lineitem").count() and len(profile) == 14
+    ct.analyze(spark, db, "customer", ["c_custkey"])
+    ct.analyze(spark, db, "orders", ["o_custkey", "o_orderkey"])
+    size = spark.table(f"{db}.orders")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    join = f"SELECT * FROM {db}.orders o JOIN (SELECT o_orderkey AS k FROM {db}.orders WHERE o_orderkey = 1) x ON o.o_orderkey = x.k"
+    plans = {}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(min(int(str(size)) // 20, 2000)))
+    try:
+        for cbo in ("false", "true"):
+            spark.conf.set("spark.sql.cbo.enabled", cbo)
+            plans[cbo] = spark.sql(join)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.cbo.enabled")
+    assert "BroadcastHashJoin" not in plans["false"] and "BroadcastHashJoin" in plans["true"]
+    ct.register(spark, "odd_db", f"{flows.work_path(spark, 'odd')}", {})
+    assert ct.profile(spark, "odd_db").count() == 0
+
+
+def test_checked_insert(spark, fresh):
+    from tidemark.streaming.batches import BatchLog
+    log = BatchLog(spark, fresh, "a int")
+    rows = spark.createDataFrame([(1,), (-1,)], "a int")
+    assert not flows.checked_insert(log, rows, {"p": "a > 0"}, 0) and log.read().count() == 0
+    assert flows.checked_insert(log, rows.filter("a > 0"), {"p": "a > 0"}, 0) and log.read().count() == 1

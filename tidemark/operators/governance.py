@@ -21,17 +21,17 @@ REDACTED = "REDACTED"
 
 def set_groups(spark: SparkSession, groups: Sequence[str] = ()) -> None:
     """Declare (or replace) the caller's group list for this session."""
-    lits = ", ".join(map(_text, groups))
+    lits = ", ".join(map(quoted_text, groups))
     spark.sql(f"DECLARE OR REPLACE VARIABLE {GROUPS_VAR} ARRAY<STRING> "
               f"DEFAULT CAST(array({lits}) AS ARRAY<STRING>)")
 
 
-def _text(value: str) -> str:
+def quoted_text(value: str) -> str:
     """A string as an SQL literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _name(name: str) -> str:
+def quoted_name(name: str) -> str:
     """A name (or a dotted path of names) as quoted SQL identifiers."""
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
@@ -58,18 +58,18 @@ def create_mask_function(spark: SparkSession, name: str, group: str,
                          replacement: str = REDACTED) -> None:
     """``CREATE FUNCTION <name>(v STRING) RETURN CASE WHEN is_member(g) THEN v
     ELSE 'REDACTED' END`` (GOV-3, UDF-7). Membership is an argument."""
-    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {_name(name)}(v STRING, groups ARRAY<STRING>)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {quoted_name(name)}(v STRING, groups ARRAY<STRING>)
                   RETURNS STRING
-                  RETURN CASE WHEN array_contains(groups, {_text(group)}) THEN v
-                              ELSE {_text(replacement)} END""")
+                  RETURN CASE WHEN array_contains(groups, {quoted_text(group)}) THEN v
+                              ELSE {quoted_text(replacement)} END""")
 
 
 def create_row_filter_function(spark: SparkSession, name: str, group: str,
                                args: str, predicate: str) -> None:
     """``CREATE FUNCTION <name>(<args>) RETURN IF(is_member(g), true, <predicate>)`` (GOV-4)."""
-    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {_name(name)}({args}, groups ARRAY<STRING>)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {quoted_name(name)}({args}, groups ARRAY<STRING>)
                   RETURNS BOOLEAN
-                  RETURN IF(array_contains(groups, {_text(group)}), true, {predicate})""")
+                  RETURN IF(array_contains(groups, {quoted_text(group)}), true, {predicate})""")
 
 
 def secured_view(spark: SparkSession, source: str, name: str, *,
@@ -80,10 +80,10 @@ def secured_view(spark: SparkSession, source: str, name: str, *,
     cols = spark.table(source).columns
     masks = dict(masks or {})
     quoted = {c: "`" + c.replace("`", "``") + "`" for c in cols}
-    sel = ", ".join(f"{_name(masks[c])}({q}, {GROUPS_VAR}) AS {q}" if c in masks else q for c, q in quoted.items())
+    sel = ", ".join(f"{quoted_name(masks[c])}({q}, {GROUPS_VAR}) AS {q}" if c in masks else q for c, q in quoted.items())
     where = ""
     if row_filter:
         fn, fcols = row_filter
-        where = f" WHERE {_name(fn)}({', '.join(quoted[c] for c in fcols)}, {GROUPS_VAR})"
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {_name(name)} AS SELECT {sel} FROM {_name(source)}{where}")
+        where = f" WHERE {quoted_name(fn)}({', '.join(quoted[c] for c in fcols)}, {GROUPS_VAR})"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {quoted_name(name)} AS SELECT {sel} FROM {quoted_name(source)}{where}")
     return spark.table(name)

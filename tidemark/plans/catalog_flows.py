@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import catalog_tables, cdc, quality
+from ..operators.changes import rows_removed_since, snapshot_diff
+from ..session import table_root
+from ..sources.bookstore import orders_payload
 from ..sources.robust import RESCUED
+from ..sources.tables import TABLES
+from ..streaming.batches import BatchLog
 from . import flows
 from .catalog import ORACLE, query
 from .catalog_more import LINES_SQL
@@ -150,3 +156,151 @@ FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY ALL""")
 def sorted_view_stored(spark, sf_dir):
     """Windows from a start on, out of a view stored in their order: other row groups are skipped."""
     return spark.read.parquet(flows.stored_windows(spark, sf_dir)).filter("window_start >= TIMESTAMP'2024-01-28'")
+
+
+# --------------------------------------------------------------------------
+# Customers with deletes: states after a batch, and what lies between them
+
+CUST_N = """cust_n AS (
+  SELECT c.*, n.n_name AS country, floor((epoch_us(row_time) - lo) * %d / (hi - lo + 1)) AS step
+  FROM cust_p c JOIN nation n ON c.country_code = n.n_nationkey,
+       (SELECT min(epoch_us(row_time)) AS lo, max(epoch_us(row_time)) AS hi FROM cust_p JOIN nation ON country_code = n_nationkey))""" % flows.CUSTOMER_STEPS
+
+
+def _state(name: str, upto: int) -> str:
+    return f"""{name} AS (
+  SELECT customer_id, balance, country, row_time FROM (
+    SELECT * FROM cust_n WHERE step <= {upto} QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_time DESC, row_status = 'delete' DESC) = 1)
+  WHERE row_status <> 'delete')"""
+
+
+BEFORE_LAST, HALF, QUARTER = flows.CUSTOMER_STEPS - 2, flows.CUSTOMER_STEPS // 2, flows.CUSTOMER_STEPS // 4
+STATES = with_(CUST_P, CUST_N, _state("early", BEFORE_LAST), _state("late", flows.CUSTOMER_STEPS))
+
+
+@query("state_as_of_batch", STATES + "SELECT * FROM early")
+def state_as_of_batch(spark, sf_dir):
+    """Customers as they were before the last batch."""
+    return flows.customer_changes(spark, sf_dir).scd1(upto=BEFORE_LAST)
+
+
+@query("rows_superseded", STATES + "SELECT * FROM early EXCEPT SELECT * FROM late")
+def rows_superseded(spark, sf_dir):
+    """``EXCEPT`` of two states: rows of the first one that are gone or changed; unchanged ones are subtracted."""
+    log = flows.customer_changes(spark, sf_dir)
+    return rows_removed_since(log.scd1(upto=BEFORE_LAST), log.scd1())
+
+
+@query("state_changes", STATES + """
+SELECT l.*, 'insert' AS _change_type FROM late l WHERE customer_id NOT IN (SELECT customer_id FROM early) UNION ALL
+SELECT e.*, 'delete' FROM early e WHERE customer_id NOT IN (SELECT customer_id FROM late) UNION ALL
+SELECT e.*, 'update_preimage' FROM early e JOIN late l USING (customer_id) WHERE (e.balance, e.country, e.row_time) IS DISTINCT FROM (l.balance, l.country, l.row_time) UNION ALL
+SELECT l.*, 'update_postimage' FROM early e JOIN late l USING (customer_id) WHERE (e.balance, e.country, e.row_time) IS DISTINCT FROM (l.balance, l.country, l.row_time)""")
+def state_changes(spark, sf_dir):
+    """Change rows of all four types between two states."""
+    log = flows.customer_changes(spark, sf_dir)
+    return snapshot_diff(log.scd1(upto=BEFORE_LAST), log.scd1(), ["customer_id"])
+
+
+@query("upsert_matched_deletes", with_(CUST_P, CUST_N) + f"""
+, t AS (SELECT customer_id, balance, country, row_time FROM cust_n WHERE step < {HALF} AND row_status <> 'delete'
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_time DESC) = 1),
+s AS (SELECT customer_id, balance, country, row_time, row_status FROM cust_n WHERE step >= {HALF}
+      QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_time DESC) = 1)
+SELECT t.* FROM t WHERE customer_id NOT IN (SELECT customer_id FROM s) UNION ALL
+SELECT customer_id, balance, country, row_time FROM s WHERE row_status <> 'delete'""")
+def upsert_matched_deletes(spark, sf_dir):
+    """Upsert into a filled table: rows matched by a delete go, rows matched by an update change, others are inserted."""
+    log = flows.customer_changes(spark, sf_dir)
+    cols = ["customer_id", "balance", "country", "row_time"]
+    changes = log.log.read()
+    empty = changes.select(*cols).limit(0)
+    first = changes.filter(f"batch < {HALF} AND row_status <> 'delete'").select(*cols)
+    table = cdc.upsert(empty, first, ["customer_id"], "row_time").table
+    return cdc.upsert(table, changes.filter(f"batch >= {HALF}").drop("batch"), ["customer_id"], "row_time", delete_when="row_status = 'delete'").table
+
+
+@query("requests_partly_done", with_(CUST_P, CUST_N) + f"""
+SELECT customer_id, CASE WHEN min(step) < {QUARTER} THEN 'deleted' ELSE 'requested' END AS status FROM cust_n WHERE row_status = 'delete' GROUP BY customer_id""")
+def requests_partly_done(spark, sf_dir):
+    """Matched-only update: requests whose delete was carried out are marked, the others stay as they were."""
+    changes = flows.customer_changes(spark, sf_dir).log.read().filter("row_status = 'delete'")
+    requests = changes.select("customer_id").distinct().withColumn("status", F.lit("requested"))
+    return cdc.update_matched(requests, changes.filter(f"batch < {QUARTER}"), ["customer_id"], {"status": F.lit("deleted")}).table
+
+
+# --------------------------------------------------------------------------
+# Constraints, expectations, watermarks, ranks, the catalog
+
+CONSTRAINTS = {"known_customer": "customer_id IS NOT NULL", "not_empty": "quantity > 0", "total_not_negative": "total >= 0"}
+
+
+@query("constraint_lifecycle", with_(ORDERS_P) + """
+SELECT * FROM (SELECT unnest(['known_customer', 'not_empty', 'total_not_negative']) AS name,
+                      unnest([count_if(customer_id IS NULL), count_if(NOT quantity > 0), count_if(NOT total >= 0)]) AS violations FROM orders_p),
+LATERAL (SELECT violations = 0 AS added, violations = 0 AND name <> 'known_customer' AS still_there)""")
+def constraint_lifecycle(spark, sf_dir):
+    """Constraints added to a filled table: existing rows are checked first, one that fails is not added; one is dropped."""
+    orders = orders_payload(spark, sf_dir)
+    have, added = {}, {}
+    for name, rule in CONSTRAINTS.items():
+        try:
+            have = quality.add_constraint(orders, have, name, rule)
+        except quality.ConstraintViolation:
+            pass
+        added[name] = name in have
+    left = quality.drop_constraint(have, "known_customer")
+    counts = quality.expectation_metrics(orders, CONSTRAINTS).select(F.col("rule").alias("name"), F.col("failed_records").alias("violations"))
+    flags = F.create_map(*[F.lit(x) for n in CONSTRAINTS for x in (n, added[n])])
+    kept = F.create_map(*[F.lit(x) for n in CONSTRAINTS for x in (n, n in left)])
+    return counts.withColumn("added", flags[F.col("name")]).withColumn("still_there", kept[F.col("name")])
+
+
+@query("insert_all_or_nothing", with_(ORDERS_P) + "SELECT order_id, quantity, total FROM orders_p WHERE quantity > 0")
+def insert_all_or_nothing(spark, sf_dir):
+    """An insert with one violating row writes nothing; the one without writes all its rows."""
+    orders = orders_payload(spark, sf_dir).select("order_id", "quantity", "total")
+    log = BatchLog(spark, f"{table_root(spark, sf_dir)}/checked-orders", orders.schema)
+    rule = {"not_empty": CONSTRAINTS["not_empty"]}
+    flows.checked_insert(log, orders, rule, 0)
+    flows.checked_insert(log, orders.filter("quantity > 0"), rule, 1)
+    return log.read().drop("batch")
+
+
+@query("expect_fail_update", with_(ORDERS_P) + """
+SELECT 'orders' AS dataset, count_if(NOT quantity > 0) > 0 AS failed, CASE WHEN count_if(NOT quantity > 0) = 0 THEN count(*) END AS n FROM orders_p
+UNION ALL SELECT 'orders_silver', false, count(*) FROM orders_p WHERE quantity > 0""")
+def expect_fail_update(spark, sf_dir):
+    """``expect_or_fail``: a violating row fails the update; without one all rows pass."""
+    orders, out = orders_payload(spark, sf_dir), []
+    for name, df in (("orders", orders), ("orders_silver", orders.filter("quantity > 0"))):
+        try:
+            out.append((name, False, quality.expect(df, {"not_empty": "quantity > 0"}, "fail", name).count()))
+        except Exception as e:
+            if "expectation failed" not in str(e):
+                raise
+            out.append((name, True, None))
+    return spark.createDataFrame(out, "dataset string, failed boolean, n bigint")
+
+
+@query("late_rows_dropped", """
+WITH e AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end FROM events),
+w AS (SELECT max(ts) FILTER (WHERE event_id % 2 = 0) - INTERVAL 10 MINUTE AS first, max(ts) - INTERVAL 10 MINUTE AS last FROM e)
+SELECT window_end, event_type, count(event_id) AS n FROM e, w
+WHERE (event_id % 2 = 0 OR window_end > date_trunc('millisecond', first)) AND window_end <= date_trunc('millisecond', last) GROUP BY ALL""")
+def late_rows_dropped(spark, sf_dir):
+    """Rows whose window the watermark has passed change nothing any more."""
+    return flows.late_windows(spark, sf_dir).select(F.col("w.end").alias("window_end"), "event_type", "n")
+
+
+@query("rank_in_batches", with_(CUST_P, CUST_SILVER) + "SELECT customer_id, balance, country, row_time FROM cust_silver")
+def rank_in_batches(spark, sf_dir):
+    """The newest row per key by ranks inside micro-batches, then over them."""
+    rows = flows.newest_in_batches(spark, sf_dir).newest(["customer_id"], "row_time")
+    return rows.select("customer_id", "balance", "country", "row_time")
+
+
+@query("catalog_profile", " UNION ALL ".join(f"SELECT 'spark_catalog' AS catalog, '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
+def catalog_profile(spark, sf_dir):
+    """Row counts of the tables that the catalog lists, from their stored statistics."""
+    return catalog_tables.profile(spark, flows.listed_tables(spark, sf_dir))

@@ -6,20 +6,22 @@ its sink is a ``BatchLog``, so running it again takes new files only.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import ltz
-from ..operators import quality
+from ..operators import catalog_tables, quality
 from ..operators.erasure import erase
 from ..operators.joins import lookup_join
 from ..operators.keyed import latest_per_key
 from ..operators.sorted_store import write_sorted
-from ..session import fresh_path, path_exists, prepare, table_root, touch
+from ..session import dataset_tag, fresh_path, path_exists, prepare, table_root, touch, work_path
 from ..sources.bookstore import books_payload, country_lookup, customers_payload, orders_payload
 from ..sources.robust_stream import EvolvingTable, evolving_ingest, line_stream, split_stream, with_restarts
-from ..sources.tables import load
+from ..sources.tables import TABLES, load, table_path
 from ..streaming.batches import BatchLog
 from ..streaming.history import AutoCdcLog, Scd2Log
 from ..streaming.newest_join import newest_join, newest_view
@@ -227,7 +229,7 @@ def evolving_lines(spark: SparkSession, sf_dir: str, mode: str) -> tuple[Evolvin
         def run() -> None:
             evolving_ingest(line_stream(spark, f"{root}/landing"), table, mode, f"{root}/_checkpoint")
 
-        if mode == "failOnNewColumns" and step:
+        if mode == "failOnNewColumns":
             try:
                 run()
             except Exception as x:
@@ -248,3 +250,77 @@ def split_lines(spark: SparkSession, sf_dir: str) -> tuple[BatchLog, BatchLog]:
         load(spark, sf_dir, "events").select("event_type", json_line().alias("value")).write.mode("overwrite").partitionBy("event_type").text(f"{root}/landing")
     return split_stream(line_stream(spark, f"{root}/landing", max_files=4), T.StructType.fromDDL(LINE_SCHEMA),
                         f"{root}/good", f"{root}/bad", f"{root}/_checkpoint", required=["k"])
+
+
+CUSTOMER_STEPS = 40
+
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> AutoCdcLog:
+    """Changes of the customers, deletes included, in ``CUSTOMER_STEPS`` batches (CDC-7, CDC-9)."""
+    prepare(spark)
+    root = f"{table_root(spark, sf_dir)}/customer-changes-{CUSTOMER_STEPS}"
+    rows = lookup_join(customers_payload(spark, sf_dir), country_lookup(spark, sf_dir), F.col("country_code") == F.col("code")).select(
+        "customer_id", "balance", "country", "row_status", "row_time")
+    t = F.unix_micros("row_time")
+    lo, hi = rows.agg(F.min(t), F.max(t)).first()
+    log = AutoCdcLog(spark, f"{root}/table", rows.schema, ["customer_id"], "row_time", except_columns=["row_status"], delete_when="row_status = 'delete'")
+    if lo is None:
+        return log
+    landing = f"{root}/landing"
+    if not path_exists(spark, f"{landing}/_SUCCESS"):  # one job lands all steps
+        step = F.floor((t - lo) * CUSTOMER_STEPS / (hi - lo + 1))
+        rows.withColumn("step", step).repartition("step").write.mode("overwrite").partitionBy("step").parquet(landing)
+    for s in range(CUSTOMER_STEPS):  # a batch each, in the order of time
+        if path_exists(spark, f"{landing}/step={s}") and not path_exists(spark, f"{log.log.path}/batch={s}/_SUCCESS"):
+            log.append(spark.read.schema(rows.schema).parquet(f"{landing}/step={s}"), s)
+    return log
+
+
+def late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of two landings, the second of which is late: what the watermark has passed is dropped (STR-8)."""
+    prepare(spark)
+    root = f"{table_root(spark, sf_dir)}/late-windows"
+    events = ltz(load(spark, sf_dir, "events")).select("event_id", "ts", "event_type")
+    agg = None
+    for step in range(2):
+        part = f"{root}/landing/step={step}"
+        if not path_exists(spark, f"{part}/_SUCCESS"):
+            events.filter(F.col("event_id") % 2 == step).write.mode("overwrite").parquet(part)
+        agg = (_files(spark, f"{root}/landing", events.schema).withWatermark("ts", "10 minutes")
+               .groupBy(F.window("ts", "5 minutes").alias("w"), "event_type").agg(F.count("event_id").alias("n")))
+        drain(agg.writeStream.outputMode("append"), f"{root}/_checkpoint", to_path=f"{root}/table")
+    return spark.read.schema(agg.schema).parquet(f"{root}/table")
+
+
+def newest_in_batches(spark: SparkSession, sf_dir: str) -> BatchLog:
+    """The newest row per customer of each micro-batch: a rank is not allowed on a stream, so it runs inside
+    ``foreachBatch`` (WIN-3)."""
+    prepare(spark)
+    root = f"{table_root(spark, sf_dir)}/newest-in-batches"
+    path = land(customer_rows(spark, sf_dir), f"{root}/landing", "row_time")
+    stream = landed_stream(spark, path)
+    log = BatchLog(spark, f"{root}/table", stream.schema)
+    drain(stream.writeStream.foreachBatch(lambda mb, i: log.append(latest_per_key(mb, ["customer_id"], "row_time", ties=False), i)), f"{root}/_checkpoint")
+    return log
+
+
+def checked_insert(log: BatchLog, rows: DataFrame, constraints: dict[str, str], batch_id: int) -> bool:
+    """Insert all rows or, if one violates a constraint, none; returns whether they were inserted (SNK-7)."""
+    try:
+        quality.check_constraints(rows, constraints)
+    except quality.ConstraintViolation:
+        return False
+    log.append(rows, batch_id)
+    return True
+
+
+def listed_tables(spark: SparkSession, sf_dir: str) -> str:
+    """The given tables in the catalog, analyzed; returns the database (MNT-1, MNT-3)."""
+    prepare(spark)
+    tag = dataset_tag(spark, sf_dir)
+    database = "given_" + re.sub(r"\W", "_", tag)
+    catalog_tables.register(spark, database, work_path(spark, "catalog", tag), {t: table_path(sf_dir, t) for t in TABLES})
+    for t in TABLES:
+        if catalog_tables.row_count(spark, database, t) is None:
+            catalog_tables.analyze(spark, database, t)
+    return database

@@ -51,9 +51,9 @@ def raw_stream(spark: SparkSession, landing: str, *, max_files: int | None = Non
 
 
 def ingest_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str, *,
-                  max_files: int | None = None) -> str:
+                  max_files: int | None = None, max_bytes: int | None = None) -> str:
     """Stream landed files into bronze, partitioned by (topic, year_month)."""
-    stream = with_bronze_columns(raw_stream(spark, landing, max_files=max_files))
+    stream = with_bronze_columns(raw_stream(spark, landing, max_files=max_files, max_bytes=max_bytes))
     drain(stream.writeStream.partitionBy("topic", "year_month").outputMode("append"),
           checkpoint, to_path=bronze)
     return bronze

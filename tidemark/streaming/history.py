@@ -61,8 +61,14 @@ class AutoCdcLog:
         """Keep the changes of one micro-batch, each once."""
         self.log.append(changes.select(*self.names).dropDuplicates(), batch_id)
 
-    def scd2(self) -> DataFrame:
-        return cdc.scd2_rows(cdc.apply_changes_scd2(None, self.log.read().select(*self.names), self.keys, self.sequence, **self.options))
+    def rows(self, upto: int | None = None) -> DataFrame:
+        """Changes of all batches, or of those up to one."""
+        rows = self.log.read()
+        return (rows if upto is None else rows.filter(F.col("batch") <= upto)).select(*self.names)
 
-    def scd1(self) -> DataFrame:
-        return cdc.scd1_rows(cdc.apply_changes_scd1(None, self.log.read().select(*self.names), self.keys, self.sequence, **self.options))
+    def scd2(self, upto: int | None = None) -> DataFrame:
+        return cdc.scd2_rows(cdc.apply_changes_scd2(None, self.rows(upto), self.keys, self.sequence, **self.options))
+
+    def scd1(self, upto: int | None = None) -> DataFrame:
+        """The state after all batches, or after one."""
+        return cdc.scd1_rows(cdc.apply_changes_scd1(None, self.rows(upto), self.keys, self.sequence, **self.options))
