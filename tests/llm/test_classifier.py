@@ -79,3 +79,32 @@ def test_temperature_makes_probabilities_honest():
     for lo in (0.1, 0.3, 0.5, 0.7):
         part = (s >= lo) & (s < lo + 0.2)
         assert abs(s[part].mean() - p[part].mean()) < 0.12
+
+
+def test_contexts_match_a_plain_loop(spark):
+    rnd = random.Random(1)
+    texts = [" ".join(rnd.choices(["ab", "Cd", "$$$", "9x", "é", "aAbB1-"], k=rnd.randrange(0, 30))) for _ in range(40)] + [None, "", "one"]
+    place, sign = op.index_vectors()
+    want = np.zeros((op.BUCKETS, op.WIDTH))
+    for t in texts:
+        w = op.RUN.findall((t or "").encode())
+        for seq in ([op.bucket(x) for x in w], [op.bucket(op.shape_of(x)) for x in w]):
+            for i, x in enumerate(seq):
+                for j in range(max(0, i - op.REACH), min(len(seq), i + op.REACH + 1)):
+                    if j != i:
+                        want[x, place[seq[j]]] += sign[seq[j]]
+    want /= np.maximum(1e-9, np.linalg.norm(want, axis=1, keepdims=True))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    assert np.allclose(op.word_vectors(docs.mapInArrow(op._split, op._ROWS)), want, atol=1e-6)
+
+
+def test_a_text_longer_than_a_segment(monkeypatch):
+    texts = [b"ab cd " * 50, None, b"x " * 7, b"Cd ef $$ " * 40]
+    vectors = np.random.default_rng(0).normal(size=(op.BUCKETS, op.WIDTH)).astype(np.float32)
+    whole = op.pooled(texts, vectors)
+    monkeypatch.setattr(op, "SEGMENT", 11)
+    assert np.allclose(op.pooled(texts, vectors), whole, rtol=1e-4, atol=1e-5)
+
+
+def test_shapes_of_long_words():
+    assert op.shape_of(b"a" * 200 + b"B1") == b"\x00aA9" and op.shape_of(b"aB1-cD") == b"\x00aA9-" and op.shape_of("éa".encode()) == b"\x00a"

@@ -3,8 +3,9 @@
 1. Words hash to a fixed number of buckets; each bucket has a sparse random index vector, and its
    context vector is the sum of the index vectors of all words up to ``REACH`` places away, over
    the whole corpus. A task sums its documents into one matrix; stripes of it are
-   summed per stripe. The matrix has a fixed size, so it may go to every task.
-2. Each document is pooled: mean and spread of its words' vectors, mean of the vectors of their
+   summed per stripe. The matrix has a fixed size, so it may go to every task. The same pass
+   stores the buckets of each document's words, so texts are split once.
+2. Each document is pooled from its buckets: mean and spread of its words' vectors, mean of the vectors of their
    shapes (letter case, digits, signs), length, and share of distinct words.
 3. A two-layer network learns from about ``SAMPLE`` labelled documents at most, taken by hash of their id; a
    fifth of these is kept apart to fit the temperature of its probabilities.
@@ -37,18 +38,16 @@ SAMPLE = 20_000
 HIDDEN, EPOCHS, RATE, DECAY = 24, 400, 0.01, 1e-3
 THRESHOLD = 0.3
 RUN = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0D]+")
-SHAPES = bytes.maketrans(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", b"a" * 26 + b"A" * 26 + b"9" * 10)
+SHAPES = bytes.maketrans(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + bytes(range(128, 256)), b"a" * 26 + b"A" * 26 + b"9" * 10 + b"a" * 128)
+REPEATS = re.compile(rb"(.)\1+", re.S)
+#: Changes of case and kind that a shape tells: with more, each random string would have a shape of its own.
+SIGNS = 4
 N_FEATURES = 3 * WIDTH + 3
 
 
 def shape_of(word: bytes) -> bytes:
-    """Up to four signs that tell lower and upper case, digits and others, without repeats."""
-    out = bytearray()
-    for c in word[:40].translate(SHAPES):
-        c = 0x61 if c >= 0x80 else c
-        if not out or out[-1] != c:
-            out.append(c)
-    return b"\x00" + bytes(out[:4])
+    """The first ``SIGNS`` signs, without repeats, that tell lower and upper case, digits and others of a word."""
+    return b"\x00" + REPEATS.sub(rb"\1", word.translate(SHAPES))[:SIGNS]
 
 
 def bucket(word: bytes) -> int:
@@ -65,52 +64,75 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 def _tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word buckets and shape buckets of all texts, the owner of each word, and distinct words per text."""
     words: dict[bytes, int] = {}
-    get = words.setdefault
     ids, n, distinct = [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
         w = RUN.findall(t) if t else []
-        ids.append(np.fromiter((get(x, len(words)) for x in w), np.int64, len(w)))
-        n[i], distinct[i] = len(w), len(set(w))
-    flat = np.concatenate(ids) if ids else np.empty(0, np.int64)
+        own = set(w)
+        for x in own.difference(words):
+            words[x] = len(words)
+        ids.append(np.fromiter(map(words.__getitem__, w), np.int32, len(w)))
+        n[i], distinct[i] = len(w), len(own)
+    flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
     by_word = np.fromiter(map(bucket, words), np.int64, len(words))
-    by_shape = np.fromiter((bucket(shape_of(w)) for w in words), np.int64, len(words))
+    shapes: dict[bytes, int] = {}
+    by_shape = np.fromiter((shapes.get(x) or shapes.setdefault(x, bucket(x)) for x in map(shape_of, words)), np.int64, len(words))
     return by_word[flat], by_shape[flat], np.repeat(np.arange(len(texts)), n), distinct
 
 
-def _contexts(batches):
+def add_contexts(total: np.ndarray, word: np.ndarray, shape: np.ndarray, owner: np.ndarray) -> None:
+    """Add the index vectors of near words to ``total``, which counts positive and negative components apart."""
     place, sign = index_vectors()
-    total = np.zeros(BUCKETS * WIDTH, np.int64)
+    slot = [np.ascontiguousarray(place[:, j] + WIDTH * (sign[:, j] < 0)) for j in range(NONZERO)]
+    for seq in (word, shape):
+        for d in range(1, REACH + 1):
+            near = owner[:-d] == owner[d:]
+            a, c = seq[:-d][near], seq[d:][near]
+            for x, y in ((a, c), (c, a)):
+                base = x * (2 * WIDTH)
+                for j in range(NONZERO):
+                    total += np.bincount(base + slot[j][y], minlength=len(total))
+
+
+_ROWS = "g int, blob binary, doc_id long, words long, distinct long"
+
+
+def _split(batches):
+    """A row per text with its buckets, and the summed contexts in stripes (``g``)."""
+    total = np.zeros(BUCKETS * 2 * WIDTH, np.int64)
     for b in slices(batches, "text", CHUNK):
-        word, shape, owner, _ = _tokens(as_bytes(b.column("text")))
-        for seq in (word, shape):
-            for d in range(1, REACH + 1):
-                near = owner[:-d] == owner[d:]
-                a, c = seq[:-d][near], seq[d:][near]
-                for x, y in ((a, c), (c, a)):
-                    for j in range(NONZERO):
-                        total += np.bincount(x * WIDTH + place[y, j], sign[y, j], BUCKETS * WIDTH).astype(np.int64)
-    part = np.split(total.astype(np.int32), STRIPES)
-    yield blob_rows([(i, pack(p)) for i, p in enumerate(part) if p.any()])
-
-
-def word_vectors(docs: DataFrame) -> np.ndarray:
+        word, shape, owner, distinct = _tokens(as_bytes(b.column("text")))
+        add_contexts(total, word, shape, owner)
+        n = np.bincount(owner, minlength=b.num_rows)
+        ends = np.cumsum(n)
+        word, shape = word.astype(np.uint16), shape.astype(np.uint16)
+        blobs = [pack(word[hi - k:hi], shape[hi - k:hi]) for k, hi in zip(n.tolist(), ends.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int32()), pa.array(blobs, pa.binary()), b.column("doc_id"), pa.array(n, pa.int64()), pa.array(distinct, pa.int64())],
+                                         ["g", "blob", "doc_id", "words", "distinct"])
+    total = total.reshape(BUCKETS, 2, WIDTH)
+    part = np.split((total[:, 0] - total[:, 1]).ravel(), STRIPES)
+    rows = blob_rows([(i, pack(p)) for i, p in enumerate(part) if p.any()])
+    none = pa.nulls(rows.num_rows, pa.int64())
+    yield pa.RecordBatch.from_arrays([*rows.columns, none, none, none], ["g", "blob", "doc_id", "words", "distinct"])
+
+
+def word_vectors(split: DataFrame) -> np.ndarray:
     """The context matrix of the corpus, rows scaled to length 1; its size doesn't depend on the data."""
     def total(t: pa.Table) -> pa.Table:
-        s = sum(unpack(b, np.int32)[0].astype(np.int64) for b in t.column("blob").to_pylist())
+        s = sum(unpack(b, np.int64)[0] for b in t.column("blob").to_pylist())
         return pa.table({"g": pa.array([t.column("g")[0].as_py()], pa.int32()), "blob": pa.array([pack(s)], pa.binary())})
 
     out = np.zeros((STRIPES, BUCKETS * WIDTH // STRIPES))
-    for r in docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_contexts, BLOBS).groupBy("g").applyInArrow(tidy(total), BLOBS).collect():
+    for r in split.filter("g is not null").select("g", "blob").groupBy("g").applyInArrow(tidy(total), BLOBS).collect():
         out[r.g] = unpack(r.blob, np.int64)[0]
     out = out.reshape(BUCKETS, WIDTH)
     return (out / np.maximum(1e-9, np.linalg.norm(out, axis=1, keepdims=True))).astype(np.float32)
 
 
-def pooled(texts: list[bytes | None], vectors: np.ndarray) -> np.ndarray:
-    """Features of the texts."""
-    word, shape, owner, distinct = _tokens(texts)
-    n = np.bincount(owner, minlength=len(texts)).astype(np.float64)
-    sums = np.zeros((len(texts), 3, WIDTH))
+def pool(word: np.ndarray, shape: np.ndarray, owner: np.ndarray, distinct: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Features of texts from the buckets of their words."""
+    texts = len(distinct)
+    n = np.bincount(owner, minlength=texts).astype(np.float64)
+    sums = np.zeros((texts, 3, WIDTH))
     for lo in range(0, len(word), SEGMENT):
         o = owner[lo:lo + SEGMENT]
         begin = np.flatnonzero(np.concatenate(([True], o[1:] != o[:-1])))
@@ -122,6 +144,11 @@ def pooled(texts: list[bytes | None], vectors: np.ndarray) -> np.ndarray:
     return np.column_stack([mean[:, 0], spread, mean[:, 2], np.log1p(n), np.linalg.norm(mean[:, 0], axis=1), distinct / np.maximum(1, n)]).astype(np.float32)
 
 
+def pooled(texts: list[bytes | None], vectors: np.ndarray) -> np.ndarray:
+    """Features of the texts."""
+    return pool(*_tokens(texts), vectors)
+
+
 class Network:
     """Two layers with a calibrated temperature."""
 
@@ -179,14 +206,18 @@ def held_out(doc_id: Column) -> Column:
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    vectors = word_vectors(src)
+    split = stored(src.mapInArrow(_split, _ROWS), "words")
+    vectors = word_vectors(split)
 
     def features(batches):
-        for b in slices(batches, "text", CHUNK):
-            x = pooled(as_bytes(b.column("text")), vectors)
+        for b in slices(batches, "blob", CHUNK // 4):
+            found = [unpack(x, np.uint16, np.uint16) for x in b.column("blob").to_pylist()]
+            word, shape = (np.concatenate([f[i] for f in found] or [np.empty(0, np.uint16)]) for i in range(2))
+            owner = np.repeat(np.arange(b.num_rows), b.column("words").to_numpy(zero_copy_only=False))
+            x = pool(word, shape, owner, b.column("distinct").to_numpy(zero_copy_only=False), vectors)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "x"])
 
-    rows = stored(src.mapInArrow(features, "doc_id long, x binary"), "pooled")
+    rows = stored(split.filter("g is null").select("blob", "doc_id", "words", "distinct").mapInArrow(features, "doc_id long, x binary"), "pooled")
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)")
              .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y")))
     known = rows.join(known, "doc_id")
