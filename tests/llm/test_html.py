@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from tidemark.llm import html_op as op
 
 SCHEMA = "page_id long, url string, html string, text string, n_chars int"
@@ -35,6 +37,27 @@ def test_pages_without_semantic_elements():
     assert op.main_text(page) == f"Head\n\n{P1}\n\n{P2}\n\n{P1}"
 
 
+PROSE = [f"Paragraph {i} of the article says something, at some length, and then it ends in a full stop." for i in range(6)]
+ARTICLE = "<article>" + "".join(f"<p>{p}</p>" for p in PROSE) + "</article>"
+AROUND = "<header><a href=/>Site</a></header>{}<footer><p>Imprint, privacy, terms and so on, of course.</p></footer>"
+
+
+@pytest.mark.parametrize("page", [
+    "{}", '<div class="has-sidebar">{}</div>', '<main>{}<section class="toc-section"><p>One, two, three.</p></section></main>', '<div class="content-sidebar-wrap">{}</div>',
+    '<div class="content-sidebar-wrap"><main>{}</main><div class="sidebar"><p>Another story, which goes on, and on.</p></div></div>',
+    '<div class="post comments-open">{}<div class="comments"><p>Great post, I liked it, thanks.</p></div></div>', '<form id="aspnetForm">{}</form>',
+    '<div class="layout layout--related">{}</div>', '<div id="modal-root">{}</div>', '<div role="dialog"><div class="overlay">{}</div></div>'])
+def test_an_article_in_a_marked_wrapper(page):
+    for around in ("<body>{}</body>", f"<body>{AROUND}</body>"):
+        assert op.main_text(around.format(page.format(ARTICLE))) == "\n\n".join(PROSE)
+
+
+def test_marked_elements_beside_the_article_stay_out():
+    for mark in ('<div class="comments">{}</div>', "<form>{}</form>", '<div role="dialog">{}</div>', '<div id="related-posts">{}</div>'):
+        aside = mark.format("".join(f"<p>Reader {i} has something to say here, too, and says it.</p>" for i in range(5)))
+        assert op.main_text(f"<body>{ARTICLE}{aside}</body>") == "\n\n".join(PROSE)
+
+
 def test_broken_markup():
     assert op.main_text(f"<article><p><b>{P1}<br>x<p>{P2}</i></div>") == f"{P1} x\n\n{P2}"
     assert op.main_text(f"<article><p title='a>b' data=\"<p>\">{P1}</p><!-- <p>no</p> --><p>{P2}") == f"{P1}\n\n{P2}"

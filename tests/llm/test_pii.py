@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import pii_op as op
 
@@ -165,3 +166,14 @@ def test_empty_table_and_plan(spark):
     assert run(spark, []) == [] and op.masked(frame(spark, [])).collect() == []
     text = op.find(frame(spark, [(1, "a@b.c")]))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_contexts_are_whole_words(spark):
+    long = "w" * 30_000
+    rows = [(f"a {long}b {long}: ", f"{long}b", f"{long}b {long}:"), (f"{long} ", "", f"{long}"), (" x\t\n", "", "x"), ("", "", ""), ("one two three", "", "two three")]
+    df = spark.createDataFrame([(r[0],) for r in rows], "left string").select("left", op.last_words(F.col("left")).alias("last"))
+    df = df.withColumn("one", op.words_before(F.col("last"), 1)).withColumn("two", op.words_before(F.col("last"), 2))
+    for r in df.collect():
+        words = r.left.split()
+        assert r.last.split() == words[-2:]
+        assert r.one == (words[-1] if words else "") and r.two == (" ".join(words[-2:]) if len(words) > 1 else "")

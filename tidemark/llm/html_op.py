@@ -6,7 +6,8 @@ with a Gaussian, fused, and thresholded by their own spread, which selects conte
 prose shares few paths with long, punctuated nodes, boilerplate many with
 short ones. The region is the deepest element that holds most of the selected text; its
 blocks are the article, but for elements that say what they are (navigation, forms, ...)
-and for blocks of nothing but links.
+and for blocks of nothing but links. What a class, id or role says, or a form, doesn't count for an element around the
+article: one that holds a main element or ``HOLDS`` of the text that the ratios select on the page.
 
 Pages are independent: one pass, no shuffle; memory is bounded by ``CHUNK`` bytes of
 markup or one page. Markup need not be well formed: unclosed or stray tags, comments and
@@ -66,30 +67,39 @@ SPACES = re.compile(r"\s+")
 RADIUS, SIGMA, SPREAD = 2, 1.0, 0.4
 KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(-RADIUS, RADIUS + 1)]
 REGION_SHARE = 0.7
+HOLDS = 0.9
 
+#: What an element says of itself: nothing, not the article unless it holds it, not the article.
+PLAIN, MARKED, OUT = 0, 1, 2
 
-def _excluded(tag: str, attrs: str, in_article: bool) -> bool:
+
+def _excluded(tag: str, attrs: str, in_article: bool) -> int:
+    if tag == "form":
+        return MARKED
     if tag in NOT_ARTICLE or (tag == "header" and not in_article):
-        return True
+        return OUT
     if not attrs or tag in WHOLE:
-        return False
+        return PLAIN
+    says = PLAIN
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
-            return True
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            return OUT
+        if name == "role" and value in ROLES:
+            says = MARKED
         if name in ("class", "id"):
             for word in value.split():
                 parts = re.split(r"[^a-z0-9]+", word)
                 if parts[0] not in PROPERTY and not HINTS.isdisjoint(parts):
-                    return True
-    return False
+                    says = MARKED
+    return says
 
 
 class _Page:
     """Text nodes of a page. Elements are numbered; ``parent``, ``tag`` and ``path`` by number."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.out, self.depth_tags = [-1], ["#"], [0], [False], []
+        self.parent, self.tag, self.path, self.says = [-1], ["#"], [0], [PLAIN]
         self.paths: dict[tuple[int, str], int] = {}
         self.nodes: list[tuple[int, int, str, bool]] = []  # element, block, text, in a link
         self.block = 0
@@ -103,7 +113,7 @@ class _Page:
         self.parent.append(top)
         self.tag.append(tag)
         self.path.append(self.paths.setdefault((self.path[top], tag), len(self.paths) + 1))
-        self.out.append(self.out[top] or _excluded(tag, attrs, self.articles > 0))
+        self.says.append(OUT if self.says[top] == OUT else _excluded(tag, attrs, self.articles > 0))
         self.open.append(len(self.tag) - 1)
         self.links += tag == "a"
         self.articles += tag in ("article", "main")
@@ -191,23 +201,56 @@ def _content(page: _Page, nodes: list[tuple[int, int, str, bool]]) -> list[bool]
     return [x >= SPREAD * spread for x in fused]
 
 
+def _below(page: _Page, own: list[int]) -> list[int]:
+    """Sums of ``own`` over each element and all below it: children have larger numbers than their parents."""
+    for el in range(len(own) - 1, 0, -1):
+        own[page.parent[el]] += own[el]
+    return own
+
+
+def _outside(page: _Page) -> list[bool]:
+    """Which elements are not of the article by what they or those around them say."""
+    says, parent = page.says, page.parent
+    marked = [el for el, s in enumerate(says) if s == MARKED]
+    holds: set[int] = set()
+    if marked:
+        nodes = [n for n in page.nodes if says[n[0]] != OUT and not n[2].isspace()]
+        size, mains = [0] * len(says), [0] * len(says)
+        for el, _, text, _ in nodes:
+            size[el] += len(text)
+        size = _below(page, size)
+        for el, tag in enumerate(page.tag):
+            mains[el] = tag == "main" and size[el] > 0
+        mains = _below(page, mains)
+        holds = {el for el in marked if mains[el]}
+        if any(2 * size[el] >= size[0] for el in marked):  # else none can hold the text
+            selected = [0] * len(says)
+            for (el, _, text, _), yes in zip(nodes, _content(page, nodes), strict=True):
+                selected[el] += len(text) * yes
+            selected = _below(page, selected)
+            holds |= {el for el in marked if selected[el] >= HOLDS * selected[0] > 0}
+    out = [False] * len(says)
+    for el in range(1, len(says)):
+        out[el] = out[parent[el]] or says[el] == OUT or says[el] == MARKED and el not in holds
+    return out
+
+
 def main_text(source: str | None) -> str:
     """The article's blocks, joined by an empty line."""
     if not source:
         return ""
     page = _Page(source)
-    nodes = [n for n in page.nodes if not page.out[n[0]]]
+    outside = _outside(page)
+    nodes = [n for n in page.nodes if not outside[n[0]]]
     full = [n for n in nodes if not n[2].isspace()]
     if not full:
         return ""
     chosen = _content(page, full)
 
-    # selected text below each element; children have larger numbers than their parents
     weight = [0] * len(page.tag)
     for (el, _, text, _), yes in zip(full, chosen, strict=True):
         weight[el] += len(text) * yes
-    for el in range(len(weight) - 1, 0, -1):
-        weight[page.parent[el]] += weight[el]
+    weight = _below(page, weight)
     region = max((el for el in range(len(weight)) if weight[el] >= REGION_SHARE * weight[0]), default=0)
     # a paragraph is no region: its article, or what surrounds it, is
     up = region

@@ -92,6 +92,15 @@ def matches(df: DataFrame, regex: str, out: str, need: str | None = None) -> Dat
     return df.withColumn(out, F.when(some, found).otherwise(F.array().cast("array<struct<start:int,hit:string,left:string>>"))).drop("_hit", "_gap", "_len", "_at")
 
 
+#: Possessive, and tried at the start of words only: linear in the text, however long a word is.
+_WORD, _SPACE = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+
+
+def last_words(left: Column) -> Column:
+    """The last two words of what stands before, whole, with the space after them: all that contexts use."""
+    return F.regexp_extract(left, rf"(?<!{_WORD})(?:{_WORD}++{_SPACE}++)?{_WORD}++{_SPACE}*+$", 0)
+
+
 def digits(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]", "")
 
@@ -112,7 +121,7 @@ def valid(kind: Column, hit: Column) -> Column:
 def _as_spans(found: Column, k: int) -> Column:
     """Matches of one kind that hold, as spans."""
     return F.transform(F.filter(found, lambda m: valid(F.lit(KINDS[k]), m["hit"])), lambda m: F.struct(
-        m["start"].alias("start"), F.lit(k).alias("k"), (m["start"] + F.length(m["hit"])).alias("end"), m["hit"].alias("hit"), F.right(m["left"], F.lit(80)).alias("left")))
+        m["start"].alias("start"), F.lit(k).alias("k"), (m["start"] + F.length(m["hit"])).alias("end"), m["hit"].alias("hit"), last_words(m["left"]).alias("left")))
 
 
 def base_spans(df: DataFrame) -> DataFrame:
@@ -130,7 +139,7 @@ def shape_of(hit: Column) -> Column:
 
 def words_before(left: Column, n: int) -> Column:
     """The last ``n`` words of what stands before, in lower case; empty if there are fewer."""
-    return F.lower(F.regexp_extract(left, r"(?:^|[\x20\x09-\x0D])(" + r"[\x20\x09-\x0D]+".join([r"[^\x20\x09-\x0D]+"] * n) + r")[\x20\x09-\x0D]*$", 1))
+    return F.lower(F.regexp_extract(left, rf"(?<!{_WORD})({_WORD}++(?:{_SPACE}++{_WORD}++){{{n - 1}}}){_SPACE}*+$", 1))
 
 
 def ends_before(spans: Column) -> Column:
@@ -162,7 +171,7 @@ def candidates(df: DataFrame) -> DataFrame:
         F.lit("x"), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], upto))))).otherwise(F.col("text"))).drop("_upto")
     df = matches(matches(df, RUNS, "_runs", "[0-9]"), SPELLED, "_spelled", "[\\[(][aA][tT]")
     # tokens of each run, where they start and the digits before them, then the pieces that start at each token
-    run = F.transform("_runs", lambda m: F.struct(m["start"].alias("start"), F.right(m["left"], F.lit(80)).alias("left"), F.split(m["hit"], SPLIT).alias("tok")))
+    run = F.transform("_runs", lambda m: F.struct(m["start"].alias("start"), last_words(m["left"]).alias("left"), F.split(m["hit"], SPLIT).alias("tok")))
     run = F.transform(run, lambda m: m.withField("at", running(F.transform(m["tok"], lambda t: F.length(t) + 1), lambda a, b: a + b)))
     run = F.transform(run, lambda m: m.withField("n", F.transform(m["tok"], lambda t: F.length(digits(t)))))
     run = F.transform(run, lambda m: m.withField("upto", F.zip_with(running(m["n"], lambda a, b: a + b), m["n"], lambda a, b: a + b)))
@@ -177,7 +186,7 @@ def candidates(df: DataFrame) -> DataFrame:
                               lambda e: (e["i"] == 0) | e["n"].between(*DIGITS))
     pieces = F.flatten(F.transform(tokens, lambda t: F.transform(ends(t), lambda e: F.struct(
         t["start"].alias("start"), F.array_join(F.concat(F.slice(t["next"], F.lit(1), e["i"]), F.array(F.substring_index(F.get(t["next"], e["i"]), " ", 1))), " ").alias("hit"), t["left"].alias("left")))))
-    whole = F.transform("_spelled", lambda m: F.struct(m["start"].alias("start"), m["hit"].alias("hit"), F.right(m["left"], F.lit(80)).alias("left")))
+    whole = F.transform("_spelled", lambda m: F.struct(m["start"].alias("start"), m["hit"].alias("hit"), last_words(m["left"]).alias("left")))
     def possible(c: Column) -> Column:
         h = c["hit"]
         return ~h.rlike(r"^\x20|\x20$") & ((F.length(digits(h)) >= 7) | h.rlike(r"[\[(][aA][tT][\])]"))
