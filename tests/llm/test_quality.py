@@ -115,3 +115,41 @@ def test_filter_keeps_columns_and_repeated_rows(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert op.rate(df).collect() == [] and op.keep_good(df).collect() == []
+
+
+SCRIPTS = {"Cyrillic": 0x430, "Greek": 0x3B0, "Arabic": 0x627, "Devanagari": 0x915, "Thai": 0xE01, "Georgian": 0x10D0}
+
+
+def in_script(text, first):
+    """The same text, letters replaced one for one."""
+    return text.lower().translate({ord("a") + i: chr(first + i) for i in range(26)})
+
+
+def test_bands_hold_for_other_alphabets(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    good = [r.text for r in docs.join(labels.filter("quality = 1"), "doc_id").collect() if len((r.text or "").split()) >= 20]
+    packer = zstandard.ZstdCompressor(level=3)
+    rnd = random.Random(3)
+    noise = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=8000))
+    assert len(good) > 100
+    for first in SCRIPTS.values():
+        kept = [op.in_bands(packer, in_script(t, first).encode())[0] for t in good]
+        assert sum(kept) >= 0.95 * len(kept)
+        assert not op.in_bands(packer, in_script("the same words again and again " * 200, first).encode())[0]
+        # 64 letters at random, in both cases of Cyrillic; 26 at random pass in Latin too
+        assert op.in_bands(packer, in_script(noise, first).encode())[0] == op.in_bands(packer, noise.encode())[0]
+    assert not op.in_bands(packer, "".join(chr(0x410 + rnd.randrange(64)) for _ in range(6000)).encode())[0]
+
+
+def test_ideographs_keep_their_bytes():
+    rnd = random.Random(5)
+    packer = zstandard.ZstdCompressor(level=3)
+    vocab = [chr(0x4E00 + rnd.randrange(4000)) for _ in range(1500)]
+    zipf = [1 / (i + 1) for i in range(1500)]
+    text = "".join(rnd.choices(vocab, zipf, k=4000))
+    assert op.letters_as_bytes(text.encode()) == text.encode()
+    assert op.in_bands(packer, text.encode())[0]
+    assert not op.in_bands(packer, (text[:30] * 100).encode())[0]
+    assert op.letters_as_bytes("aéあ日".encode()) == b"a\xe9" + bytes([0xC0 | 0x60 & 0x3F, 0xC2]) + "日".encode()
+    assert op.letters_as_bytes(b"\xff\xfe bad") and op.letters_as_bytes(b"") == b""

@@ -4,7 +4,9 @@ Repetitive text compresses far better than prose and noise far worse, so a docum
 kept if its zstandard ratio (bytes by compressed bytes) lies within the band of its length
 class, and if at most a quarter of its bytes lie in fixed chunks outside the band of
 chunks; a short last chunk is judged by the window of a chunk's size that ends with the
-text. Base rules on words come first. One pass without a shuffle; no count limits.
+text. What is compressed is the text with one byte for a letter of any alphabet (two for a sign of a
+syllabary; ideographs and Hangul keep their three), so the bands hold for prose in all scripts and not just
+in those that UTF-8 writes with single bytes. Base rules on words come first. One pass without a shuffle; no count limits.
 
 Edge cases: a null text is the empty one; without words ``base_failed`` is true and the document goes;
 rows are independent, so repeated rows and null doc_ids give a row each.
@@ -40,6 +42,32 @@ LATER_BYTES = bytes(range(0x80, 0xC0))
 WINDOW = 8
 
 
+class _Short(dict):
+    """Code point -> its bytes for compression, as Latin-1 characters; filled as code points turn up."""
+
+    def __missing__(self, point: int) -> str:
+        low = 0x80 | point & 0x7F
+        if point < 0x80:
+            out = chr(point)
+        elif 0x1200 <= point < 0x1680 or 0x3040 <= point < 0x3200:  # Ethiopic, Cherokee, Canadian syllabics; kana
+            out = chr(0xC0 | point >> 7 & 0x3F) + chr(low)
+        elif point < 0x2E80:
+            out = chr(low)
+        else:
+            out = chr(point).encode("utf-8", "replace").decode("latin-1")
+        self[point] = out
+        return out
+
+
+SHORT = _Short()
+
+
+def letters_as_bytes(text: bytes) -> bytes:
+    """The text as the bands judge it. Blocks of alphabets are 128 code points or less, so the low seven bits
+    tell the letters of one script apart; ASCII is left as it is."""
+    return text if text.isascii() else text.decode("utf-8", "replace").translate(SHORT).encode("latin-1")
+
+
 def ratio(packer, text: bytes) -> float:
     return len(text) / len(packer.compress(text)) if text else 0.0
 
@@ -47,7 +75,8 @@ def ratio(packer, text: bytes) -> float:
 def in_bands(packer, text: bytes) -> tuple[bool, float, int, int]:
     """Verdict, ratio of the whole, number of chunks, chunks outside their band. Short pieces compress
     worse, so a last piece shorter than a chunk is judged by the last ``PART`` bytes of the text; it counts
-    by its own bytes. Texts shorter than a chunk have none."""
+    by its own bytes. Texts shorter than a chunk have none. Lengths are those of ``letters_as_bytes``."""
+    text = letters_as_bytes(text)
     _, low, high = BANDS[bisect.bisect_right([b[0] for b in BANDS], len(text)) - 1]
     whole = ratio(packer, text)
     ends = [*range(PART, len(text) + 1, PART)]
