@@ -100,6 +100,40 @@ def test_documents_of_the_mix(spark):
     assert {d: n for d, n in plan.items() if n} == dict(got)
 
 
+def test_every_shard_draws_from_all_sources(spark):
+    """Source counts of the shards are multinomial: chi-square against equal chances stays near its mean."""
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(40)), s) for i, s in enumerate(["a"] * 300 + ["b"] * 60 + [None] * 60 + ["tiny"])]
+    df = frame(spark, rows)
+    out = op.shard_counts(df, 4, 100).collect()
+    sizes, share = want_targets(rows)
+    n_shards = -(-int(sum(share.values())) // 400)
+    by = defaultdict(dict)
+    for r in out:
+        by[r.source][r.shard] = r.slots
+    assert n_shards > 40 and set(by) == set(sizes) and {s for d in by.values() for s in d} == set(range(n_shards))
+    for source in ("a", "b", None):
+        n = sum(by[source].values())
+        mean = n / n_shards
+        assert n == pytest.approx(share[source] / 4, abs=1) and len(by[source]) == n_shards
+        chi = sum((by[source].get(i, 0) - mean) ** 2 / mean for i in range(n_shards))
+        free = n_shards - 1
+        assert abs(chi - free) < 4 * (2 * free) ** 0.5
+    words_of = {s: sum(r.words for r in out if r.source == s) for s in sizes}
+    assert all(abs(words_of[s] - share[s]) < 1.01 for s in sizes)
+
+
+def test_documents_carry_their_shard(spark):
+    rows = corpus(9, 80)
+    df = frame(spark, rows)
+    want = {(r.shard, r.source): r.words for r in op.shard_counts(df, 8, 20).collect()}
+    out = op.mixed_documents(df, 8, "out_shard", shard_slots=20)
+    assert out.columns == [*df.columns, "out_shard"]
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.out_shard, r.source] += len(words(r.text))
+    assert dict(got) == want and len({s for s, _ in want}) > 5
+
+
 def test_nulls_and_repeated_rows(spark):
     rows = [(None, "a b c", "x"), (None, "a b c", "x"), (1, None, "x"), (2, "", None), (3, "p q", None), (3, "p q", None), (4, " \n", "only"), (5, "long " * 5000, "y")]
     out = op.mix(frame(spark, rows), 8).collect()
@@ -112,7 +146,7 @@ def test_nulls_and_repeated_rows(spark):
 
 def test_empty_tables(spark):
     assert op.mix(frame(spark, [])).collect() == []
-    assert op.mixed_documents(frame(spark, [])).collect() == []
+    assert op.mixed_documents(frame(spark, [])).collect() == [] and op.shard_counts(frame(spark, [])).collect() == []
     assert [tuple(r) for r in op.mix(frame(spark, [(1, None, "a")])).collect()] == [(1, 0, 0, 0.0, 0)]
 
 

@@ -2,9 +2,10 @@
 
 A source's words form a stream (its documents by doc_id), packed into blocks of
 ``block_words``. Its share of the mix is a number of slots, whole passes over its
-blocks and a part of one more, cut so that the words taken are the target. Every slot is
-dealt to an output shard by a hash, so a shard's source counts are a multinomial draw given the
-sources' totals. Within a pass a pseudorandom permutation of the source's block
+blocks and a part of one more, cut so that the words taken are the target. All sources share
+one number of output shards, by the words of the whole mix. Each slot draws its shard on its own, by a hash of source, pass and
+slot: a source's counts over the shards are a multinomial draw of its total (``shard_counts``), so
+every shard has the target mix but for the draw's noise. Within a pass a pseudorandom permutation of the source's block
 indexes (their rank by MD5) says which block a slot takes, and slots are joined to blocks by that
 index.
 
@@ -20,12 +21,16 @@ doc_id comes first in its source's stream; with no words at all every target is
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, stored
 
 BLOCK_WORDS = 1024
+#: Slots that an output shard holds on average.
+SHARD_SLOTS = 256
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
@@ -72,16 +77,14 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return per.select("source", "source_size", F.least(F.col("most").cast("double"), F.lit(float(level or 0.0)) * F.col("w")).alias("target"))
 
 
-def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, keys: tuple[str, ...] = (), **how) -> tuple[DataFrame, DataFrame]:
-    """What the mix takes.
-
-    First: a row per input row with words: doc_id, ``keys``, source, size, source_size, target, taken and
-    ``spans`` (pass, first word, words, shard). Second: the same columns for rows without words."""
+def _dealt(docs: DataFrame, block_words: int, keys: tuple[str, ...], shard_slots: int, **how) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents cut at the bounds of blocks; slots with the block, words and output shard of each; rows without words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, F.col("source").cast("string").alias("source"),
                        size(F.col("text").cast("string")).alias("size"), F.xxhash64("text").alias("_mark"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("_mark"), *[F.col(k) for k in keys]]
     rows = cut(rows, [F.col("source").asc_nulls_last(), *order], "rows")
     per = stored(targets(rows, **how), "targets").withColumnRenamed("source", "_s")
+    shards = max(1, math.ceil((per.agg(F.sum("target")).first()[0] or 0) / (block_words * shard_slots)))
     rows = rows.join(per, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     none = rows.filter("size = 0").withColumn("taken", F.lit(0).cast("long")).drop("pid", "_mark")
     stream = before(rows.filter("size > 0"), "source", order, F.col("size"), "off")
@@ -109,12 +112,27 @@ def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, keys: tuple[str, ...]
     # slots of whole passes take whole blocks; the slots of the last pass take words until the target is met
     words = F.floor(F.col("target") + 1e-6).cast("long")
     whole = F.floor(words / F.col("source_size"))
-    shards = F.greatest(F.lit(1), F.ceil(F.col("blocks") / F.lit(256)))
     start = F.col("slot") * n - F.when(F.col("tail") < F.col("slot"), F.col("short")).otherwise(0)
     rest = F.greatest(F.lit(0), F.least(n - F.col("lacks"), words - whole * F.col("source_size") - start))
     slot = (block.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), whole)))
             .withColumn("words", F.when(F.col("pass") < whole, n - F.col("lacks")).otherwise(rest)).filter("words > 0")
-            .withColumn("shard", F.pmod(F.xxhash64("source", "pass", "slot"), shards)))
+            .withColumn("shard", F.pmod(F.xxhash64(source_key, "pass", "slot"), F.lit(shards).cast("long"))))
+    return part, slot, none
+
+
+def shard_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, **how) -> DataFrame:
+    """The draw: slots and words that each output shard takes of each source; columns shard, source, slots, words."""
+    _, slot, _ = _dealt(docs, block_words, (), shard_slots, **how)
+    return slot.groupBy("shard", "source").agg(F.count(F.lit(1)).alias("slots"), F.sum("words").alias("words"))
+
+
+def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, keys: tuple[str, ...] = (), shard_slots: int = SHARD_SLOTS, **how) -> tuple[DataFrame, DataFrame]:
+    """What the mix takes.
+
+    First: a row per input row with words: doc_id, ``keys``, source, size, source_size, target, taken and
+    ``spans`` (pass, first word, words, shard). Second: the same columns for rows without words."""
+    part, slot, none = _dealt(docs, block_words, keys, shard_slots, **how)
+    n = F.lit(block_words)
     took = (slot.groupBy("source", "block").agg(F.collect_list(F.struct("pass", "words", "shard")).alias("slots"))
             .withColumnsRenamed({"source": "_s", "block": "_b"}))
 
@@ -138,9 +156,10 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, **how) -> DataFrame:
     return some.select(*cols).unionByName(none.select(*cols))
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard: str | None = None, **how) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a row per pass that takes words of a document.
-    A pass that takes all its words has the text unchanged, else the words taken, by one space."""
+    A pass that takes all its words has the text unchanged, else the words taken, by one space. With ``shard``, the name
+    of a column that is added, a row per pass and output shard: what a document's blocks bring to each shard."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     at = {c: names[docs.columns.index(c)] for c in ("doc_id", "source", "text")}
@@ -149,7 +168,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **how) -> D
     plain = plain.withColumn("_mark", F.xxhash64(at["text"])).withColumn("_twin", F.row_number().over(twins))
     some, _ = plan(plain.select(*[F.col(v).alias(k) for k, v in at.items()], F.col("_mark").alias("m"), F.col("_twin").alias("k")), block_words, ("m", "k"), **how)
     spans = some.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "m", "k", "size", F.explode("spans").alias("x"))
-    each = (spans.groupBy("_d", "_s", "m", "k", "size", F.col("x.pass").alias("pass"))
+    where = [F.col("x.pass").alias("pass")] + ([F.col("x.shard").alias("_shard")] if shard else [])
+    each = (spans.groupBy("_d", "_s", "m", "k", "size", *where)
             .agg(F.sum("x.words").alias("n"), F.array_sort(F.collect_list(F.struct("x.first", "x.words"))).alias("ranges")))
     out = plain.join(each, F.col(at["doc_id"]).cast("long").eqNullSafe(F.col("_d")) & F.col(at["source"]).cast("string").eqNullSafe(F.col("_s"))
                      & (F.col("_mark") == F.col("m")) & (F.col("_twin") == F.col("k")))
@@ -159,4 +179,6 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **how) -> D
     some_words = F.array_join(F.flatten(F.get(F.transform(F.array(words), lambda w: F.transform(
         "ranges", lambda r: F.slice(w, (r["first"] + 1).cast("int"), r["words"].cast("int")))), F.lit(0))), " ")
     out = out.withColumn(at["text"], F.when(F.col("n") == F.col("size"), text).otherwise(some_words))
+    if shard:
+        return out.select(*names, "_shard").toDF(*docs.columns, shard)
     return out.select(*names).toDF(*docs.columns)
