@@ -77,6 +77,60 @@ def test_blocks_and_hot_shingles(spark, monkeypatch):
     assert run(spark, rows) == want
 
 
+def test_partial_overlaps_sum_to_the_intersection(spark, monkeypatch):
+    """Of every pair that is counted, whatever the parts; each class has one lead."""
+    rows = corpus(11, 5, 20)
+    monkeypatch.setattr(op, "PART", 3)
+    seen = []
+    real = op.partial_sums
+    monkeypatch.setattr(op, "partial_sums", lambda *a: seen.append(real(*a)) or seen[-1])
+    df = spark.createDataFrame(rows + rows[:5], "doc_id long, text string").repartition(4)
+    found = op.jaccard_components(df, 3, 90)
+    text = {bytes(r["class"]): shingles(dict(rows)[r.doc_id], 3) for r in found.collect()}
+    sums = seen[0].collect()
+    assert len(sums) > 30 and len({bytes(r.b) for r in sums}) == len(sums)
+    for r in sums:
+        a, b = text[bytes(r.a)], text[bytes(r.b)]
+        assert (r.shared, r.n_a, r.n_b) == (len(a & b), len(a), len(b))
+    assert sorted([tuple(r) for r in op.digest(found).distinct().collect()], key=str) == brute(rows, 3, 90)
+
+
+def test_leads_that_link_with_nobody(spark):
+    """Sets that share a fragment with their lead, yet link only with each other, or by a chain: blocks decide."""
+    rnd = random.Random(12)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for f in range(6):  # the same passage, other words about it: related texts, few links
+        for c in range(6):
+            w = base[:60 + 10 * f] + [f"f{f}x{i}" for i in range(20 - 3 * f)]
+            for _ in range(c):
+                w[rnd.randrange(len(w))] = f"r{rnd.randrange(9)}"
+            rows.append((100 * f + c, " ".join(w)))
+    chain = [f"c{i}" for i in range(90)]
+    rows += [(1000 + i, " ".join(chain[2 * i:2 * i + 60])) for i in range(15)]
+    assert run(spark, rows) == brute(rows, 3, 90)
+    assert run(spark, rows, 5, 80) == brute(rows, 5, 80)
+
+
+def test_near_copies_of_one_text_need_no_blocks(spark, monkeypatch):
+    rnd = random.Random(13)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(80):
+        w = list(base)
+        w[rnd.randrange(300)] = f"z{i}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(op, "PART", 7)
+
+    def verify(*_):
+        def met(_t):
+            raise AssertionError("no cluster is open")
+        return met
+
+    monkeypatch.setattr(op, "_verify", verify)
+    assert run(spark, rows) == brute(rows, 3, 90)
+
+
 def test_exact_threshold_of_small_sets(spark):
     w = [f"v{i}" for i in range(12)]
     rows = [(1, " ".join(w)), (2, " ".join(w[:-1])), (3, " ".join(w[:10])), (4, "x"), (5, "X"), (6, "x y"), (7, "y x"), (8, "x y z")]

@@ -3,22 +3,27 @@
 The global order of all shingles (by 64-bit hash) is cut into fragments, the same for all
 documents of a size class. Sets with a Jaccard similarity of ``percent`` or more differ in few
 shingles, which touch few fragments, so some fragment is equal in both: equal
-fragments give the candidates, exactly. For those, partial overlaps are counted fragment by
-fragment and summed per pair.
+fragments give the candidates, exactly. Partial overlaps of candidates are counted by a task per
+fragment, and Spark sums them per pair.
 
 1. Each document's set has a 128-bit fingerprint (equal sets form a class and are compared
    once) and a key for each fragment, packed and dealt by hash.
-2. Each hash group sorts its keys and links the members of a key to the first of them. The
+2. Each hash group sorts its keys and links the members of a key to the first of them, its lead. The
    components of these edges are clusters; every link lies within one.
-3. Classes of a cluster, cut into blocks of at most about ``BLOCK``, meet in pairs of
-   blocks: a matrix of overlaps grows by one fragment of the order at a time. A task
+3. Each class is paired with the lead that it shares most keys with, if sizes allow a link: one pair a class. The
+   order is cut into ``CUTS`` ranges, each set into segments; segments of a lead and of up to ``PART`` of
+   its classes meet by range, are counted, and the partial overlaps of a pair are summed by a ``groupBy``.
+   Sums that reach the threshold are links.
+4. A cluster that these links hold together is done: more links would change nothing. Classes of the
+   others, cut into blocks of at most about ``BLOCK``, meet in pairs of
+   blocks, which decides all their pairs: a matrix of overlaps grows by one fragment of the order at a time. A task
    returns a star per component that it finds, never its pairs.
-4. Components of the stars, joined to the classes, give each document's.
+5. Components of the links, joined to the classes, give each document's.
 
 Hot groups. Copies fall into one class, pre-aggregated per task. A passage that many documents
 hold would make fragments of only its shingles equal: shingles in hot slots of a
-counting sketch don't make a usable fragment on their own. A class of 10 % of a corpus that is near to itself is
-compared in blocks, its rows being read once per other block.
+counting sketch don't make a usable fragment on their own. A lead with very many classes is sent to each ``PART`` of
+them, so near copies of one text cost what they weigh. Only in a cluster that stays open are rows read once per other block.
 
 Edge cases: a null or empty text has the empty set and links with nothing (its component is its
 own doc_id); rows that repeat a doc_id are compared by their own text, and a row's component is the smallest
@@ -43,6 +48,9 @@ from .components import components, stars
 
 CHUNK = 3 << 20
 BLOCK = 1024
+#: Ranges of the global order whose overlaps are counted apart, and classes that meet their lead in one group.
+CUTS = 8
+PART = 256
 N_SLOTS = 1 << 20
 #: Shared shingles whose overlaps are counted at a time.
 FRAGMENT = 2048
@@ -183,38 +191,119 @@ def _keys(k: int, percent: int, n_groups: int, hot_list: np.ndarray):
             order = np.argsort(g, kind="stable")
             row, key, g = row[order], key[order], g[order]
             blobs = []
-            ids = np.frombuffer(b"".join(names), np.uint64).reshape(-1, 2)
+            ids, size = np.frombuffer(b"".join(names), np.uint64).reshape(-1, 2), np.diff(ends, prepend=0).astype(np.int32)
             for part in np.split(np.arange(len(g)), np.flatnonzero(np.diff(g)) + 1):
-                if len(part):  # ids of the part's classes once, then for each key which
+                if len(part):  # ids and sizes of the part's classes once, then for each key which
                     own, which = np.unique(row[part], return_inverse=True)
-                    blobs.append((int(g[part[0]]), pack(ids[own].ravel(), which.astype(np.int32), key[part])))
+                    blobs.append((int(g[part[0]]), pack(ids[own].ravel(), size[own], which.astype(np.int32), key[part])))
             yield blob_rows(blobs)
     return run
 
 
-def _key_edges(t: pa.Table) -> pa.Table:
-    """Edges from the first member of each key to the others, once each."""
-    hi, lo, keys = [], [], []
-    for blob in t.column("blob").to_pylist():
-        ids, which, key, _ = unpack(blob, np.uint64, np.int32, np.uint64)
-        ids = ids.reshape(-1, 2)
-        hi.append(ids[which, 0]), lo.append(ids[which, 1]), keys.append(key)
-    hi, lo, key = np.concatenate(hi), np.concatenate(lo), np.concatenate(keys)
-    order = np.argsort(key, kind="stable")
-    shared = np.zeros(len(order), bool)
-    same = key[order][1:] == key[order][:-1]
-    shared[1:] |= same
-    shared[:-1] |= same
-    at = order[shared]
-    at = at[np.lexsort((lo[at], hi[at], key[at]))]
-    hi, lo, key = hi[at], lo[at], key[at]
-    first = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
-    lead = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0)) if len(key) else np.empty(0, np.int64)
-    pairs = np.stack([hi[lead], lo[lead], hi, lo], 1) if len(key) else np.empty((0, 4), np.uint64)
-    pairs = np.unique(pairs[(pairs[:, 0] != pairs[:, 2]) | (pairs[:, 1] != pairs[:, 3])], axis=0)
-    raw = np.ascontiguousarray(pairs).tobytes()
-    cut = [raw[i:i + 16] for i in range(0, len(raw), 16)]
-    return pa.table({"a": pa.array(cut[::2], pa.binary()), "b": pa.array(cut[1::2], pa.binary())})
+EDGES = "a binary, b binary, fits boolean, n_keys long"
+
+
+def _key_edges(percent: int):
+    """Edges from the first member of each key to the others, once each: whether their sizes allow a link, and
+    how many keys of this group they share."""
+    def run(t: pa.Table) -> pa.Table:
+        hi, lo, size, keys = [], [], [], []
+        for blob in t.column("blob").to_pylist():
+            ids, sizes, which, key, _ = unpack(blob, np.uint64, np.int32, np.int32, np.uint64)
+            ids = ids.reshape(-1, 2)
+            hi.append(ids[which, 0]), lo.append(ids[which, 1]), size.append(sizes[which]), keys.append(key)
+        hi, lo, size, key = np.concatenate(hi), np.concatenate(lo), np.concatenate(size).astype(np.int64), np.concatenate(keys)
+        order = np.argsort(key, kind="stable")
+        shared = np.zeros(len(order), bool)
+        same = key[order][1:] == key[order][:-1]
+        shared[1:] |= same
+        shared[:-1] |= same
+        at = order[shared]
+        at = at[np.lexsort((lo[at], hi[at], key[at]))]
+        hi, lo, size, key = hi[at], lo[at], size[at], key[at]
+        first = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0)) if len(key) else np.empty(0, np.int64)
+        apart = np.flatnonzero((hi != hi[lead]) | (lo != lo[lead]))
+        lead = lead[apart]
+        pairs, at, n = np.unique(np.stack([hi[lead], lo[lead], hi[apart], lo[apart]], 1), axis=0, return_index=True, return_counts=True)
+        one, two = size[lead][at], size[apart][at]
+        fits = 100 * np.minimum(one, two) >= percent * np.maximum(one, two)
+        raw = np.ascontiguousarray(pairs).tobytes()
+        cut = [raw[i:i + 16] for i in range(0, len(raw), 16)]
+        return pa.table({"a": pa.array(cut[::2], pa.binary()), "b": pa.array(cut[1::2], pa.binary()),
+                         "fits": pa.array(fits, pa.bool_()), "n_keys": pa.array(n, pa.int64())})
+    return run
+
+
+SEGMENTS = "g int, star binary, part int, cut int, class binary, n long, segment binary"
+
+
+def _segments(k: int, n_groups: int):
+    """A row for each range of the order that a set has shingles in, and each group that the set has a role in.
+    A lead's own rows are those with its name as class and star."""
+    def run(batches):
+        for b in slices(batches, "text", CHUNK):
+            h, ends = shingle_hashes(as_bytes(b.column("text")), k)
+            out = []
+            for name, roles, x in zip(b.column("class").to_pylist(), b.column("roles").to_pylist(), np.split(h, ends[:-1]), strict=True):
+                at = np.searchsorted(x >> np.uint64(32), (np.arange(CUTS + 1) << 32) // CUTS).tolist()
+                for c in range(CUTS):
+                    if at[c] < at[c + 1]:
+                        seg = x[at[c]:at[c + 1]].tobytes()
+                        out += [(xxhash.xxh3_64_intdigest(b"%s%d,%d" % (r["star"], r["part"], c)) % n_groups, r["star"], r["part"], c, name, len(x), seg) for r in roles]
+                if len(out) > 20_000:
+                    yield _rows(out)
+                    out = []
+            yield _rows(out)
+    return run
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+    names = ["g", "star", "part", "cut", "class", "n", "segment"]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+
+
+PARTIALS = "a binary, b binary, n_a long, n_b long, shared long"
+
+
+def _partials(t: pa.Table) -> pa.Table:
+    """Partial overlaps of a lead with its classes, in the ranges of this group."""
+    star, name = t.column("star").to_pylist(), t.column("class").to_pylist()
+    where = list(zip(star, t.column("part").to_pylist(), t.column("cut").to_pylist(), strict=True))
+    n, segment = t.column("n").to_pylist(), t.column("segment")
+    meet: dict[tuple, dict[bytes, int]] = {}
+    for r, key in enumerate(where):
+        meet.setdefault(key, {})[name[r]] = r
+    out = []
+    for (a, _, _), sides in meet.items():
+        lead, rows = sides.pop(a, None), list(sides.values())
+        if lead is None or not rows:
+            continue
+        own = np.frombuffer(segment[lead].as_py(), np.uint64)
+        sets = [np.frombuffer(segment[r].as_py(), np.uint64) for r in rows]
+        flat = np.concatenate(sets)
+        hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+        both = np.bincount(np.repeat(np.arange(len(sets)), [len(x) for x in sets]), hit, len(sets)).astype(np.int64)
+        out += [(a, name[r], n[lead], n[r], m) for r, m in zip(rows, both.tolist(), strict=True) if m]
+    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+    return pa.table({c: pa.array([r[i] for r in out], kind) for i, (c, kind) in enumerate(zip(("a", "b", "n_a", "n_b", "shared"), kinds, strict=True))})
+
+
+def partial_sums(edges: DataFrame, class_texts, k: int, n_groups: int) -> DataFrame:
+    """Sizes of the sets' intersection (``shared``) of each class and the lead it shares most keys with: columns
+    a, b, n_a, n_b, shared; pairs without a common shingle have no row. ``class_texts`` joins a table with a
+    column class to the classes' texts."""
+    pairs = edges.filter("fits").groupBy("b").agg(F.max_by("a", F.struct("n_keys", "a")).alias("a"))
+    pairs = stored(pairs, "lead-pairs")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    member = pairs.join(parts, "a").select(F.col("b").alias("class"), F.col("a").alias("star"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    lead = parts.select(F.col("a").alias("class"), F.col("a").alias("star"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    # a lead has a role for each part of its classes: 1 / PART of their number, of 20 bytes each
+    roles = member.unionByName(lead).groupBy("class").agg(F.collect_list(F.struct("star", "part")).alias("roles"))
+    rows = class_texts(roles).select("class", "roles", "text").mapInArrow(_segments(k, 4 * n_groups), SEGMENTS)
+    partial = rows.groupBy("g").applyInArrow(tidy(_partials), PARTIALS)
+    return partial.groupBy("a", "b").agg(F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.sum("shared").alias("shared"))
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -307,21 +396,33 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     hot = hot_slots(src.mapInArrow(_sketch(k, n_groups), BLOBS), N_SLOTS, n_groups, 256, 1 << 18)
     sets = stored(src.mapInArrow(_sets(k), SETS), "shingle-sets")
     # keys are made in a pass of their own: to store them with the sets would take their size on disk twice
-    edges = src.select("text").mapInArrow(_keys(k, percent, n_groups, hot), BLOBS).groupBy("g").applyInArrow(tidy(_key_edges), "a binary, b binary")
-    clusters = components(edges).withColumnsRenamed({"node": "class", "component": "cluster"})
+    edges = src.select("text").mapInArrow(_keys(k, percent, n_groups, hot), BLOBS).groupBy("g").applyInArrow(tidy(_key_edges(percent)), EDGES)
+    edges = stored(edges.groupBy("a", "b").agg(F.first("fits").alias("fits"), F.sum("n_keys").alias("n_keys")), "key-edges")
+    clusters = components(edges.select("a", "b")).withColumnsRenamed({"node": "class", "component": "cluster"})
 
-    # one document stands for each class; only those of a cluster bring their text
+    # one document stands for each class; only those of candidates bring their text
     lead = sets.groupBy("class").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    part = (clusters.join(sizes, "cluster").join(lead, "class")
+
+    def class_texts(classes: DataFrame) -> DataFrame:
+        named = classes.join(lead, "class").withColumn("_d", F.col("d.doc_id")).withColumn("_m", F.col("d.mark")).drop("d")
+        # rows that repeat a doc_id and its text come once for each: tasks go by the class
+        return src.join(named, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m"))).drop("_d", "_m", "doc_id", "mark")
+
+    sums = partial_sums(edges, class_texts, k, n_groups)
+    links = stored(sums.filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b"), "links")
+    joined = components(links).withColumnsRenamed({"node": "class", "component": "joined"})
+
+    # clusters that the links don't hold together
+    state = clusters.join(joined, "class", "left").withColumn("joined", F.coalesce("joined", "class"))
+    sizes = (state.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("joined").alias("j0"), F.max("joined").alias("j1"))
+             .filter("j0 != j1").select("cluster", "n"))
+    part = (clusters.join(sizes, "cluster")
             .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-            .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-            .select("class", "cluster", "blocks", "block", F.col("d.doc_id").alias("lead_id"), F.col("d.mark").alias("lead_mark")))
-    met = (src.join(part, F.col("doc_id").eqNullSafe(F.col("lead_id")) & (F.col("mark") == F.col("lead_mark")))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
+    met = (class_texts(part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("class", "cluster", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
            .withColumn("g", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(4 * n_groups)).cast("int")))
-    found = components(met.groupBy("g").applyInArrow(tidy(_verify(k, percent)), "a binary, b binary"))
+    found = components(links.unionByName(met.groupBy("g").applyInArrow(tidy(_verify(k, percent)), "a binary, b binary")))
 
     # of each class: where it belongs, and the smallest doc_id there
     home = (lead.select("class", F.col("d.doc_id").alias("least"))
