@@ -31,7 +31,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", ["countries_stats", "auto_cdc_scd2", "scd2_price_history",
                                   "lateral_explode_join", "change_feed", "stream_stream_join",
                                   "authors_window_stream", "delete_propagation", "schema_add_columns",
-                                  "apply_in_pandas_avg", "mask_udf"])
+                                  "apply_in_pandas_avg", "mask_udf", "pipeline_rerun",
+                                  "full_refresh_protected", "append_only_table", "table_changes_since", "current_catalog"])
 def test_query_matches_oracle(spark, name):
     line, ok = compare(spark, SF, name, ent.queries()[name], ent.oracle_sql()[name], duck(SF))
     assert ok, line

@@ -9,12 +9,13 @@ from ..operators.changes import rows_removed_since, snapshot_diff
 from ..session import table_root
 from ..sources.bookstore import orders_payload
 from ..sources.robust import RESCUED
-from ..sources.tables import TABLES
+from ..sources.tables import TABLES, load
 from ..streaming.batches import BatchLog
+from ..streaming.table import AppendOnlyViolation, VersionedTable
 from . import flows
 from .catalog import ORACLE, query
 from .catalog_more import LINES_SQL
-from .catalog_streams import SCD2_PRICE_SQL, WINDOW_SQL
+from .catalog_streams import SALES_CTES, SCD2_PRICE_SQL, WINDOW_SQL
 from .oracle_fragments import BOOKS_P, CUST_P, CUST_SILVER, LINES_P, ORDERS_P, with_
 
 
@@ -304,3 +305,54 @@ def rank_in_batches(spark, sf_dir):
 def catalog_profile(spark, sf_dir):
     """Row counts of the tables that the catalog lists, from their stored statistics."""
     return catalog_tables.profile(spark, flows.listed_tables(spark, sf_dir))
+
+
+ORDERS_CUT = "1995-06-17"
+
+
+@query("pipeline_rerun", with_(*SALES_CTES) + f"""
+SELECT CASE WHEN t < TIMESTAMP '{ORDERS_CUT}' THEN 0 ELSE 1 END AS run, count(*) AS n, count(DISTINCT order_id) AS orders,
+       sum(quantity) AS quantity FROM sales GROUP BY ALL""")
+def pipeline_rerun(spark, sf_dir):
+    """Three runs of the same pipeline, orders landed before the first two: each takes the new files only, the third nothing."""
+    return (flows.sales_of_runs(spark, sf_dir, ORDERS_CUT).groupBy(F.col("batch").cast("int").alias("run"))
+            .agg(F.count("*").alias("n"), F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("quantity")))
+
+
+@query("full_refresh_protected", with_(*SALES_CTES, CUST_P) + """
+SELECT t.name, g.generation, g.generation = 0 OR t.name = 'bronze' AS first_folder, t.n FROM (
+  SELECT 'bronze' AS name, (SELECT count(*) FROM orders_p) + (SELECT count(*) FROM cust_p) + (SELECT count(*) FROM books_p) AS n
+  UNION ALL SELECT 'books_sales', count(*) FROM sales) t, (VALUES (0), (1)) g(generation)""")
+def full_refresh_protected(spark, sf_dir):
+    """A full refresh rebuilds ``books_sales`` in a new folder; bronze, which is protected, stays as it is."""
+    built = flows.refreshed(spark, sf_dir)
+    first = {name: folder for name, g, folder, _ in built if g == 0}
+    parts = [rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), F.lit(g).alias("generation"),
+                                                      F.lit(folder == first[name]).alias("first_folder"), "n")
+             for name, g, folder, rows in built]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("append_only_table", with_(ORDERS_P) + """
+SELECT count(*) AS n, sum(quantity) AS quantity, count(*) > 0 AS delete_refused, count(*) > 0 AS update_refused FROM orders_p WHERE quantity > 0""")
+def append_only_table(spark, sf_dir):
+    """Orders inserted into an append-only table, which refuses a delete and an update and keeps all its rows."""
+    orders = orders_payload(spark, sf_dir).select("order_id", "quantity", "total").filter("quantity > 0")
+    table = VersionedTable(spark, f"{table_root(spark, sf_dir)}/append-only-orders", orders.schema, keys=["order_id"], append_only=True)
+    table.insert(orders, writer="orders", batch_id=0)
+    refused = {}
+    for name, change in (("delete", lambda cur: cdc.delete_by_keys(cur, orders, ["order_id"])),
+                         ("update", lambda cur: cdc.update_matched(cur, orders, ["order_id"], {"quantity": F.lit(0)}))):
+        try:
+            table.merge(change, writer=name, source=orders)
+            refused[name] = False
+        except AppendOnlyViolation:
+            refused[name] = True
+    return table.read().agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity")).select(
+        "n", "quantity", *[F.lit(refused[x]).alias(f"{x}_refused") for x in ("delete", "update")])
+
+
+@query("current_catalog", "SELECT 'spark_catalog' AS catalog, count(*) AS n FROM customer")
+def current_catalog(spark, sf_dir):
+    """``current_catalog()`` over a table of the session."""
+    return load(spark, sf_dir, "customer").agg(F.count("*").alias("n")).select(F.current_catalog().alias("catalog"), "n")

@@ -9,6 +9,7 @@ from ..operators import changes as ch
 from ..operators import cdc
 from ..session import path_exists, table_root
 from ..sources.tables import table_path
+from ..streaming.batches import BatchLog
 from ..streaming.runner import drain
 from . import streams as st
 from .catalog import query
@@ -76,6 +77,17 @@ def table_changes_from(spark, sf_dir):
         "customer_id", "balance", "country", "row_time", "_change_type", "_commit_version")
 
 
+@query("table_changes_since", FEED_SQL + "SELECT * FROM feed WHERE _commit_version >= 2")
+def table_changes_since(spark, sf_dir):
+    """``table_changes(t, <time>)``: the feed from the time of a commit, here that of version 2."""
+    t = st.customers_silver(spark, sf_dir)
+    since = t.changes(start=2, end=2).agg(F.min("_commit_timestamp")).first()[0]
+    if since is None:
+        return t.changes(start=2).select("customer_id", "balance", "country", "row_time", "_change_type", "_commit_version")
+    return t.changes(start=1, since=since).select(
+        "customer_id", "balance", "country", "row_time", "_change_type", "_commit_version")
+
+
 @query("change_history", FEED_SQL + """
 SELECT _commit_version, _change_type, count(*) AS n FROM feed GROUP BY ALL""")
 def change_history(spark, sf_dir):
@@ -160,11 +172,9 @@ def _table_stream(spark, sf_dir, name):
 
 
 def _run_to_parquet(spark, sf_dir, name, df, mode="append"):
-    """Drain a streaming query into a Parquet folder once and return a batch read."""
+    """Drain a streaming query into a Parquet folder (what is new since its last run) and return a batch read."""
     out = f"{table_root(spark, sf_dir)}/{name}"
-    if not path_exists(spark, f"{out}.done"):
-        drain(df.writeStream.outputMode(mode), f"{out}-checkpoint", to_path=out)
-        spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{out}.done")
+    drain(df.writeStream.outputMode(mode), f"{out}-checkpoint", to_path=out)
     return spark.read.parquet(out)
 
 
@@ -187,28 +197,21 @@ def insert_only_merge(spark, sf_dir):
     from ..sources.tables import load
     keys = ["l_orderkey", "l_linenumber", "l_shipdate"]
     out = f"{table_root(spark, sf_dir)}/insert_only"
-    if not path_exists(spark, f"{out}/appended.done"):
-        seed = ltz(load(spark, sf_dir, "lineitem").select(*keys)).filter(
-            "l_shipdate < TIMESTAMP'1998-01-01'").dropDuplicates()
-        if not path_exists(spark, f"{out}/target/_SUCCESS"):
-            seed.write.mode("overwrite").parquet(f"{out}/target")
-        s = (ltz(_table_stream(spark, sf_dir, "lineitem")).withWatermark("l_shipdate", "30 seconds")
-             .dropDuplicates(keys).select(*keys))
-
-        def upsert_data(mb, batch_id):
-            dest = f"{out}/appended/batch={batch_id}"
-            if path_exists(spark, f"{dest}/_SUCCESS"):
-                return
-            target = spark.read.parquet(f"{out}/target")
-            if path_exists(spark, f"{out}/appended"):  # rows of earlier batches; a torn try of this one is not read
-                earlier = spark.read.parquet(f"{out}/appended").filter(F.col("batch") < batch_id)
-                target = target.unionByName(earlier.select(*keys))
-            cdc.insert_only(target, mb, keys).changes.drop("_change_type") \
-               .write.mode("overwrite").parquet(dest)
-
-        drain(s.writeStream.foreachBatch(upsert_data), f"{out}/checkpoint")
-        spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{out}/appended.done")
-    return spark.read.parquet(f"{out}/appended").select(*keys)
+    seed = ltz(load(spark, sf_dir, "lineitem").select(*keys)).filter(
+        "l_shipdate < TIMESTAMP'1998-01-01'").dropDuplicates()
+    if not path_exists(spark, f"{out}/target/_SUCCESS"):  # create if absent
+        seed.write.mode("overwrite").parquet(f"{out}/target")
+    s = (ltz(_table_stream(spark, sf_dir, "lineitem")).withWatermark("l_shipdate", "30 seconds")
+         .dropDuplicates(keys).select(*keys))
+    log = BatchLog(spark, f"{out}/appended", s.schema)
+
+    def upsert_data(mb, batch_id):
+        earlier = log.read().filter(F.col("batch") < batch_id).select(*keys)  # a torn try of this batch is not read
+        target = spark.read.parquet(f"{out}/target").unionByName(earlier)
+        log.append(cdc.insert_only(target, mb, keys).changes, batch_id)
+
+    drain(s.writeStream.foreachBatch(upsert_data), f"{out}/checkpoint")
+    return log.read().select(*keys)
 
 
 WINDOW_SQL = """
@@ -301,7 +304,7 @@ def erase_history(spark, sf_dir):
     """Change feed rewritten without the erased customers' rows."""
     cs, _, _ = st.propagate_deletes(spark, sf_dir)
     erased = cs.changes().filter("_change_type = 'delete'").select("customer_id")
-    return ch.erase_keys(cs.changes(start=1), erased, ["customer_id"]).select(
+    return ch.erase_keys(st.customers_silver(spark, sf_dir).changes(start=1), erased, ["customer_id"]).select(
         "customer_id", "_change_type", "_commit_version")
 
 
@@ -333,11 +336,10 @@ SELECT _commit_version, _change_type, count(*) AS removed FROM feed
 WHERE customer_id IN (SELECT r.customer_id FROM reqs r JOIN cust_silver s USING (customer_id))
 GROUP BY ALL""")
 def erase_report(spark, sf_dir):
-    """Change rows that erasure removes from the history, per version and type
-    (the cloned versions only; the delete version itself is all erased keys)."""
+    """Change rows that erasure removes from the history, per version and type."""
     cs, _, _ = st.propagate_deletes(spark, sf_dir)
     erased = cs.changes().filter("_change_type = 'delete'").select("customer_id").distinct()
-    feed = cs.changes(start=1).filter("_change_type <> 'delete'")
+    feed = st.customers_silver(spark, sf_dir).changes(start=1)
     return (feed.join(erased, "customer_id", "left_semi")
             .groupBy("_commit_version", "_change_type").agg(F.count(F.lit(1)).alias("removed")))
 

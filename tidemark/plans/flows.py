@@ -7,6 +7,7 @@ its sink is a ``BatchLog``, so running it again takes new files only.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,9 @@ from ..operators.erasure import erase
 from ..operators.joins import lookup_join
 from ..operators.keyed import latest_per_key
 from ..operators.sorted_store import write_sorted
-from ..session import dataset_tag, fresh_path, path_exists, prepare, table_root, touch, work_path
-from ..sources.bookstore import books_payload, country_lookup, customers_payload, orders_payload
+from ..session import dataset_tag, fresh_path, path_exists, prepare, table_root, touch, use_subdir, work_path
+from ..sources.bookstore import books_payload, country_lookup, customers_payload, orders_payload, raw_envelopes
+from ..sources.ingest import ensure_bronze, ingest_bronze, read_bronze
 from ..sources.robust_stream import EvolvingTable, evolving_ingest, line_stream, split_stream, with_restarts
 from ..sources.tables import TABLES, load, table_path
 from ..streaming.batches import BatchLog
@@ -29,6 +31,7 @@ from ..streaming.rule_metrics import collecting, observe_rules
 from ..streaming.runner import drain
 from ..streaming.static import PublishedTable
 from .bookstore import BOOK_RULES
+from . import streams as st
 from .streams import BOOKS_SILVER_SCHEMA
 
 FILES = 6
@@ -324,3 +327,36 @@ def listed_tables(spark: SparkSession, sf_dir: str) -> str:
         if catalog_tables.row_count(spark, database, t) is None:
             catalog_tables.analyze(spark, database, t)
     return database
+
+
+def sales_of_runs(spark: SparkSession, sf_dir: str, cut: str) -> DataFrame:
+    """Orders before ``cut`` are landed and the pipeline is run, then the others, then nothing new: each run takes
+    bronze, ``books_sales`` and ``authors_stats`` on from where the one before stopped. Sales with the ``batch`` that gave them."""
+    variant = f"rerun-{uuid.uuid4().hex[:10]}"
+    root = table_root(spark, sf_dir, variant)
+    orders = raw_envelopes(spark, sf_dir).filter("topic = 'orders'")
+    early = F.col("timestamp") < F.unix_millis(F.lit(cut).cast("timestamp"))
+    for run, part in enumerate((early, ~early, None)):
+        if part is not None:
+            orders.filter(part).write.json(f"{root}/landing/run={run}")
+        ingest_bronze(spark, f"{root}/landing", st.bronze_of(spark, sf_dir, variant), f"{root}/_checkpoints/bronze")
+        st.authors_stats(spark, sf_dir, variant)
+    return spark.read.parquet(f"{root}/books_sales")
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, str, DataFrame]]:
+    """(table, generation, folder, rows) of a protected and a refreshable table, built, refreshed and built again,
+    in a work folder of their own."""
+    from .pipeline import full_refresh
+    before = spark.conf.get("tidemark.work.subdir", "") or ""
+    use_subdir(spark, f"{before}/refresh-{uuid.uuid4().hex[:10]}".strip("/"))
+    try:
+        out = []
+        for g in (0, 1):
+            if g:
+                full_refresh(spark, sf_dir)
+            bronze, sales = ensure_bronze(spark, sf_dir), st.books_sales(spark, sf_dir)
+            out += [("bronze", g, bronze, read_bronze(spark, bronze)), ("books_sales", g, sales, spark.read.parquet(sales))]
+        return out
+    finally:
+        use_subdir(spark, before)

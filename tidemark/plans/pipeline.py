@@ -4,25 +4,25 @@
 list (land → bronze → silver customers / orders / books → customers_orders /
 books_sales → gold). It is a plain sequence of calls: each step is itself a
 distributed Spark job or availableNow stream, and every step is restartable
-(checkpoints, replay-safe commits, done markers), so rerunning after a
-failure continues where it stopped.
+(checkpoints, replay-safe commits), so rerunning after a
+failure continues where it stopped, and a run after new files have landed takes these only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import path_exists, prepare, start_generation, table_root
+from ..session import prepare, start_generation, table_root
 from ..sources.ingest import ensure_bronze
+from ..streaming.static import PublishedTable
 from . import bookstore as bs
 from . import streams as st
 
 
 def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """A materialized view: replaced by every run, readers of the version before are not disturbed."""
     path = f"{table_root(spark, sf_dir)}/gold/{name}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
-    return path
+    return f"{path}/v={PublishedTable(spark, path).publish(build())}"
 
 
 def run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -36,7 +36,7 @@ def run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
                                             lambda: bs.orders_quarantine(spark, sf_dir))
     out["books_silver"] = _materialize(spark, sf_dir, "books_silver",
                                        lambda: bs.books_silver(spark, sf_dir))
-    out["current_books"] = st.current_books_table(spark, sf_dir)
+    out["current_books"] = st.current_books_table(spark, sf_dir, replace=True).path
     out["customers_orders"] = st.customers_orders(spark, sf_dir).path
     out["books_sales"] = st.books_sales(spark, sf_dir)
     out["authors_stats"] = st.authors_stats(spark, sf_dir)

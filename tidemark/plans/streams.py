@@ -2,9 +2,12 @@
 
 Each flow is an availableNow streaming query with its checkpoint under the
 work folder, writing through ``foreachBatch`` into versioned tables or
-appending to Parquet. Results are built once per (work folder, dataset) and
-reused; a crashed build resumes from its checkpoints because every commit is
-keyed by (writer, batch id).
+batch logs. Calling a flow again takes what is new since its last run and nothing
+else: the checkpoint names what was taken, and a replayed batch is skipped (commits are keyed
+by writer and batch id) or replaces its own folder.
+
+``variant`` names a set of these tables: ``main``; ``gov``, which starts from the content of ``main``
+and takes the deletes; any other reads the bronze table in its own folder, which its caller feeds.
 
 Customer CDC arrives in steps of ``STEP_DAYS`` days, each landed as new
 files and followed by one availableNow run, like the reference's "land a new
@@ -19,11 +22,13 @@ from pyspark.sql import functions as F
 from ..operators import cdc
 from ..operators.joins import explode_join, lookup_join
 from ..operators.keyed import latest_per_key
-from ..session import path_exists, prepare, table_root, touch
+from ..session import path_exists, prepare, table_root
 from ..sources.bookstore import (CUSTOMERS_SCHEMA, JSON_OPTIONS, country_lookup,
                                  customers_payload, parse_topic)
 from ..sources.ingest import bronze_stream, ensure_bronze
-from ..streaming.runner import drain, kept, stream_static_join
+from ..streaming.batches import BatchLog
+from ..streaming.runner import drain, kept
+from ..streaming.static import PublishedTable
 from ..streaming.table import VersionedTable
 from . import bookstore as bs
 
@@ -45,12 +50,38 @@ def _root(spark: SparkSession, sf_dir: str, variant: str) -> str:
     return table_root(spark, sf_dir, variant)
 
 
-def customer_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer CDC rows with their landing step (``STEP_DAYS`` days each)."""
-    c = customers_payload(spark, sf_dir)
-    day0 = c.agg(F.min(F.to_date("row_time"))).first()[0]
-    return c.withColumn("_step", F.floor(F.datediff(F.to_date("row_time"), F.lit(day0))
-                                         / STEP_DAYS).cast("int"))
+def _stepped(spark: SparkSession, payload: DataFrame, ts_col: str, landing: str, run) -> None:
+    """Land ``payload`` in ``STEP_DAYS``-day steps and call ``run`` after each one that was landed now; once, to
+    take what a lost run has left, if all had been landed before."""
+    day0 = payload.agg(F.min(F.to_date(ts_col))).first()[0]
+    steps = payload.withColumn("_step", F.floor(F.datediff(F.to_date(ts_col), F.lit(day0)) / STEP_DAYS).cast("int"))
+    last = steps.agg(F.max("_step")).first()[0]
+    news = False
+    for s in range(int(last) + 1 if last is not None else 0):
+        part = f"{landing}/step={s:02d}"
+        if path_exists(spark, f"{part}/_SUCCESS"):
+            continue
+        steps.filter(F.col("_step") == s).drop("_step").write.mode("overwrite").options(**JSON_OPTIONS).json(part)
+        run()
+        news = True
+    if not news and last is not None:
+        run()
+
+
+def _landed(spark: SparkSession, landing: str, schema: str) -> DataFrame:
+    return (spark.readStream.schema(schema).options(**JSON_OPTIONS)
+            .option("recursiveFileLookup", "true").json(landing))
+
+
+def _from_main(table: VersionedTable, main: VersionedTable) -> VersionedTable:
+    """``CREATE TABLE … AS SELECT * FROM main``, once."""
+    if not table.exists():
+        table.insert(main.read(), writer="create", batch_id=0)
+    return table
+
+
+def bronze_of(spark: SparkSession, sf_dir: str, variant: str = "main") -> str:
+    return ensure_bronze(spark, sf_dir) if variant in ("main", "gov") else f"{_root(spark, sf_dir, variant)}/bronze"
 
 
 def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") -> VersionedTable:
@@ -61,41 +92,29 @@ def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     root = _root(spark, sf_dir, variant)
     table = VersionedTable(spark, f"{root}/customers_silver", CUSTOMERS_SILVER_SCHEMA,
                            keys=["customer_id"])
-    if path_exists(spark, f"{root}/customers_silver.done"):
-        return table
-    if variant != "main":  # other variants start as a shallow clone of main
-        table.clone_from(customers_silver(spark, sf_dir, "main"))
-        touch(spark, f"{root}/customers_silver.done")
-        return table
+    if variant == "gov":
+        return _from_main(table, customers_silver(spark, sf_dir))
     table.create_if_absent()
     landing = f"{root}/landing/customers"
     lookup = country_lookup(spark, sf_dir)
-    cols = [c.split()[0] for c in CUSTOMERS_SILVER_SCHEMA.split(", ")]
 
     def batch_upsert(mb: DataFrame, batch_id: int) -> None:
-        with kept(mb) as mb:  # the commit reads the batch twice (snapshot, changes)
-            upd = mb.filter(F.col("row_status").isin("insert", "update")).select(*cols)
+        with kept(mb) as mb:  # the merge reads the batch twice (keys, rows)
+            upd = mb.filter(F.col("row_status").isin("insert", "update")).select(*table.schema.names)
             table.merge(lambda cur: cdc.upsert(cur, upd, ["customer_id"], "row_time"),
                         writer="customers_silver_upsert", batch_id=batch_id, source=upd)
 
-    steps = customer_steps(spark, sf_dir)
-    n_steps = steps.agg(F.max("_step")).first()[0]
-    for s in range(int(n_steps) + 1):
-        part = f"{landing}/step={s:02d}"
-        if not path_exists(spark, f"{part}/_SUCCESS"):
-            (steps.filter(F.col("_step") == s).drop("_step")
-             .write.mode("overwrite").options(**JSON_OPTIONS).json(part))
-        stream = (spark.readStream.schema(CUSTOMERS_SCHEMA).options(**JSON_OPTIONS)
-                  .option("recursiveFileLookup", "true").json(landing))
-        stream = lookup_join(stream, lookup, F.col("country_code") == F.col("code"))
+    def run() -> None:
+        stream = lookup_join(_landed(spark, landing, CUSTOMERS_SCHEMA), lookup, F.col("country_code") == F.col("code"))
         drain(stream.writeStream.foreachBatch(batch_upsert), f"{root}/_checkpoints/customers_silver")
-    touch(spark, f"{root}/customers_silver.done")
+
+    _stepped(spark, customers_payload(spark, sf_dir), "row_time", landing, run)
     return table
 
 
-def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_stream(spark: SparkSession, sf_dir: str, variant: str = "main") -> DataFrame:
     """orders_silver as a stream over bronze (topic filter, parse, quantity > 0)."""
-    s = parse_topic(bronze_stream(spark, ensure_bronze(spark, sf_dir)), "orders")
+    s = parse_topic(bronze_stream(spark, bronze_of(spark, sf_dir, variant)), "orders")
     return s.filter("quantity > 0")
 
 
@@ -106,17 +125,12 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
     The change types are filtered before the join (same result as after it,
     with half the join state)."""
     root = _root(spark, sf_dir, variant)
-    cs = customers_silver(spark, sf_dir, variant)
-    # bucketed by customer (part of the merge key): upserts stay bucket-local and a
-    # customer's delete rewrites only that customer's bucket
+    # a merge reads the rows of its batch's customers (part of the merge key)
     table = VersionedTable(spark, f"{root}/customers_orders", CUSTOMERS_ORDERS_SCHEMA,
                            keys=["customer_id"])
-    if path_exists(spark, f"{root}/customers_orders.done"):
-        return table
-    if variant != "main":
-        table.clone_from(customers_orders(spark, sf_dir, "main"))
-        touch(spark, f"{root}/customers_orders.done")
-        return table
+    if variant == "gov":
+        return _from_main(table, customers_orders(spark, sf_dir))
+    cs = customers_silver(spark, sf_dir, variant)
     table.create_if_absent()
     cols = table.schema.names
 
@@ -132,34 +146,33 @@ def customers_orders(spark: SparkSession, sf_dir: str, variant: str = "main") ->
 
     feed = (cs.change_stream(start=1)
             .filter(F.col("_change_type").isin("insert", "update_postimage")))
-    joined = orders_stream(spark, sf_dir).select(*ORDER_COLS).join(feed, ["customer_id"], "inner")
+    joined = orders_stream(spark, sf_dir, variant).select(*ORDER_COLS).join(feed, ["customer_id"], "inner")
     drain(joined.writeStream.foreachBatch(batch_upsert), f"{root}/_checkpoints/customers_orders")
-    touch(spark, f"{root}/customers_orders.done")
     return table
 
 
-def current_books_table(spark: SparkSession, sf_dir: str) -> str:
-    """``CREATE OR REPLACE TABLE current_books AS SELECT …`` (SNK-6, CDC-6)."""
-    path = f"{_root(spark, sf_dir, 'main')}/current_books"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        bs.current_books(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return path
+def current_books_table(spark: SparkSession, sf_dir: str, *, replace: bool = False) -> PublishedTable:
+    """``CREATE OR REPLACE TABLE current_books AS SELECT …`` (SNK-6, CDC-6): made if absent, or replaced."""
+    table = PublishedTable(spark, f"{_root(spark, sf_dir, 'main')}/current_books")
+    if replace or not table.versions():
+        table.publish(bs.current_books(spark, sf_dir))
+    return table
 
 
-def books_sales(spark: SparkSession, sf_dir: str) -> str:
-    """Stream-static join: the orders stream drives; the static current_books
-    table is re-read in every micro-batch, so a table replaced between runs is
+def books_sales(spark: SparkSession, sf_dir: str, variant: str = "main") -> str:
+    """Stream-static join: the orders stream drives; each micro-batch reads the
+    current_books table that is current when it is first tried, so a table replaced between runs is
     seen by the next batch (JOI-3, SNK-5 append)."""
-    root = _root(spark, sf_dir, "main")
-    out = f"{root}/books_sales"
-    if path_exists(spark, f"{root}/books_sales.done"):
-        return out
-    books_path = current_books_table(spark, sf_dir)
-    stream_static_join(orders_stream(spark, sf_dir), lambda: spark.read.parquet(books_path),
-                       lambda mb, books: explode_join(mb, books, "books", "book", "book_id", "book_id"),
-                       out, f"{root}/_checkpoints/books_sales")
-    touch(spark, f"{root}/books_sales.done")
-    return out
+    root = _root(spark, sf_dir, variant)
+    books, orders = current_books_table(spark, sf_dir), orders_stream(spark, sf_dir, variant)
+
+    def sales(mb: DataFrame, current: DataFrame) -> DataFrame:
+        return explode_join(mb, current, "books", "book", "book_id", "book_id")
+
+    log = BatchLog(spark, f"{root}/books_sales", sales(orders, books.read()).schema)
+    drain(orders.writeStream.foreachBatch(lambda mb, i: log.append(sales(mb, books.read_for(f"books_sales-{variant}", i)), i)),
+          f"{root}/_checkpoints/books_sales")
+    return log.path
 
 
 def author_windows(sales: DataFrame, start: str = "0 seconds") -> DataFrame:
@@ -170,11 +183,11 @@ def author_windows(sales: DataFrame, start: str = "0 seconds") -> DataFrame:
             .agg(F.count("order_id").alias("orders_count"), F.avg("quantity").alias("avg_quantity")))
 
 
-def authors_stats(spark: SparkSession, sf_dir: str) -> str:
+def authors_stats(spark: SparkSession, sf_dir: str, variant: str = "main") -> str:
     """Gold table: ``author_windows`` of the ``books_sales`` stream (STR-3). Windows that the
     watermark has closed are appended; a later run goes on with new sales only."""
-    root = _root(spark, sf_dir, "main")
-    out, sales = f"{root}/gold/authors_stats", books_sales(spark, sf_dir)
+    root = _root(spark, sf_dir, variant)
+    out, sales = f"{root}/gold/authors_stats", books_sales(spark, sf_dir, variant)
     stream = spark.readStream.schema(spark.read.parquet(sales).schema).parquet(sales)
     closed = author_windows(stream.withWatermark("order_timestamp", "10 minutes"))
     drain(closed.writeStream.outputMode("append"), f"{root}/_checkpoints/authors_stats", to_path=out)
@@ -190,8 +203,6 @@ def delete_requests(spark: SparkSession, sf_dir: str, variant: str = "gov") -> V
     root = _root(spark, sf_dir, variant)
     table = VersionedTable(spark, f"{root}/delete_requests", DELETE_REQUESTS_SCHEMA,
                            keys=["customer_id"])
-    if path_exists(spark, f"{root}/delete_requests.done"):
-        return table
     table.create_if_absent()
     reqs = (parse_topic(bronze_stream(spark, ensure_bronze(spark, sf_dir)), "customers")
             .filter("row_status = 'delete'")
@@ -200,44 +211,37 @@ def delete_requests(spark: SparkSession, sf_dir: str, variant: str = "gov") -> V
                     F.lit("requested").alias("status")))
 
     def append(mb: DataFrame, batch_id: int) -> None:
-        table.merge(lambda cur: cdc.MergeResult(cur.unionByName(mb),
-                                                mb.withColumn("_change_type", F.lit("insert"))),
-                    writer="delete_requests_append", batch_id=batch_id, operation="STREAMING UPDATE",
-                    source=mb)
+        table.insert(mb, writer="delete_requests_append", batch_id=batch_id)
 
     drain(reqs.writeStream.outputMode("append").foreachBatch(append),
           f"{root}/_checkpoints/delete_requests")
-    touch(spark, f"{root}/delete_requests.done")
     return table
 
 
 def propagate_deletes(spark: SparkSession, sf_dir: str, variant: str = "gov"):
     """Delete requested customers from customers_silver, then stream its change
     feed and, per micro-batch, delete those customers from customers_orders and
-    mark their requests ``deleted`` — both writes keyed by the batch id."""
+    mark their requests ``deleted``, both writes keyed by the batch id. The delete is keyed by
+    the newest version with requests: run again, it takes those that have come since."""
     root = _root(spark, sf_dir, variant)
     cs = customers_silver(spark, sf_dir, variant)
     co = customers_orders(spark, sf_dir, variant)
     dr = delete_requests(spark, sf_dir, variant)
-    if path_exists(spark, f"{root}/deletes.done"):
-        return cs, co, dr
     requested = dr.read().filter("status = 'requested'")
-    v = cs.merge(lambda cur: cdc.delete_by_keys(cur, requested, ["customer_id"]),
-                 writer="delete_customers", batch_id=0, operation="DELETE", source=requested)
-    start = v if v is not None else cs.latest_version()
+    cs.merge(lambda cur: cdc.delete_by_keys(cur, requested, ["customer_id"]), writer="delete_customers",
+             batch_id=dr.latest_version("delete_requests_append"), source=requested)
 
     def process_deletes(mb: DataFrame, batch_id: int) -> None:
         with kept(mb) as mb:
             deletes = mb.filter("_change_type = 'delete'").select("customer_id")
             co.merge(lambda cur: cdc.delete_by_keys(cur, deletes, ["customer_id"]),
-                     writer="process_deletes", batch_id=batch_id, operation="DELETE", source=deletes)
+                     writer="process_deletes", batch_id=batch_id, source=deletes)
             dr.merge(lambda cur: cdc.update_matched(cur, deletes, ["customer_id"],
                                                     {"status": F.lit("deleted")}),
                      writer="process_deletes", batch_id=batch_id, source=deletes)
 
-    drain(cs.change_stream(start=start).writeStream.foreachBatch(process_deletes),
-          f"{root}/_checkpoints/deletes")
-    touch(spark, f"{root}/deletes.done")
+    # version 0 is the content of the main table
+    drain(cs.change_stream(start=1).writeStream.foreachBatch(process_deletes), f"{root}/_checkpoints/deletes")
     return cs, co, dr
 
 
@@ -251,31 +255,12 @@ BOOKS_AUTO_SCHEMA = ("book_id BIGINT, title STRING, author STRING, price DOUBLE,
                      "__SEQ TIMESTAMP, __DELETED BOOLEAN")
 
 
-def _stepped_stream(spark: SparkSession, payload: DataFrame, ts_col: str, schema: str,
-                    landing: str, checkpoint: str, batch_fn) -> None:
-    """Land ``payload`` in ``STEP_DAYS``-day steps, one availableNow run per step."""
-    day0 = payload.agg(F.min(F.to_date(ts_col))).first()[0]
-    steps = payload.withColumn("_step", F.floor(F.datediff(F.to_date(ts_col), F.lit(day0))
-                                                / STEP_DAYS).cast("int"))
-    n_steps = steps.agg(F.max("_step")).first()[0]
-    for s in range(int(n_steps) + 1):
-        part = f"{landing}/step={s:02d}"
-        if not path_exists(spark, f"{part}/_SUCCESS"):
-            (steps.filter(F.col("_step") == s).drop("_step")
-             .write.mode("overwrite").options(**JSON_OPTIONS).json(part))
-        stream = (spark.readStream.schema(schema).options(**JSON_OPTIONS)
-                  .option("recursiveFileLookup", "true").json(landing))
-        drain(stream.writeStream.foreachBatch(batch_fn), checkpoint)
-
-
 def books_scd2_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """books_silver kept by the staged SCD2 merge in ``foreachBatch`` (CDC-5)."""
     from ..sources.bookstore import BOOKS_SCHEMA, books_payload
     prepare(spark)
     root = _root(spark, sf_dir, "main")
     table = VersionedTable(spark, f"{root}/books_silver_scd2", BOOKS_SILVER_SCHEMA, keys=["book_id"])
-    if path_exists(spark, f"{root}/books_silver_scd2.done"):
-        return table
     table.create_if_absent()
 
     def type2_upsert(mb: DataFrame, batch_id: int) -> None:
@@ -283,9 +268,9 @@ def books_scd2_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
             table.merge(lambda cur: cdc.scd2_merge(cur, mb, "book_id", "updated"),
                         writer="books_scd2", batch_id=batch_id, source=mb)
 
-    _stepped_stream(spark, books_payload(spark, sf_dir), "updated", BOOKS_SCHEMA,
-                    f"{root}/landing/books", f"{root}/_checkpoints/books_scd2", type2_upsert)
-    touch(spark, f"{root}/books_silver_scd2.done")
+    landing = f"{root}/landing/books-scd2"
+    _stepped(spark, books_payload(spark, sf_dir), "updated", landing, lambda: drain(
+        _landed(spark, landing, BOOKS_SCHEMA).writeStream.foreachBatch(type2_upsert), f"{root}/_checkpoints/books_scd2"))
     return table
 
 
@@ -297,8 +282,6 @@ def books_auto_cdc_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
     prepare(spark)
     root = _root(spark, sf_dir, "main")
     table = VersionedTable(spark, f"{root}/books_silver_auto", BOOKS_AUTO_SCHEMA, keys=["book_id"])
-    if path_exists(spark, f"{root}/books_silver_auto.done"):
-        return table
     table.create_if_absent()
     cols = [c.split()[0] for c in BOOKS_AUTO_SCHEMA.split(", ")]
 
@@ -312,7 +295,7 @@ def books_auto_cdc_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
 
             table.merge(fn, writer="books_auto_cdc", batch_id=batch_id, source=mb)
 
-    _stepped_stream(spark, books_payload(spark, sf_dir), "updated", BOOKS_SCHEMA,
-                    f"{root}/landing/books", f"{root}/_checkpoints/books_auto", auto_cdc)
-    touch(spark, f"{root}/books_silver_auto.done")
+    landing = f"{root}/landing/books-auto"
+    _stepped(spark, books_payload(spark, sf_dir), "updated", landing, lambda: drain(
+        _landed(spark, landing, BOOKS_SCHEMA).writeStream.foreachBatch(auto_cdc), f"{root}/_checkpoints/books_auto"))
     return table

@@ -91,7 +91,7 @@ def use_subdir(spark: SparkSession, name: str) -> None:
 
 # Version of the derived-data layout (landed files, bronze). Bump it whenever
 # their format changes so files written by older code are never reused.
-LAYOUT = "l15"
+LAYOUT = "l16"
 
 
 def dataset_tag(spark: SparkSession, sf_dir: str) -> str:
@@ -156,13 +156,17 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def rename(spark: SparkSession, src: str, dest: str) -> None:
-    """Move the folder ``src`` to ``dest``, which must not exist; parents are made."""
-    fs, p = _fs(spark, src)
-    _, q = _fs(spark, dest)
-    fs.mkdirs(q.getParent())
-    if not fs.rename(p, q) and fs.exists(p):  # gone: another session has moved it
-        raise OSError(f"cannot move {src} to {dest}")
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern`` (metadata only)."""
+    fs, p = _fs(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+
+def content_state(spark: SparkSession, path: str) -> str:
+    """Number and bytes of the files below ``path``: another state when files are added."""
+    fs, p = _fs(spark, path)
+    total = fs.getContentSummary(p)
+    return f"{total.getFileCount()}-{total.getLength()}"
 
 
 def touch(spark: SparkSession, path: str) -> None:

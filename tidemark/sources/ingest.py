@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import dataset_tag, path_exists, work_path
+from ..session import content_state, dataset_tag, path_exists, touch, work_path
 from ..streaming.runner import drain
 from .bookstore import BRONZE_SCHEMA, ENVELOPE_SCHEMA, raw_envelopes
 
@@ -60,18 +60,19 @@ def ingest_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: st
 
 
 def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
-    """Bronze for ``sf_dir``, built once per work folder and reused.
+    """Bronze for ``sf_dir``, brought up to date with its landing folder.
 
-    Re-running is safe: the stream checkpoint only admits files not yet
-    ingested, and readers see only files the sink log committed.
+    The stream checkpoint only admits files not yet ingested, and readers see only
+    files the sink log committed. The stream is not started while the landing folder
+    is as the last ingest left it.
     """
     tag = dataset_tag(spark, sf_dir)
     bronze = work_path(spark, "tables", tag, "bronze")
     landing = land_raw(spark, sf_dir)
-    done = f"{bronze}-ingested"
-    if not path_exists(spark, done):
+    taken = f"{bronze}-taken/{content_state(spark, landing)}"
+    if not path_exists(spark, taken):
         ingest_bronze(spark, landing, bronze, work_path(spark, "checkpoints", tag, "bronze"))
-        spark.createDataFrame([], "x int").write.mode("overwrite").parquet(done)
+        touch(spark, taken)
     return bronze
 
 

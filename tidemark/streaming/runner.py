@@ -46,21 +46,9 @@ def stream_static_join(stream: DataFrame, read_static: Callable[[], DataFrame],
     The stream drives: each micro-batch re-reads the static side through
     ``read_static`` (a table replaced between runs is seen by the next batch,
     but a change to it alone produces nothing). Each batch writes its own
-    folder, skipped when already complete, so a replayed batch adds nothing.
+    folder, which a replayed batch replaces, so it adds nothing.
     """
-    spark = stream.sparkSession
-
     def batch(mb: DataFrame, batch_id: int) -> None:
-        from ..session import path_exists
-        target = f"{out}/batch={batch_id}"
-        if path_exists(spark, f"{target}/_SUCCESS"):
-            return
-        join(mb, read_static()).write.mode("overwrite").parquet(target)
+        join(mb, read_static()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return drain(stream.writeStream.foreachBatch(batch), checkpoint)
-
-
-def drain_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None],
-                        checkpoint: str):
-    """``writeStream.foreachBatch(fn)`` run to completion (SNK-4, STR-5)."""
-    return drain(stream.writeStream.foreachBatch(fn), checkpoint)

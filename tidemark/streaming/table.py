@@ -1,84 +1,79 @@
-"""Versioned Parquet tables with a change feed (the table convention of §7.2).
-
-Open Spark has no MERGE/DELETE on Parquet and no change data feed, so a
-mutable table is a folder:
-
-    <path>/v=<n>/tm_bucket=<b>/                rows of bucket b written by version n
-    <path>/_changes/_commit_version=<n>/       change rows of version n
-    <path>/_commits/                           one small row per commit
-    <path>/_staged/<n>-<writer>-<batch>/       change rows of a commit under way
-    <path>/_layout/buckets=<n>/                the bucket count, fixed by the first commit
-
-Rows are hash-bucketed by ``keys`` (all or part of the merge key; ``buckets`` buckets, sized so a
-bucket holds on the order of a gigabyte, the default suits small tables). A commit
-rewrites only the buckets its batch touches (copy-on-write per bucket) and
-records them in its commit row; version n of bucket b is read from the latest
-version <= n that wrote b. A table without keys is one bucket rewritten per
-commit.
-
-A commit writes the data, stages its change rows, writes the commit row and then moves
-the change rows to ``_changes``; the next operation finishes a move that a lost driver left.
-So ``_changes``, which streams read, never holds rows of a commit that did not
-happen, or of another writer. Opening a table with another bucket count raises. A (writer, batch id) pair that is
-already committed is skipped, so a replayed micro-batch changes nothing.
-Writers of one table run one after another.
+"""Tables kept as their change rows (the table convention of §7.2).
+
+Open Spark has no MERGE/DELETE on Parquet and no change data feed, so a mutable table is the
+Parquet folder of the change rows that its merges gave, appended by version:
+
+    <path>/changes/_commit_version=<n>/_writer=<name>/_batch_id=<b>/
+
+Nothing is rewritten. The content at a version is the sum of the change rows up to it (``state_of``: one
+aggregate), the feed is a read of the folder. A merge reads the rows of its batch's keys only.
+
+A commit is one Parquet write, complete when Spark has written its ``_SUCCESS``. A batch that is already
+complete is skipped; one that was lost half way has no ``_SUCCESS``, is read by nobody and is
+cleared by the next commit. Writers of one table run one after another.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cdc import MergeResult
-from ..session import list_dirs, path_exists, rename, touch
+from ..operators.cdc import INSERT, POST
+from ..operators.joins import broadcast_if_small
+from ..session import glob_paths, remove_dir
+from .runner import kept
 
-COMMIT_SCHEMA = ("version BIGINT, writer STRING, batch_id BIGINT, operation STRING, "
-                 "committed_at TIMESTAMP, num_changes BIGINT, "
-                 "touched ARRAY<INT>, present ARRAY<INT>, root STRING, staged STRING")
-BUCKET = "tm_bucket"
+NO_BATCH = -1
 
 
 class AppendOnlyViolation(Exception):
     pass
 
 
-class LayoutMismatch(Exception):
-    """A table is opened with another bucket count than it was written with."""
+class LostCommit(Exception):
+    """A writer was lost, or is at work: its change rows are not complete."""
+
+
+class Commit(NamedTuple):
+    version: int
+    writer: str
+    batch_id: int
+    path: str
+    complete: bool
+
+
+def state_of(changes: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows that are left when all change rows are applied: per distinct row, what was inserted less
+    what was taken away. Rows may repeat; nulls are equal to each other. Columns must be groupable (no maps)."""
+    sign = F.when(F.col("_change_type").isin(INSERT, POST), 1).otherwise(-1)
+    left = changes.groupBy(*cols).agg(F.sum(sign).cast("int").alias("_left")).filter("_left > 0")
+    return left.withColumn("_left", F.explode(F.array_repeat(F.lit(0), F.col("_left")))).select(*cols)
 
 
 class VersionedTable:
-    """``append_only`` (SNK-9) rejects commits whose changes are not all inserts;
+    """``keys`` (all or part of the merge key) let a merge read the rows of its batch only;
+    ``append_only`` (SNK-9) rejects commits whose changes are not all inserts;
     ``constraints`` (QUA-1) are checked over the rows a commit adds or changes
     before anything is written, so a bad batch leaves no trace."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, *,
-                 keys: Sequence[str] = (), buckets: int = 16, append_only: bool = False,
+                 keys: Sequence[str] = (), append_only: bool = False,
                  constraints: dict[str, str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = (spark.createDataFrame([], schema).schema
-                       if isinstance(schema, str) else schema)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.keys = list(keys)
-        self.buckets = int(buckets) if self.keys else 1
         self.append_only = append_only
         self.constraints = dict(constraints or {})
 
-    # -- layout ---------------------------------------------------------
-    def _snap(self, v: int) -> str:
-        return f"{self.path}/v={v}"
-
     @property
     def _changes_dir(self) -> str:
-        return f"{self.path}/_changes"
-
-    @property
-    def _commits_dir(self) -> str:
-        return f"{self.path}/_commits"
+        return f"{self.path}/changes"
 
     @property
     def change_schema(self) -> T.StructType:
@@ -87,130 +82,71 @@ class VersionedTable:
             T.StructField("_commit_timestamp", T.TimestampType()),
             T.StructField("_commit_version", T.LongType())])
 
-    def bucket_of(self) -> Column:
-        """Bucket id of a row: ``pmod(xxhash64(keys), buckets)``."""
-        if not self.keys:
-            return F.lit(0)
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    # -- metadata -------------------------------------------------------
-    def commits(self) -> DataFrame:
-        """Commit log (``DESCRIBE HISTORY``-like rows, CDC-12)."""
-        if not path_exists(self.spark, self._commits_dir):
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_dir)
-
-    def _log(self) -> "_LogView":
-        """Bounded summaries of the commit log, each a distributed aggregate
-        (the log grows by one row per micro-batch and is never collected)."""
-        self._check_layout()
-        log = _LogView(self)
-        self._publish(log)
-        return log
-
-    def _check_layout(self) -> None:
-        for d in list_dirs(self.spark, f"{self.path}/_layout"):
-            if d != f"buckets={self.buckets}":
-                raise LayoutMismatch(f"{self.path} has {d}, opened with buckets={self.buckets}")
-
-    def _publish(self, log: "_LogView") -> None:
-        """Move the staged change rows of committed versions to the feed. Rows staged
-        by a commit that did not happen stay where they are, unread."""
-        left = list_dirs(self.spark, f"{self.path}/_staged")
-        if not left:
-            return
-        # few: a folder leaves here as soon as its commit is done
-        done = self.commits().filter(F.col("staged").isin(left)).select("version", "staged").collect()
-        for r in done:
-            rename(self.spark, f"{self.path}/_staged/{r.staged}", f"{self._changes_dir}/_commit_version={r.version}")
-
-    def latest_version(self, log: "_LogView | None" = None) -> int:
-        return (self._log() if log is None else log).latest()
+    # -- versions: folder names only -----------------------------------------
+    def commits(self) -> list[Commit]:
+        one = f"{self._changes_dir}/_commit_version=*/_writer=*/_batch_id=*"
+        done = {p.rsplit("/", 1)[0] for p in glob_paths(self.spark, f"{one}/_SUCCESS")}
+        out = []
+        for p in glob_paths(self.spark, one):
+            v, w, b = (part.split("=", 1)[1] for part in p.split("/")[-3:])
+            out.append(Commit(int(v), w, int(b), p, p in done))
+        return sorted(out)
+
+    def latest_version(self, writer: str | None = None) -> int:
+        """The newest version, -1 before the first; of one writer if given."""
+        return max((c.version for c in self.commits() if c.complete and writer in (None, c.writer)), default=-1)
+
+    def version_of(self, writer: str, batch_id: int) -> int | None:
+        found = [c.version for c in self.commits() if c.complete and (c.writer, c.batch_id) == (writer, batch_id)]
+        return found[0] if found else None
 
     def exists(self) -> bool:
         return self.latest_version() >= 0
 
-    @staticmethod
-    def _committed(log: "_LogView", writer: str, batch_id: int | None) -> bool:
-        return batch_id is not None and log.committed(writer, batch_id)
-
-    def _bucket_paths(self, log: "_LogView", version: int,
-                      only: Sequence[int] | None = None) -> list[str]:
-        """Folders holding each bucket as of ``version``."""
-        owner = log.owners(version)
-        want = range(self.buckets) if only is None else only
-        return [f"{owner[b][0]}/{BUCKET}={b}" for b in want if b in owner and owner[b][1]]
-
-    # -- reads ----------------------------------------------------------
-    def read(self, version: int | None = None, *, log: "_LogView | None" = None,
-             buckets: Sequence[int] | None = None) -> DataFrame:
-        """Snapshot of ``version`` (default latest); time travel is reading an
-        older version (SRC-11). ``buckets`` limits the read to those buckets."""
-        log = self._log() if log is None else log
-        v = log.latest() if version is None else version
-        paths = self._bucket_paths(log, v, buckets) if v >= 0 else []
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def changes(self, start: int = 0, end: int | None = None) -> DataFrame:
-        """Batch change feed from ``start`` (inclusive) to ``end`` (SRC-6).
-        Versions inherited from a clone source are read from its folder."""
-        log = self._log()
-        last = log.latest() if end is None else end
-        parts = []
-        inherited_upto = -1
-        for root, lo, hi in log.roots():
-            d = f"{root}/_changes"
-            inherited_upto = max(inherited_upto, hi)
-            if path_exists(self.spark, d) and max(lo, start) <= min(hi, last):
-                parts.append(self.spark.read.schema(self.change_schema).parquet(d)
-                             .filter(F.col("_commit_version").between(max(lo, start), min(hi, last))))
-        own_lo = max(start, inherited_upto + 1)
-        if path_exists(self.spark, self._changes_dir) and own_lo <= last:
-            parts.append(self.spark.read.schema(self.change_schema).parquet(self._changes_dir)
-                         .filter(F.col("_commit_version").between(own_lo, last)))
-        if not parts:
+    # -- reads ----------------------------------------------------------------
+    def read(self, version: int | None = None) -> DataFrame:
+        """Content as of ``version`` (default latest); time travel is reading an older version (SRC-11)."""
+        return self._state(self.changes(0, version))
+
+    def _state(self, changes: DataFrame) -> DataFrame:
+        if self.append_only:
+            return changes.select(*self.schema.names)
+        return state_of(changes, self.schema.names)
+
+    def changes(self, start: int = 0, end: int | None = None, *, since=None, until=None) -> DataFrame:
+        """Batch change feed by version, and by time of commit, both ends inclusive (SRC-6)."""
+        last = self.latest_version()
+        last = last if end is None else min(end, last)
+        if last < start:
             return self.spark.createDataFrame([], self.change_schema)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        rows = self._feed(self.spark.read).filter(F.col("_commit_version").between(start, last))
+        if since is not None:
+            rows = rows.filter(F.col("_commit_timestamp") >= F.lit(since).cast("timestamp"))
+        if until is not None:
+            rows = rows.filter(F.col("_commit_timestamp") <= F.lit(until).cast("timestamp"))
+        return rows
 
     def change_stream(self, start: int = 0, max_files: int | None = None) -> DataFrame:
-        """Streaming change feed from ``start`` (inclusive) (SRC-5). A clone's inherited
-        versions are in its source's stream, so asking a clone for them raises."""
-        log = self._log()
-        inherited = max((hi for _, _, hi in log.roots()), default=-1)
-        if start <= inherited:
-            raise ValueError(f"versions up to {inherited} are inherited: stream them from the source table")
-        r = self.spark.readStream.schema(self.change_schema)
+        """Streaming change feed from ``start`` (inclusive) (SRC-5). Raises while a commit is not complete:
+        its writer has to run (again) first."""
+        open_ = [c.path for c in self.commits() if not c.complete]
+        if open_:
+            raise LostCommit(f"not complete: {open_[0]}")
+        r = self.spark.readStream
         if max_files:
             r = r.option("maxFilesPerTrigger", int(max_files))
-        return r.parquet(self._changes_dir).filter(F.col("_commit_version") >= start)
-
-    # -- writes ---------------------------------------------------------
-    def clone_from(self, src: "VersionedTable") -> None:
-        """Shallow clone: copy ``src``'s commit log (pointing at its data and
-        change folders); later commits here write to this table only. The
-        change stream of a clone starts after the cloned versions."""
-        if self.exists():
-            return
-        src._log()  # its change rows are all published
-        if src.buckets != self.buckets:
-            raise LayoutMismatch(f"{src.path} has buckets={src.buckets}, cloned with buckets={self.buckets}")
-        touch(self.spark, f"{self.path}/_layout/buckets={self.buckets}/_SET")
-        (src.commits().drop("staged").withColumn("root", F.coalesce(F.col("root"), F.lit(src.path)))
-         .coalesce(1).write.mode("append").parquet(self._commits_dir))
+        return self._feed(r).filter(F.col("_commit_version") >= start)
 
+    def _feed(self, reader) -> DataFrame:
+        stored = T.StructType(list(self.change_schema.fields)
+                              + [T.StructField("_writer", T.StringType()), T.StructField("_batch_id", T.LongType())])
+        return reader.schema(stored).parquet(self._changes_dir).select(*self.change_schema.names)
+
+    # -- writes ---------------------------------------------------------------
     def create_if_absent(self) -> None:
-        """``CREATE TABLE IF NOT EXISTS`` with the declared schema (SNK-8)."""
-        if not self.exists():
-            ch_schema = T.StructType(list(self.schema.fields)
-                                     + [T.StructField("_change_type", T.StringType())])
-            self.commit(self.spark.createDataFrame([], self.schema),
-                        self.spark.createDataFrame([], ch_schema),
-                        writer="create", batch_id=0, operation="CREATE TABLE")
+        """``CREATE TABLE IF NOT EXISTS`` with the declared schema (SNK-8): version 0 without rows."""
+        empty = T.StructType(list(self.schema.fields) + [T.StructField("_change_type", T.StringType())])
+        self.commit(self.spark.createDataFrame([], empty), writer="create", batch_id=0)
 
     def _check(self, changes: DataFrame) -> None:
         from ..operators import quality
@@ -224,145 +160,45 @@ class VersionedTable:
         if bad:
             raise quality.ConstraintViolation(f"CHECK constraint violated: {bad}")
 
-    def commit(self, table: DataFrame, changes: DataFrame | None, *, writer: str,
-               batch_id: int | None = None, operation: str = "WRITE",
-               touched: Sequence[int] | None = None, log: "_LogView | None" = None) -> int | None:
-        """Write a new version: ``table`` holds every row of the ``touched``
-        buckets (all buckets when None). Returns the version, or None when this
-        batch was already committed."""
-        log = self._log() if log is None else log
-        if self._committed(log, writer, batch_id):
+    def commit(self, changes: DataFrame, *, writer: str, batch_id: int | None = None) -> int | None:
+        """Append change rows as a new version. Returns it, or None when this batch was committed before."""
+        commits = self.commits()
+        if batch_id is not None and any(c.complete and (c.writer, c.batch_id) == (writer, batch_id) for c in commits):
             return None
-        if changes is not None and (self.append_only or self.constraints):
-            self._check(changes)
-        v = self.latest_version(log) + 1
-        cols = [f.name for f in self.schema.fields]
-        if touched is not None and not touched:
-            present: list[int] = []
+        for c in commits:
+            if not c.complete:  # of a writer that was lost
+                remove_dir(self.spark, c.path)
+        v = max((c.version for c in commits if c.complete), default=-1) + 1
+        dest = f"{self._changes_dir}/_commit_version={v}/_writer={writer}/_batch_id={NO_BATCH if batch_id is None else batch_id}"
+        if self.append_only or self.constraints:
+            with kept(changes) as rows:
+                self._check(rows)
+                self._write(rows, dest)
         else:
-            out = table.select(*cols).withColumn(BUCKET, self.bucket_of())
-            if self.buckets > 1:
-                # few files per bucket; AQE splits a skewed (hot) bucket
-                out = out.hint("rebalance", BUCKET)
-            out.write.mode("overwrite").partitionBy(BUCKET).parquet(self._snap(v))
-            present = [int(d.split("=", 1)[1]) for d in list_dirs(self.spark, self._snap(v))
-                       if d.startswith(f"{BUCKET}=")]
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        n = staged = None
-        if changes is not None:
-            staged = f"{v}-{writer}-{uuid.uuid4().hex if batch_id is None else batch_id}"
-            obs = Observation(f"changes_v{v}")
-            (changes.select(*cols, "_change_type")
-             .withColumn("_commit_timestamp", F.lit(now).cast("timestamp"))
-             .observe(obs, F.count(F.lit(1)).alias("n"))
-             .write.mode("overwrite").parquet(f"{self.path}/_staged/{staged}"))
-            n = obs.get.get("n")
-        row = self.spark.createDataFrame(
-            [(v, writer, batch_id, operation, now, n,
-              None if touched is None else [int(b) for b in touched], present, None, staged)],
-            COMMIT_SCHEMA)
-        touch(self.spark, f"{self.path}/_layout/buckets={self.buckets}/_SET")
-        row.coalesce(1).write.mode("append").parquet(self._commits_dir)
-        if staged is not None:
-            rename(self.spark, f"{self.path}/_staged/{staged}", f"{self._changes_dir}/_commit_version={v}")
+            self._write(changes, dest)
         return v
 
-    def merge(self, fn, *, writer: str, batch_id: int | None = None,
-              operation: str = "MERGE", source: DataFrame | None = None) -> int | None:
-        """Apply ``fn(current) -> MergeResult`` and commit the result.
-
-        With ``source`` (the batch) on a keyed table, only the buckets holding
-        the batch's keys are read, merged and rewritten: ``fn`` sees those
-        buckets only, which is exact for key-wise operations (upsert, delete
-        by key, matched update, insert-only). A batch that lacks some key
-        columns (e.g. a delete by part of the key) reads every bucket.
-        """
-        log = self._log()
-        if self._committed(log, writer, batch_id):
+    def _write(self, changes: DataFrame, dest: str) -> None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        (changes.select(*self.schema.names, "_change_type").withColumn("_commit_timestamp", F.lit(now).cast("timestamp"))
+         .hint("rebalance").write.mode("overwrite").parquet(dest))
+
+    def merge(self, fn, *, writer: str, batch_id: int | None = None, source: DataFrame | None = None) -> int | None:
+        """Apply ``fn(current) -> MergeResult`` and append its change rows.
+
+        With ``source`` (the batch) holding the table's ``keys``, ``fn`` sees the rows of the batch's keys only,
+        which is exact for key-wise operations (upsert, delete by key, matched update, insert-only). A batch
+        that lacks some key columns, and a delete by something else, sees every row."""
+        if batch_id is not None and self.version_of(writer, batch_id) is not None:
             return None
-        touched = None
-        if source is not None and self.keys and set(self.keys) <= set(source.columns):
-            touched = sorted(r[0] for r in source.select(self.bucket_of().alias("b"))
-                             .distinct().collect())  # at most `buckets` values
-        cur = self.read(self.latest_version(log), log=log, buckets=touched)
-        res: MergeResult = fn(cur)
-        if res.shared is not None:
-            res.shared.persist()
-        try:
-            return self.commit(res.table, res.changes, writer=writer, batch_id=batch_id,
-                               operation=operation, touched=touched, log=log)
-        finally:
-            if res.shared is not None:
-                res.shared.unpersist()
+        rows = self.changes()
+        if source is None or not self.keys or not set(self.keys) <= set(source.columns):
+            return self.commit(fn(self._state(rows)).changes, writer=writer, batch_id=batch_id)
+        wanted = broadcast_if_small(source.select(*self.keys).dropDuplicates())
+        rows = rows.join(wanted, self.keys, "left_semi").select(*rows.columns)
+        with kept(self._state(rows)) as current:  # of the size of the batch; a merge reads it several times
+            return self.commit(fn(current).changes, writer=writer, batch_id=batch_id)
 
     def insert(self, rows: DataFrame, *, writer: str = "insert", batch_id: int | None = None) -> int | None:
-        """``INSERT INTO t VALUES …``: all rows or none (SNK-7)."""
-        return self.merge(lambda cur: MergeResult(
-            cur.unionByName(rows.select(*cur.columns)),
-            rows.select(*cur.columns).withColumn("_change_type", F.lit("insert"))),
-            writer=writer, batch_id=batch_id, operation="WRITE", source=rows)
-
-
-class _LogView:
-    """Answers about one table's commit log, each from a Spark aggregate whose
-    result is bounded (one value, one row per bucket, one row per clone
-    source); results are memoized for the duration of one operation."""
-
-    def __init__(self, table: VersionedTable):
-        self.t = table
-        self._exists = path_exists(table.spark, table._commits_dir)
-        self._latest: int | None = None
-        self._hits: dict[tuple[str, int | None], bool] = {}
-
-    def _df(self) -> DataFrame:
-        return self.t.commits()
-
-    def _summarize(self, writer: str | None = None, batch_id: int | None = None) -> None:
-        """Latest version and, optionally, whether (writer, batch id) is
-        committed, in one aggregate."""
-        if not self._exists:
-            self._latest = -1
-            if writer is not None:
-                self._hits[(writer, batch_id)] = False
-            return
-        aggs = [F.max("version").alias("v")]
-        if writer is not None:
-            hit = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-            aggs.append(F.max(F.when(hit, F.lit(1))).alias("hit"))
-        row = self._df().agg(*aggs).first()
-        self._latest = -1 if row["v"] is None else int(row["v"])
-        if writer is not None:
-            self._hits[(writer, batch_id)] = row["hit"] is not None
-
-    def latest(self) -> int:
-        if self._latest is None:
-            self._summarize()
-        return self._latest
-
-    def committed(self, writer: str, batch_id: int) -> bool:
-        if (writer, batch_id) not in self._hits:
-            self._summarize(writer, batch_id)
-        return self._hits[(writer, batch_id)]
-
-    def owners(self, version: int) -> dict[int, tuple[str, bool]]:
-        """bucket -> (folder of the version that last wrote it, non-empty)."""
-        if not self._exists or version < 0:
-            return {}
-        nb = self.t.buckets
-        all_b = F.sequence(F.lit(0), F.lit(nb - 1))
-        x = (self._df().filter(F.col("version") <= version)
-             .select("version", "root", "present",
-                     F.explode(F.coalesce(F.col("touched"), all_b)).alias("b")))
-        present = F.array_contains(F.coalesce(F.col("present"), F.array().cast("array<int>")), F.col("b"))
-        o = (x.groupBy("b").agg(F.max_by(F.struct(F.col("version"), F.col("root"), present.alias("p")),
-                                         F.col("version")).alias("o"))
-             .collect())  # at most `buckets` rows
-        return {r.b: (f"{r.o.root or self.t.path}/v={r.o.version}", bool(r.o.p)) for r in o}
-
-    def roots(self) -> list[tuple[str, int, int]]:
-        """(clone source folder, first version, last version) of inherited versions."""
-        if not self._exists:
-            return []
-        rows = (self._df().filter(F.col("root").isNotNull()).groupBy("root")
-                .agg(F.min("version").alias("lo"), F.max("version").alias("hi")).collect())
-        return [(r.root, int(r.lo), int(r.hi)) for r in rows]
+        """``INSERT INTO t VALUES …``: all rows or none (SNK-7); stored rows are not read."""
+        return self.commit(rows.withColumn("_change_type", F.lit(INSERT)), writer=writer, batch_id=batch_id)
