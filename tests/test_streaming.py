@@ -73,3 +73,50 @@ def test_window_append_emits_closed_windows(spark, fresh):
     got = [(r.window.start, r.n, r.avg_v) for r in spark.read.parquet(out).collect()]
     # watermark 10:06: the 10:00-10:05 window is closed and emitted, 10:15 is open
     assert got == [(t0, 2, 2.0)]
+
+
+def test_landed_envelopes_are_compressed_and_lines_are_listed_after_the_shuffle(spark, fresh):
+    import os
+
+    from tidemark.session import use_subdir
+    from tidemark.sources.bookstore import orders_payload
+    from tidemark.sources.ingest import ensure_bronze, land_raw, read_bronze
+    sf = "/root/testdata/sf0.001"
+    before = spark.conf.get("tidemark.work.subdir")
+    use_subdir(spark, f"{before}/landed-{os.path.basename(fresh)}")
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        names = [f for f in os.listdir(land_raw(spark, sf).removeprefix("file:")) if f.startswith("part-")]
+        assert names and all(f.endswith(".json.gz") for f in names)
+        assert read_bronze(spark, ensure_bronze(spark, sf)).count() == spark.read.json(land_raw(spark, sf)).count()
+    finally:
+        use_subdir(spark, before)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    plan = orders_payload(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange hashpartitioning(l_orderkey")
+    assert "collect_list" in plan[:shuffle] and "collect_list" not in plan[shuffle:]
+
+
+def test_stream_stream_join_runs_once_a_batch(spark, fresh, monkeypatch):
+    import os
+
+    from tidemark.plans import streams as st
+    from tidemark.session import use_subdir
+    sf = "/root/testdata/sf0.001"
+    before, ran = spark.conf.get("tidemark.work.subdir"), {}
+
+    def noted(writer, checkpoint, **kw):
+        q = drain(writer, checkpoint, **kw)
+        ran[os.path.basename(checkpoint)] = q.recentProgress
+        return q
+
+    monkeypatch.setattr(st, "drain", noted)
+    use_subdir(spark, f"{before}/once-{os.path.basename(fresh)}")
+    try:
+        orders = st.customers_orders(spark, sf).read().count()
+        feed = st.customers_silver(spark, sf).changes(start=1).filter("_change_type IN ('insert', 'update_postimage')").count()
+        n = st.bs.orders_silver(spark, sf).filter("customer_id IS NOT NULL").count()
+        stored = sum(o.numRowsUpdated for p in ran["customers_orders"] for o in p.stateOperators)
+        assert orders and stored == n + feed
+    finally:
+        use_subdir(spark, before)

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import estimated_bytes
 from .tables import load
 
 # Fixed schemas of the raw envelope and the topic payloads (DDL).
@@ -45,6 +46,10 @@ TOPIC_SCHEMAS = {"orders": ORDERS_SCHEMA, "customers": CUSTOMERS_SCHEMA,
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+# Scanned bytes of lines (estimated) whose lists one task builds.
+GROUPED_BYTES = 8 << 20
+
+
 def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("code"), F.col("n_name").alias("country"))
@@ -57,8 +62,13 @@ def orders_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     order key only (an order's own lines), sorted by line number. Order
     quantity is the sum of its line quantities, so orders without lines have
     quantity 0 (the zero-quantity orders the quality rules catch).
+
+    Lines are dealt by order first, in parts of ``GROUPED_BYTES``: lists built before the shuffle
+    combine nothing (an order's lines lie anywhere) and make a task sort, and spill, all that it scans.
     """
-    lines = (load(spark, sf_dir, "lineitem")
+    raw = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    parts = max(spark.sparkContext.defaultParallelism, -(-estimated_bytes(raw) // GROUPED_BYTES))
+    lines = (raw.repartition(parts, "l_orderkey")
              .groupBy("l_orderkey")
              .agg(F.sort_array(F.collect_list(F.struct(
                      F.col("l_linenumber").alias("n"),
