@@ -27,6 +27,10 @@ class BatchLog:
         (df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
          .write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}"))
 
+    def rows_of(self, batch_id: int) -> DataFrame:
+        """Rows of one batch that was appended."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch_id}")
+
     def read(self) -> DataFrame:
         """All rows with their ``batch``."""
         schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
