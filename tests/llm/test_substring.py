@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import substring_op as op
-from tidemark.llm.common import equal_windows, rolling
+from tidemark.llm.common import equal_windows, rolling, word_hashes, word_spans
 
 SCHEMA = "doc_id long, text string, source string, spans string, k int"
 
@@ -98,3 +98,16 @@ def test_equal_windows_survive_a_hash_collision():
     for a, b in zip(at, label):
         classes.setdefault(b, set()).add(int(a))
     assert {frozenset(c) for c in classes.values() if len(c) > 1} == {frozenset({0, 1, 3})}
+
+
+def test_only_strings_with_a_repeated_window_are_interned():
+    rnd = random.Random(4)
+    words = [bytes(rnd.choices(b"abcdefgh\xc3\xa9", k=rnd.choice((1, 7, 8, 9, 16, 17, 300)))) for _ in range(200)]
+    text = b"\n".join(b" ".join(words[i:i + 10]) for i in range(0, 200, 10))
+    begin, end = word_spans(text)
+    assert [text[a:b] for a, b in zip(begin.tolist(), end.tolist())] == text.split()
+    h = word_hashes(text, begin, end)
+    assert len(set(h.tolist())) == len(set(words)) and word_hashes(b"", *word_spans(b"")).tolist() == []
+    strings = [b" ".join(words[i:i + 10]) for i in (0, 10, 20, 4, 40)]  # windows 4..7 lie in the first and the fourth
+    rows, kept = op._repeating([b"\n".join(strings[:3]), b"\n".join(strings[3:])], np.full(5, 7), 4)
+    assert rows.tolist() == [0, 1, 3] and kept == b" ".join(strings[i] for i in (0, 1, 3)).split()

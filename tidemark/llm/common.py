@@ -96,6 +96,32 @@ def intern(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ids, by_id[ids]
 
 
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the one after its last; one space or line break parts two words."""
+    if not text:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    buf = np.frombuffer(text, np.uint8)
+    gap = np.flatnonzero((buf == 32) | (buf == 10))
+    return np.concatenate(([0], gap + 1)), np.concatenate((gap, [len(buf)]))
+
+
+def word_hashes(text: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of ``text`` between ``begin`` and ``end``, eight bytes at a time."""
+    size = end - begin
+    with np.errstate(over="ignore"):
+        h = size.astype(np.uint64) * np.uint64(MULT)
+        eight = np.ndarray((len(text),), "<u8", text + bytes(8), strides=(1,))
+        todo, done = np.flatnonzero((size > 0) & (size <= 256)), 0
+        while len(todo):
+            left = size[todo] - done
+            block = eight[begin[todo] + done] & (np.uint64(2**64 - 1) >> (8 * np.maximum(8 - left, 0)).astype(np.uint64))
+            h[todo] = mixed(h[todo] ^ block) * np.uint64(MULT)
+            todo, done = todo[left > 8], done + 8
+    for i in np.flatnonzero(size > 256).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(text[begin[i]:end[i]])
+    return h
+
+
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` items starting at each position (positions within ``k - 1``
     of the end get no value: the result is shorter by that)."""

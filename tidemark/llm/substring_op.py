@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (BLOBS, NO_ID, as_bytes, blob_rows, equal_windows, groups, hot_slots, intern, mixed,
-                     nullable, pack, rolling, slices, slot_rows, tidy, unpack)
+                     nullable, pack, rolling, slices, slot_rows, tidy, unpack, word_hashes, word_spans)
 
 GRAM = 3
 CHUNK = 12 << 20
@@ -43,18 +43,18 @@ def _slots(n_groups: int) -> int:
 
 
 def _chunk(batch: pa.RecordBatch):
-    """Words of a slice of documents, in doc_id order; the first word of each row; the words' hashes."""
+    """Words of a slice of documents, in doc_id order, as one text and the bytes where they begin and end;
+    the first word of each row; the words' hashes."""
     doc = nullable(batch.column(0).to_pylist())
     mark = np.array(batch.column(1).to_pylist(), np.int64)
     texts = as_bytes(batch.column(2))
     order = np.lexsort((mark, doc))
     doc, mark = doc[order], mark[order]
-    words: list[bytes] = []
-    first = np.zeros(len(order) + 1, np.int64)
-    for i, k in enumerate(order):
-        words += (texts[k] or b"").split()
-        first[i + 1] = len(words)
-    return doc, mark, words, first, intern(words)[1]
+    rows = [b" ".join((texts[k] or b"").split()) for k in order]
+    first = np.cumsum([0, *[r.count(b" ") + 1 if r else 0 for r in rows]])
+    text = b"\n".join([r for r in rows if r])
+    begin, end = word_spans(text)
+    return doc, mark, (text, begin, end), first, word_hashes(text, begin, end)
 
 
 def _runs(first: np.ndarray, h: np.ndarray, window: int, hot: np.ndarray | None, n_slots: int):
@@ -91,7 +91,8 @@ def _runs(first: np.ndarray, h: np.ndarray, window: int, hot: np.ndarray | None,
 
 def _distinct(words, lo, hi, owner, doc, first, window):
     """Packed strings; which of them equal a string that an earlier (doc, start) of this chunk has."""
-    strings = [b" ".join(words[a:b + window]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+    text, begin, end = words
+    strings = [text[a:b] for a, b in zip(begin[lo].tolist(), end[hi + window - 1].tolist(), strict=True)]
     start = lo - first[owner]
     seen: dict[bytes, int] = {}
     get = seen.setdefault
@@ -159,25 +160,43 @@ def _merge(doc, mark, start, n):
     return doc[at], mark[at], start[at], np.maximum.reduceat(end, at)
 
 
+def _offsets(c: np.ndarray, window: int):
+    """Of packed strings with ``c`` windows each: first word of each string, string and place in it of each window."""
+    word0 = np.concatenate(([0], np.cumsum(c + window - 1)))[:-1]  # c windows take c + window - 1 words
+    row = np.repeat(np.arange(len(c)), c)
+    return word0, row, np.arange(len(row)) - np.repeat(np.cumsum(c) - c, c)
+
+
+def _repeating(texts: list[bytes], c: np.ndarray, window: int) -> tuple[np.ndarray, list[bytes]]:
+    """Packed strings with a window whose hash occurs twice or more, and their words."""
+    text = b"\n".join(texts)
+    begin, end = word_spans(text)
+    word0, row, off = _offsets(c, window)
+    h = rolling(word_hashes(text, begin, end), window)[word0[row] + off]
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    rows = np.unique(row[np.concatenate((order[1:][same], order[:-1][same]))])
+    strings = [text[a:b] for a, b in zip(begin[word0[rows]].tolist(), end[word0[rows] + c[rows] + window - 2].tolist(), strict=True)]
+    return rows, b"\n".join(strings).split()
+
+
 def _sort_group(window: int):
     def run(t: pa.Table) -> pa.Table:
-        doc, mark, start, n, words, done = [], [], [], [], [], []
+        doc, mark, start, n, texts, done = [], [], [], [], [], []
         for blob in t.column("blob").to_pylist():
             d, m, s, c, text = unpack(blob, np.int64, np.int64, np.int32, np.int32)
             if text:
                 doc.append(d), mark.append(m), start.append(s), n.append(c)
-                words += text.split()
+                texts.append(text)
             else:
                 done.append((d, m, s, c))
-        if words:
+        if texts:
             d, m, s, c = (np.concatenate(x) for x in (doc, mark, start, n))
+            rows, words = _repeating(texts, c.astype(np.int64), window)
+            d, m, s, c = d[rows], m[rows], s[rows], c[rows].astype(np.int64)
             ids, h = intern(words)
-            del words
-            c = c.astype(np.int64)
-            # c windows of one packed string take c + window - 1 words
-            word0 = np.concatenate(([0], np.cumsum(c + window - 1)))[:-1]
-            row = np.repeat(np.arange(len(c)), c)
-            off = np.arange(len(row)) - np.repeat(np.cumsum(c) - c, c)
+            del words, texts
+            word0, row, off = _offsets(c, window)
             at, label = equal_windows(ids, rolling(h, window), word0[row] + off, window)
             if len(at):
                 r, pos = row[at], s[row[at]] + off[at]
