@@ -33,9 +33,7 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # No look-up before each put just to keep a count of rows, and one RocksDB instance a
-    # partition of a stream-stream join instead of four.
-    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # One RocksDB instance a partition of a stream-stream join instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
