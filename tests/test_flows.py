@@ -188,3 +188,38 @@ def test_checked_insert(spark, fresh):
     rows = spark.createDataFrame([(1,), (-1,)], "a int")
     assert not flows.checked_insert(log, rows, {"p": "a > 0"}, 0) and log.read().count() == 0
     assert flows.checked_insert(log, rows.filter("a > 0"), {"p": "a > 0"}, 0) and log.read().count() == 1
+
+
+@pytest.mark.parametrize("by_days", [False])
+def test_steps_compute_their_rows_once(spark, fresh, by_days):
+    from tidemark.plans import streams as st
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(i):
+        seen.add(1)
+        return i % 10 != 0
+
+    rows = spark.range(60).select("id", F.expr("timestamp'2024-01-01' + make_dt_interval(id)").alias("t")).unionByName(
+        spark.sql("SELECT 99L AS id, CAST(NULL AS TIMESTAMP) AS t")).filter(F.udf(look, "boolean")("id"))
+    landed = []
+
+    def run():
+        landed.append(sorted(r.id for r in spark.read.schema("id long, t timestamp").option("recursiveFileLookup", "true").format(fmt).load(fresh).collect()))
+
+    if by_days:  # rows without a time are not landed
+        fmt, go, n = "json", st._stepped, 54
+    else:
+        fmt, go, n = "parquet", flows.stepped, 55
+    go(spark, rows, "t", fresh, run)
+    assert seen.value <= 2 * 61  # one look for the span of time, one for the rows
+    steps = 12 if by_days else 3
+    assert len(landed) == steps and len(landed[-1]) == n
+    assert all(set(a) < set(b) for a, b in zip(landed, landed[1:], strict=False))
+    go(spark, rows, "t", fresh, run)  # all had landed: one more run, no new rows
+    assert len(landed) == steps + 1 and landed[-1] == landed[-2]
+
+
+def test_books_do_not_pass_the_driver(spark):
+    from tidemark.sources.bookstore import books_payload
+    plan = books_payload(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

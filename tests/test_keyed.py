@@ -72,3 +72,16 @@ def test_file_stats_tell_folders_apart(spark, fresh):
     from tidemark.operators.maintenance import file_stats
     spark.createDataFrame([(i, i % 3) for i in range(9)], "a int, p int").coalesce(1).write.partitionBy("p").parquet(fresh)
     assert sorted(r.num_records for r in file_stats(spark.read.parquet(fresh), ["a"]).collect()) == [3, 3, 3]
+
+
+def test_neighbors_send_a_range_to_a_task_as_it_is(spark, monkeypatch):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"))
+    plans, checkpoint = [], type(df).checkpoint
+
+    def noted(self, *a, **kw):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return checkpoint(self, *a, **kw)
+
+    monkeypatch.setattr(type(df), "checkpoint", noted)
+    assert ordered_neighbors(df, ["k"], ["o"], ["o"]).filter("_has_prev").count() == 97
+    assert "rangepartitioning" in plans[0] and "hashpartitioning" not in plans[0]

@@ -186,7 +186,7 @@ def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 def scd2_merge(table: DataFrame, updates: DataFrame, key: str, sequence: str, *,
                track: Sequence[str] = ("price",), current: str = "current",
-               start: str = "effective_date", end: str = "end_date") -> MergeResult:
+               start: str = "effective_date", end: str = "end_date", of_batch: bool = False) -> MergeResult:
     """Type 2 history by staged merge (CDC-5).
 
     For each update of a key: if the key's current row differs on ``track``
@@ -198,11 +198,14 @@ def scd2_merge(table: DataFrame, updates: DataFrame, key: str, sequence: str, *,
     updates of one key in a batch are applied in ``sequence`` order, each one
     against the version before it. Update rows with a NULL tracked value are
     no-ops.
+
+    ``of_batch`` says that ``table`` holds rows of the updates' keys only, so it is not split by them again.
     """
     attrs = [c for c in table.columns if c not in (current, start, end)]
     is_cur = F.coalesce(F.col(current), F.lit(False))
     hist = table.filter(~is_cur)
-    cur, cur_untouched = split_target(table.filter(is_cur), updates, [key])
+    cur = table.filter(is_cur)
+    cur, cur_untouched = (cur, None) if of_batch else split_target(cur, updates, [key])
     if cur_untouched is not None:
         hist = hist.unionByName(cur_untouched)  # carried over unchanged
     not_null = None

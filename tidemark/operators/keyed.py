@@ -45,7 +45,9 @@ def ordered_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence,
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = _cols(order)
     seg = (df.repartitionByRange(n, *_cols(keys), *order_cols)
-           .withColumn("_seg", F.spark_partition_id()))
+           .withColumn("_seg", F.spark_partition_id())
+           # the windows' shuffle: a range goes to a task as it is, not in pieces to all of them
+           .repartitionById(n, F.col("_seg")))
     w = Window.partitionBy("_seg", *keys).orderBy(*order_cols)
     one = F.lit(1)
     seg = (seg.withColumn("_rn", F.row_number().over(w))

@@ -21,7 +21,7 @@ from ..operators.keyed import latest_per_key
 from ..operators.sorted_store import write_sorted
 from ..session import dataset_tag, fresh_path, path_exists, prepare, table_root, touch, use_subdir, work_path
 from ..sources.bookstore import books_payload, country_lookup, customers_payload, orders_payload, raw_envelopes
-from ..sources.ingest import ensure_bronze, ingest_bronze, read_bronze
+from ..sources.ingest import ensure_bronze, ingest_bronze, land_steps, read_bronze
 from ..sources.robust_stream import EvolvingTable, evolving_ingest, line_stream, split_stream, with_restarts
 from ..sources.tables import TABLES, load, table_path
 from ..streaming.batches import BatchLog
@@ -81,14 +81,7 @@ def stepped(spark: SparkSession, payload: DataFrame, ts_col: str, landing: str,
     if lo is None:
         return
     step = F.coalesce(F.floor((t - lo) * steps / (hi - lo + 1)), F.lit(0))
-    fresh = False
-    for s in range(steps):
-        part = f"{landing}/step={s}"
-        if not path_exists(spark, f"{part}/_SUCCESS"):
-            payload.filter(step == s).write.mode("overwrite").parquet(part)
-            run()
-            fresh = True
-    if not fresh:
+    if not land_steps(payload.withColumn("_step", step), "_step", steps, landing, run, fmt="parquet"):
         run()
 
 

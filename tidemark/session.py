@@ -192,6 +192,15 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def move_dir(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder of ours; ``to`` must not exist."""
+    fs, p = _fs(spark, path)
+    _, dest = _fs(spark, to)
+    fs.mkdirs(dest.getParent())
+    if not fs.rename(p, dest):
+        raise OSError(f"{path} was not moved to {to}")
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of a table of ours."""
     fs, p = _fs(spark, path)

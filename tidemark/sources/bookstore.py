@@ -116,9 +116,12 @@ def customers_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def books_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price updates for books, one per event of the user whose id names the book."""
+    """Price updates for books, one per event of the user whose id names the book.
+
+    Books are joined by a shuffle: names compress well, so a table of few bytes on disk is many through the driver.
+    """
     e = load(spark, sf_dir, "events")
-    p = load(spark, sf_dir, "part")
+    p = load(spark, sf_dir, "part").hint("merge")
     return (e.join(p, e.user_id == p.p_partkey, "inner")
             .select(F.col("user_id").alias("book_id"),
                     F.col("p_name").alias("title"),

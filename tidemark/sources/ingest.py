@@ -7,10 +7,12 @@ checkpointed, Hive-partitioned streaming append.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import content_state, dataset_tag, path_exists, settings, touch, work_path
+from ..session import content_state, dataset_tag, move_dir, path_exists, settings, touch, work_path
 from ..streaming.runner import drain
 from .bookstore import BRONZE_SCHEMA, ENVELOPE_SCHEMA, raw_envelopes
 
@@ -29,6 +31,33 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def land_steps(rows: DataFrame, step: str, n: int, landing: str, run: Callable[[], object], *, fmt: str, part: str = "step={}",
+               **options: str) -> bool:
+    """Land ``rows`` in ``n`` steps by their column ``step`` (0 to n-1; rows without one do not land), and call ``run``
+    after each one landed now. Returns whether any was.
+
+    ``rows`` are computed once: one job writes all steps beside ``landing``, and a step lands when its complete folder
+    is moved into it. A step without rows lands as an empty write.
+    """
+    spark, staged = rows.sparkSession, f"{landing}-staged"
+    news = False
+    for s in range(n):
+        dest = f"{landing}/{part.format(s)}"
+        if path_exists(spark, f"{dest}/_SUCCESS"):
+            continue
+        if not path_exists(spark, f"{staged}/_SUCCESS"):
+            rows.filter(F.col(step).isNotNull()).write.mode("overwrite").partitionBy(step).options(**options).format(fmt).save(staged)
+        if path_exists(spark, f"{staged}/{step}={s}"):
+            touch(spark, f"{staged}/{step}={s}/_SUCCESS")
+            move_dir(spark, f"{staged}/{step}={s}", dest)
+        else:
+            empty = spark.createDataFrame([], rows.drop(step).schema)
+            empty.write.mode("overwrite").options(**options).format(fmt).save(dest)
+        run()
+        news = True
+    return news
+
+
 def with_bronze_columns(raw: DataFrame) -> DataFrame:
     """Epoch ms -> TIMESTAMP, plus the ``year_month`` partition column (FN-2, FN-3)."""
     return (raw.withColumn("timestamp", (F.col("timestamp") / 1000).cast("timestamp"))

@@ -37,7 +37,7 @@ class Scd2Log:
         keys = broadcast_if_small(updates.select(self.key).dropDuplicates())
         known = self.open.read().filter(F.col("batch") < batch_id).join(keys, self.key, "left_semi")
         now = latest_per_key(known, [self.key], "batch", ties=False).select(*self.schema.names)
-        result = cdc.scd2_merge(now, updates, self.key, sequence)
+        result = cdc.scd2_merge(now, updates, self.key, sequence, of_batch=True)
         with kept(result.table) as versions:
             self.closed.append(versions.filter("not current"), batch_id)
             self.open.append(versions.filter("current"), batch_id)
