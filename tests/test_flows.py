@@ -190,7 +190,7 @@ def test_checked_insert(spark, fresh):
     assert flows.checked_insert(log, rows.filter("a > 0"), {"p": "a > 0"}, 0) and log.read().count() == 1
 
 
-@pytest.mark.parametrize("by_days", [False])
+@pytest.mark.parametrize("by_days", [False, True])
 def test_steps_compute_their_rows_once(spark, fresh, by_days):
     from tidemark.plans import streams as st
     seen = spark.sparkContext.accumulator(0)

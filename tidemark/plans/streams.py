@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from ..operators import cdc
 from ..operators.joins import explode_join, lookup_join
 from ..operators.keyed import latest_per_key
-from ..session import path_exists, prepare, table_root
+from ..session import prepare, table_root
 from ..sources.bookstore import (CUSTOMERS_SCHEMA, JSON_OPTIONS, country_lookup,
                                  customers_payload, parse_topic)
-from ..sources.ingest import bronze_stream, ensure_bronze
+from ..sources.ingest import bronze_stream, ensure_bronze, land_steps
 from ..streaming.batches import BatchLog
 from ..streaming.runner import drain, kept
 from ..streaming.static import PublishedTable
@@ -53,18 +53,12 @@ def _root(spark: SparkSession, sf_dir: str, variant: str) -> str:
 def _stepped(spark: SparkSession, payload: DataFrame, ts_col: str, landing: str, run) -> None:
     """Land ``payload`` in ``STEP_DAYS``-day steps and call ``run`` after each one that was landed now; once, to
     take what a lost run has left, if all had been landed before."""
-    day0 = payload.agg(F.min(F.to_date(ts_col))).first()[0]
-    steps = payload.withColumn("_step", F.floor(F.datediff(F.to_date(ts_col), F.lit(day0)) / STEP_DAYS).cast("int"))
-    last = steps.agg(F.max("_step")).first()[0]
-    news = False
-    for s in range(int(last) + 1 if last is not None else 0):
-        part = f"{landing}/step={s:02d}"
-        if path_exists(spark, f"{part}/_SUCCESS"):
-            continue
-        steps.filter(F.col("_step") == s).drop("_step").write.mode("overwrite").options(**JSON_OPTIONS).json(part)
-        run()
-        news = True
-    if not news and last is not None:
+    day = F.to_date(ts_col)
+    day0, day1 = payload.agg(F.min(day), F.max(day)).first()
+    if day0 is None:
+        return
+    steps = payload.withColumn("_step", F.floor(F.datediff(day, F.lit(day0)) / STEP_DAYS).cast("int"))
+    if not land_steps(steps, "_step", (day1 - day0).days // STEP_DAYS + 1, landing, run, fmt="json", part="step={:02d}", **JSON_OPTIONS):
         run()
 
 
@@ -268,7 +262,7 @@ def books_scd2_stream(spark: SparkSession, sf_dir: str) -> VersionedTable:
 
     def type2_upsert(mb: DataFrame, batch_id: int) -> None:
         with kept(mb) as mb:
-            table.merge(lambda cur: cdc.scd2_merge(cur, mb, "book_id", "updated"),
+            table.merge(lambda cur: cdc.scd2_merge(cur, mb, "book_id", "updated", of_batch=True),
                         writer="books_scd2", batch_id=batch_id, source=mb)
 
     landing = f"{root}/landing/books-scd2"
