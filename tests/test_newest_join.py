@@ -94,3 +94,34 @@ def test_query_matches_the_unbounded_join(spark):
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= customers + left - orders
     again, _ = flows.customers_orders_bounded(spark, sf)  # takes nothing anew
     assert again.count() == orders
+
+
+def test_keys_share_groups(spark, fresh, monkeypatch):
+    from tidemark.streaming import newest_join as nj
+    monkeypatch.setattr(nj, "BUCKETS", 2)  # many keys a group, so that lists are appended to and folded
+    monkeypatch.setattr(nj, "CHUNK", 7)
+    f, want, seen = Flow(spark, fresh), {}, 0
+    for k in range(4):
+        left = [(100 * k + i, i, at(k)) for i in range(40)]
+        right = [(c, f"n\t{c}\n{k}", (k * 7) % 5) for c in range(10 * k, 40)]
+        seen = f.run(left, right)
+        for c, name, seq in right:
+            if c not in want or (seq, name) > want[c][::-1]:
+                want[c] = (name, seq)
+    assert f.view() == sorted((100 * k + c, *want[c]) for k in range(4) for c in range(40))
+    assert seen <= 4  # two lists of two groups, not a row a key
+
+
+def test_rows_order_as_spark_orders_them(spark):
+    import json
+
+    from tidemark.streaming.newest_join import ROW_JSON, order_of
+    nan = float("nan")
+    rows = [(x, y, z) for x in (None, -1.5, -0.25, 3e300, nan, float("inf")) for y in (None, [], ["a"], ["a", "b"], ["é"])
+            for z in (None, T0, T0 + dt.timedelta(microseconds=1))]
+    df = spark.createDataFrame(rows, "x double, y array<string>, z timestamp").select(F.struct("x", "y", "z").alias("r"))
+    texts = [r[0] for r in df.orderBy("r").select(F.to_json("r", {**ROW_JSON, "ignoreNullFields": "false"})).collect()]
+    order = order_of(df.schema["r"].dataType)
+    assert texts == sorted(texts, key=lambda t: order(json.loads(t)))
+    back = spark.createDataFrame([(t,) for t in texts], "t string").select(F.from_json("t", df.schema["r"].dataType, ROW_JSON).alias("r"))
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()

@@ -109,7 +109,7 @@ def use_subdir(spark: SparkSession, name: str) -> None:
 
 # Version of the derived-data layout (landed files, bronze). Bump it whenever
 # their format changes so files written by older code are never reused.
-LAYOUT = "l17"
+LAYOUT = "l18"
 
 
 def dataset_tag(spark: SparkSession, sf_dir: str) -> str:

@@ -13,83 +13,151 @@ The result is a stream of rows (kind, left, right):
 
 Left rows of one key may be many: they are dealt to ``salts`` groups, and right rows go to
 each of them, so state holds ``salts`` right rows per key at most.
+
+Spark calls a Python processor once a group and micro-batch, and each call, state access and output batch costs
+more than many rows do. So keys share groups: ``BUCKETS`` of them, by hash. A group's state is two lists of chunks of
+lines, to which a micro-batch appends what is new; rows travel as JSON, which Spark writes and reads.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Iterator, Sequence
+import base64
+import decimal
+import json
+import math
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 JOINED, NEWER = "joined", "newer"
-
-
-def values(row, schema: T.StructType) -> tuple:
-    """Values of a row as state gives them back: time stamps without a zone, in local time."""
-    got = [row[n] for n in schema.fieldNames()] if isinstance(row, (dict, Row)) else row
-    return tuple(dt.datetime.fromtimestamp(v.timestamp()) if isinstance(v, dt.datetime) and v.tzinfo else v for v in got)
-
-
-def rank_of(row: tuple, at: int) -> tuple:
-    """A total order of rows: by the sequence at place ``at``, then by all values (null first)."""
-    return tuple((v is not None, v) for v in (row[at], *row))
+#: Groups that keys are dealt to, for each salt; a checkpoint keeps the number it was made with.
+BUCKETS = 4096
+#: Rows of an output batch, and lines of a chunk of state.
+CHUNK = 5000
+#: When a waiting row goes that never does.
+NEVER = 2**63 - 1
+# microseconds, in one zone: time stamps of rows order as their texts do
+ROW_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timeZone": "UTC"}
+
+
+def order_of(kind: T.DataType) -> Callable:
+    """What orders the JSON values of a type as Spark does: nulls first, NaN last."""
+    if isinstance(kind, T.StructType):
+        parts = [(f.name, order_of(f.dataType)) for f in kind.fields]
+        plain = lambda v: tuple(of(v.get(n)) for n, of in parts)
+    elif isinstance(kind, T.ArrayType):
+        item = order_of(kind.elementType)
+        plain = lambda v: [item(x) for x in v]
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        plain = lambda v: (math.isnan(x := float(v)), 0.0 if math.isnan(x) else x)
+    elif isinstance(kind, T.BinaryType):
+        plain = base64.b64decode
+    else:
+        plain = lambda v: v
+    return lambda v: (False,) if v is None else (True, plain(v))
+
+
+def rank_of(row: str, sequence: str, seq_order: Callable, order: Callable) -> tuple:
+    """A total order of rows: by ``sequence``, then by all values (null first)."""
+    v = json.loads(row, parse_float=decimal.Decimal)
+    return seq_order(v.get(sequence)), order(v)
 
 
 class NewestRow(StatefulProcessor):
-    """State per key: the newest right row, and left rows that came before any."""
+    """State per group: the newest right row of each key, and left rows that came before any of theirs."""
 
-    def __init__(self, left: T.StructType, right: T.StructType, sequence: str, time: str, wait_ms: int | None):
-        self.left, self.right, self.sequence, self.time, self.wait_ms = left, right, sequence, time, wait_ms
+    def __init__(self, right: T.StructType, sequence: str, waits: bool):
+        self.right, self.sequence, self.waits = right, sequence, waits
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.newest = handle.getValueState("newest", self.right)
-        self.waiting = handle.getListState("waiting", self.left)
-        self.at = self.right.fieldNames().index(self.sequence)
-        self.when = self.left.fieldNames().index(self.time)
-
-    def _due(self, row: tuple) -> int | None:
-        t = row[self.when]
-        return None if t is None else int(t.timestamp() * 1000) + self.wait_ms
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = values(self.newest.get(), self.right) if self.newest.exists() else None
-        best, left = known, []
-        for r in rows:
-            if r["left"] is not None:
-                left.append(values(r["left"], self.left))
-                continue
-            new = values(r["right"], self.right)
-            if best is None or rank_of(new, self.at) > rank_of(best, self.at):
-                best = new
-        if best is None:
-            self.waiting.appendList(left)
-            if self.wait_ms is not None:
-                for due in {self._due(x) for x in left} - {None}:
-                    self.handle.registerTimer(due)
-            return
-        if best is not known:
-            self.newest.update(best)
-            if key[-1] == 0:  # one of the salted groups tells
-                yield Row(kind=NEWER, left=None, right=best)
-            if known is None:
-                for w in self.waiting.get():
-                    yield Row(kind=JOINED, left=values(w, self.left), right=best)
-                self.waiting.clear()
-        for x in left:
-            yield Row(kind=JOINED, left=x, right=best)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        left = [w for w in (values(w, self.left) for w in self.waiting.get()) if (due := self._due(w)) is None or due > now]
-        if left:
-            self.waiting.put(left)
+        self.newest = handle.getListState("newest", "rows STRING")
+        self.waiting = handle.getListState("waiting", "rows STRING")
+        self.order, self.seq_order = order_of(self.right), order_of(self.right[self.sequence].dataType)
+
+    @staticmethod
+    def _lines(state) -> Iterator[list[str]]:
+        for (chunk,) in state.get():
+            for line in chunk.split("\n"):
+                yield line.split("\t")
+
+    @staticmethod
+    def _chunks(lines: list[str]) -> list[tuple[str]]:
+        return [("\n".join(lines[i:i + CHUNK]),) for i in range(0, len(lines), CHUNK)]
+
+    def _rank(self, row: str) -> tuple:
+        return rank_of(row, self.sequence, self.seq_order, self.order)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known, n = {}, 0
+        for k, row in self._lines(self.newest):
+            known[k], n = row, n + 1  # the last line of a key counts
+        before, left, rank = known.copy(), {}, {}
+        for f in rows:
+            for k, due, one, two in zip(f["key"], f["due"], f["left"], f["right"], strict=True):
+                if isinstance(one, str):
+                    left.setdefault(k, []).append((due, one))
+                    continue
+                new = self._rank(two)
+                if k in known and k not in rank:
+                    rank[k] = self._rank(known[k])
+                if k not in known or new > rank[k]:
+                    known[k], rank[k] = two, new
+        changed = {k: known[k] for k in rank if known[k] != before.get(k)}
+        if changed:
+            lines = [f"{k}\t{row}" for k, row in changed.items()]
+            if n + len(lines) > 2 * len(known):
+                self.newest.put(self._chunks([f"{k}\t{row}" for k, row in known.items()]))
+            else:
+                self.newest.appendList(self._chunks(lines))
+        wait = [(due, k, x) for k, xs in left.items() if k not in known for due, x in xs]
+        if wait:
+            self.waiting.appendList(self._chunks([f"{due}\t{k}\t{x}" for due, k, x in wait]))
+            self._wake(min(due for due, _, _ in wait))
+        yield from self._output(key, known, changed, before, left)
+
+    def _output(self, key, known, changed, before, left) -> Iterator[pd.DataFrame]:
+        out = [(NEWER, None, row) for row in changed.values()] if key[-1] == 0 else []  # one of the salted groups tells
+        for k, xs in left.items():
+            if k in known:
+                out += [(JOINED, x, known[k]) for _, x in xs]
+        fresh = changed.keys() - before.keys()
+        if fresh and self.waiting.exists():
+            rest, found = [], False
+            for due, k, x in self._lines(self.waiting):
+                if k in fresh:
+                    found = True
+                    out.append((JOINED, x, known[k]))
+                else:
+                    rest.append(f"{due}\t{k}\t{x}")
+            if found:
+                self._keep(rest)
+        for i in range(0, len(out), CHUNK):
+            yield pd.DataFrame(out[i:i + CHUNK], columns=["kind", "left", "right"])
+
+    def _keep(self, lines: list[str]) -> None:
+        if lines:
+            self.waiting.put(self._chunks(lines))
         else:
             self.waiting.clear()
+
+    def _wake(self, due: int) -> None:
+        if self.waits and due != NEVER:
+            self.handle.registerTimer(int(due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Waiting rows whose time is over go; the next timer is that of the first one left."""
+        now, mark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        lines = list(self._lines(self.waiting))
+        left = [x for x in lines if now < int(x[0]) and mark <= int(x[0])]
+        if len(left) < len(lines):
+            self._keep(["\t".join(x) for x in left])
+        if left:
+            self._wake(min(int(x[0]) for x in left))
         return iter(())
 
     def close(self) -> None:
@@ -104,20 +172,32 @@ def newest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], sequence
 
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     ltype, rtype = T.StructType(left.schema.fields), T.StructType(right.schema.fields)
-    lrow, rrow = F.struct(*left.columns), F.struct(*right.columns)
+    none = F.lit(None).cast("string")
+
+    def row(df):
+        return F.to_json(F.struct(*df.columns), {**ROW_JSON, "ignoreNullFields": "false"})
 
     def side(df, event_time, salt, l, r):  # noqa: E741
         return df.filter(has_key).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], salt.alias("_salt"),
                                          event_time.alias("_time"), l.alias("left"), r.alias("right"))
 
-    events = side(left, F.col(time), F.pmod(F.xxhash64(lrow), F.lit(salts)).cast("int"), lrow, F.lit(None).cast(rtype)).unionByName(
-        side(right, F.lit(None).cast("timestamp"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))), F.lit(None).cast(ltype), rrow))
-    out = T.StructType([T.StructField("kind", T.StringType()), T.StructField("left", ltype), T.StructField("right", rtype)])
+    events = side(left, F.col(time), F.pmod(F.xxhash64(F.struct(*left.columns)), F.lit(salts)).cast("int"), row(left), none).unionByName(
+        side(right, F.lit(None).cast("timestamp"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))), none, row(right)))
+    # equal keys have one text: of both sides' common type, and without a zero of its own for negative numbers
+    one = [F.col(f"_k{i}") + F.lit(0.0).cast(k) if k in ("float", "double") else F.col(f"_k{i}")
+           for i, k in enumerate(dict(events.dtypes)[f"_k{j}"] for j in range(len(keys)))]
+    due = F.lit(NEVER) if wait_seconds is None else F.coalesce(F.unix_millis(F.col("_time").cast("timestamp")) + wait_seconds * 1000, F.lit(NEVER))
+    events = events.select(F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(one)]), ROW_JSON).alias("key"), F.col("_salt").alias("salt"), "_time",
+                           due.alias("due"), "left", "right")
+    # columns of a frame: pandas renames those that begin with an underscore
+    events = events.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
     if wait_seconds is not None:
         events = events.withWatermark("_time", delay)
-    return events.groupBy(*[f"_k{i}" for i in range(len(keys))], "_salt").transformWithState(
-        NewestRow(ltype, rtype, sequence, time, None if wait_seconds is None else wait_seconds * 1000),
-        out, "Append", "None" if wait_seconds is None else "EventTime")
+    out = events.groupBy("bucket", "salt").transformWithStateInPandas(
+        NewestRow(rtype, sequence, wait_seconds is not None), "kind STRING, left STRING, right STRING",
+        "Append", "None" if wait_seconds is None else "EventTime")
+    strict = {**ROW_JSON, "mode": "FAILFAST"}
+    return out.select("kind", F.from_json("left", ltype, strict).alias("left"), F.from_json("right", rtype, strict).alias("right"))
 
 
 def newest_view(rows: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
