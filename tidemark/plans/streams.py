@@ -108,7 +108,7 @@ def customers_silver(spark: SparkSession, sf_dir: str, variant: str = "main") ->
 
 def orders_stream(spark: SparkSession, sf_dir: str, variant: str = "main") -> DataFrame:
     """orders_silver as a stream over bronze (topic filter, parse, quantity > 0)."""
-    s = parse_topic(bronze_stream(spark, bronze_of(spark, sf_dir, variant)), "orders")
+    s = parse_topic(bronze_stream(spark, bronze_of(spark, sf_dir, variant)), "orders", once=True)
     return s.filter("quantity > 0")
 
 

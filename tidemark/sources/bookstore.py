@@ -155,13 +155,15 @@ def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(cust).unionByName(books)
 
 
-def parse_topic(bronze: DataFrame, topic: str, schema: str | None = None) -> DataFrame:
+def parse_topic(bronze: DataFrame, topic: str, schema: str | None = None, *, once: bool = False) -> DataFrame:
     """Topic filter + ``from_json`` + ``v.*`` over bronze (FLT-1, FN-1, FN-7, PRJ-2).
 
     The topic equality is a partition filter on bronze, so only that topic's
     directories are listed and read.
+
+    A filter on the result is pushed below the projection and parses each value a second time. ``once``
+    parses it once, all columns: for readers that filter and then use most of them.
     """
-    return (bronze.filter(F.col("topic") == topic)
-            .select(F.from_json(F.col("value").cast("string"),
-                                schema or TOPIC_SCHEMAS[topic], JSON_OPTIONS).alias("v"))
-            .select("v.*"))
+    parsed = F.from_json(F.col("value").cast("string"), schema or TOPIC_SCHEMAS[topic], JSON_OPTIONS)
+    rows = bronze.filter(F.col("topic") == topic)
+    return rows.select(F.inline(F.array(parsed))) if once else rows.select(parsed.alias("v")).select("v.*")

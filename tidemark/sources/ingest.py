@@ -9,12 +9,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import estimated_bytes
 from ..session import content_state, dataset_tag, move_dir, path_exists, settings, touch, work_path
 from ..streaming.runner import drain
 from .bookstore import BRONZE_SCHEMA, ENVELOPE_SCHEMA, raw_envelopes
+from .tables import load
+
+
+# Bytes of the given tables (estimated) whose envelopes make one landed file.
+LANDED_BYTES = 4 << 20
+# Cells of equal length that a topic's time is counted in.
+CELLS = 8192
+
+
+def _spans(spark: SparkSession, rows: DataFrame, at: Column, parts: int) -> Callable[[Column], Column]:
+    """Which of ``parts`` consecutive spans of time of about as many rows each a time lies in. ``rows`` are scanned for
+    ``at`` only; the driver gets a count for each of ``CELLS`` at most. Times beyond a thousandth at either end share an end cell."""
+    us = F.unix_micros(at.cast("timestamp"))
+    lo, hi = rows.agg(F.percentile_approx(us, [0.001, 0.999], 10_000)).first()[0] or (0, 0)
+
+    def cell(t: Column) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor((t - F.lit(lo)) / float(hi - lo + 1) * CELLS))).cast("int")
+
+    if parts == 1:
+        return lambda t: F.lit(0)
+    held = dict(rows.groupBy(cell(us).alias("c")).count().collect())
+    whole, seen, of = max(1, sum(held.values())), 0, []
+    for c in range(CELLS):
+        of.append(min(parts - 1, seen * parts // whole))
+        seen += held.get(c, 0)
+    spans = F.lit(of)
+    return lambda t: F.coalesce(F.element_at(spans, cell(t) + 1), F.lit(0))
 
 
 def land_raw(spark: SparkSession, sf_dir: str) -> str:
@@ -22,11 +50,18 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
 
     Files are grouped by topic and event time, like consecutive topic dumps, and compressed:
     the envelope holds each value in base64, four times the size of the table it comes from.
+    The spans of time are read from the given tables: a range shuffle would join, list and write JSON twice, once for its samples.
     """
     path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "kafka-raw")
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        (raw_envelopes(spark, sf_dir)
-         .repartitionByRange("topic", "timestamp")
+        orders, lines, events = (load(spark, sf_dir, t) for t in ("orders", "lineitem", "events"))
+        n_orders, n_events = (max(1, -(-sum(map(estimated_bytes, x)) // LANDED_BYTES)) for x in ((orders, lines), (events,)))
+        of_orders, of_events = _spans(spark, orders, F.col("o_orderdate"), n_orders), _spans(spark, events, F.col("ts"), n_events)
+        t = F.col("timestamp") * 1000
+        span = (F.when(F.col("topic") == "orders", of_orders(t)).when(F.col("topic") == "customers", n_orders + of_events(t))
+                .otherwise(n_orders + n_events + of_events(t)))
+        rows = raw_envelopes(spark, sf_dir)
+        (rows.withColumn("_span", span.cast("int")).repartitionById(n_orders + 2 * n_events, F.col("_span")).drop("_span")
          .write.mode("overwrite").json(path, compression="gzip"))
     return path
 
