@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import udfs
 from ..operators import governance as gov
 from ..operators import maintenance as mnt
-from ..session import dataset_tag, path_exists, table_root, work_path
-from ..sources import robust
+from ..session import dataset_tag, fresh_path, path_exists, table_root, work_path
+from ..sources import ingest, robust
 from ..sources.tables import TABLES, load
 from . import bookstore as bs
 from . import streams as st
@@ -256,14 +256,13 @@ def schema_add_columns(spark, sf_dir):
 @query("binary_file_scan", "SELECT page_id, strlen(html) + 1 AS length FROM pages")
 def binary_file_scan(spark, sf_dir):
     """Binary-file scan with a name glob over files landed from ``pages``."""
-    from ..sources.ingest import binary_files
-    path = work_path(spark, "landing", dataset_tag(spark, sf_dir), "pages")
+    tag = dataset_tag(spark, sf_dir)
+    path = work_path(spark, "landing", tag, "pages")
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        (load(spark, sf_dir, "pages").select("page_id", "html").repartition("page_id")
-         .write.mode("overwrite").partitionBy("page_id").text(path))
-    files = binary_files(spark, path, "*.txt")
-    return files.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
-                        F.col("length"))
+        ingest.land_files(load(spark, sf_dir, "pages"), "page_id", "html", path)
+    page_id = F.nullif(F.regexp_extract("path", r"page_id=(-?\d+)", 1), F.lit("")).cast("bigint")
+    return ingest.scan_files(spark, path, "*.txt", lambda files: files.select(page_id.alias("page_id"), "length"),
+                             fresh_path(spark, "scans", tag, "pages"))
 
 
 # --------------------------------------------------------------------------

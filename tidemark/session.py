@@ -109,7 +109,7 @@ def use_subdir(spark: SparkSession, name: str) -> None:
 
 # Version of the derived-data layout (landed files, bronze). Bump it whenever
 # their format changes so files written by older code are never reused.
-LAYOUT = "l18"
+LAYOUT = "l19"
 
 
 def dataset_tag(spark: SparkSession, sf_dir: str) -> str:
@@ -161,6 +161,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as open() takes it, if it lies in the local file system, where all machines share the work folder."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)

@@ -7,13 +7,16 @@ checkpointed, Hive-partitioned streaming append.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import shutil
+from collections.abc import Callable, Iterable, Iterator
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import estimated_bytes
-from ..session import content_state, dataset_tag, move_dir, path_exists, settings, touch, work_path
+from ..session import content_state, dataset_tag, list_dirs, local_path, move_dir, path_exists, remove_dir, settings, touch, work_path
 from ..streaming.runner import drain
 from .bookstore import BRONZE_SCHEMA, ENVELOPE_SCHEMA, raw_envelopes
 from .tables import load
@@ -23,6 +26,9 @@ from .tables import load
 LANDED_BYTES = 4 << 20
 # Cells of equal length that a topic's time is counted in.
 CELLS = 8192
+# Files (about) that share a folder when each key gets a file, and folders that are listed and scanned at once.
+FOLDER_FILES = 1024
+SCANNED_FOLDERS = 64
 
 
 def _spans(spark: SparkSession, rows: DataFrame, at: Column, parts: int) -> Callable[[Column], Column]:
@@ -165,11 +171,73 @@ def read_json_batch(spark: SparkSession, path: str, schema: str | None = None) -
     return r.json(path)
 
 
-def binary_files(spark: SparkSession, path: str, glob: str = "*",
+def binary_files(spark: SparkSession, path: str | list[str], glob: str = "*",
                  stream: bool = False) -> DataFrame:
-    """Binary-file scan with a file-name glob (SRC-7)."""
+    """Binary-file scan with a file-name glob (SRC-7); a batch scan takes several folders too."""
     r = spark.readStream if stream else spark.read
     r = r.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     if stream:
         r = r.schema("path STRING, modificationTime TIMESTAMP, length LONG, content BINARY")
     return r.load(path)
+
+
+def file_writer(folder: str) -> Callable[[Iterable[tuple[str, bytes | None]], int, int], None]:
+    """A writer of (name, line) pairs to the files ``<name>.txt`` of ``part=<part>`` in ``folder``. They are written elsewhere
+    and moved there when all are; of several attempts at a part the first counts. Workers get it whole, they need no import of ours."""
+    def write(lines: Iterable[tuple[str, bytes | None]], part: int, attempt: int) -> None:
+        own, to = f"{folder}/_attempt-{attempt}", f"{folder}/part={part}"
+        os.makedirs(own)
+        for name, line in lines:
+            with open(f"{own}/{name}.txt", "ab") as f:
+                f.write((line or b"") + b"\n")
+        try:
+            os.rename(own, to)
+        except OSError:
+            if not os.path.isdir(to):
+                raise
+            shutil.rmtree(own)
+    return write
+
+
+def land_files(rows: DataFrame, key: str, text: str, path: str) -> None:
+    """Write a text file for each value of ``key``, named by it, with a line for each of its rows' ``text``.
+
+    Files share folders (``part=``), about ``FOLDER_FILES`` each. Hadoop's local file system starts a process for each
+    file it makes, another one for its checksums, and Spark's writer needs a folder for each file: in a local (shared)
+    folder the tasks write for themselves. Other stores get Spark's files, in a folder for each key within ``part=``.
+    """
+    spark = rows.sparkSession
+    remove_dir(spark, path)  # what a run that did not end has left
+    parts = rows.select(key).count() // FOLDER_FILES + 1
+    rows = rows.select(key, text).repartition(parts, F.col(key))
+    local = local_path(spark, path)
+    if local is None:
+        rows.withColumn("part", F.spark_partition_id()).write.partitionBy("part", key).text(path)
+        return
+
+    write = file_writer(local)
+
+    def run(batches: Iterator) -> Iterator:
+        task = TaskContext.get()
+        write((x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)),
+              task.partitionId(), task.taskAttemptId())
+        yield from ()
+
+    name = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    (rows.select(name.alias("name"), F.col(text).cast("binary").alias("line")).mapInArrow(run, "n long")
+     .write.format("noop").mode("overwrite").save())
+    touch(spark, f"{path}/_SUCCESS")
+
+
+def scan_files(spark: SparkSession, path: str, glob: str, of: Callable[[DataFrame], DataFrame], to: str) -> DataFrame:
+    """``of`` the binary files that ``land_files`` wrote, stored in ``to``.
+
+    The driver keeps the status of each file of a scan, so ``SCANNED_FOLDERS`` are scanned at a time. Files count as
+    16 kB besides their length when they are dealt to tasks (4 MB by default: a few files a task).
+    """
+    folders = [f"{path}/{d}" for d in list_dirs(spark, path) if d.startswith("part=")] or [path]
+    with settings(spark, spark__sql__files__openCostInBytes="16k", spark__sql__sources__ignoreDataLocality="true",
+                  spark__sql__hive__manageFilesourcePartitions="false"):
+        for i in range(0, len(folders), SCANNED_FOLDERS):
+            of(binary_files(spark, folders[i:i + SCANNED_FOLDERS], glob)).write.mode("append").parquet(to)
+    return spark.read.parquet(to)
